@@ -58,55 +58,64 @@ def _cosine(both: Column, a: Column, b: Column) -> Column:
     return both.cast("double") / F.sqrt(a.cast("double") * b.cast("double"))
 
 
-def _count_cell(table: pa.Table) -> pa.Table:
-    """Common buyers of each product pair within one cell of the grid.
-
-    For every row of the left block it walks the same customer's rows of the right block and
-    counts into a dense array of the two blocks, so only finished counts leave the cell.
-    """
-    block_a, block_b = table["block_a"][0].as_py(), table["block_b"][0].as_py()
-    customers = table["customer_id"].combine_chunks().dictionary_encode()
-    who = customers.indices.to_numpy()
-    n_customers = len(customers.dictionary)
-
-    def side(block):
-        chosen = pc.equal(table["block"], block)
-        names = table["product_id"].filter(chosen).combine_chunks().dictionary_encode()
-        return who[chosen.to_numpy()], names.indices.to_numpy(), names.dictionary
-
-    who_a, code_a, names_a = side(block_a)
-    who_b, code_b, names_b = side(block_b)
-    order = np.argsort(who_b, kind="stable")
-    code_b = code_b[order].astype(np.int64)
-    first = np.concatenate(([0], np.cumsum(np.bincount(who_b, minlength=n_customers))))
-    fan_out = first[who_a + 1] - first[who_a]
-    ends = np.cumsum(fan_out)
-    n_cells = len(names_a) * len(names_b)
-    total = int(ends[-1]) if len(ends) else 0
-    counts = np.zeros(n_cells, dtype=np.int64)
-    cuts = np.unique(np.searchsorted(ends, np.arange(PAIRS_PER_STEP, total, PAIRS_PER_STEP), side="left") + 1)
-    for start, stop in zip([0, *cuts], [*cuts, len(ends)], strict=True):
-        fan = fan_out[start:stop]
-        within = np.arange(fan.sum()) - np.repeat(np.cumsum(fan) - fan, fan)
-        partner = code_b[np.repeat(first[who_a[start:stop]], fan) + within]
-        pair = np.repeat(code_a[start:stop].astype(np.int64) * len(names_b), fan) + partner
-        if len(pair) * 8 < n_cells:
-            found, times = np.unique(pair, return_counts=True)
-            counts[found] += times
-        else:
-            counts += np.bincount(pair, minlength=n_cells)
-    found = np.flatnonzero(counts)
-    a = names_a.take(pa.array(found // max(len(names_b), 1)))
-    b = names_b.take(pa.array(found % max(len(names_b), 1)))
-    n_both = pa.array(counts[found])
-    swap = pc.greater(a, b)
-    result = pa.table(
-        {"product_a": pc.if_else(swap, b, a), "product_b": pc.if_else(swap, a, b), "n_both": n_both}
-    )
-    if block_a == block_b:
-        # One block against itself meets every pair in both orders, and itself.
-        return result.filter(pc.less(a, b))
-    return result
+def _cell_counter(pairs_per_step: int):
+    """The counting of one cell, as a closure so that it travels to the workers by value."""
+
+    def count(table: pa.Table) -> pa.Table:
+        """Common buyers of each product pair within one cell of the grid.
+
+        For every row of the left block it walks the same customer's rows of the right block and
+        counts into a dense array of the two blocks, so only finished counts leave the cell.
+        """
+        block_a, block_b = table["block_a"][0].as_py(), table["block_b"][0].as_py()
+        customers = table["customer_id"].combine_chunks().dictionary_encode()
+        who = customers.indices.to_numpy()
+        n_customers = len(customers.dictionary)
+
+        def side(block):
+            chosen = pc.equal(table["block"], block)
+            names = table["product_id"].filter(chosen).combine_chunks().dictionary_encode()
+            return who[chosen.to_numpy()], names.indices.to_numpy().astype(np.int64), names.dictionary
+
+        who_a, code_a, names_a = side(block_a)
+        who_b, code_b, names_b = side(block_b)
+        width = max(len(names_b), 1)
+        # Right rows sorted by customer; customer c owns code_b[first[c]:first[c + 1]].
+        code_b = code_b[np.argsort(who_b, kind="stable")]
+        first = np.concatenate(([0], np.cumsum(np.bincount(who_b, minlength=n_customers))))
+        fan_out = first[who_a + 1] - first[who_a]
+        ends = np.cumsum(fan_out)
+        counts = np.zeros(len(names_a) * width, dtype=np.int64)
+        # Left rows in runs of about pairs_per_step pairs.
+        steps = np.arange(pairs_per_step, ends[-1] if len(ends) else 0, pairs_per_step)
+        cuts = np.unique(np.searchsorted(ends, steps) + 1)
+        for start, stop in zip([0, *cuts], [*cuts, len(ends)], strict=True):
+            fan = fan_out[start:stop]
+            within = np.arange(fan.sum()) - np.repeat(np.cumsum(fan) - fan, fan)
+            partner = code_b[np.repeat(first[who_a[start:stop]], fan) + within]
+            pair = np.repeat(code_a[start:stop] * width, fan) + partner
+            if len(pair) * 8 < len(counts):
+                met, times = np.unique(pair, return_counts=True)
+                counts[met] += times
+            else:
+                counts += np.bincount(pair, minlength=len(counts))
+        met = np.flatnonzero(counts)
+        a = names_a.take(pa.array(met // width))
+        b = names_b.take(pa.array(met % width))
+        swap = pc.greater(a, b)
+        result = pa.table(
+            {
+                "product_a": pc.if_else(swap, b, a),
+                "product_b": pc.if_else(swap, a, b),
+                "n_both": pa.array(counts[met]),
+            }
+        )
+        if block_a == block_b:
+            # A block against itself meets every pair in both orders, and each product itself.
+            return result.filter(pc.less(a, b))
+        return result
+
+    return count
 
 
 def _stored(basket: DataFrame) -> tuple[DataFrame, dict]:
@@ -147,7 +156,7 @@ def _count_pairs(stored: DataFrame, sizes: dict, products_per_block: int, rows_p
     schema = (
         T.StructType().add("product_a", kind).add("product_b", kind).add("n_both", T.LongType())
     )
-    counted = cells.groupBy("share", "block_a", "block_b").applyInArrow(_count_cell, schema)
+    counted = cells.groupBy("share", "block_a", "block_b").applyInArrow(_cell_counter(PAIRS_PER_STEP), schema)
     return counted.groupBy("product_a", "product_b").agg(F.sum("n_both").alias("n_both"))
 
 
@@ -223,15 +232,14 @@ def top_similar_products(basket: DataFrame, products: DataFrame, top: int = TOP_
         F.sort_array(F.collect_list("product_id")).alias("ids")
     )
     fillers = F.filter(
-        smallest.scalar(),
-        lambda x: (x != F.col("product_id")) & ~F.array_contains(F.col("best.similar_id"), x),
+        "ids", lambda x: (x != F.col("product_id")) & ~F.array_contains(F.col("best.similar_id"), x)
     )
     zeros = F.transform(fillers, lambda x: F.struct(x.alias("similar_id"), F.lit(0.0).alias("score")))
     found = F.transform(F.col("best"), lambda x: F.struct(x["similar_id"], x["score"]))
     nothing = F.expr("array()").cast(best.schema["best"].dataType)
     lists = (
         bought.join(best, "product_id", "left")
-        .withColumn("best", F.coalesce("best", nothing))
+        .select("product_id", F.coalesce("best", nothing).alias("best"), smallest.scalar().alias("ids"))
         .select("product_id", F.posexplode(F.slice(F.concat(found, zeros), 1, top)).alias("at", "hit"))
     )
     ids = lists.select(
