@@ -11,20 +11,26 @@ from pyspark.sql import functions as F
 
 INTEGER, FLOAT, TIMESTAMP, BOOLEAN, FITS_BIGINT = 1, 2, 4, 8, 16
 
-# What counts as a number or a moment in text. (?U) makes \d and \s Unicode-aware;
-# the separators \x1c-\x1f count as blanks too. Digits may be grouped by single underscores.
-_BLANK = r"[\s\x1c-\x1f]*"
+# What counts as a number or a moment in text. The plain patterns cover nearly all
+# values cheaply. In the general ones (?U) makes \d and \s Unicode-aware, and digits may be grouped
+# by single underscores.
+PLAIN_INTEGER = r"^[+-]?[0-9]{1,18}\z"
+PLAIN_FLOAT = r"^[+-]?[0-9]+\.[0-9]+\z"
+_BLANK = r"\s*"
 _DIGITS = r"\d(?:_?\d)*"
-INTEGER_PATTERN = rf"(?U)^{_BLANK}[+-]?{_DIGITS}{_BLANK}$"
-FLOAT_PATTERN = (
+GENERAL_INTEGER = rf"(?U)^{_BLANK}[+-]?{_DIGITS}{_BLANK}\z"
+GENERAL_FLOAT = (
     rf"(?U)^{_BLANK}[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
-    rf"|(?i:inf|infinity|nan)){_BLANK}$"
+    rf"|(?i:inf|infinity|nan)){_BLANK}\z"
 )
 # `2024-01-05 10:20:30`, `2024-01-05T10:20:30` or `2024-01-05`; one-digit parts allowed, no fractions.
-TIMESTAMP_PATTERN = (
-    r"^(?!0000)\d{4}-(?:1[0-2]|0?[1-9])-(?:3[01]|[12]\d|0?[1-9]| [1-9])"
-    r"(?:(?:\s+|[Tt])(?:2[0-3]|[01]?\d):[0-5]?\d:[0-5]?\d)?\z"
+MOMENT = (
+    r"^(?!0000)[0-9]{4}-(?:1[0-2]|0?[1-9])-(?:3[01]|[12][0-9]|0?[1-9]| [1-9])"
+    r"(?:(?:\s+|[Tt])(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9])?\z"
 )
+# The day within a moment, and what to drop from a whole number before reading it.
+_DAY = r"(?s)^([0-9]+-[0-9]+-) ?([0-9]+).*$"
+_GROUPING = r"(?U)[\s_]"
 
 # Relational type per class, in the order they are tried.
 TYPE_ORDER = (
@@ -36,20 +42,29 @@ TYPE_ORDER = (
 FALLBACK_TYPE = "TEXT"
 
 
-def value_classes(value: Column) -> Column:
-    """Bit set of classes of one text value; NULL for a missing or empty value."""
-    trimmed = F.regexp_replace(value, r"(?U)[\s\x1c-\x1f_]", "")
-    fits = F.when(trimmed.try_cast("bigint").isNotNull(), FITS_BIGINT).otherwise(0)
-    # The shape is checked by the pattern, the day of the month by the cast.
-    day = F.regexp_replace(value, r"(?s)^(\d+-\d+-) ?(\d+).*$", "$1$2").try_cast("date")
-    is_moment = value.rlike(TIMESTAMP_PATTERN) & day.isNotNull()
-    return (
-        F.when(value.isNull() | (value == ""), F.lit(None).cast("int"))
-        .when(value.rlike(INTEGER_PATTERN), fits + F.lit(INTEGER | FLOAT))
-        .when(value.rlike(FLOAT_PATTERN), F.lit(FLOAT))
-        .when(is_moment, F.lit(TIMESTAMP))
-        .when(F.lower(value).isin("true", "false"), F.lit(BOOLEAN))
-        .otherwise(F.lit(0))
+def value_classes(column: str) -> Column:
+    """Bit set of classes of a text column's value; NULL for a missing or empty value.
+
+    The classes other than integer within float exclude each other, so the order of the tests is
+    free: cheap and common ones come first. The pattern checks the shape of a moment, a cast its
+    day of the month. Written as SQL text, which is one call per column instead of one per test.
+    """
+    v = "`" + column.replace("`", "``") + "`"
+    return F.expr(
+        f"""
+        CASE WHEN {v} IS NULL OR {v} = '' THEN NULL
+             WHEN {v} RLIKE r'{PLAIN_INTEGER}' THEN {INTEGER | FLOAT | FITS_BIGINT}
+             WHEN {v} RLIKE r'{PLAIN_FLOAT}' THEN {FLOAT}
+             WHEN {v} RLIKE r'{MOMENT}' THEN
+               CASE WHEN try_cast(regexp_replace({v}, r'{_DAY}', '$1$2') AS DATE) IS NULL
+                    THEN 0 ELSE {TIMESTAMP} END
+             WHEN lower({v}) IN ('true', 'false') THEN {BOOLEAN}
+             WHEN {v} RLIKE r'{GENERAL_INTEGER}' THEN
+               CASE WHEN try_cast(regexp_replace({v}, r'{_GROUPING}', '') AS BIGINT) IS NULL
+                    THEN {INTEGER | FLOAT} ELSE {INTEGER | FLOAT | FITS_BIGINT} END
+             WHEN {v} RLIKE r'{GENERAL_FLOAT}' THEN {FLOAT}
+             ELSE 0 END
+        """
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import clean_identifier
@@ -46,41 +46,39 @@ def load_validation(tables: Tables) -> DataFrame:
     )
 
 
-def _per_column(df: DataFrame, name: str, aggregate, fields: dict) -> DataFrame:
+def _per_column(df: DataFrame, name: str, aggregate, *fields: Column) -> DataFrame:
     """One aggregate per column, reshaped from one wide row to one row per column.
 
-    ``aggregate`` maps a column name to its aggregate; ``fields`` maps output names to functions
-    of the aggregated value and the row count.
+    ``aggregate`` makes the aggregate of a column; ``fields`` are expressions over its ``value``
+    and the table's ``n_rows``.
     """
     wide = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[aggregate(column).alias(f"c{pos}") for pos, column in enumerate(df.columns)],
     )
-    rows = [
-        F.struct(
+    values = F.posexplode(F.array(*[F.col(f"c{pos}") for pos in range(len(df.columns))]))
+    names = F.array(*[F.lit(column) for column in df.columns])
+    return (
+        wide.select("n_rows", values.alias("at", "value"))
+        .select(
             F.lit(name).alias("table_name"),
-            F.lit(pos + 1).alias("pos"),
-            F.lit(column).alias("column_name"),
-            *[make(F.col(f"c{pos}"), F.col("n_rows")).alias(out) for out, make in fields.items()],
+            (F.col("at") + 1).alias("pos"),
+            names[F.col("at")].alias("column_name"),
+            *fields,
         )
-        for pos, column in enumerate(df.columns)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    )
 
 
-def _quoted(column: str):
+def _quoted(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
 def null_profile(tables: Tables) -> DataFrame:
     """NULLs per column and their share of the rows; NaN and empty text are values."""
-    fields = {
-        "n_rows": lambda nulls, rows: rows,
-        "n_nulls": lambda nulls, rows: nulls,
-        "null_ratio": lambda nulls, rows: F.try_divide(nulls.cast("double"), rows.cast("double")),
-    }
+    share = F.try_divide(F.col("value").cast("double"), F.col("n_rows").cast("double"))
+    fields = (F.col("n_rows"), F.col("value").alias("n_nulls"), share.alias("null_ratio"))
     return union_rows(
-        [_per_column(df, name, lambda c: F.count_if(_quoted(c).isNull()), fields) for name, df in tables.items()]
+        [_per_column(df, name, lambda c: F.count_if(_quoted(c).isNull()), *fields) for name, df in tables.items()]
     )
 
 
@@ -88,11 +86,9 @@ def schema_catalog(tables: Tables) -> DataFrame:
     """Columns of every table in order, with type and number of filled values."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        filled = _per_column(df, name, lambda c: F.count(_quoted(c)), {"n_values": lambda n, rows: n})
-        types = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
-        return filled.select(
-            "table_name", "pos", "column_name", types[F.col("column_name")].alias("column_type"), "n_values"
-        )
+        types = F.array(*[F.lit(field.dataType.simpleString()) for field in df.schema])
+        fields = (types[F.col("at")].alias("column_type"), F.col("value").alias("n_values"))
+        return _per_column(df, name, lambda c: F.count(_quoted(c)), *fields)
 
     return union_rows([one(name, df) for name, df in tables.items()])
 
@@ -103,16 +99,15 @@ def infer_column_types(tables: Tables) -> DataFrame:
     Looks at all rows; pass ``sample_first_n`` frames to judge by a sample. ``overflow`` marks an
     integer column whose values do not all fit 64 bits.
     """
-    fields = {
-        "inferred_type": lambda classes, rows: relational_type(classes),
-        "overflow": lambda classes, rows: exceeds_bigint(classes),
-    }
-    return union_rows(
-        [
-            _per_column(df, name, lambda c: F.bit_and(value_classes(_quoted(c).cast("string"))), fields)
-            for name, df in tables.items()
-        ]
-    )
+    classes = F.col("value")
+    fields = (relational_type(classes).alias("inferred_type"), exceeds_bigint(classes).alias("overflow"))
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        # The text forms get a projection of their own: several tests read each of them.
+        text = df.select(*[_quoted(column).cast("string").alias(column) for column in df.columns])
+        return _per_column(text, name, lambda c: F.bit_and(value_classes(c)), *fields)
+
+    return union_rows([one(name, df) for name, df in tables.items()])
 
 
 def generate_ddl(types: DataFrame) -> DataFrame:

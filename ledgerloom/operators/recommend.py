@@ -157,6 +157,9 @@ def _count_pairs(stored: DataFrame, sizes: dict, products_per_block: int, rows_p
         T.StructType().add("product_a", kind).add("product_b", kind).add("n_both", T.LongType())
     )
     counted = cells.groupBy("share", "block_a", "block_b").applyInArrow(_cell_counter(PAIRS_PER_STEP), schema)
+    if sum(sorted(block_rows.values())[-2:]) <= rows_per_cell:
+        # No cell is cut by customer, so each pair was counted in full by the one cell it falls in.
+        return counted
     return counted.groupBy("product_a", "product_b").agg(F.sum("n_both").alias("n_both"))
 
 
