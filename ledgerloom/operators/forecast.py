@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_of
 from ledgerloom.functions.text import contains_ignore_case
-from ledgerloom.operators.sales import join_orders_items, join_variants
+from ledgerloom.operators.sales import join_orders_items
 
 
 @dataclass(frozen=True)
@@ -57,9 +57,8 @@ def product_sales_lines(orders: DataFrame, items: DataFrame, variants: DataFrame
     return join_orders_items(orders, items.join(wanted, "product_variant_id", "left_semi"))
 
 
-def monthly_sales(orders: DataFrame, items: DataFrame, variants: DataFrame) -> DataFrame:
+def monthly_sales(lines: DataFrame) -> DataFrame:
     """Quantity sold per product and month, months without a sale absent."""
-    lines = join_variants(join_orders_items(orders, items), variants)
     return (
         lines.select("product_id", month_of(F.col("placed_at")).alias("month"), "quantity")
         .filter(F.col("month").isNotNull())
@@ -88,9 +87,9 @@ def fill_months(monthly: DataFrame) -> DataFrame:
     )
 
 
-def monthly_demand(orders: DataFrame, items: DataFrame, variants: DataFrame) -> DataFrame:
+def monthly_demand(lines: DataFrame) -> DataFrame:
     """Quantity per product on its own gap-free grid of months."""
-    return fill_months(monthly_sales(orders, items, variants))
+    return fill_months(monthly_sales(lines))
 
 
 def demand_train_test_split(demand: DataFrame, split: Split = Split()) -> DataFrame:

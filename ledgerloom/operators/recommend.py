@@ -16,7 +16,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.sales import join_orders_items, join_variants
 from ledgerloom.session import materialize
 
 TOP_SIMILAR = 5
@@ -25,13 +24,14 @@ TOP_SIMILAR = 5
 # share of the customers. These bound the counters and the rows one cell holds in memory.
 PRODUCTS_PER_BLOCK = 2048
 ROWS_PER_CELL = 2_000_000
-PAIRS_PER_STEP = 4_000_000
+PAIRS_PER_STEP = 500_000
 
 
-def purchase_lines(orders: DataFrame, items: DataFrame, variants: DataFrame) -> DataFrame:
+def purchase_lines(lines: DataFrame) -> DataFrame:
     """Customer and product of every sold line; lines lacking either are left out."""
-    lines = join_variants(join_orders_items(orders, items), variants).select("customer_id", "product_id")
-    return lines.filter(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull())
+    return lines.select("customer_id", "product_id").filter(
+        F.col("customer_id").isNotNull() & F.col("product_id").isNotNull()
+    )
 
 
 def purchase_crosstab(lines: DataFrame) -> DataFrame:
@@ -70,50 +70,56 @@ def _cell_counter(pairs_per_step: int):
         block_a, block_b = table["block_a"][0].as_py(), table["block_b"][0].as_py()
         customers = table["customer_id"].combine_chunks().dictionary_encode()
         who = customers.indices.to_numpy()
-        n_customers = len(customers.dictionary)
 
         def side(block):
             chosen = pc.equal(table["block"], block)
             names = table["product_id"].filter(chosen).combine_chunks().dictionary_encode()
-            return who[chosen.to_numpy()], names.indices.to_numpy().astype(np.int64), names.dictionary
+            return who[chosen.to_numpy()], names.indices.to_numpy(), names.dictionary
 
-        who_a, code_a, names_a = side(block_a)
         who_b, code_b, names_b = side(block_b)
-        width = max(len(names_b), 1)
-        # Right rows sorted by customer; customer c owns code_b[first[c]:first[c + 1]].
-        code_b = code_b[np.argsort(who_b, kind="stable")]
-        first = np.concatenate(([0], np.cumsum(np.bincount(who_b, minlength=n_customers))))
-        fan_out = first[who_a + 1] - first[who_a]
-        ends = np.cumsum(fan_out)
-        counts = np.zeros(len(names_a) * width, dtype=np.int64)
-        # Left rows in runs of about pairs_per_step pairs.
+        by_customer = np.argsort(who_b.astype(np.int64) * max(len(names_b), 1) + code_b)
+        who_b, code_b = who_b[by_customer], code_b[by_customer]
+        # Customer c owns the right rows from first[c] up to first[c + 1].
+        first = np.searchsorted(who_b, np.arange(len(customers.dictionary) + 1))
+        if block_a == block_b:
+            # A block against itself: each row meets the rows after it, so each pair comes once.
+            who_a, code_a, names_a = who_b, code_b, names_b
+            begin = np.arange(1, len(who_a) + 1)
+        else:
+            who_a, code_a, names_a = side(block_a)
+            begin = first[who_a]
+        fan = first[who_a + 1] - begin
+        # Left rows by product, in runs of about pairs_per_step pairs: a run then counts into few
+        # neighbouring lines of the array.
+        code_a = code_a.astype(np.int64)
+        by_product = np.argsort(code_a)
+        code_a, begin, fan = code_a[by_product], begin[by_product], fan[by_product]
+        ends = np.cumsum(fan)
         steps = np.arange(pairs_per_step, ends[-1] if len(ends) else 0, pairs_per_step)
         cuts = np.unique(np.searchsorted(ends, steps) + 1)
+        width = max(len(names_b), 1)
+        counts = np.zeros(len(names_a) * width, dtype=np.int64)
         for start, stop in zip([0, *cuts], [*cuts, len(ends)], strict=True):
-            fan = fan_out[start:stop]
-            within = np.arange(fan.sum()) - np.repeat(np.cumsum(fan) - fan, fan)
-            partner = code_b[np.repeat(first[who_a[start:stop]], fan) + within]
-            pair = np.repeat(code_a[start:stop] * width, fan) + partner
-            if len(pair) * 8 < len(counts):
-                met, times = np.unique(pair, return_counts=True)
-                counts[met] += times
-            else:
-                counts += np.bincount(pair, minlength=len(counts))
+            if start == stop:
+                continue
+            some = fan[start:stop]
+            base = code_a[start] * width
+            # Positions of the partners: a running count per left row, shifted to where they begin.
+            at = np.arange(some.sum()) + np.repeat(begin[start:stop] - np.cumsum(some) + some, some)
+            pair = np.repeat(code_a[start:stop] * width - base, some) + code_b[at]
+            found = np.bincount(pair)
+            counts[base : base + len(found)] += found
         met = np.flatnonzero(counts)
         a = names_a.take(pa.array(met // width))
         b = names_b.take(pa.array(met % width))
         swap = pc.greater(a, b)
-        result = pa.table(
+        return pa.table(
             {
                 "product_a": pc.if_else(swap, b, a),
                 "product_b": pc.if_else(swap, a, b),
                 "n_both": pa.array(counts[met]),
             }
         )
-        if block_a == block_b:
-            # A block against itself meets every pair in both orders, and each product itself.
-            return result.filter(pc.less(a, b))
-        return result
 
     return count
 
@@ -131,7 +137,7 @@ def _stored(basket: DataFrame) -> tuple[DataFrame, dict]:
 def _block_count(rows: int, products: int, products_per_block: int, cores: int) -> int:
     """Blocks that bound the counters of a cell; more of them if a small basket would idle cores."""
     needed = math.ceil(products / products_per_block)
-    busy = min(cores, rows // 20_000)
+    busy = min(cores, rows // 100_000)
     for_parallelism = math.ceil((math.sqrt(8 * busy + 1) - 1) / 2)
     return max(1, min(products, max(needed, for_parallelism)))
 
@@ -287,9 +293,9 @@ def similar_products(
     ranked = (
         others.join(shared, "product_id", "left")
         .select(F.col("product_id").alias("similar_id"), score.alias("score"))
-        .filter(F.col("score").isNotNull())
         .orderBy(F.col("score").desc(), F.col("similar_id").asc())
         .limit(top)
+        .filter(F.col("score").isNotNull())
     )
     return (
         _with_names(ranked, products)

@@ -15,7 +15,6 @@ TOP_CATEGORIES = 5
 
 def orders_overview(orders: DataFrame) -> DataFrame:
     """Row count, creation time range and value range of the untreated orders."""
-    orders.createOrReplaceTempView("orders_for_overview")
     return orders.sparkSession.sql(
         """
         SELECT count(*) AS total_linhas,
@@ -24,8 +23,9 @@ def orders_overview(orders: DataFrame) -> DataFrame:
                min(total) AS valor_minimo,
                max(total) AS valor_maximo,
                CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(total), 0) AS valor_medio
-        FROM orders_for_overview
-        """
+        FROM {orders}
+        """,
+        orders=orders,
     )
 
 
@@ -47,10 +47,29 @@ def join_variants(lines: DataFrame, variants: DataFrame) -> DataFrame:
     return lines.join(keys, "product_variant_id")
 
 
-def sales_base(orders: DataFrame, items: DataFrame, variants: DataFrame, products: DataFrame) -> DataFrame:
-    """Orders, items, variants and products joined: one row per sold line with its category."""
-    categories = products.select(F.col("id").alias("product_id"), "category_id")
-    return join_variants(join_orders_items(orders, items), variants).join(categories, "product_id")
+def sold_lines(orders: DataFrame, items: DataFrame, variants: DataFrame) -> DataFrame:
+    """One row per sold line with its product."""
+    return join_variants(join_orders_items(orders, items), variants)
+
+
+def sales_base(
+    orders: DataFrame, items: DataFrame, variants: DataFrame, products: DataFrame, known_only: bool = True
+) -> DataFrame:
+    """Orders, items, variants and products joined: one row per sold line with its category.
+
+    Variants meet their products first, so the lines are joined once, by variant, and never
+    shuffled by product, where a best seller would gather them. Lines whose product is not listed
+    drop out, or with ``known_only=False`` stay with ``known_product`` false.
+    """
+    categories = products.select(F.col("id").alias("product_id"), "category_id", F.lit(True).alias("known_product"))
+    keys = variants.select(F.col("id").alias("product_variant_id"), "product_id").join(
+        categories, "product_id", "inner" if known_only else "left"
+    )
+    if known_only:
+        keys = keys.drop("known_product")
+    else:
+        keys = keys.na.fill({"known_product": False})
+    return join_orders_items(orders, items).join(keys, "product_variant_id")
 
 
 def customer_revenue_freq(orders: DataFrame) -> DataFrame:
@@ -66,9 +85,14 @@ def customer_revenue_freq(orders: DataFrame) -> DataFrame:
     )
 
 
-def category_diversity(base: DataFrame) -> DataFrame:
+def customer_categories(base: DataFrame) -> DataFrame:
+    """Quantity per customer and category: all that the loyalty questions need of the lines."""
+    return base.groupBy("customer_id", "category_id").agg(F.sum("quantity").alias("quantity"))
+
+
+def category_diversity(categories: DataFrame) -> DataFrame:
     """Distinct categories bought per customer."""
-    return base.groupBy("customer_id").agg(F.count_distinct("category_id").alias("diversidade_categorias"))
+    return categories.groupBy("customer_id").agg(F.count("category_id").alias("diversidade_categorias"))
 
 
 def avg_ticket(revenue: DataFrame) -> DataFrame:
@@ -96,14 +120,14 @@ def loyal_customers(diverse: DataFrame, customers: DataFrame, top: int = TOP_CUS
     )
 
 
-def loyal_top_category(base: DataFrame, loyal: DataFrame, top: int = TOP_CATEGORIES) -> DataFrame:
+def loyal_top_category(categories: DataFrame, loyal: DataFrame, top: int = TOP_CATEGORIES) -> DataFrame:
     """Categories by items bought by the loyal customers, ties by category.
 
     A semi join: ``loyal`` stays part of the plan, and its limit lets the planner broadcast it.
     """
     chosen = loyal.select(F.col("id").alias("customer_id"))
     return (
-        base.join(chosen, "customer_id", "left_semi")
+        categories.join(chosen, "customer_id", "left_semi")
         .groupBy("category_id")
         .agg(F.sum("quantity").alias("total_itens"))
         .orderBy(F.col("total_itens").desc(), F.col("category_id").asc())

@@ -68,48 +68,70 @@ def csv_path(folder: str, table: str) -> str:
 
 
 def ingest_bronze(
-    layers: Layers, folder: str, tables: Iterable[str] = RETAIL_TABLES, schemas: dict | None = None
+    layers: Layers,
+    folder: str,
+    tables: Iterable[str] = RETAIL_TABLES,
+    schemas: dict | None = None,
+    multiline: bool | None = None,
 ) -> dict[str, int]:
-    """Load each CSV as it is, stamped with the load time; rows written per table."""
+    """Load each CSV as it is, stamped with the load time; rows written per table.
+
+    Known schemas and a known ``multiline`` save one pass over the files each.
+    """
     counts = {}
     for table in tables:
-        raw = csvfiles.scan_inferred(layers.spark, csv_path(folder, table), (schemas or {}).get(table))
+        path = csv_path(folder, table)
+        raw = csvfiles.scan_inferred(layers.spark, path, (schemas or {}).get(table), multiline)
         counts[table] = layers.write(catalog.stamp_ingestion(raw), f"bronze_{table}")
     return counts
 
 
-def land_raw_text(layers: Layers, folder: str, tables: Iterable[str] = RETAIL_TABLES) -> dict[str, int]:
+def land_raw_text(
+    layers: Layers, folder: str, tables: Iterable[str] = RETAIL_TABLES, multiline: bool | None = None
+) -> dict[str, int]:
     """Load each CSV as text only, nothing treated; rows written per table.
 
     Rows of the wrong length fail the write, which reads every column.
     """
     counts = {}
     for table in tables:
-        raw = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table))
+        raw = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table), multiline)
         counts[table] = layers.write(raw, f"raw_{table}")
     return counts
 
 
 def build_silver(layers: Layers) -> dict[str, int]:
-    return {
-        "silver_orders": layers.write(silver.silver_orders(layers.read("bronze_orders")), "silver_orders"),
-        "silver_order_items": layers.write(
-            silver.silver_order_items(layers.read("bronze_order_items")), "silver_order_items"
-        ),
-        "silver_returns": layers.write(silver.silver_returns(layers.read("bronze_returns")), "silver_returns"),
+    """Cleaned orders, items and returns, and the sold lines joined from them.
+
+    Loyalty, demand and recommendations all start from the same join of orders, items, variants
+    and products. It is the largest shuffle of the pipeline and is made here once.
+    """
+    cleaned = {
+        "silver_orders": silver.silver_orders(layers.read("bronze_orders")),
+        "silver_order_items": silver.silver_order_items(layers.read("bronze_order_items")),
+        "silver_returns": silver.silver_returns(layers.read("bronze_returns")),
     }
+    counts = {table: layers.write(df, table) for table, df in cleaned.items()}
+    lines = sales.sales_base(
+        layers.read("silver_orders"),
+        layers.read("silver_order_items"),
+        layers.read("bronze_product_variants"),
+        layers.read("bronze_products"),
+        known_only=False,
+    )
+    counts["silver_sales"] = layers.write(lines, "silver_sales")
+    return counts
+
+
+def _customer_categories(layers: Layers) -> DataFrame:
+    return sales.customer_categories(layers.read("silver_sales").filter("known_product"))
 
 
 def build_gold(layers: Layers) -> dict[str, int]:
     """Loyal customers and weekday sales. The names are those the reports expect."""
     orders = layers.read("silver_orders")
-    base = sales.sales_base(
-        orders,
-        layers.read("silver_order_items"),
-        layers.read("bronze_product_variants"),
-        layers.read("bronze_products"),
-    )
-    diverse = sales.diverse_customers(sales.customer_revenue_freq(orders), sales.category_diversity(base))
+    diversity = sales.category_diversity(_customer_categories(layers))
+    diverse = sales.diverse_customers(sales.customer_revenue_freq(orders), diversity)
     loyal = sales.loyal_customers(diverse, layers.read("bronze_customers"))
     weekdays = calendar.weekday_avg_sales(calendar.daily_sales_filled(calendar.channel_daily_sales(orders)))
     return {
@@ -120,36 +142,21 @@ def build_gold(layers: Layers) -> dict[str, int]:
 
 def top_category(layers: Layers) -> DataFrame:
     """Categories most bought by the customers of the written loyalty table."""
-    base = sales.sales_base(
-        layers.read("silver_orders"),
-        layers.read("silver_order_items"),
-        layers.read("bronze_product_variants"),
-        layers.read("bronze_products"),
-    )
-    return sales.loyal_top_category(base, layers.read("gold_q4_clientes_fies"))
-
-
-def _sold(layers: Layers) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return (
-        layers.read("silver_orders"),
-        layers.read("silver_order_items"),
-        layers.read("bronze_product_variants"),
-    )
+    return sales.loyal_top_category(_customer_categories(layers), layers.read("gold_q4_clientes_fies"))
 
 
 def demand_forecast(layers: Layers, product_text: str, split: forecast.Split = forecast.Split()) -> DataFrame:
     """Baseline against seasonal forecast for the product a text finds."""
     product = forecast.find_product(layers.read("bronze_products"), product_text)
-    orders, items, variants = _sold(layers)
     wanted = product.select(F.col("id").alias("product_id"))
-    chosen = variants.join(wanted, "product_id", "left_semi")
-    return forecast.forecast_comparison(forecast.monthly_demand(orders, items, chosen), split)
+    lines = layers.read("silver_sales").join(wanted, "product_id", "left_semi")
+    return forecast.forecast_comparison(forecast.monthly_demand(lines), split)
 
 
 def recommendations(layers: Layers, product_text: str, exclude=None) -> DataFrame:
     """Products most similar to the one a text finds."""
     products = layers.read("bronze_products")
-    basket = recommend.purchase_basket(recommend.purchase_lines(*_sold(layers)))
+    basket = recommend.purchase_basket(recommend.purchase_lines(layers.read("silver_sales")))
     target = forecast.find_product(products, product_text)
     return recommend.similar_products(basket, products, target, exclude=exclude)
 

@@ -11,7 +11,7 @@ from ledgerloom import bindings
 from ledgerloom.bindings import Retail
 from ledgerloom.operators import calendar, forecast, profile, recommend, sales, silver
 from ledgerloom.plans import medallion
-from ledgerloom.session import new_path
+from ledgerloom.session import materialize, new_path
 from ledgerloom.sources import catalog, csvfiles
 
 QUERIES = {}
@@ -179,12 +179,20 @@ def _revenue(retail: Retail) -> DataFrame:
     return sales.customer_revenue_freq(retail.valid_orders)
 
 
-def _diverse(retail: Retail) -> DataFrame:
-    return sales.diverse_customers(_revenue(retail), sales.category_diversity(_base(retail)))
+def _categories(retail: Retail) -> DataFrame:
+    return sales.customer_categories(_base(retail))
 
 
-def _loyal(retail: Retail) -> DataFrame:
-    return sales.loyal_customers(_diverse(retail), retail.customers)
+def _diverse(retail: Retail, categories: DataFrame) -> DataFrame:
+    return sales.diverse_customers(_revenue(retail), sales.category_diversity(categories))
+
+
+def _loyal(retail: Retail, categories: DataFrame) -> DataFrame:
+    return sales.loyal_customers(_diverse(retail, categories), retail.customers)
+
+
+def _sold(retail: Retail) -> DataFrame:
+    return sales.sold_lines(retail.valid_orders, retail.valid_items, retail.variants)
 
 
 @query
@@ -199,9 +207,7 @@ def join_orders_items(retail: Retail) -> DataFrame:
 
 @query
 def join_variants(retail: Retail) -> DataFrame:
-    return sales.join_variants(
-        sales.join_orders_items(retail.valid_orders, retail.valid_items), retail.variants
-    )
+    return _sold(retail)
 
 
 @query
@@ -216,7 +222,7 @@ def customer_revenue_freq(retail: Retail) -> DataFrame:
 
 @query
 def category_diversity(retail: Retail) -> DataFrame:
-    return sales.category_diversity(_base(retail))
+    return sales.category_diversity(_categories(retail))
 
 
 @query
@@ -226,17 +232,19 @@ def avg_ticket(retail: Retail) -> DataFrame:
 
 @query
 def diverse_customers(retail: Retail) -> DataFrame:
-    return _diverse(retail)
+    return _diverse(retail, _categories(retail))
 
 
 @query
 def loyal_customers(retail: Retail) -> DataFrame:
-    return _loyal(retail)
+    return _loyal(retail, _categories(retail))
 
 
 @query
 def loyal_top_category(retail: Retail) -> DataFrame:
-    return sales.loyal_top_category(_base(retail), _loyal(retail))
+    # Asked twice of the same lines, so they are joined and condensed once.
+    categories, _ = materialize(_categories(retail), "categories")
+    return sales.loyal_top_category(categories, _loyal(retail, categories))
 
 
 @query
@@ -370,7 +378,7 @@ def _target(retail: Retail) -> DataFrame:
 
 
 def _demand(retail: Retail) -> DataFrame:
-    return forecast.monthly_demand(retail.valid_orders, retail.valid_items, retail.variants)
+    return forecast.monthly_demand(_sold(retail))
 
 
 def _baseline(retail: Retail) -> DataFrame:
@@ -434,7 +442,7 @@ def forecast_comparison(retail: Retail) -> DataFrame:
 
 
 def _lines(retail: Retail) -> DataFrame:
-    return recommend.purchase_lines(retail.valid_orders, retail.valid_items, retail.variants)
+    return recommend.purchase_lines(_sold(retail))
 
 
 def _basket(retail: Retail) -> DataFrame:

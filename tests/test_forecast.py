@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import forecast as fc
+from ledgerloom.operators.sales import sold_lines
 
 SPLIT = fc.Split(dt.date(2025, 12, 31), dt.date(2026, 1, 1), dt.date(2026, 3, 31))
 
@@ -127,7 +128,7 @@ def test_demand_ignores_missing_dates_and_quantities(spark):
         "order_id bigint, product_variant_id bigint, quantity double",
     )
     variants = spark.createDataFrame([(1, 7)], "id bigint, product_id bigint")
-    got = fc.monthly_demand(orders, items, variants).orderBy("month").collect()
+    got = fc.monthly_demand(sold_lines(orders, items, variants)).orderBy("month").collect()
     assert [(r.product_id, str(r.month), r.quantity) for r in got] == [
         (7, "2024-01-01", 5.0), (7, "2024-02-01", 0.0), (7, "2024-03-01", 0.0),
     ]

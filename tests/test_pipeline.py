@@ -36,7 +36,9 @@ def layers(spark, tmp_path_factory):
     object.__setattr__(made, "folder", str(folder))
     counts = medallion.ingest_bronze(made, str(folder))
     assert len(counts) == 22 and counts["orders"] == 120 and counts["order_items"] == 360
-    assert medallion.build_silver(made) == {"silver_orders": 72, "silver_order_items": 360, "silver_returns": 1}
+    assert medallion.build_silver(made) == {
+        "silver_orders": 72, "silver_order_items": 360, "silver_returns": 1, "silver_sales": 216,
+    }
     medallion.build_gold(made)
     return made
 

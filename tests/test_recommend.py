@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import recommend as rec
+from ledgerloom.operators.sales import sold_lines
 
 
 def frame(spark, pairs, kind="bigint"):
@@ -149,7 +150,7 @@ def test_lines_without_a_key_are_left_out(spark):
         [(1, 1), (1, 1), (1, 2), (2, 1), (None, 1)], "order_id bigint, product_variant_id bigint"
     ).withColumn("quantity", F.lit(1.0))
     variants = spark.createDataFrame([(1, 7), (2, None)], "id bigint, product_id bigint")
-    lines = rec.purchase_lines(orders, items, variants)
+    lines = rec.purchase_lines(sold_lines(orders, items, variants))
     assert [tuple(r) for r in rec.purchase_crosstab(lines).collect()] == [(5, 7, 2)]
     assert [tuple(r) for r in rec.purchase_matrix(lines).collect()] == [(5, 7, 1)]
     assert [tuple(r) for r in rec.product_buyer_counts(rec.purchase_basket(lines)).collect()] == [(7, 1)]

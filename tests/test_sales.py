@@ -56,7 +56,11 @@ def test_no_fan_out_and_orphans_drop(spark):
     assert revenue == {10: (150.0, 2), 11: (150.0, 1), 12: (1000.0, 1)}
     base = sales.sales_base(o, items, variants, products)
     assert base.count() == 5
-    assert {r.customer_id: r.diversidade_categorias for r in sales.category_diversity(base).collect()} == {10: 3, 11: 1}
+    everything = sales.sales_base(o, items, variants, products.filter("id <> 2"), known_only=False)
+    assert sorted((r.product_id, r.known_product) for r in everything.collect()) == [
+        (1, True), (1, True), (1, True), (2, False), (3, True),
+    ]
+    assert {r.customer_id: r.diversidade_categorias for r in sales.category_diversity(sales.customer_categories(base)).collect()} == {10: 3, 11: 1}
 
 
 def test_loyal_ties_by_id(spark):
@@ -64,14 +68,14 @@ def test_loyal_ties_by_id(spark):
     o = o.withColumn("total", F.lit(10.0))
     base = sales.sales_base(o, items, variants, products)
     customers = spark.createDataFrame([(11, "B"), (10, "A")], "id bigint, legal_name string")
-    diverse = sales.diverse_customers(sales.customer_revenue_freq(o), sales.category_diversity(base), 1)
+    diverse = sales.diverse_customers(sales.customer_revenue_freq(o), sales.category_diversity(sales.customer_categories(base)), 1)
     loyal = sales.loyal_customers(diverse, customers)
     assert [r.id for r in loyal.collect()] == [10, 11]
     assert [r.id for r in sales.loyal_customers(diverse, customers, 1).collect()] == [10]
-    top = sales.loyal_top_category(base, loyal)
+    top = sales.loyal_top_category(sales.customer_categories(base), loyal)
     assert [(r.category_id, r.total_itens) for r in top.collect()] == [("x", 6.0), ("z", 5.0), ("y", 1.0)]
     assert [r.id for r in sales.loyal_customers(sales.diverse_customers(
-        sales.customer_revenue_freq(o), sales.category_diversity(base), 2), customers).collect()] == [10]
+        sales.customer_revenue_freq(o), sales.category_diversity(sales.customer_categories(base)), 2), customers).collect()] == [10]
 
 
 def test_cents_add_up_in_any_order(spark):
