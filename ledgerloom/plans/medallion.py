@@ -72,22 +72,22 @@ def ingest_bronze(
     folder: str,
     tables: Iterable[str] = RETAIL_TABLES,
     schemas: dict | None = None,
-    multiline: bool | None = None,
+    layout: str | None = None,
 ) -> dict[str, int]:
     """Load each CSV as it is, stamped with the load time; rows written per table.
 
-    Known schemas and a known ``multiline`` save one pass over the files each.
+    Known schemas and a known record ``layout`` save one pass over the files each.
     """
     counts = {}
     for table in tables:
         path = csv_path(folder, table)
-        raw = csvfiles.scan_inferred(layers.spark, path, (schemas or {}).get(table), multiline)
+        raw = csvfiles.scan_inferred(layers.spark, path, (schemas or {}).get(table), layout)
         counts[table] = layers.write(catalog.stamp_ingestion(raw), f"bronze_{table}")
     return counts
 
 
 def land_raw_text(
-    layers: Layers, folder: str, tables: Iterable[str] = RETAIL_TABLES, multiline: bool | None = None
+    layers: Layers, folder: str, tables: Iterable[str] = RETAIL_TABLES, layout: str | None = None
 ) -> dict[str, int]:
     """Load each CSV as text only, nothing treated; rows written per table.
 
@@ -95,7 +95,7 @@ def land_raw_text(
     """
     counts = {}
     for table in tables:
-        raw = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table), multiline)
+        raw = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table), layout)
         counts[table] = layers.write(raw, f"raw_{table}")
     return counts
 

@@ -9,53 +9,95 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import table_name_of_file
+from ledgerloom.session import new_path
+from ledgerloom.sources.csvrecords import quote_count, split_records
 
 _QUOTING = {"quote": '"', "escape": '"'}
 
+# How the records of a file are told apart.
+BY_LINE = "line"  # every line is a record; files split freely
+WHOLE_FILE = "file"  # quoted fields may contain line ends; one task per file
+SPLIT_FILE = "split"  # the same for files too large for one task
 
-def has_spanning_records(spark: SparkSession, path: str) -> bool:
-    """Whether any record may run over several lines.
+
+def record_layout(spark: SparkSession, path: str) -> str:
+    """How to read the records of a file or folder, judged on all of its lines.
 
     A record can only cross a line end inside quotes, and then its first line holds an odd number
-    of quote characters. One splittable text scan therefore proves a file safe to split by lines.
+    of quote characters. One splittable text scan therefore proves a file safe to read by lines.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    size = F.col("_metadata.file_size")
+    odd = quote_count(F.col("value")) % 2 == 1
+    found = spark.read.text(path).agg(F.bool_or(odd).alias("spans"), F.max(size).alias("largest")).first()
+    if not found["spans"]:
+        return BY_LINE
+    per_task = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return SPLIT_FILE if found["largest"] > _bytes(per_task) else WHOLE_FILE
+
+
+def _bytes(setting: str) -> int:
+    """A size setting such as ``134217728b`` or ``128MB`` in bytes."""
+    text = setting.strip().lower().rstrip("b")
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    return int(text[:-1]) << units[text[-1]] if text[-1:] in units else int(text)
+
 
+def _header(spark: SparkSession, path: str) -> list[str]:
+    return spark.read.options(header=True, **_QUOTING).csv(path).columns
 
-def _csv_reader(spark: SparkSession, path: str, multiline: bool | None):
-    if multiline is None:
-        multiline = has_spanning_records(spark, path)
-    return spark.read.options(header=True, multiLine=multiline, **_QUOTING)
+
+def _parsed(records: DataFrame, schema: T.StructType, **options: str) -> DataFrame:
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+    row = F.from_csv("value", ddl, {"multiLine": "true", **_QUOTING, **options})
+    return records.select(row.alias("row")).select("row.*")
 
 
 def scan_inferred(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
-    multiline: bool | None = None,
+    layout: str | None = None,
 ) -> DataFrame:
     """CSV with a header. Types are inferred unless ``schema`` is given, which saves that pass.
 
-    ``multiline=None`` decides from the data: files without quoted line ends stay splittable, so
-    one large file still spreads over many tasks.
+    ``layout`` says how to tell records apart; by default the data decides, in a pass of its own.
     """
-    reader = _csv_reader(spark, path, multiline)
+    layout = layout or record_layout(spark, path)
+    if layout == SPLIT_FILE:
+        return _scan_split(spark, path, schema)
+    reader = spark.read.options(header=True, multiLine=layout == WHOLE_FILE, **_QUOTING)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)
 
 
-def scan_raw_text(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+def _scan_split(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
+    records = split_records(spark, path)
+    if schema is None:
+        # Types are inferred from a copy with one record per line. A line end inside a field makes
+        # the field text, and so does the letter put in its place.
+        copy = new_path(spark, "records")
+        records.select(F.regexp_replace("value", r"[\r\n]", "x").alias("value")).write.text(copy)
+        inferred = spark.read.options(inferSchema=True, **_QUOTING).csv(copy).schema
+        names = _header(spark, path)
+        schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, inferred, strict=False)])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return _parsed(records, schema)
+
+
+def scan_raw_text(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     """CSV with a header, every column as text, nothing treated.
 
     Missing fields are the empty string, never NULL. A row with too few or too many fields fails
     the read; only reading all columns checks that, so validate on written data, not ``count()``.
     """
-    header = spark.read.options(header=True, **_QUOTING).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    reader = _csv_reader(spark, path, multiline).options(mode="FAILFAST", enforceSchema=False)
-    return reader.schema(schema).csv(path).na.fill("")
+    layout = layout or record_layout(spark, path)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in _header(spark, path)])
+    if layout == SPLIT_FILE:
+        return _parsed(split_records(spark, path), schema, mode="FAILFAST").na.fill("")
+    reader = spark.read.options(header=True, multiLine=layout == WHOLE_FILE, **_QUOTING)
+    return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path).na.fill("")
 
 
 def discover_csv_tables(spark: SparkSession, folder: str) -> DataFrame:

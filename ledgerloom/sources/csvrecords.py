@@ -1,0 +1,124 @@
+"""CSV records of large files whose quoted fields contain line ends.
+
+Spark's multi-line reader hands each such file to one task. Here the file stays split: each task
+joins the lines of its own block into records, and only the records cut by a block boundary are
+put together across tasks.
+
+A line end belongs to a field if the number of quote characters before it is odd. So all a block
+needs to know of the ones before it is whether it starts inside quotes.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+QUOTE = '"'
+_OUT = pa.schema([("path", pa.string()), ("block", pa.int64()), ("part", pa.string()), ("value", pa.string())])
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with the file and the byte at which their block starts; a line's ``\\r`` stays."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+
+
+def quote_count(value: Column) -> Column:
+    return F.length(value) - F.length(F.replace(value, F.lit(QUOTE), F.lit("")))
+
+
+def blocks_starting_inside(lines: DataFrame) -> set[tuple[str, int]]:
+    """The blocks that start within quotes.
+
+    One row per block is summed up over each file; what reaches the driver is a part of the list
+    of splits it has planned anyway.
+    """
+    per_block = lines.groupBy("path", "block").agg(F.sum(quote_count(F.col("value"))).alias("quotes"))
+    before = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    inside = per_block.withColumn("before", F.sum("quotes").over(before)).filter(F.col("before") % 2 == 1)
+    return {(row["path"], row["block"]) for row in inside.select("path", "block").collect()}
+
+
+def _assembler(inside: set[tuple[str, int]]):
+    """Joins lines into records, block by block; a closure, so that it travels by value.
+
+    Rows without a ``part`` are whole records. A record cut by the end of its block comes as a
+    ``tail``; what the following blocks hold of it comes as ``head``. Headers are left out.
+    """
+
+    def rows(values: pa.Array, path=None, block=None, part=None) -> pa.RecordBatch:
+        n = len(values)
+        columns = [pa.array([x] * n, kind) for x, kind in zip((path, block, part), _OUT.types[:3], strict=True)]
+        return pa.RecordBatch.from_arrays([*columns, values.cast(pa.string())], schema=_OUT)
+
+    def assemble(batches):
+        place, pending, in_head, at_header, state = None, [], False, False, 0
+
+        def rest():
+            """The record still open at the end of a block."""
+            text = pa.array(["\n".join(pending)])
+            return rows(text, *place, "head" if in_head else "tail")
+
+        for batch in batches:
+            paths, blocks = batch.column("path"), batch.column("block")
+            changed = pc.or_(pc.not_equal(paths[1:], paths[:-1]), pc.not_equal(blocks[1:], blocks[:-1]))
+            cuts = np.flatnonzero(changed.to_numpy(zero_copy_only=False)) + 1
+            for start, stop in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if start == stop:
+                    continue
+                here = (paths[int(start)].as_py(), blocks[int(start)].as_py())
+                if here != place:
+                    if pending:
+                        yield rest()
+                    place, pending, in_head, at_header = here, [], here in inside, here[1] == 0
+                    state = int(in_head)
+                lines = batch.column("value").slice(int(start), int(stop - start))
+                after = (state + np.cumsum(pc.count_substring(lines, QUOTE).to_numpy())) % 2
+                state = int(after[-1])
+                closed = np.flatnonzero(after == 0) + 1
+                if len(closed) == 0:
+                    pending.extend(lines.to_pylist())
+                    continue
+                offsets = pa.array(np.concatenate(([0], closed)), pa.int32())
+                grouped = pa.ListArray.from_arrays(offsets, lines.slice(0, int(closed[-1])))
+                records = pc.binary_join(grouped, "\n")
+                if pending:
+                    first = "\n".join([*pending, records[0].as_py()])
+                    records = pa.concat_arrays([pa.array([first], records.type), records.slice(1)])
+                pending = lines.slice(int(closed[-1])).to_pylist()
+                if in_head:
+                    yield rows(records.slice(0, 1), *place, "head")
+                    records, in_head = records.slice(1), False
+                elif at_header:
+                    records = records.slice(1)
+                at_header = False
+                if len(records):
+                    yield rows(records)
+        if pending:
+            yield rest()
+
+    return assemble
+
+
+def split_records(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``value`` per CSV record of a file or folder, headers and empty lines left out."""
+    lines = read_lines(spark, path)
+    assemble = _assembler(blocks_starting_inside(lines))
+    parts = lines.mapInArrow(assemble, "path string, block bigint, part string, value string")
+    whole = parts.filter(F.col("part").isNull()).select("value")
+    # A cut record is its tail and the heads after it, up to the next tail. There are at most two
+    # cut records per block, so these groups are as small as the list of blocks.
+    cut = parts.filter(F.col("part").isNotNull())
+    so_far = W.partitionBy("path").orderBy("block", "part").rowsBetween(W.unboundedPreceding, 0)
+    numbered = cut.withColumn("number", F.sum((F.col("part") == "tail").cast("int")).over(so_far))
+    ordered = F.sort_array(F.collect_list(F.struct("block", "part", "value")))
+    joined = numbered.groupBy("path", "number").agg(
+        F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("value")
+    )
+    trimmed = F.regexp_replace("value", r"\r\z", "")
+    return whole.unionByName(joined.select("value")).select(trimmed.alias("value")).filter(F.col("value") != "")

@@ -1,12 +1,13 @@
 import csv
 import glob
 import os
+import random
 
 import pytest
 
 from ledgerloom.plans import medallion
 from ledgerloom.session import new_path
-from ledgerloom.sources import catalog, csvfiles
+from ledgerloom.sources import catalog, csvfiles, csvrecords
 
 QUOTED = 'id,note\n1,"line1\nline2"\n2,"a ""q"" b"\n3,plain\n'
 
@@ -18,17 +19,71 @@ def read_rows(path):
 
 def test_quoted_line_ends_and_quotes(spark, csv_dir):
     path = csv_dir(notes=QUOTED) + "/notes.csv"
-    assert csvfiles.has_spanning_records(spark, path)
+    assert csvfiles.record_layout(spark, path) == csvfiles.WHOLE_FILE
     assert sorted(map(tuple, csvfiles.scan_raw_text(spark, path).collect())) == sorted(read_rows(path))
     assert csvfiles.scan_inferred(spark, path).count() == 3
 
 
 def test_files_without_spanning_records_stay_splittable(spark, csv_dir):
     path = csv_dir(notes='id,note\n1,"a ""q"" b"\n2,"x, y"\n') + "/notes.csv"
-    assert not csvfiles.has_spanning_records(spark, path)
+    assert csvfiles.record_layout(spark, path) == csvfiles.BY_LINE
     assert sorted(map(tuple, csvfiles.scan_raw_text(spark, path).collect())) == sorted(read_rows(path))
 
 
+@pytest.fixture()
+def small_blocks(spark):
+    """Blocks of a few lines, so that many records are cut."""
+    key, open_cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key), spark.conf.get(open_cost)
+    spark.conf.set(open_cost, "1")
+
+    def use(size):
+        spark.conf.set(key, str(size))
+
+    yield use
+    spark.conf.set(key, before[0])
+    spark.conf.set(open_cost, before[1])
+
+
+def messy_csv(seed, n, end):
+    """Records with quotes, commas and line ends inside fields, some longer than several blocks."""
+    rnd = random.Random(seed)
+    lines = ["id,note,amount"]
+    for i in range(n):
+        text = "".join(rnd.choice(["a", "bc", '""', ",", "\n", " "]) for _ in range(rnd.randrange(12)))
+        if i % 37 == 5:
+            text += "long\n" * 60
+        note = rnd.choice(["plain", "", f'"{text}"'])
+        lines.append(f"{i},{note},{i / 4}")
+    return end.join(lines) + rnd.choice(["", end])
+
+
+@pytest.mark.parametrize("size", [64, 200, 1000])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_split_files_give_the_same_records(spark, csv_dir, small_blocks, size, end):
+    folder = csv_dir(a=messy_csv(size, 150, end), b=messy_csv(size + 1, 80, end), c="id,note,amount" + end)
+    small_blocks(size)
+    assert csvfiles.record_layout(spark, folder) == csvfiles.SPLIT_FILE
+    want = sorted(row for name in "abc" for row in read_rows(f"{folder}/{name}.csv"))
+    assert csvrecords.read_lines(spark, folder).rdd.getNumPartitions() > 5
+    assert sorted(map(tuple, csvfiles.scan_raw_text(spark, folder).collect())) == want
+    inferred = csvfiles.scan_inferred(spark, folder)
+    assert dict(inferred.dtypes) == {"id": "int", "note": "string", "amount": "double"}
+    assert sorted((str(r.id), r.note or "", r.amount) for r in inferred.collect()) == [
+        (i, note, float(amount)) for i, note, amount in want
+    ]
+    given = csvfiles.scan_inferred(spark, folder, "id string, note string, amount string")
+    assert sorted((r.id, r.note or "", r.amount) for r in given.collect()) == want
+
+
+def test_split_files_reject_ragged_rows(spark, csv_dir, small_blocks):
+    folder = csv_dir(a=messy_csv(1, 50, "\n") + "\n9,9\n")
+    small_blocks(100)
+    layers = medallion.Layers(spark, root=new_path(spark, "ragged"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        medallion.land_raw_text(layers, folder, ["a"])
+
+
 def test_raw_text_keeps_empties_as_text(spark, csv_dir):
     path = csv_dir(t='a,b\n,1\n"",2\nx,\n') + "/t.csv"
     assert sorted(map(tuple, csvfiles.scan_raw_text(spark, path).collect())) == sorted(read_rows(path))
