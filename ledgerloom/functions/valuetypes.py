@@ -13,9 +13,11 @@ INTEGER, FLOAT, TIMESTAMP, BOOLEAN, FITS_BIGINT = 1, 2, 4, 8, 16
 
 # What counts as a number or a moment in text. The plain patterns cover nearly all
 # values cheaply. In the general ones (?U) makes \d and \s Unicode-aware, and digits may be grouped
-# by single underscores.
+# by single underscores; they are slow, so words are told apart first: a number has no letters but
+# one e, or inf, infinity or nan.
 PLAIN_INTEGER = r"^[+-]?[0-9]{1,18}\z"
 PLAIN_FLOAT = r"^[+-]?[0-9]+\.[0-9]+\z"
+MAYBE_NUMBER = r"(?i)^[^a-z]*+(?:e[^a-z]*+|(?:inf|infinity|nan)[^a-z]*+)?\z"
 _BLANK = r"\s*"
 _DIGITS = r"\d(?:_?\d)*"
 GENERAL_INTEGER = rf"(?U)^{_BLANK}[+-]?{_DIGITS}{_BLANK}\z"
@@ -56,9 +58,11 @@ def value_classes(column: str) -> Column:
              WHEN {v} RLIKE r'{PLAIN_INTEGER}' THEN {INTEGER | FLOAT | FITS_BIGINT}
              WHEN {v} RLIKE r'{PLAIN_FLOAT}' THEN {FLOAT}
              WHEN {v} RLIKE r'{MOMENT}' THEN
-               CASE WHEN try_cast(regexp_replace({v}, r'{_DAY}', '$1$2') AS DATE) IS NULL
+               CASE WHEN coalesce(try_cast({v} AS DATE),
+                                  try_cast(regexp_replace({v}, r'{_DAY}', '$1$2') AS DATE)) IS NULL
                     THEN 0 ELSE {TIMESTAMP} END
              WHEN lower({v}) IN ('true', 'false') THEN {BOOLEAN}
+             WHEN NOT {v} RLIKE r'{MAYBE_NUMBER}' THEN 0
              WHEN {v} RLIKE r'{GENERAL_INTEGER}' THEN
                CASE WHEN try_cast(regexp_replace({v}, r'{_GROUPING}', '') AS BIGINT) IS NULL
                     THEN {INTEGER | FLOAT} ELSE {INTEGER | FLOAT | FITS_BIGINT} END

@@ -86,15 +86,19 @@ def ingest_bronze(
     return counts
 
 
+def _found(layers: Layers, folder: str, tables: Iterable[str] | None) -> list[str]:
+    return list(tables) if tables is not None else csvfiles.csv_table_names(layers.spark, folder)
+
+
 def land_raw_text(
-    layers: Layers, folder: str, tables: Iterable[str] = RETAIL_TABLES, layout: str | None = None
+    layers: Layers, folder: str, tables: Iterable[str] | None = None, layout: str | None = None
 ) -> dict[str, int]:
-    """Load each CSV as text only, nothing treated; rows written per table.
+    """Load each CSV of the folder as text only, nothing treated; rows written per table.
 
     Rows of the wrong length fail the write, which reads every column.
     """
     counts = {}
-    for table in tables:
+    for table in _found(layers, folder, tables):
         raw = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table), layout)
         counts[table] = layers.write(raw, f"raw_{table}")
     return counts
@@ -145,12 +149,21 @@ def top_category(layers: Layers) -> DataFrame:
     return sales.loyal_top_category(_customer_categories(layers), layers.read("gold_q4_clientes_fies"))
 
 
-def demand_forecast(layers: Layers, product_text: str, split: forecast.Split = forecast.Split()) -> DataFrame:
-    """Baseline against seasonal forecast for the product a text finds."""
+def _demand_of(layers: Layers, product_text: str) -> DataFrame:
     product = forecast.find_product(layers.read("bronze_products"), product_text)
     wanted = product.select(F.col("id").alias("product_id"))
-    lines = layers.read("silver_sales").join(wanted, "product_id", "left_semi")
-    return forecast.forecast_comparison(forecast.monthly_demand(lines), split)
+    return forecast.monthly_demand(layers.read("silver_sales").join(wanted, "product_id", "left_semi"))
+
+
+def baseline_forecast(layers: Layers, product_text: str, split: forecast.Split = forecast.Split()) -> DataFrame:
+    """Moving-average forecast per test month, to two decimals, for the product a text finds."""
+    months = forecast.moving_avg_forecast(_demand_of(layers, product_text), split)
+    return months.withColumn("forecast", F.bround("forecast", 2)).orderBy("month")
+
+
+def demand_forecast(layers: Layers, product_text: str, split: forecast.Split = forecast.Split()) -> DataFrame:
+    """Baseline against seasonal forecast for the product a text finds."""
+    return forecast.forecast_comparison(_demand_of(layers, product_text), split)
 
 
 def recommendations(layers: Layers, product_text: str, exclude=None) -> DataFrame:
@@ -165,10 +178,23 @@ def bronze_tables(layers: Layers, tables: Iterable[str] = RETAIL_TABLES) -> dict
     return {f"bronze_{table}": layers.read(f"bronze_{table}") for table in tables}
 
 
+def overview(layers: Layers) -> DataFrame:
+    """Count, time range and value range of the untreated orders."""
+    return sales.orders_overview(layers.read("bronze_orders"))
+
+
+def channels(layers: Layers) -> DataFrame:
+    return sales.distinct_channels(layers.read("bronze_orders"))
+
+
 def volumetrics(layers: Layers, tables: Iterable[str] = RETAIL_TABLES) -> DataFrame:
     return profile.table_volumetrics(bronze_tables(layers, tables))
 
 
+def schemas(layers: Layers, tables: Iterable[str] = RETAIL_TABLES) -> DataFrame:
+    return profile.schema_catalog(bronze_tables(layers, tables))
+
+
 def key_nulls(layers: Layers) -> DataFrame:
     return profile.null_profile(bronze_tables(layers, KEY_TABLES))
 
@@ -178,7 +204,20 @@ def validate_load(layers: Layers, tables: Iterable[str] = VALIDATED_TABLES) -> D
     return profile.load_validation({table: layers.read(f"raw_{table}") for table in tables})
 
 
-def relational_schema(layers: Layers, folder: str, tables: Iterable[str] = RETAIL_TABLES) -> DataFrame:
-    """CREATE TABLE statements inferred from the CSV files' text."""
-    texts = {t: csvfiles.scan_raw_text(layers.spark, csv_path(folder, t)) for t in tables}
-    return profile.generate_ddl(profile.infer_column_types(texts))
+def column_types(
+    layers: Layers, folder: str, tables: Iterable[str] | None = None, sample_rows: int | None = None
+) -> DataFrame:
+    """Relational types inferred from the CSV files' text, by all rows or the first of each file."""
+    texts = {}
+    for table in _found(layers, folder, tables):
+        text = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table))
+        texts[table] = text if sample_rows is None else text.limit(sample_rows)
+    return profile.infer_column_types(texts)
+
+
+def relational_schema(layers: Layers, folder: str, script: str | None = None, **options) -> DataFrame:
+    """CREATE TABLE statements by table, and with ``script`` written there as one text."""
+    ddl = profile.generate_ddl(column_types(layers, folder, **options))
+    if script is not None:
+        catalog.write_ddl_script(ddl, script)
+    return ddl

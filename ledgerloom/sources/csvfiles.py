@@ -100,21 +100,27 @@ def scan_raw_text(spark: SparkSession, path: str, layout: str | None = None) ->
     return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path).na.fill("")
 
 
+def _named(files: DataFrame) -> DataFrame:
+    """Add the name of the ``<table>.csv`` a path belongs to: a file, or a folder of part files."""
+    name = F.regexp_extract("path", r"([^/]+\.csv)(?:/[^/]*)?$", 1)
+    return files.withColumn("file_name", name).withColumn("table_name", table_name_of_file(F.col("file_name")))
+
+
+def csv_table_names(spark: SparkSession, folder: str) -> list[str]:
+    """Tables with a ``<table>.csv`` in a folder, by name. Lists the files, reads none."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True).load(folder)
+    names = _named(files.select("path")).select("table_name").distinct().orderBy("table_name")
+    return [row["table_name"] for row in names.collect()]
+
+
 def discover_csv_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``<table>.csv`` of a folder, by name, with its number of lines after the headers.
 
-    A table may be one file or a folder of part files; each part has its own header line.
+    Each part of a table has its own header line.
     """
     lines = spark.read.options(pathGlobFilter="*.csv", recursiveFileLookup=True).text(folder)
-    path = F.col("_metadata.file_path")
-    parts = lines.groupBy(path.alias("path")).agg((F.count(F.lit(1)) - 1).alias("n_lines"))
-    name = F.regexp_extract("path", r"([^/]+\.csv)(?:/[^/]*)?$", 1)
-    return (
-        parts.groupBy(name.alias("file_name"))
-        .agg(F.sum("n_lines").alias("n_lines"))
-        .select("file_name", table_name_of_file(F.col("file_name")).alias("table_name"), "n_lines")
-        .orderBy("file_name")
-    )
+    parts = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg((F.count(F.lit(1)) - 1).alias("n_lines"))
+    return _named(parts).groupBy("file_name", "table_name").agg(F.sum("n_lines").alias("n_lines")).orderBy("file_name")
 
 
 def sample_first_n(df: DataFrame, n: int, order_by: Iterable[str]) -> DataFrame:

@@ -70,12 +70,18 @@ def test_reports(layers):
     assert nulls["bronze_customers", "trade_name"] == 2 and nulls["bronze_orders", "status"] == 24
     similar = medallion.recommendations(layers, "motor 5").collect()
     assert len(similar) == 5 and similar[0].score >= similar[-1].score
+    assert medallion.overview(layers).first().total_linhas == 120
+    assert {r.channel for r in medallion.channels(layers).collect()} == {"pos", "web"}
+    stamped = medallion.schemas(layers).filter("column_name = '_ingested_at' AND column_type = 'timestamp'")
+    assert stamped.count() == 22
+    months = medallion.baseline_forecast(layers, "motor 5", Split(dt.date(2026, 1, 31), dt.date(2026, 2, 1), dt.date(2026, 3, 31)))
+    assert all(r.forecast is not None for r in months.collect())
     split = Split(dt.date(2026, 1, 31), dt.date(2026, 2, 1), dt.date(2026, 3, 31))
     compared = medallion.demand_forecast(layers, "motor 5", split)
     assert compared.columns[:2] == ["product_id", "n_months"]
 
 
-def test_raw_load_and_schema(layers):
+def test_raw_load_and_schema(layers, tmp_path):
     counts = medallion.land_raw_text(layers, layers.folder)
     assert counts["customers"] == 3
     total = {r.table_name: r.n_rows for r in medallion.validate_load(layers).collect()}
@@ -85,4 +91,7 @@ def test_raw_load_and_schema(layers):
     ddl = {r.table_name: r.ddl for r in medallion.relational_schema(layers, layers.folder).collect()}
     assert list(ddl) == sorted(medallion.RETAIL_TABLES)
     assert '"placed_at" TIMESTAMP' in ddl["orders"] and '"total" DOUBLE PRECISION' in ddl["orders"]
+    medallion.relational_schema(layers, layers.folder, str(tmp_path / "ddl"), tables=["orders"], sample_rows=200)
+    (part,) = (tmp_path / "ddl").glob("part-*")
+    assert ddl["orders"] in part.read_text(encoding="utf-8")
     assert '"tax_id" BIGINT' in ddl["customers"] and '"status" TEXT' in ddl["orders"]

@@ -115,6 +115,7 @@ def test_discover_counts_files_and_folders(spark, csv_dir):
         f.write("x\n")
     found = [tuple(r) for r in csvfiles.discover_csv_tables(spark, folder).collect()]
     assert found == [("a.csv", "a", 1), ("b.csv", "b", 2), ("other.csv", "other", 0), ("parts.csv", "parts", 10)]
+    assert csvfiles.csv_table_names(spark, folder) == ["a", "b", "other", "parts"]
 
 
 def test_overwrite_replaces_rows_and_schema(spark):
