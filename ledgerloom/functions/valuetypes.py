@@ -2,12 +2,12 @@
 
 Each value maps to a bit set of the classes it satisfies; ``bit_and`` over a column then tells
 which classes *every* value satisfies, so a whole table is profiled by one aggregate per column.
+All functions give SQL text: wide tables then cost one call per column, not one per test.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 INTEGER, FLOAT, TIMESTAMP, BOOLEAN, FITS_BIGINT = 1, 2, 4, 8, 16
 
@@ -44,16 +44,41 @@ TYPE_ORDER = (
 FALLBACK_TYPE = "TEXT"
 
 
-def value_classes(column: str) -> Column:
+def quoted(column: str) -> str:
+    """A column name as SQL text."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def classes_of_type(kind: T.DataType, column: str) -> str | None:
+    """The bit set of a column that is not text, from its type; None if only the text can tell.
+
+    The text of a float always shows a point, an exponent, NaN or Infinity. The text of a moment
+    fails the pattern if it has a fraction of a second or a year that is not four digits.
+    """
+    v = quoted(column)
+    if isinstance(kind, T.IntegralType):
+        known = str(INTEGER | FLOAT | FITS_BIGINT)
+    elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        known = str(FLOAT)
+    elif isinstance(kind, T.BooleanType):
+        known = str(BOOLEAN)
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        whole = "" if isinstance(kind, T.DateType) else f" AND date_trunc('second', {v}) = {v}"
+        known = f"CASE WHEN year({v}) BETWEEN 1 AND 9999{whole} THEN {TIMESTAMP} ELSE 0 END"
+    else:
+        return None
+    return f"CASE WHEN {v} IS NOT NULL THEN {known} END"
+
+
+def value_classes(column: str) -> str:
     """Bit set of classes of a text column's value; NULL for a missing or empty value.
 
     The classes other than integer within float exclude each other, so the order of the tests is
     free: cheap and common ones come first. The pattern checks the shape of a moment, a cast its
-    day of the month. Written as SQL text, which is one call per column instead of one per test.
+    day of the month.
     """
-    v = "`" + column.replace("`", "``") + "`"
-    return F.expr(
-        f"""
+    v = quoted(column)
+    return f"""
         CASE WHEN {v} IS NULL OR {v} = '' THEN NULL
              WHEN {v} RLIKE r'{PLAIN_INTEGER}' THEN {INTEGER | FLOAT | FITS_BIGINT}
              WHEN {v} RLIKE r'{PLAIN_FLOAT}' THEN {FLOAT}
@@ -69,19 +94,14 @@ def value_classes(column: str) -> Column:
              WHEN {v} RLIKE r'{GENERAL_FLOAT}' THEN {FLOAT}
              ELSE 0 END
         """
-    )
 
 
-def relational_type(classes: Column) -> Column:
+def relational_type(classes: str) -> str:
     """First type in order that all values satisfy; a column without values is text."""
-    decided = F.when(classes.isNull(), F.lit(FALLBACK_TYPE))
-    for bit, name in TYPE_ORDER:
-        decided = decided.when(classes.bitwiseAND(F.lit(bit)) != 0, F.lit(name))
-    return decided.otherwise(F.lit(FALLBACK_TYPE))
+    tests = " ".join(f"WHEN {classes} & {bit} <> 0 THEN '{name}'" for bit, name in TYPE_ORDER)
+    return f"CASE {tests} ELSE '{FALLBACK_TYPE}' END"
 
 
-def exceeds_bigint(classes: Column) -> Column:
+def exceeds_bigint(classes: str) -> str:
     """True for an integer column with a value outside the 64-bit range."""
-    whole = classes.bitwiseAND(F.lit(INTEGER)) != 0
-    fits = classes.bitwiseAND(F.lit(FITS_BIGINT)) != 0
-    return F.coalesce(whole & ~fits, F.lit(False))
+    return f"coalesce({classes} & {INTEGER} <> 0 AND {classes} & {FITS_BIGINT} = 0, false)"

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import clean_identifier
-from ledgerloom.functions.valuetypes import exceeds_bigint, relational_type, value_classes
+from ledgerloom.functions.valuetypes import classes_of_type, exceeds_bigint, quoted, relational_type, value_classes
 from ledgerloom.sources.catalog import row_count
 
 Tables = Mapping[str, DataFrame]
@@ -46,39 +46,31 @@ def load_validation(tables: Tables) -> DataFrame:
     )
 
 
-def _per_column(df: DataFrame, name: str, aggregate, *fields: Column) -> DataFrame:
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _per_column(df: DataFrame, name: str, aggregate, *fields: str) -> DataFrame:
     """One aggregate per column, reshaped from one wide row to one row per column.
 
-    ``aggregate`` makes the aggregate of a column; ``fields`` are expressions over its ``value``
-    and the table's ``n_rows``.
+    ``aggregate`` makes the SQL text of a column's aggregate; ``fields`` are SQL expressions over
+    its ``value``, its position ``at`` and the table's ``n_rows``.
     """
-    wide = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[aggregate(column).alias(f"c{pos}") for pos, column in enumerate(df.columns)],
+    wide = df.selectExpr(
+        "count(1) AS n_rows", *[f"{aggregate(column)} AS c{at}" for at, column in enumerate(df.columns)]
     )
-    values = F.posexplode(F.array(*[F.col(f"c{pos}") for pos in range(len(df.columns))]))
-    names = F.array(*[F.lit(column) for column in df.columns])
-    return (
-        wide.select("n_rows", values.alias("at", "value"))
-        .select(
-            F.lit(name).alias("table_name"),
-            (F.col("at") + 1).alias("pos"),
-            names[F.col("at")].alias("column_name"),
-            *fields,
-        )
+    values = ", ".join(f"c{at}" for at in range(len(df.columns)))
+    names = ", ".join(map(_literal, df.columns))
+    return wide.selectExpr("n_rows", f"posexplode(array({values})) AS (at, value)").selectExpr(
+        f"{_literal(name)} AS table_name", "at + 1 AS pos", f"array({names})[at] AS column_name", *fields
     )
 
 
-def _quoted(column: str) -> Column:
-    return F.col("`" + column.replace("`", "``") + "`")
-
-
 def null_profile(tables: Tables) -> DataFrame:
     """NULLs per column and their share of the rows; NaN and empty text are values."""
-    share = F.try_divide(F.col("value").cast("double"), F.col("n_rows").cast("double"))
-    fields = (F.col("n_rows"), F.col("value").alias("n_nulls"), share.alias("null_ratio"))
+    fields = ("n_rows", "value AS n_nulls", "try_divide(double(value), double(n_rows)) AS null_ratio")
     return union_rows(
-        [_per_column(df, name, lambda c: F.count_if(_quoted(c).isNull()), *fields) for name, df in tables.items()]
+        [_per_column(df, name, lambda c: f"count_if({quoted(c)} IS NULL)", *fields) for name, df in tables.items()]
     )
 
 
@@ -86,9 +78,9 @@ def schema_catalog(tables: Tables) -> DataFrame:
     """Columns of every table in order, with type and number of filled values."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        types = F.array(*[F.lit(field.dataType.simpleString()) for field in df.schema])
-        fields = (types[F.col("at")].alias("column_type"), F.col("value").alias("n_values"))
-        return _per_column(df, name, lambda c: F.count(_quoted(c)), *fields)
+        types = ", ".join(_literal(field.dataType.simpleString()) for field in df.schema)
+        fields = (f"array({types})[at] AS column_type", "value AS n_values")
+        return _per_column(df, name, lambda c: f"count({quoted(c)})", *fields)
 
     return union_rows([one(name, df) for name, df in tables.items()])
 
@@ -97,15 +89,18 @@ def infer_column_types(tables: Tables) -> DataFrame:
     """Relational type that fits every non-empty value of each column, judged on its text form.
 
     Looks at all rows; pass ``sample_first_n`` frames to judge by a sample. ``overflow`` marks an
-    integer column whose values do not all fit 64 bits.
+    integer column whose values do not all fit 64 bits. Text columns are tested value by value;
+    for most other types the type already answers.
     """
-    classes = F.col("value")
-    fields = (relational_type(classes).alias("inferred_type"), exceeds_bigint(classes).alias("overflow"))
+    fields = (f"{relational_type('value')} AS inferred_type", f"{exceeds_bigint('value')} AS overflow")
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        # The text forms get a projection of their own: several tests read each of them.
-        text = df.select(*[_quoted(column).cast("string").alias(column) for column in df.columns])
-        return _per_column(text, name, lambda c: F.bit_and(value_classes(c)), *fields)
+        known = {f.name: classes_of_type(f.dataType, f.name) for f in df.schema}
+        # Text forms get a projection of their own: several tests read each of them.
+        ready = df.selectExpr(
+            *[quoted(c) if known[c] else f"CAST({quoted(c)} AS STRING) AS {quoted(c)}" for c in df.columns]
+        )
+        return _per_column(ready, name, lambda c: f"bit_and({known[c] or value_classes(c)})", *fields)
 
     return union_rows([one(name, df) for name, df in tables.items()])
 

@@ -137,7 +137,7 @@ def _stored(basket: DataFrame) -> tuple[DataFrame, dict]:
 def _block_count(rows: int, products: int, products_per_block: int, cores: int) -> int:
     """Blocks that bound the counters of a cell; more of them if a small basket would idle cores."""
     needed = math.ceil(products / products_per_block)
-    busy = min(cores, rows // 100_000)
+    busy = min(cores, rows // 60_000)
     for_parallelism = math.ceil((math.sqrt(8 * busy + 1) - 1) / 2)
     return max(1, min(products, max(needed, for_parallelism)))
 

@@ -2,6 +2,7 @@ from datetime import datetime
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerloom.functions import valuetypes as vt
 from ledgerloom.operators import profile
@@ -54,7 +55,7 @@ EDGES = [
 
 def classes(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    return [r[0] for r in df.select(vt.value_classes("v")).collect()]
+    return [r[0] for r in df.selectExpr(vt.value_classes("v")).collect()]
 
 
 def test_edge_values(spark):
@@ -73,6 +74,27 @@ def test_random_values(spark, values):
     assert {v: g for v, g in zip(values, got) if g != expected(v)} == {}
 
 
+TYPED = """
+    SELECT * FROM VALUES
+      (1, 2L, 1.0D, float(3), 2.50BD, true, date'2024-01-05', timestamp_ntz'2024-01-05 10:00:00', timestamp'2024-01-05 10:00:00.5'),
+      (-1, 9223372036854775807L, double('NaN'), float(1e20), 3.00BD, false, date'0001-01-01', timestamp_ntz'2024-01-05', timestamp'2024-01-05'),
+      (NULL, NULL, double('-Infinity'), NULL, NULL, NULL, NULL, NULL, NULL)
+    AS t(i, l, d, f, m, b, day, at, frac)
+"""
+
+
+def test_typed_columns_are_judged_like_their_text(spark):
+    typed = spark.sql(TYPED)
+    late = spark.sql("SELECT date_add(date'9999-12-31', 1) AS day, timestamp_ntz'0001-01-01' - interval 1 day AS at")
+    for df in (typed, late, typed.limit(0)):
+        text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+        by_type, by_text = (
+            sorted(map(tuple, profile.infer_column_types({"t": x}).collect())) for x in (df, text)
+        )
+        assert by_type == by_text
+    assert [vt.classes_of_type(f.dataType, f.name) is None for f in typed.schema].count(True) == 1
+
+
 def test_type_order_and_overflow(spark):
     rows = [
         ("1", "1", "2024-01-05", "true", "", "1", "9999999999999999999"),
