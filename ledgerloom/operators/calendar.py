@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import weekday_label
 from ledgerloom.functions.money import exact_mean, money, money_sum
+from ledgerloom.session import materialize
 
 # Fixed value: the sales channel of the physical shops.
 SHOP_CHANNEL = "pos"
@@ -36,10 +37,10 @@ def date_spine(bounds: DataFrame) -> DataFrame:
 def daily_sales_filled(daily: DataFrame) -> DataFrame:
     """Every day of the range, 0 where nothing was sold.
 
-    ``daily`` has one row per day and feeds both the bounds and the join, so it is kept after its
-    first computation: the orders are scanned once.
+    ``daily`` has one row per day and feeds both the bounds and the join, so it is written once:
+    the orders are scanned once.
     """
-    daily = daily.persist()
+    daily, _ = materialize(daily, "daily")
     sales = daily.filter(F.col("data_completa").isNotNull())
     return date_spine(date_bounds(daily)).join(sales, "data_completa", "left").select(
         "data_completa", F.coalesce("venda_do_dia", money(F.lit(0))).alias("venda_do_dia")

@@ -15,11 +15,15 @@ def build_session(app_name: str = "ledgerloom", master: str | None = None, **con
     """A session with the settings the operators are written for.
 
     Everything here is a default a cluster may override: adaptive execution splits skewed join
-    partitions and sizes shuffles, so no partition count is fixed outside local runs.
+    partitions and sizes shuffles, so no partition count is fixed outside local runs. Where every
+    partition of a join's smaller side proves small at run time, hashing it spares sorting the
+    larger side.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
