@@ -5,7 +5,8 @@ Every step reads catalog tables and writes catalog tables, so each can be rerun
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,17 @@ def csv_path(folder: str, table: str) -> str:
     return f"{folder}/{table}.csv"
 
 
+# Tables loaded at the same time: small ones fill the cores a large one's last tasks leave idle.
+PARALLEL_LOADS = 4
+
+
+def _load_each(tables: Iterable[str], load: Callable[[str], int]) -> dict[str, int]:
+    """Run ``load`` for every table, a few at a time; the rows each one wrote."""
+    tables = list(tables)
+    with ThreadPoolExecutor(PARALLEL_LOADS) as pool:
+        return dict(zip(tables, pool.map(load, tables), strict=True))
+
+
 def ingest_bronze(
     layers: Layers,
     folder: str,
@@ -78,12 +90,13 @@ def ingest_bronze(
 
     Known schemas and a known record ``layout`` save one pass over the files each.
     """
-    counts = {}
-    for table in tables:
+
+    def load(table: str) -> int:
         path = csv_path(folder, table)
         raw = csvfiles.scan_inferred(layers.spark, path, (schemas or {}).get(table), layout)
-        counts[table] = layers.write(catalog.stamp_ingestion(raw), f"bronze_{table}")
-    return counts
+        return layers.write(catalog.stamp_ingestion(raw), f"bronze_{table}")
+
+    return _load_each(tables, load)
 
 
 def _found(layers: Layers, folder: str, tables: Iterable[str] | None) -> list[str]:
@@ -97,11 +110,12 @@ def land_raw_text(
 
     Rows of the wrong length fail the write, which reads every column.
     """
-    counts = {}
-    for table in _found(layers, folder, tables):
+
+    def load(table: str) -> int:
         raw = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table), layout)
-        counts[table] = layers.write(raw, f"raw_{table}")
-    return counts
+        return layers.write(raw, f"raw_{table}")
+
+    return _load_each(_found(layers, folder, tables), load)
 
 
 def build_silver(layers: Layers) -> dict[str, int]:
