@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact, mixing, near
+from ledgerloom.llm import exact, language, mixing, near, toxicity
 from ledgerloom.llm.common import table, written
 
 
@@ -23,6 +23,14 @@ def op9_exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact.classes(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mixing, op5_minhash, op9_exact)
+    f.__name__: f for f in (op3_mixing, op5_minhash, op8_toxicity, op9_exact, op10_language)
 }
