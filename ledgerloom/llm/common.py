@@ -41,3 +41,23 @@ def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str)
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where a vocabulary file of the installed public tokenizers lies; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` with the columns of their group; no group, however large, is gathered in one task.
+
+    Groups with at least a thousandth of all rows, so a thousand at most, are broadcast. ``groups`` has
+    one row for each ``key`` with its number of rows in ``size``.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    large = F.broadcast(groups.where(F.col(size) * 1000 >= F.lit(total)))
+    small = groups.where(F.col(size) * 1000 < F.lit(total))
+    rest = rows.join(large.select(key), key, "left_anti")
+    return rows.join(large, key).unionByName(rest.join(small, key))

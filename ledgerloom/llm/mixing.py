@@ -141,3 +141,19 @@ def mix(sized: DataFrame, share: float = 1.0, max_repeats: float = 3.0, cut: boo
         (F.col("whole") + F.col("again").cast("long")).alias("copies"),
         "hash",
     )
+
+
+def apply(docs: DataFrame, share: float = 1.0, max_repeats: float = 3.0) -> DataFrame:
+    """The rows of ``docs`` with all columns, each as often as the mix takes it as a whole.
+
+    A row's number of copies depends on its source, its id hash and, at a boundary, its size, so only
+    the plan of the sources (and the few boundary rows) is joined, never the texts with each other.
+    """
+    sized = written(sizes(docs), "sized")
+    mixed = mix(sized, share, max_repeats, cut=False).where("copies > 0")
+    chosen = mixed.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    chosen = chosen.select(F.struct("doc_id", "source", "size").alias("key"), "copies")
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.struct("*").alias("row"), F.struct("doc_id", "source", size.alias("size")).alias("own"))
+    joined = rows.join(chosen, F.col("own").eqNullSafe(F.col("key")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact, language, mixing, near, toxicity
-from ledgerloom.llm.common import table, written
+from ledgerloom.llm import exact, language, mixing, near, packing, toxicity
+from ledgerloom.llm.common import table, tokenizer_file, written
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op9_exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact.classes(table(spark, folder, "documents"))
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_file())
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -32,5 +36,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mixing, op5_minhash, op8_toxicity, op9_exact, op10_language)
+    f.__name__: f for f in (op3_mixing, op5_minhash, op7_packing, op8_toxicity, op9_exact, op10_language)
 }
