@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact, language, mixing, near, packing, toxicity
+from ledgerloom.llm import exact, language, mixing, near, packing, suffixtree, toxicity
 from ledgerloom.llm.common import table, tokenizer_file, written
 
 
@@ -23,6 +23,10 @@ def op9_exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact.classes(table(spark, folder, "documents"))
 
 
+def op6_suffixtree(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixtree.score(table(spark, folder, "documents"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file())
 
@@ -36,5 +40,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mixing, op5_minhash, op7_packing, op8_toxicity, op9_exact, op10_language)
+    f.__name__: f for f in (op3_mixing, op5_minhash, op6_suffixtree, op7_packing, op8_toxicity, op9_exact, op10_language)
 }
