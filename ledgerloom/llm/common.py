@@ -50,14 +50,19 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: str) -> DataFrame:
     """``rows`` with the columns of their group; no group, however large, is gathered in one task.
 
-    Groups with at least a thousandth of all rows, so a thousand at most, are broadcast. ``groups`` has
-    one row for each ``key`` with its number of rows in ``size``.
+    ``groups`` has one row for each ``key`` with its number of rows in ``size``; it is read twice, so it
+    should be a written table. Groups with at least a thousandth of all rows, so a thousand at most,
+    are repeated once for each thousandth, and their rows are dealt to the copies by a hash of the column
+    ``spread``. Only the keys of these few and their numbers of copies are broadcast.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    large = F.broadcast(groups.where(F.col(size) * 1000 >= F.lit(total)))
-    small = groups.where(F.col(size) * 1000 < F.lit(total))
-    rest = rows.join(large.select(key), key, "left_anti")
-    return rows.join(large, key).unionByName(rest.join(small, key))
+    total = groups.agg(F.sum(size)).first()[0] or 1
+    copies = F.greatest(F.lit(1), F.floor(F.col(size) * 1000 / F.lit(total))).cast("int")
+    counted = groups.withColumn("_copies", copies)
+    large = counted.where("_copies > 1").select(F.col(key).alias("_key"), "_copies")
+    dealt = rows.join(F.broadcast(large), F.col(key) == F.col("_key"), "left")
+    dealt = dealt.withColumn("_copy", F.pmod(F.xxhash64(spread), F.coalesce("_copies", F.lit(1))).cast("int")).drop("_key", "_copies")
+    repeated = counted.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies")
+    return dealt.join(repeated, [key, "_copy"]).drop("_copy")

@@ -146,7 +146,7 @@ def classes(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     best = F.min(F.struct((-F.col("points")).alias("longest"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
     groups = repeated.groupBy("sha").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
     groups = written(groups.select("sha", F.col("best.doc_id").alias("keep_id"), "group_size"), "groups")
-    joined = join_groups(repeated, groups, "sha", "group_size").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    joined = join_groups(repeated, groups, "sha", "group_size", "doc_id").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
     single = alone.withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
     columns = ["doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256")]
     return joined.select(columns).union(single.select(columns))
