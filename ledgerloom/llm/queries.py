@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, exact, language, mixing, near, neighbours, packing, suffixtree, toxicity
+from ledgerloom.llm import chat, exact, language, mixing, near, neighbours, packing, repeats, suffixtree, toxicity
 from ledgerloom.llm.common import table, tokenizer_file, written
 
 
@@ -29,6 +29,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digest(repeats.remove(table(spark, folder, "documents")))
+
+
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near.classes(table(spark, folder, "documents"))
 
@@ -54,5 +58,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neighbours, op2_chat, op3_mixing, op5_minhash, op6_suffixtree, op7_packing, op8_toxicity, op9_exact, op10_language)
+    f.__name__: f for f in (op1_neighbours, op2_chat, op3_mixing, op4_repeats, op5_minhash, op6_suffixtree, op7_packing, op8_toxicity, op9_exact, op10_language)
 }
