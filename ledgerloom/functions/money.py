@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are held in cents: sums are then exact and independent of the order of the rows.
-MONEY = "decimal(18,2)"
+# Amounts are held in millionths: sums are then exact and independent of the order of the rows, and
+# unit prices below a cent keep their digits. NaN and infinities are no amounts and become NULL.
+MONEY = "decimal(28,6)"
 
 
 def money(column: Column | str) -> Column:
-    return F.col(column).cast(MONEY) if isinstance(column, str) else column.cast(MONEY)
+    return (F.col(column) if isinstance(column, str) else column).try_cast(MONEY)
 
 
 def money_sum(column: Column | str) -> Column:

@@ -30,6 +30,10 @@ class Split:
     def is_train(self) -> Column:
         return F.col("month") <= F.lit(self.train_end)
 
+    def months_ahead(self) -> int:
+        """Months from the end of training to the end of the test range."""
+        return 12 * (self.test_end.year - self.train_end.year) + self.test_end.month - self.train_end.month
+
     def is_test(self) -> Column:
         return F.col("month").between(F.lit(self.test_start), F.lit(self.test_end))
 
@@ -195,17 +199,19 @@ def forecast_comparison(demand: DataFrame, split: Split = Split()) -> DataFrame:
     """Both forecasts of each product over its test months: totals and mean absolute errors.
 
     The protocols differ by design: the baseline steps month by month with the actuals so far,
-    the seasonal forecast is made once from the end of training.
+    the seasonal forecast is made once from the end of training, as far as the test range goes. Every
+    product with test months is reported; where it has no seasonal forecast (too short a history, or
+    a flat one), both seasonal figures are NULL.
     """
     baseline = moving_avg_forecast(demand, split)
-    seasonal = seasonal_ar_forecast(demand, split).select(
+    seasonal = seasonal_ar_forecast(demand, split, max(1, split.months_ahead())).select(
         "product_id", "month", F.col("forecast").alias("seasonal")
     )
-    both = baseline.join(seasonal, ["product_id", "month"])
+    both = baseline.join(seasonal, ["product_id", "month"], "left")
     return both.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n_months"),
         _rounded_total().alias("baseline_total"),
         _mae().alias("baseline_mae"),
-        F.bround(F.coalesce(F.sum("seasonal"), F.lit(0.0)), 0).cast("bigint").alias("seasonal_total"),
+        F.bround(F.sum("seasonal"), 0).cast("bigint").alias("seasonal_total"),
         F.avg(F.abs(F.col("actual") - F.col("seasonal"))).alias("seasonal_mae"),
     )

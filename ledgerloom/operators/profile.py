@@ -74,8 +74,19 @@ def null_profile(tables: Tables) -> DataFrame:
     )
 
 
+def schema_listing(tables: Tables) -> DataFrame:
+    """Columns of every table in order, with their types. Metadata only: no table is read."""
+    rows = [
+        (name, at, field.name, field.dataType.simpleString())
+        for name, df in tables.items()
+        for at, field in enumerate(df.schema, 1)
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, "table_name string, pos int, column_name string, column_type string")
+
+
 def schema_catalog(tables: Tables) -> DataFrame:
-    """Columns of every table in order, with type and number of filled values."""
+    """The listing with the number of filled values of each column, which reads the tables."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
         types = ", ".join(_literal(field.dataType.simpleString()) for field in df.schema)
@@ -107,8 +118,7 @@ def infer_column_types(tables: Tables) -> DataFrame:
 
 def generate_ddl(types: DataFrame) -> DataFrame:
     """One CREATE TABLE statement per table, columns in order. Groups are as small as a schema."""
-    safe = F.replace(F.lower(F.trim("column_name")), F.lit(" "), F.lit("_"))
-    line = F.concat(F.lit('    "'), safe, F.lit('" '), F.col("inferred_type"))
+    line = F.concat(F.lit('    "'), clean_identifier(F.col("column_name")), F.lit('" '), F.col("inferred_type"))
     ordered = F.sort_array(F.collect_list(F.struct("pos", line.alias("line"))))
     body = F.array_join(F.transform(ordered, lambda x: x["line"]), ",\n")
     return (
@@ -139,5 +149,6 @@ def type_conflicts(types: DataFrame) -> DataFrame:
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:
-    """The same rows under cleaned column names."""
-    return df.toDF(*[clean_identifier(name) for name in df.columns])
+    """The same rows under cleaned column names; the names are cleaned by the rule for DDL."""
+    names = df.sparkSession.range(1).select(F.array(*[clean_identifier(F.lit(name)) for name in df.columns])).first()[0]
+    return df.toDF(*names)

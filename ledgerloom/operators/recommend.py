@@ -24,6 +24,7 @@ TOP_SIMILAR = 5
 # share of the customers. These bound the counters and the rows one cell holds in memory.
 PRODUCTS_PER_BLOCK = 2048
 ROWS_PER_CELL = 2_000_000
+ROWS_WORTH_A_TASK = 60_000
 PAIRS_PER_STEP = 500_000
 
 
@@ -74,19 +75,22 @@ def _cell_counter(pairs_per_step: int):
         def side(block):
             chosen = pc.equal(table["block"], block)
             names = table["product_id"].filter(chosen).combine_chunks().dictionary_encode()
-            return who[chosen.to_numpy()], names.indices.to_numpy(), names.dictionary
+            code = names.indices.to_numpy()
+            buyers = np.zeros(max(len(names.dictionary), 1), np.int64)
+            buyers[code] = table["n_buyers"].filter(chosen).to_numpy()
+            return who[chosen.to_numpy()], code, names.dictionary, buyers
 
-        who_b, code_b, names_b = side(block_b)
+        who_b, code_b, names_b, buyers_b = side(block_b)
         by_customer = np.argsort(who_b.astype(np.int64) * max(len(names_b), 1) + code_b)
         who_b, code_b = who_b[by_customer], code_b[by_customer]
         # Customer c owns the right rows from first[c] up to first[c + 1].
         first = np.searchsorted(who_b, np.arange(len(customers.dictionary) + 1))
         if block_a == block_b:
             # A block against itself: each row meets the rows after it, so each pair comes once.
-            who_a, code_a, names_a = who_b, code_b, names_b
+            who_a, code_a, names_a, buyers_a = who_b, code_b, names_b, buyers_b
             begin = np.arange(1, len(who_a) + 1)
         else:
-            who_a, code_a, names_a = side(block_a)
+            who_a, code_a, names_a, buyers_a = side(block_a)
             begin = first[who_a]
         fan = first[who_a + 1] - begin
         # Left rows by product, in runs of about pairs_per_step pairs: a run then counts into few
@@ -112,11 +116,14 @@ def _cell_counter(pairs_per_step: int):
         met = np.flatnonzero(counts)
         a = names_a.take(pa.array(met // width))
         b = names_b.take(pa.array(met % width))
+        n_a, n_b = pa.array(buyers_a[met // width]), pa.array(buyers_b[met % width])
         swap = pc.greater(a, b)
         return pa.table(
             {
                 "product_a": pc.if_else(swap, b, a),
                 "product_b": pc.if_else(swap, a, b),
+                "n_a": pc.if_else(swap, n_b, n_a),
+                "n_b": pc.if_else(swap, n_a, n_b),
                 "n_both": pa.array(counts[met]),
             }
         )
@@ -134,39 +141,50 @@ def _stored(basket: DataFrame) -> tuple[DataFrame, dict]:
     )
 
 
-def _block_count(rows: int, products: int, products_per_block: int, cores: int) -> int:
-    """Blocks that bound the counters of a cell; more of them if a small basket would idle cores."""
-    needed = math.ceil(products / products_per_block)
-    busy = min(cores, rows // 60_000)
-    for_parallelism = math.ceil((math.sqrt(8 * busy + 1) - 1) / 2)
-    return max(1, min(products, max(needed, for_parallelism)))
+def _placed(stored: DataFrame, products: int, products_per_block: int) -> tuple[DataFrame, int]:
+    """The basket with each row's block of products and the buyers of its product.
+
+    Blocks depend on the catalogue alone: they bound a cell's counters, and nothing else.
+    """
+    blocks = max(1, math.ceil(products / products_per_block))
+    block = F.pmod(F.xxhash64("product_id"), F.lit(blocks)).cast("int")
+    return stored.join(product_buyer_counts(stored), "product_id").withColumn("block", block), blocks
+
+
+def _cells(placed: DataFrame, blocks: int, rows: int, rows_per_cell: int) -> DataFrame:
+    """Every basket row in the cells it takes part in: those of the blocks its customer bought from.
+
+    A customer's blocks are joined to the customer's rows, so a row is copied at most once for each
+    of them, never for blocks without a partner; with one block nothing is copied. Shares cut all
+    cells alike by customer, which copies nothing: so many that a cell's rows stay bounded and that
+    a small catalogue still gives every core work.
+    """
+    cores = placed.sparkSession.sparkContext.defaultParallelism
+    shares = max(math.ceil(rows / rows_per_cell), min(cores, math.ceil(rows / ROWS_WORTH_A_TASK)))
+    share = F.pmod(F.xxhash64("customer_id"), F.lit(shares)).cast("int")
+    if blocks == 1:
+        copies = placed.withColumns({"block_a": F.col("block"), "block_b": F.col("block")})
+    else:
+        visited = placed.select("customer_id", F.col("block").alias("other")).distinct()
+        copies = placed.join(visited, "customer_id").withColumns(
+            {"block_a": F.least("block", "other"), "block_b": F.greatest("block", "other")}
+        )
+    return copies.select("customer_id", "product_id", "n_buyers", "block", "block_a", "block_b", share.alias("share"))
 
 
 def _count_pairs(stored: DataFrame, sizes: dict, products_per_block: int, rows_per_cell: int) -> DataFrame:
-    cores = stored.sparkSession.sparkContext.defaultParallelism
-    blocks = _block_count(sizes["rows"], sizes["products"], products_per_block, cores)
-    placed = stored.withColumn("block", F.pmod(F.xxhash64("product_id"), F.lit(blocks)).cast("int"))
-    block_rows = dict(placed.groupBy("block").count().collect())  # one number per block
-    weights = F.array(*[F.lit(block_rows.get(block, 0)) for block in range(blocks)])
-    copies = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
-        "customer_id",
-        "product_id",
-        "block",
-        F.least("block", "other").alias("block_a"),
-        F.greatest("block", "other").alias("block_b"),
-    )
-    partner_rows = F.when(F.col("block_a") != F.col("block_b"), weights[F.col("block_b")]).otherwise(0)
-    shares = F.ceil((weights[F.col("block_a")] + partner_rows) / rows_per_cell)
-    cells = copies.withColumn("share", F.pmod(F.xxhash64("customer_id"), shares).cast("int"))
+    """Every product pair with common buyers once: both ids, the buyers of each and of both."""
+    placed, blocks = _placed(stored, sizes["products"], products_per_block)
+    cells = _cells(placed, blocks, sizes["rows"], rows_per_cell)
     kind = stored.schema["product_id"].dataType
-    schema = (
-        T.StructType().add("product_a", kind).add("product_b", kind).add("n_both", T.LongType())
-    )
+    schema = T.StructType().add("product_a", kind).add("product_b", kind)
+    for name in ("n_a", "n_b", "n_both"):
+        schema = schema.add(name, T.LongType())
     counted = cells.groupBy("share", "block_a", "block_b").applyInArrow(_cell_counter(PAIRS_PER_STEP), schema)
-    if sum(sorted(block_rows.values())[-2:]) <= rows_per_cell:
-        # No cell is cut by customer, so each pair was counted in full by the one cell it falls in.
-        return counted
-    return counted.groupBy("product_a", "product_b").agg(F.sum("n_both").alias("n_both"))
+    # The shares of a pair are summed; its buyers are the same in each.
+    return counted.groupBy("product_a", "product_b").agg(
+        F.sum("n_both").alias("n_both"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
+    )
 
 
 def co_purchase_counts(
@@ -178,13 +196,13 @@ def co_purchase_counts(
 
     A self join on the customer would emit all pairs of every basket as rows. Here the product of
     the purchase matrix with itself is counted in a grid instead. Products fall into blocks by
-    hash, every basket row goes to the cells its block takes part in, and a cell is cut by
-    customer into as many shares as its two blocks' rows call for. So a customer with a huge
-    basket is spread over the blocks, a product with very many buyers over the shares, and rows
-    are copied once per block: not at all while the products fit one block. The counts of a pair
-    from different shares are then summed.
+    hash, every basket row goes to the cells of its block with the blocks its customer bought from,
+    and a cell is cut by customer into shares. So a customer with a huge basket is spread over the
+    blocks, a product with very many buyers over the shares, and rows are copied only where their
+    customer has products to meet: not at all while the products fit one block. The counts of a
+    pair from different shares are then summed.
     """
-    return _count_pairs(*_stored(basket), products_per_block, rows_per_cell)
+    return _count_pairs(*_stored(basket), products_per_block, rows_per_cell).select("product_a", "product_b", "n_both")
 
 
 def product_pair_scores(
@@ -193,18 +211,11 @@ def product_pair_scores(
     rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """Cosine of every product pair with common buyers, each pair once, smaller id first."""
-    stored, sizes = _stored(basket)
-    return _score_pairs(_count_pairs(stored, sizes, products_per_block, rows_per_cell), stored)
+    return _score_pairs(_count_pairs(*_stored(basket), products_per_block, rows_per_cell))
 
 
-def _score_pairs(pairs: DataFrame, stored: DataFrame) -> DataFrame:
-    buyers = product_buyer_counts(stored)
-    of_a = buyers.select(F.col("product_id").alias("product_a"), F.col("n_buyers").alias("n_a"))
-    of_b = buyers.select(F.col("product_id").alias("product_b"), F.col("n_buyers").alias("n_b"))
-    score = _cosine(F.col("n_both"), F.col("n_a"), F.col("n_b"))
-    return pairs.join(of_a, "product_a").join(of_b, "product_b").select(
-        "product_a", "product_b", score.alias("score")
-    )
+def _score_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select("product_a", "product_b", _cosine(F.col("n_both"), F.col("n_a"), F.col("n_b")).alias("score"))
 
 
 def _both_directions(scores: DataFrame) -> DataFrame:
@@ -229,7 +240,7 @@ def top_similar_products(basket: DataFrame, products: DataFrame, top: int = TOP_
     pairs = _count_pairs(stored, sizes, PRODUCTS_PER_BLOCK, ROWS_PER_CELL)
     ranking = W.partitionBy("product_id").orderBy(F.col("score").desc(), F.col("similar_id").asc())
     ranked = (
-        _both_directions(_score_pairs(pairs, stored))
+        _both_directions(_score_pairs(pairs))
         .withColumn("rank", F.row_number().over(ranking))
         .filter(F.col("rank") <= top)
     )

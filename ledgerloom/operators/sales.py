@@ -14,7 +14,10 @@ TOP_CATEGORIES = 5
 
 
 def orders_overview(orders: DataFrame) -> DataFrame:
-    """Row count, creation time range and value range of the untreated orders."""
+    """Row count, creation time range and value range of the untreated orders.
+
+    The mean is over the values that were summed, so a NaN changes neither sum nor divisor.
+    """
     return orders.sparkSession.sql(
         """
         SELECT count(*) AS total_linhas,
@@ -22,8 +25,8 @@ def orders_overview(orders: DataFrame) -> DataFrame:
                max(created_at) AS data_maxima,
                min(total) AS valor_minimo,
                max(total) AS valor_maximo,
-               CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(total), 0) AS valor_medio
-        FROM {orders}
+               CAST(sum(amount) AS DOUBLE) / nullif(count(amount), 0) AS valor_medio
+        FROM (SELECT created_at, total, try_cast(total AS DECIMAL(28,6)) AS amount FROM {orders})
         """,
         orders=orders,
     )

@@ -205,8 +205,10 @@ def volumetrics(layers: Layers, tables: Iterable[str] = RETAIL_TABLES) -> DataFr
     return profile.table_volumetrics(bronze_tables(layers, tables))
 
 
-def schemas(layers: Layers, tables: Iterable[str] = RETAIL_TABLES) -> DataFrame:
-    return profile.schema_catalog(bronze_tables(layers, tables))
+def schemas(layers: Layers, tables: Iterable[str] = RETAIL_TABLES, count_values: bool = False) -> DataFrame:
+    """Columns and types of the bronze tables; filled values are counted only on demand."""
+    make = profile.schema_catalog if count_values else profile.schema_listing
+    return make(bronze_tables(layers, tables))
 
 
 def key_nulls(layers: Layers) -> DataFrame:
@@ -221,11 +223,15 @@ def validate_load(layers: Layers, tables: Iterable[str] = VALIDATED_TABLES) -> D
 def column_types(
     layers: Layers, folder: str, tables: Iterable[str] | None = None, sample_rows: int | None = None
 ) -> DataFrame:
-    """Relational types inferred from the CSV files' text, by all rows or the first of each file."""
+    """Relational types inferred from the CSV files' text.
+
+    All rows are judged, or with ``sample_rows`` that many of each table, the first in the order of
+    all columns, so a rerun judges the same ones.
+    """
     texts = {}
     for table in _found(layers, folder, tables):
         text = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table))
-        texts[table] = text if sample_rows is None else text.limit(sample_rows)
+        texts[table] = text if sample_rows is None else csvfiles.sample_first_n(text, sample_rows, text.columns)
     return profile.infer_column_types(texts)
 
 

@@ -32,7 +32,7 @@ variant_lines AS (
 base AS (
   SELECT l.*, p.category_id FROM variant_lines l JOIN products p ON l.product_id = p.id),
 revenue AS (
-  SELECT customer_id, CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) AS faturamento_total,
+  SELECT customer_id, round(sum(total), 4) AS faturamento_total,
          count(DISTINCT id) AS frequencia
   FROM valid GROUP BY customer_id),
 diversity AS (
@@ -47,7 +47,7 @@ loyal AS (
   FROM diverse d JOIN customers c ON d.customer_id = c.id
   ORDER BY d.ticket_medio DESC, c.id LIMIT 10),
 daily AS (
-  SELECT CAST(placed_at AS DATE) AS data_completa, sum(CAST(total AS DECIMAL(18,2))) AS venda
+  SELECT CAST(placed_at AS DATE) AS data_completa, CAST(round(sum(total), 4) AS DECIMAL(28,6)) AS venda
   FROM valid WHERE channel = '1-URGENT' GROUP BY 1),
 spine AS (
   SELECT CAST(unnest(generate_series(CAST(min(data_completa) AS TIMESTAMP),
@@ -132,7 +132,7 @@ def _union(parts) -> str:
     return " UNION ALL ".join(parts)
 
 
-LANDED = ("customer", "lineitem", "orders", "part")
+VALIDATED = ("customer", "lineitem", "orders", "part")
 SOURCE_COLUMNS = {
     "region": "r_regionkey r_name",
     "nation": "n_nationkey n_name n_regionkey",
@@ -164,13 +164,14 @@ oracle(
 )
 oracle("sample_first_n", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 200", model=False)
 oracle("overwrite_roundtrip", "SELECT * FROM orders", model=False)
-_counts = _union(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in LANDED)
+_counts = _union(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in SOURCE_COLUMNS)
+_validated = _union(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in VALIDATED)
 oracle("raw_landing_counts", _counts, model=False)
 oracle("ingest_row_counts", _counts, model=False)
 oracle(
     "load_validation",
     f"""SELECT coalesce(table_name, 'TOTAL') AS table_name, CAST(sum(n_rows) AS BIGINT) AS n_rows
-        FROM ({_counts}) GROUP BY ROLLUP (table_name)""",
+        FROM ({_validated}) GROUP BY ROLLUP (table_name)""",
     model=False,
 )
 oracle(
@@ -183,7 +184,7 @@ oracle(
     _union(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) AS n_stamped, "
         f"CAST(least(count(*), 1) AS BIGINT) AS n_stamps FROM {t}"
-        for t in LANDED
+        for t in SOURCE_COLUMNS
     ),
     model=False,
 )
@@ -203,7 +204,7 @@ oracle(
     "orders_overview",
     """SELECT count(*) AS total_linhas, min(created_at) AS data_minima, max(created_at) AS data_maxima,
               min(total) AS valor_minimo, max(total) AS valor_maximo,
-              CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) / count(total) AS valor_medio FROM orders_m""",
+              round(sum(total), 4) / count(total) AS valor_medio FROM orders_m""",
 )
 oracle("join_orders_items", "SELECT * FROM order_lines")
 oracle("join_variants", "SELECT * FROM variant_lines")
@@ -285,16 +286,24 @@ oracle(
     ),
     model=False,
 )
-_TYPED = {
-    "customers": "id legal_name tax_id",
-    "order_items": "order_id product_variant_id quantity unit_price line_total",
-    "orders_m": "id customer_id total placed_at created_at status channel",
-    "products": "id name category_id",
-    "suppliers": "id legal_name tax_id",
+# The exported tables as text, with a table of hand-made forms beside them.
+FORMS = {
+    "blank": "nullif(CAST(o_orderkey AS VARCHAR), CAST(o_orderkey // 2 * 2 AS VARCHAR))",
+    "grouped": "CAST(o_orderkey // 1000 AS VARCHAR) || '_' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')",
+    "moment": (
+        "CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') "
+        "WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END"
+    ),
+    "flag": "CASE o_orderkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'False' ELSE '' END",
+    "wide": "CASE o_orderkey % 2 WHEN 0 THEN '123456789012345678901234567890' ELSE '7' END",
+    "mixed": "CASE o_orderkey % 500 WHEN 3 THEN 'n/a' ELSE '1.5' END",
+    "nothing": "''",
+    "o_orderkey": "'k' || CAST(o_orderkey AS VARCHAR)",
 }
-_SOURCE_OF = {"order_items": "items"}
+_TEXT_COLUMNS = [(t, pos, c, f"CAST({c} AS VARCHAR)", t) for t, cs in SOURCE_COLUMNS.items() for pos, c in enumerate(cs.split(), 1)]
+_TEXT_COLUMNS += [("forms", pos, c, made, "orders") for pos, (c, made) in enumerate(FORMS.items(), 1)]
 _TYPES = _union(
-    f"""SELECT '{table.removesuffix('_m')}' AS table_name, CAST({pos} AS INTEGER) AS pos, '{c}' AS column_name,
+    f"""SELECT '{table}' AS table_name, CAST({pos} AS INTEGER) AS pos, '{c}' AS column_name,
                CASE WHEN count(v) = 0 THEN 'TEXT'
                     WHEN bool_and(regexp_full_match(v, '\\s*[+-]?[0-9]+(_[0-9]+)*\\s*')) THEN 'BIGINT'
                     WHEN bool_and(try_cast(v AS DOUBLE) IS NOT NULL) THEN 'DOUBLE PRECISION'
@@ -303,24 +312,30 @@ _TYPES = _union(
                     WHEN bool_and(lower(v) IN ('true', 'false')) THEN 'BOOLEAN'
                     ELSE 'TEXT' END AS inferred_type,
                coalesce(bool_and(regexp_full_match(v, '\\s*[+-]?[0-9]+(_[0-9]+)*\\s*'))
-                        AND NOT bool_and(try_cast(v AS BIGINT) IS NOT NULL), false) AS overflow
-        FROM (SELECT nullif(CAST({c} AS VARCHAR), '') AS v FROM {_SOURCE_OF.get(table, table)})"""
-    for table, columns in _TYPED.items()
-    for pos, c in enumerate(columns.split(), 1)
+                        AND NOT bool_and(try_cast(replace(v, '_', '') AS BIGINT) IS NOT NULL), false) AS overflow
+        FROM (SELECT nullif({made}, '') AS v FROM {source}) WHERE v IS NOT NULL"""
+    for table, pos, c, made, source in _TEXT_COLUMNS
 )
-oracle("infer_column_types", _TYPES)
-oracle(
-    "generate_ddl",
-    f"""SELECT table_name, 'CREATE TABLE IF NOT EXISTS "' || table_name || '" (' || chr(10) ||
+oracle("infer_column_types", _TYPES, model=False)
+_DDL = f"""SELECT table_name, 'CREATE TABLE IF NOT EXISTS "' || table_name || '" (' || chr(10) ||
                string_agg('    "' || replace(lower(trim(column_name)), ' ', '_') || '" ' || inferred_type,
                           ',' || chr(10) ORDER BY pos) || chr(10) || ');' AS ddl
-        FROM ({_TYPES}) GROUP BY table_name""",
+        FROM ({_TYPES}) GROUP BY table_name"""
+oracle("generate_ddl", _DDL, model=False)
+oracle(
+    "ddl_script",
+    f"""SELECT 0 AS part, '-- Tables as inferred from the text of the CSV files.' || chr(10) ||
+               '-- Dialect: PostgreSQL.' || chr(10) || chr(10) AS text
+        UNION ALL SELECT CAST(row_number() OVER (ORDER BY table_name) AS INTEGER), ddl || chr(10) || chr(10)
+        FROM ({_DDL})""",
+    model=False,
 )
 oracle(
     "type_conflicts",
     f"""SELECT column_name, count(DISTINCT inferred_type) AS n_types,
-               string_agg(table_name || ':' || inferred_type, ', ' ORDER BY table_name) AS found
+               string_agg(table_name || ':' || inferred_type, ', ' ORDER BY table_name || ':' || inferred_type) AS found
         FROM ({_TYPES}) GROUP BY column_name HAVING count(DISTINCT inferred_type) > 1""",
+    model=False,
 )
 oracle("sanitize_columns", "SELECT * FROM orders", model=False)
 
@@ -356,9 +371,9 @@ oracle(
     """SELECT b.product_id, count(*) AS n_months,
               CAST(round_even(coalesce(sum(b.forecast), 0), 0) AS BIGINT) AS baseline_total,
               round(avg(abs(b.actual - b.forecast)), 6) AS baseline_mae,
-              CAST(round_even(coalesce(sum(s.forecast), 0), 0) AS BIGINT) AS seasonal_total,
+              CAST(round_even(sum(s.forecast), 0) AS BIGINT) AS seasonal_total,
               round(avg(abs(b.actual - s.forecast)), 6) AS seasonal_mae
-       FROM baseline b JOIN seasonal s ON b.product_id = s.product_id AND b.month = s.month
+       FROM baseline b LEFT JOIN seasonal s ON b.product_id = s.product_id AND b.month = s.month
        GROUP BY b.product_id""",
 )
 
@@ -382,6 +397,18 @@ oracle(
          ORDER BY score DESC, similar_id LIMIT 5) r
        LEFT JOIN products p ON p.id = r.similar_id""",
 )
+oracle(
+    "similar_without_junk",
+    """SELECT r.similar_id, p.name AS similar_name, round(r.score, 4) AS score FROM (
+         SELECT b.product_id AS similar_id, coalesce(s.score, 0.0) AS score
+         FROM buyers b LEFT JOIN similarity s
+           ON s.similar_id = b.product_id AND s.product_id = (SELECT id FROM target)
+         WHERE b.product_id <> (SELECT id FROM target)
+           AND b.product_id NOT IN (SELECT id FROM products WHERE contains(lower(name), 'gear'))
+           AND EXISTS (SELECT 1 FROM buyers WHERE product_id = (SELECT id FROM target))
+         ORDER BY score DESC, similar_id LIMIT 5) r
+       LEFT JOIN products p ON p.id = r.similar_id""",
+)
 oracle(
     "top5_similar_all_products",
     """SELECT r.product_id, CAST(r.rank AS INTEGER) AS rank, r.similar_id, round(r.score, 6) AS score,

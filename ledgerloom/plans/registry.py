@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +9,12 @@ from ledgerloom import bindings
 from ledgerloom.bindings import Retail
 from ledgerloom.operators import calendar, forecast, profile, recommend, sales, silver
 from ledgerloom.plans import medallion
-from ledgerloom.session import materialize, new_path
+from ledgerloom.session import materialize, new_database, new_path
 from ledgerloom.sources import catalog, csvfiles
 
 QUERIES = {}
-LANDED = ("customer", "lineitem", "orders", "part")
+VALIDATED = ("customer", "lineitem", "orders", "part")
+JUNK_NAME = "gear"
 SAMPLE_ROWS = 200
 
 _exports: dict[tuple[str, str], str] = {}
@@ -45,10 +44,8 @@ def _exported_csv(retail: Retail) -> str:
 
 
 def _new_layers(retail: Retail) -> tuple[medallion.Layers, str]:
-    """Layers in a fresh folder; the tables get a prefix of their own through the database name."""
-    database = f"run_{uuid.uuid4().hex}"
-    root = new_path(retail.spark, "layers")
-    retail.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    """Layers in a database of their own; ``session.release`` drops it."""
+    database = new_database(retail.spark, "run")
     return medallion.Layers(retail.spark, database), database
 
 
@@ -105,15 +102,16 @@ def overwrite_roundtrip(retail: Retail) -> DataFrame:
 @query
 def raw_landing_counts(retail: Retail) -> DataFrame:
     layers, _ = _new_layers(retail)
-    medallion.land_raw_text(layers, _exported_csv(retail), LANDED)
-    return profile.union_rows([catalog.row_count(layers.read(f"raw_{t}"), F.lit(t)) for t in LANDED])
+    # The exported files are known to hold one record a line, which saves the pass that tells.
+    medallion.land_raw_text(layers, _exported_csv(retail), bindings.SOURCE_TABLES, csvfiles.BY_LINE)
+    return profile.union_rows([catalog.row_count(layers.read(f"raw_{t}"), F.lit(t)) for t in bindings.SOURCE_TABLES])
 
 
 @query
 def load_validation(retail: Retail) -> DataFrame:
     layers, _ = _new_layers(retail)
-    medallion.land_raw_text(layers, _exported_csv(retail), LANDED)
-    return medallion.validate_load(layers, LANDED)
+    medallion.land_raw_text(layers, _exported_csv(retail), VALIDATED)
+    return medallion.validate_load(layers, VALIDATED)
 
 
 @query
@@ -133,18 +131,20 @@ def _stamp_counts(df: DataFrame) -> DataFrame:
 @query
 def ingest_row_counts(retail: Retail) -> DataFrame:
     layers, _ = _new_layers(retail)
-    counts = medallion.ingest_bronze(layers, _exported_csv(retail), LANDED)
+    counts = medallion.ingest_bronze(
+        layers, _exported_csv(retail), bindings.SOURCE_TABLES, bindings.SOURCE_SCHEMAS, csvfiles.BY_LINE
+    )
     return retail.spark.createDataFrame(list(counts.items()), "table_name string, n_rows bigint")
 
 
 @query
 def bronze_ingest(retail: Retail) -> DataFrame:
     layers, _ = _new_layers(retail)
-    medallion.ingest_bronze(layers, _exported_csv(retail), LANDED)
+    medallion.ingest_bronze(layers, _exported_csv(retail), bindings.SOURCE_TABLES)
     return profile.union_rows(
         [
             _stamp_counts(layers.read(f"bronze_{t}")).select(F.lit(t).alias("table_name"), "*")
-            for t in LANDED
+            for t in bindings.SOURCE_TABLES
         ]
     )
 
@@ -321,15 +321,33 @@ def _profiled(retail: Retail) -> dict[str, DataFrame]:
     }
 
 
+def _forms(retail: Retail) -> DataFrame:
+    """Text in all the forms that types are told from: empties, grouped digits, three ways to write a
+    moment, truth values, numbers too long for 64 bits, numbers with a word among them."""
+    orders = retail.source("orders")
+    key, at = F.col("o_orderkey"), F.col("o_orderdate")
+    text = key.cast("string")
+    day, time = F.date_format(at, "yyyy-MM-dd"), F.date_format(at, "HH:mm:ss")
+    return orders.select(
+        F.when(key % 2 == 1, text).otherwise("").alias("blank"),
+        F.concat(F.floor(key / 1000).cast("string"), F.lit("_"), F.lpad((key % 1000).cast("string"), 3, "0")).alias("grouped"),
+        F.when(key % 3 == 0, day).when(key % 3 == 1, F.concat_ws("T", day, time)).otherwise(F.concat_ws(" ", day, time)).alias("moment"),
+        F.when(key % 3 == 0, "true").when(key % 3 == 1, "False").otherwise("").alias("flag"),
+        F.when(key % 2 == 0, "123456789012345678901234567890").otherwise("7").alias("wide"),
+        F.when(key % 500 == 3, "n/a").otherwise("1.5").alias("mixed"),
+        F.lit("").alias("nothing"),
+        F.concat(F.lit("k"), text).alias("o_orderkey"),
+    )
+
+
 def _typed(retail: Retail) -> DataFrame:
+    """Types told from text: every exported table as it was landed, and the hand-made forms."""
+    folder = _exported_csv(retail)
     tables = {
-        "customers": retail.customers,
-        "order_items": retail.order_items,
-        "orders": retail.orders,
-        "products": retail.products,
-        "suppliers": retail.suppliers,
+        name: csvfiles.scan_raw_text(retail.spark, medallion.csv_path(folder, name), csvfiles.BY_LINE)
+        for name in bindings.SOURCE_TABLES
     }
-    return profile.infer_column_types(tables)
+    return profile.infer_column_types({**tables, "forms": _forms(retail)})
 
 
 @query
@@ -358,6 +376,15 @@ def generate_ddl(retail: Retail) -> DataFrame:
     return profile.generate_ddl(_typed(retail))
 
 
+@query
+def ddl_script(retail: Retail) -> DataFrame:
+    """The script written as one text and read back, statement by statement."""
+    path = new_path(retail.spark, "ddl")
+    catalog.write_ddl_script(profile.generate_ddl(_typed(retail)), path)
+    script = retail.spark.read.text(path, wholetext=True)
+    return script.select(F.posexplode(F.split("value", r"(?=CREATE TABLE)")).alias("part", "text"))
+
+
 @query
 def type_conflicts(retail: Retail) -> DataFrame:
     return profile.type_conflicts(_typed(retail))
@@ -479,6 +506,13 @@ def similar_products(retail: Retail) -> DataFrame:
     return recommend.similar_products(_basket(retail), retail.products, _target(retail))
 
 
+@query
+def similar_without_junk(retail: Retail) -> DataFrame:
+    """The same ranking with products left out by a word in their name."""
+    junk = F.contains(F.lower("name"), F.lit(JUNK_NAME))
+    return recommend.similar_products(_basket(retail), retail.products, _target(retail), exclude=junk)
+
+
 @query
 def top5_similar_all_products(retail: Retail) -> DataFrame:
     return _rounded(recommend.top_similar_products(_basket(retail), retail.products), "score")

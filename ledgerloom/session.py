@@ -70,3 +70,27 @@ def materialize(df: DataFrame, label: str, *metrics) -> tuple[DataFrame, dict]:
     observed = df.observe(observation, *metrics) if metrics else df
     observed.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), observation.get if metrics else {}
+
+
+_databases: dict[str, list[str]] = {}
+
+
+def new_database(spark: SparkSession, label: str) -> str:
+    """A database of this application's own, its tables in the shared folder."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, label)}'")
+    _databases.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application wrote for itself: its databases and its part of the shared folder.
+
+    Whoever runs the queries owns these and calls this once no result is read any more; results
+    are lazy and read the written tables. The folder of another application is never touched.
+    """
+    for name in _databases.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    context = spark.sparkContext
+    own = context._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    own.getFileSystem(context._jsc.hadoopConfiguration()).delete(own, True)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 INGESTED_AT = "_ingested_at"
 
-# Opening lines of a generated DDL script.
+# Opening lines of a generated DDL script.
 DDL_HEADER = (
-    "-- Schema gerado automaticamente a partir dos CSVs (Python puro)",
-    "-- Destino: PostgreSQL",
+    "-- Tables as inferred from the text of the CSV files.",
+    "-- Dialect: PostgreSQL.",
 )
 
 

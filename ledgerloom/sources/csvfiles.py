@@ -3,53 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import table_name_of_file
-from ledgerloom.session import new_path
-from ledgerloom.sources.csvrecords import quote_count, split_records
 
 _QUOTING = {"quote": '"', "escape": '"'}
 
 # How the records of a file are told apart.
 BY_LINE = "line"  # every line is a record; files split freely
 WHOLE_FILE = "file"  # quoted fields may contain line ends; one task per file
-SPLIT_FILE = "split"  # the same for files too large for one task
+
+# A line whose every quoted field is closed. A field is quoted if it starts with a quote; a quote
+# further inside is plain text. Possessive, so a line is read once from left to right.
+CLOSED_LINE = r'''^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|)(?:,|$))*+$'''
 
 
 def record_layout(spark: SparkSession, path: str) -> str:
     """How to read the records of a file or folder, judged on all of its lines.
 
-    A record can only cross a line end inside quotes, and then its first line holds an odd number
-    of quote characters. One splittable text scan therefore proves a file safe to read by lines.
+    A record crosses a line end only inside a quoted field, which is then still open at the end of
+    the record's first line. One splittable text scan therefore proves a file safe to read by
+    lines, whatever its size. A file that is not is one task in the reader: deliver such data in parts.
     """
-    size = F.col("_metadata.file_size")
-    odd = quote_count(F.col("value")) % 2 == 1
-    found = spark.read.text(path).agg(F.bool_or(odd).alias("spans"), F.max(size).alias("largest")).first()
-    if not found["spans"]:
-        return BY_LINE
-    per_task = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return SPLIT_FILE if found["largest"] > _bytes(per_task) else WHOLE_FILE
-
-
-def _bytes(setting: str) -> int:
-    """A size setting such as ``134217728b`` or ``128MB`` in bytes."""
-    text = setting.strip().lower().rstrip("b")
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    return int(text[:-1]) << units[text[-1]] if text[-1:] in units else int(text)
-
-
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.options(header=True, **_QUOTING).csv(path).columns
+    is_open = ~F.col("value").rlike(CLOSED_LINE)
+    return WHOLE_FILE if spark.read.text(path).agg(F.bool_or(is_open)).first()[0] else BY_LINE
 
 
-def _parsed(records: DataFrame, schema: T.StructType, **options: str) -> DataFrame:
-    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
-    row = F.from_csv("value", ddl, {"multiLine": "true", **_QUOTING, **options})
-    return records.select(row.alias("row")).select("row.*")
+def _header(spark: SparkSession, path: str, layout: str) -> list[str]:
+    return spark.read.options(header=True, multiLine=layout == WHOLE_FILE, **_QUOTING).csv(path).columns
 
 
 def scan_inferred(
@@ -61,31 +46,15 @@ def scan_inferred(
     """CSV with a header. Types are inferred unless ``schema`` is given, which saves that pass.
 
     ``layout`` says how to tell records apart; by default the data decides, in a pass of its own.
+    Part files whose headers differ fail the read.
     """
     layout = layout or record_layout(spark, path)
-    if layout == SPLIT_FILE:
-        return _scan_split(spark, path, schema)
-    reader = spark.read.options(header=True, multiLine=layout == WHOLE_FILE, **_QUOTING)
+    reader = spark.read.options(header=True, multiLine=layout == WHOLE_FILE, enforceSchema=False, **_QUOTING)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)
 
 
-def _scan_split(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
-    records = split_records(spark, path)
-    if schema is None:
-        # Types are inferred from a copy with one record per line. A line end inside a field makes
-        # the field text, and so does the letter put in its place.
-        copy = new_path(spark, "records")
-        records.select(F.regexp_replace("value", r"[\r\n]", "x").alias("value")).write.text(copy)
-        inferred = spark.read.options(inferSchema=True, **_QUOTING).csv(copy).schema
-        names = _header(spark, path)
-        schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, inferred, strict=False)])
-    elif isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    return _parsed(records, schema)
-
-
 def scan_raw_text(spark: SparkSession, path: str, layout: str | None = None) -> DataFrame:
     """CSV with a header, every column as text, nothing treated.
 
@@ -93,9 +62,7 @@ def scan_raw_text(spark: SparkSession, path: str, layout: str | None = None) ->
     the read; only reading all columns checks that, so validate on written data, not ``count()``.
     """
     layout = layout or record_layout(spark, path)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in _header(spark, path)])
-    if layout == SPLIT_FILE:
-        return _parsed(split_records(spark, path), schema, mode="FAILFAST").na.fill("")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in _header(spark, path, layout)])
     reader = spark.read.options(header=True, multiLine=layout == WHOLE_FILE, **_QUOTING)
     return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path).na.fill("")
 
@@ -106,21 +73,35 @@ def _named(files: DataFrame) -> DataFrame:
     return files.withColumn("file_name", name).withColumn("table_name", table_name_of_file(F.col("file_name")))
 
 
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """The CSV files of a folder, empty ones too, from the file listing the driver makes for any scan."""
+    reader = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True)
+    paths = [(unquote(url),) for url in reader.load(folder).inputFiles()]
+    return _named(spark.createDataFrame(paths, "path string"))
+
+
 def csv_table_names(spark: SparkSession, folder: str) -> list[str]:
-    """Tables with a ``<table>.csv`` in a folder, by name. Lists the files, reads none."""
-    files = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True).load(folder)
-    names = _named(files.select("path")).select("table_name").distinct().orderBy("table_name")
+    """Tables with a ``<table>.csv`` in a folder, by name."""
+    names = _listed(spark, folder).select("table_name").distinct().orderBy("table_name")
     return [row["table_name"] for row in names.collect()]
 
 
-def discover_csv_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``<table>.csv`` of a folder, by name, with its number of lines after the headers.
+def discover_csv_tables(spark: SparkSession, folder: str, count_lines: bool = True) -> DataFrame:
+    """Every ``<table>.csv`` of a folder, by name, empty ones too.
 
-    Each part of a table has its own header line.
+    With ``count_lines`` the files are read for their number of lines after the header, which each
+    part of a table has for itself. Lines are not records where quoted fields contain line ends.
     """
-    lines = spark.read.options(pathGlobFilter="*.csv", recursiveFileLookup=True).text(folder)
-    parts = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg((F.count(F.lit(1)) - 1).alias("n_lines"))
-    return _named(parts).groupBy("file_name", "table_name").agg(F.sum("n_lines").alias("n_lines")).orderBy("file_name")
+    files = _listed(spark, folder)
+    found = files.select("file_name", "table_name").distinct()
+    if count_lines:
+        lines = spark.read.options(pathGlobFilter="*.csv", recursiveFileLookup=True).text(folder)
+        parts = lines.groupBy(F.col("_metadata.file_path").alias("url")).agg((F.count(F.lit(1)) - 1).alias("n_lines"))
+        # A file's URL is its path percent-encoded; a plus sign stands for itself there.
+        parts = parts.select(F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B"))).alias("path"), "n_lines")
+        counted = _named(parts).groupBy("table_name").agg(F.sum("n_lines").alias("n_lines"))
+        found = found.join(counted, "table_name", "left").select("file_name", "table_name", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
+    return found.orderBy("file_name")
 
 
 def sample_first_n(df: DataFrame, n: int, order_by: Iterable[str]) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from ledgerloom.session import build_session  # noqa: E402
+from ledgerloom.session import build_session, release  # noqa: E402
 
 TESTDATA = "/root/testdata"
 
@@ -28,6 +28,7 @@ def spark():
         },
     )
     yield session
+    release(session)
     session.stop()
 
 

@@ -151,3 +151,21 @@ def test_product_sales_lines(spark):
     variants = spark.createDataFrame([(1, 7), (2, 7), (3, 8)], "id bigint, product_id bigint")
     product = spark.createDataFrame([(7, "x")], "id bigint, name string")
     assert fc.product_sales_lines(orders, items, variants, product).agg(F.sum("quantity")).first()[0] == 8.0
+
+
+def test_comparison_covers_long_ranges_short_histories_and_flat_products(spark):
+    """Six test months, a product with half a year of training, and one whose changes are all alike."""
+    split = fc.Split(dt.date(2025, 12, 31), dt.date(2026, 1, 1), dt.date(2026, 6, 30))
+    rnd = random.Random(2)
+    series = {1: (0, [rnd.randrange(30) for _ in range(42)]), 2: (30, [3, 4, 5, 6, 7, 8, 1, 2, 3, 4, 5, 6]), 3: (0, [5] * 42)}
+    found = {r.product_id: r for r in fc.forecast_comparison(demand(spark, series), split).collect()}
+    assert {p: r.n_months for p, r in found.items()} == {1: 6, 2: 6, 3: 6}
+    for product, (start, values) in series.items():
+        at = 36 - start
+        steps = [sum(values[at + i - 3 : at + i]) / 3 for i in range(6)]
+        assert found[product].baseline_total == pytest.approx(sum(steps), abs=0.5)
+        assert found[product].baseline_mae == pytest.approx(sum(abs(a - b) for a, b in zip(values[at:], steps)) / 6)
+    ahead = seasonal_loop(series[1][1][:36], 6)
+    assert found[1].seasonal_total == round(sum(ahead))
+    assert found[1].seasonal_mae == pytest.approx(sum(abs(a - b) for a, b in zip(series[1][1][36:], ahead)) / 6)
+    assert [found[p].seasonal_total for p in (2, 3)] == [found[p].seasonal_mae for p in (2, 3)] == [None, None]

@@ -78,7 +78,10 @@ def test_reports(layers):
     assert all(r.forecast is not None for r in months.collect())
     split = Split(dt.date(2026, 1, 31), dt.date(2026, 2, 1), dt.date(2026, 3, 31))
     compared = medallion.demand_forecast(layers, "motor 5", split)
-    assert compared.columns[:2] == ["product_id", "n_months"]
+    months = {r.month: r for r in medallion.baseline_forecast(layers, "motor 5", split).collect()}
+    (row,) = compared.collect()
+    assert row.product_id == 5 and row.n_months == len(months) == 2
+    assert row.baseline_total == pytest.approx(sum(r.forecast for r in months.values()), abs=1)
 
 
 def test_raw_load_and_schema(layers, tmp_path):

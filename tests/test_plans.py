@@ -7,6 +7,7 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
+from ledgerloom.plans.registry import QUERIES
 
 FOLDER = os.path.join(TESTDATA, "sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -70,7 +71,7 @@ def test_windows_over_months_share_one_shuffle(spark):
 
 
 def test_no_python_outside_pair_counting(spark):
-    for name in entry.queries():
+    for name in QUERIES:
         if name in ("co_purchase_counts", "product_similarity", "top5_similar_all_products"):
             continue
         text = plan(spark, name)

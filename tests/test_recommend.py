@@ -58,8 +58,11 @@ def test_pairs_counted_in_small_steps():
     pairs = random_pairs(11)
     customers, products = zip(*pairs)
     block = [p % 2 for p in products]
-    table = pa.table({"customer_id": customers, "product_id": products, "block": pa.array(block, pa.int32())})
-    want, _ = brute(pairs)
+    want, buyers = brute(pairs)
+    n_buyers = pa.array([buyers[p] for p in products], pa.int64())
+    table = pa.table(
+        {"customer_id": customers, "product_id": products, "block": pa.array(block, pa.int32()), "n_buyers": n_buyers}
+    )
     for step in (1, 13, 10**6):
         got = {}
         for a, b in ((0, 0), (0, 1), (1, 1)):
@@ -67,10 +70,27 @@ def test_pairs_counted_in_small_steps():
             for name, value in (("block_a", a), ("block_b", b)):
                 cell = cell.append_column(name, pa.array([value] * len(cell), pa.int32()))
             for row in rec._cell_counter(step)(cell).to_pylist():
-                got[row["product_a"], row["product_b"]] = row["n_both"]
+                pair = row["product_a"], row["product_b"]
+                got[pair] = row["n_both"]
+                assert (row["n_a"], row["n_b"]) == (buyers[pair[0]], buyers[pair[1]])
         assert got == want
 
 
+@pytest.mark.parametrize("shares", [1, 5])
+def test_rows_are_copied_only_where_customers_have_partners(spark, shares):
+    """One block means one copy whatever the shares; with many, at most the customer's own blocks."""
+    pairs = random_pairs(4)
+    placed, blocks = rec._placed(frame(spark, pairs), 40, 2048)
+    assert blocks == 1 and rec._cells(placed, blocks, len(pairs), len(pairs) // shares).count() == len(pairs)
+    placed, blocks = rec._placed(frame(spark, pairs), 40, 4)
+    assert blocks == 10
+    visited = {}
+    for row in placed.collect():
+        visited.setdefault(row.customer_id, []).append(row.block)
+    copies = rec._cells(placed, blocks, len(pairs), len(pairs) // shares).count()
+    assert copies == sum(len(b) * len(set(b)) for b in visited.values()) < blocks * len(pairs)
+
+
 def test_empty_basket(spark):
     assert rec.co_purchase_counts(frame(spark, [])).count() == 0
     assert rec.product_similarity(frame(spark, [])).count() == 0

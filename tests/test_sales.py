@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import calendar, sales, silver
@@ -116,3 +117,11 @@ def test_calendar_without_sales_is_empty(spark):
 def test_distinct_channels(spark):
     df = orders(spark, *[(i, 1, 1.0, None, None, "paid", c) for i, c in enumerate(["pos", "web", "pos", None])])
     assert {r.channel for r in sales.distinct_channels(df).collect()} == {"pos", "web", None}
+
+
+def test_amounts_keep_fractions_of_a_cent_and_leave_out_nan(spark):
+    rows = [(1, 0.005), (2, 0.005), (3, 0.004), (4, float("nan")), (5, None)]
+    orders = spark.createDataFrame(rows, "id bigint, total double").selectExpr("*", "7 AS customer_id", "timestamp'2024-01-01' AS created_at")
+    found = sales.orders_overview(orders).first()
+    assert found.total_linhas == 5 and found.valor_medio == pytest.approx(0.014 / 3)
+    assert sales.customer_revenue_freq(orders).first().faturamento_total == pytest.approx(0.014)

@@ -7,7 +7,7 @@ import pytest
 
 from ledgerloom.plans import medallion
 from ledgerloom.session import new_path
-from ledgerloom.sources import catalog, csvfiles, csvrecords
+from ledgerloom.sources import catalog, csvfiles
 
 QUOTED = 'id,note\n1,"line1\nline2"\n2,"a ""q"" b"\n3,plain\n'
 
@@ -30,23 +30,21 @@ def test_files_without_spanning_records_stay_splittable(spark, csv_dir):
     assert sorted(map(tuple, csvfiles.scan_raw_text(spark, path).collect())) == sorted(read_rows(path))
 
 
-@pytest.fixture()
-def small_blocks(spark):
-    """Blocks of a few lines, so that many records are cut."""
+@pytest.fixture(params=[64, 200, None])
+def split_size(spark, request):
+    """Splits of a few lines, so that the size of a file can matter, and the default."""
     key, open_cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
     before = spark.conf.get(key), spark.conf.get(open_cost)
-    spark.conf.set(open_cost, "1")
-
-    def use(size):
-        spark.conf.set(key, str(size))
-
-    yield use
+    if request.param:
+        spark.conf.set(key, str(request.param))
+        spark.conf.set(open_cost, "1")
+    yield request.param
     spark.conf.set(key, before[0])
     spark.conf.set(open_cost, before[1])
 
 
 def messy_csv(seed, n, end):
-    """Records with quotes, commas and line ends inside fields, some longer than several blocks."""
+    """Records with quotes, commas and line ends inside fields."""
     rnd = random.Random(seed)
     lines = ["id,note,amount"]
     for i in range(n):
@@ -58,30 +56,45 @@ def messy_csv(seed, n, end):
     return end.join(lines) + rnd.choice(["", end])
 
 
-@pytest.mark.parametrize("size", [64, 200, 1000])
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
-def test_split_files_give_the_same_records(spark, csv_dir, small_blocks, size, end):
-    folder = csv_dir(a=messy_csv(size, 150, end), b=messy_csv(size + 1, 80, end), c="id,note,amount" + end)
-    small_blocks(size)
-    assert csvfiles.record_layout(spark, folder) == csvfiles.SPLIT_FILE
-    want = sorted(row for name in "abc" for row in read_rows(f"{folder}/{name}.csv"))
-    assert csvrecords.read_lines(spark, folder).rdd.getNumPartitions() > 5
-    assert sorted(map(tuple, csvfiles.scan_raw_text(spark, folder).collect())) == want
-    inferred = csvfiles.scan_inferred(spark, folder)
-    assert dict(inferred.dtypes) == {"id": "int", "note": "string", "amount": "double"}
-    assert sorted((str(r.id), r.note or "", r.amount) for r in inferred.collect()) == [
-        (i, note, float(amount)) for i, note, amount in want
-    ]
-    given = csvfiles.scan_inferred(spark, folder, "id string, note string, amount string")
-    assert sorted((r.id, r.note or "", r.amount) for r in given.collect()) == want
-
-
-def test_split_files_reject_ragged_rows(spark, csv_dir, small_blocks):
-    folder = csv_dir(a=messy_csv(1, 50, "\n") + "\n9,9\n")
-    small_blocks(100)
-    layers = medallion.Layers(spark, root=new_path(spark, "ragged"))
-    with pytest.raises(Exception, match="(?i)malformed"):
-        medallion.land_raw_text(layers, folder, ["a"])
+SAME_AT_EVERY_SIZE = {
+    "stray quote": ("id,size,note\n" + "".join(f'{i},3,5" pipe\n' for i in range(60)), csvfiles.BY_LINE),
+    "header with a line end": ('id,"two\nlines"\n' + "".join(f"{i},x\n" for i in range(60)), csvfiles.WHOLE_FILE),
+    "blank lines": ("id,note\n" + "".join(f"{i},x\n\n" for i in range(60)), csvfiles.BY_LINE),
+    "quoted line ends": (messy_csv(3, 150, "\n"), csvfiles.WHOLE_FILE),
+    "carriage returns": (messy_csv(4, 80, "\r\n"), csvfiles.WHOLE_FILE),
+    "closed quotes": ("id,note\n" + "".join(f'{i},"a ""{i}"" b, c"\n' for i in range(60)), csvfiles.BY_LINE),
+    "only a header": ("id,note\n", csvfiles.BY_LINE),
+}
+
+
+@pytest.mark.parametrize("case", list(SAME_AT_EVERY_SIZE))
+def test_records_do_not_depend_on_the_split_size(spark, csv_dir, split_size, case):
+    text, layout = SAME_AT_EVERY_SIZE[case]
+    path = csv_dir(t=text) + "/t.csv"
+    want = sorted(row for row in read_rows(path) if row)
+    assert csvfiles.record_layout(spark, path) == layout
+    raw = csvfiles.scan_raw_text(spark, path)
+    assert sorted(map(tuple, raw.collect())) == want
+    inferred = csvfiles.scan_inferred(spark, path)
+    assert len(inferred.columns) == len(raw.columns) and inferred.count() == len(want)
+
+
+def test_parts_with_differing_headers_are_refused(spark, csv_dir, split_size):
+    folder = csv_dir(a="id,note\n" + "1,x\n" * 60, b="note,id\n" + "x,1\n" * 60)
+    for scan in (csvfiles.scan_raw_text, csvfiles.scan_inferred):
+        with pytest.raises(Exception, match="(?i)header"):
+            scan(spark, folder).collect()
+
+
+def test_open_lines_are_told_by_the_field_grammar(spark):
+    lines = {
+        "a,b": False, "": False, '"a","b"': False, '"a ""q"" b",c': False, 'a,"b': True, '"a""': True,
+        'a"b,c': False, '3,5" pipe': False, '"a"b,"c': True, ',,"': True, '"",""': False, ',"x,y",': False,
+        '"' + 'a""' * 50_000 + '"': False, '"' + 'a""' * 50_000: True, "," * 100_000: False,
+    }
+    found = spark.createDataFrame(list(lines.items()), "line string, open boolean")
+    judged = found.withColumn("closed", found.line.rlike(csvfiles.CLOSED_LINE)).collect()
+    assert [r.line[:20] for r in judged if r.open == r.closed] == []
 
 
 def test_raw_text_keeps_empties_as_text(spark, csv_dir):
@@ -118,6 +131,16 @@ def test_discover_counts_files_and_folders(spark, csv_dir):
     assert csvfiles.csv_table_names(spark, folder) == ["a", "b", "other", "parts"]
 
 
+def test_discovery_finds_empty_files_and_decodes_names(spark, tmp_path):
+    for name, text in (("my table.csv", "x\n1\n"), ("a+b 100%.csv", "x\n1\n2\n"), ("empty.csv", "")):
+        (tmp_path / name).write_text(text)
+    found = [tuple(r) for r in csvfiles.discover_csv_tables(spark, str(tmp_path)).collect()]
+    assert found == [("a+b 100%.csv", "a+b 100%", 2), ("empty.csv", "empty", 0), ("my table.csv", "my table", 1)]
+    assert csvfiles.csv_table_names(spark, str(tmp_path)) == ["a+b 100%", "empty", "my table"]
+    listed = csvfiles.discover_csv_tables(spark, str(tmp_path), count_lines=False)
+    assert listed.columns == ["file_name", "table_name"] and listed.count() == 3
+
+
 def test_overwrite_replaces_rows_and_schema(spark):
     path = new_path(spark, "replaced")
     for df in (spark.range(5).selectExpr("id", "'x' AS gone"), spark.range(3).selectExpr("id", "2.5D AS added")):
@@ -136,10 +159,26 @@ def test_ddl_script(spark, tmp_path):
     catalog.write_ddl_script(ddl, str(tmp_path / "ddl"))
     (part,) = glob.glob(os.path.join(tmp_path, "ddl", "part-*"))
     text = open(part, encoding="utf-8").read()
-    assert text.startswith("-- Schema gerado automaticamente")
+    assert text.startswith("-- Tables as inferred")
     assert text.index("CREATE a;") < text.index("CREATE b;")
 
 
 def test_sample_first_n(spark):
     df = spark.range(1000, numPartitions=7)
     assert [r.id for r in csvfiles.sample_first_n(df, 5, ["id"]).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_release_leaves_nothing_behind(spark, monkeypatch):
+    from ledgerloom import session
+
+    # The session's own folder and databases are shared by all tests, so a stand-in is released.
+    own = os.path.join(session.shared_folder(spark), "stand-in")
+    monkeypatch.setattr(session, "shared_folder", lambda _: own)
+    monkeypatch.setattr(session, "_databases", {})
+    name = session.new_database(spark, "gone")
+    catalog.overwrite_table(spark.range(3), f"{name}.t")
+    session.materialize(spark.range(3), "gone")
+    assert os.path.isdir(own.removeprefix("file:")) and spark.catalog.databaseExists(name)
+    session.release(spark)
+    assert not os.path.exists(own.removeprefix("file:")) and not spark.catalog.databaseExists(name)
+    assert session._databases == {}
