@@ -160,10 +160,13 @@ def _rest(members: DataFrame, sizes: DataFrame, sets: DataFrame, similarity: tup
     # A set of n items shares at least one of its first n - ceil(s n) + 1 with every similar set.
     prefix = items.join(counts, "item").withColumns({"place": place, "n": n})
     prefix = prefix.where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * low / high) + 1) & (F.col("n_docs") > 1))
-    prefix = written(prefix.join(open_ids, "id").select("item", "id", "component", "n"), "prefix")
-    left = prefix.select("item", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    right = prefix.select("item", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    return left.join(right, "item").where((F.col("cb") < F.col("ca")) & _could("na", "nb", similarity)).select("a", "b").distinct()
+    prefix = written(prefix.join(open_ids, "id").select("item", "id", "component", "n", (F.col("n") - F.col("place")).alias("after")), "prefix")
+    left = prefix.select("item", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("after").alias("rb"))
+    right = prefix.select("item", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("after").alias("ra"))
+    # At the first item that two sets share, what follows in both must suffice for the similarity. Rare
+    # items come first, so a set with too many items of its own meets none of the others.
+    enough = (low + high) * (1 + F.least("ra", "rb")) >= low * (F.col("na") + F.col("nb"))
+    return left.join(right, "item").where((F.col("cb") < F.col("ca")) & enough & _could("na", "nb", similarity)).select("a", "b").distinct()
 
 
 def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
