@@ -27,8 +27,11 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")) % n
 
 
-def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function from one batch to named columns of the given schema."""
+def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict | Iterator[dict] | None], schema: str) -> DataFrame:
+    """``mapInArrow`` with a function from one batch to named columns of the given schema.
+
+    The function may also yield the columns part by part, so that a part's memory is free for the next.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -36,8 +39,8 @@ def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = work(batch)
-            if columns is not None:
+            found = work(batch)
+            for columns in [] if found is None else [found] if isinstance(found, dict) else found:
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)

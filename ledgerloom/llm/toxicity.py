@@ -31,6 +31,8 @@ from ledgerloom.llm.common import by_batch, crc_mod
 PREFIXES = range(3, 11)
 SAMPLE = 8000
 MIN_TOXIC, MIN_RATIO, MAX_FEATURES = 4, 10.0, 1 << 14
+# Features counted in a task before they are handed on.
+PART = 1 << 20
 PENALTY, RIDGE, STEPS = 10.0, 0.001, 300
 # Groups of identity terms that may stand for each other.
 IDENTITY_TERMS = (
@@ -120,9 +122,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, groups=IDENT
     # At most ``sample`` rows of two numbers are broadcast.
     known = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
+    def counted(parts: list[np.ndarray]) -> dict:
+        one, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)
+        return {"feature": one.view(np.int64), "n": counts}
+
     def text_frequencies(wanted: np.ndarray | None):
         def work(batch):
-            parts = []
+            parts, size = [], 0
             for _, _, data, offsets in textnum.slices(batch.column(0)):
                 found, _ = features(data, offsets)
                 rows, hashes = (np.concatenate(x) for x in zip(*found))
@@ -135,10 +141,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, groups=IDENT
                 new = np.ones(len(rows), bool)
                 new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
                 parts.append(hashes[new])
-            if not parts:
-                return None
-            one, counts = np.unique(np.concatenate(parts), return_counts=True)
-            return {"feature": one.view(np.int64), "n": counts}
+                size += len(parts[-1])
+                if size >= PART:
+                    yield counted(parts)
+                    parts, size = [], 0
+            yield counted(parts)
 
         return work
 
