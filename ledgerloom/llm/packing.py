@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,13 @@ from ledgerloom.llm import textnum
 from ledgerloom.llm.common import written
 
 LENGTH = 2048
-MEMO_WORDS = 600_000
+MEMO_WORDS = 700_000
 SPECIAL = re.compile(rb"<\|")
+# Lower-case letters of Latin-1 with ASCII marks after them (no apostrophe), and the letters by which byte-level vocabularies write bytes: printable
+# ones stand for themselves, the others are numbered from 256 on in order.
+PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class WordTokenizer:
@@ -67,10 +73,23 @@ class WordTokenizer:
         self.learn([b".", b","])
 
     def learn(self, words: list[bytes]) -> None:
-        """Encodes words not yet known and adds their ids to the pool."""
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        """Encodes words not yet known and adds their ids to the pool.
+
+        Words of Latin letters are one piece that normalisation only lower-cases, and ASCII marks
+        behind them are another, so the merges alone give their ids; all others take the
+        tokenizer's full course.
+        """
+        ids, merge = [], self.tokenizer.model.tokenize
+        for word in words:
+            text = word.decode()
+            plain = PLAIN.fullmatch(text.lower())
+            if plain:
+                letters, marks = plain.groups()
+                found = merge(letters.encode().decode("latin-1").translate(BYTE_LETTERS))
+                ids.append([token.id for token in (found + merge(marks) if marks else found)])
+            else:
+                ids.append(self.tokenizer.encode(text, add_special_tokens=False).ids)
         n = len(self.memo)
-        ids = [e.ids for e in found]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         start = self.ends[n]
         while len(self.ends) <= n + len(ids):
@@ -79,7 +98,7 @@ class WordTokenizer:
         stop = int(self.ends[n + len(ids)])
         while len(self.pool) < stop:
             self.pool = np.append(self.pool, np.zeros(len(self.pool), np.uint32))
-        self.pool[start:stop] = np.fromiter((i for one in ids for i in one), np.uint32, stop - int(start))
+        self.pool[start:stop] = np.fromiter(chain.from_iterable(ids), np.uint32, stop - int(start))
         for i, word in enumerate(words):
             self.memo[word] = n + i
 
@@ -98,9 +117,8 @@ class WordTokenizer:
             self.clear()
         new = set(words).difference(self.memo)
         if new:
-            self.learn(sorted(new))
-        memo = self.memo
-        number = np.fromiter((memo[w] for w in words), np.int64, len(words))
+            self.learn(list(new))
+        number = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
         # Each word is followed by its point or comma, or by nothing.
         number = np.stack([number, mark - 1], axis=1).ravel()
         from_ = np.where(number >= 0, self.ends[number], 0)
