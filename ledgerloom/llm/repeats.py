@@ -8,8 +8,9 @@ equal windows have equal anchors. The run of windows with one anchor is a segmen
 ``2 * LENGTH`` bytes, and each window lies in one segment, so segments can be dealt by their anchors:
 
 1. Only a segment's two hashes (anchor, content) and place travel. Of equal segments the first one
-   stays; all windows of the others start earlier there. Tasks keep one row of equal segments each before
-   anything shuffles, so a passage in a third of all documents costs one row a task.
+   stays; all windows of the others start earlier there. Batches keep one row of equal segments each before
+   anything shuffles, and one row for each anchor to ask whether another batch has it, so a passage in a
+   third of all documents costs one row a batch. Anchors that occur once end here.
 2. An anchor with one content is settled. For the others the first segment of each content is cut out of
    its document and goes to a shard. A shard concatenates its segments in the order of places, builds their
    suffix array by induced sorting and the permuted common prefixes, and so finds every window that starts
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import textnum
@@ -84,8 +85,9 @@ def _order(doc, text, start, *before):
 
 
 def candidates(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """Of each task's equal segments one row with ``settled`` false, the first; the others' spans are
-    settled. Columns: doc, hash, start, end, anchor, content, settled."""
+    """Of each batch's equal segments one row with ``settled`` false, the first; the others' spans are
+    settled. One row an anchor ``asks`` whether other batches have it too; ``shared`` anchors have
+    several contents in the batch and need not wait for the answer."""
 
     def work(batch):
         numbers = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -105,10 +107,18 @@ def candidates(docs: DataFrame, length: int, gram: int) -> DataFrame:
         again = np.zeros(len(doc), bool)
         again[1:] = settled[1:] & (doc[1:] == doc[:-1]) & (text[1:] == text[:-1]) & (start[1:] == start[:-1])
         keep = ~again
-        names = ("doc", "hash", "start", "end", "anchor", "content", "settled")
-        return dict(zip(names, (x[keep] for x in (doc, text, start, end, anchor, content, settled))))
+        columns = [x[keep] for x in (doc, text, start, end, anchor, content, settled)]
+        # Rows are in the order of anchors: of each anchor the first row, never a settled one, asks.
+        anchor, settled = columns[4], columns[6]
+        asks = np.ones(len(anchor), bool)
+        asks[1:] = anchor[1:] != anchor[:-1]
+        group = np.cumsum(asks) - 1
+        shared = np.bincount(group, ~settled, minlength=1)[group] > 1
+        names = ("doc", "hash", "start", "end", "anchor", "content", "settled", "asks", "shared")
+        return dict(zip(names, (*columns, asks, shared)))
 
-    return by_batch(docs.select("doc", "hash", "text"), work, "doc long, hash long, start int, end int, anchor long, content long, settled boolean")
+    schema = "doc long, hash long, start int, end int, anchor long, content long, settled boolean, asks boolean, shared boolean"
+    return by_batch(docs.select("doc", "hash", "text"), work, schema)
 
 
 def _cut(pieces: DataFrame, docs: DataFrame, one_by_one: bool, length: int) -> DataFrame:
@@ -186,27 +196,28 @@ def shard_spans(pieces: DataFrame, shards: int, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, variants: int = VARIANTS) -> DataFrame:
     """All spans (doc, hash, start, end) to remove; they may overlap. ``docs`` has doc, hash and text."""
-    found = written(candidates(docs, length, gram), "segments")
-    open_ = found.where("NOT settled").drop("settled")
-    anchors = open_.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("x"), F.max("content").alias("y"))
-    anchors = anchors.where("n > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
-    shared = written(open_.join(anchors, "anchor"), "shared")
-    place = F.struct("doc", "hash", "start")
-    firsts = shared.groupBy("anchor", "content").agg(F.min(place).alias("first"), F.first("mixed").alias("mixed"), F.count(F.lit(1)).alias("n"))
+    found = candidates(docs, length, gram)
+    # Anchors meet by one row a batch; all other rows are spread evenly and only pass through.
+    key = F.when(F.col("asks"), F.col("anchor")).otherwise(F.xxhash64("doc", "hash", "start"))
+    asked = found.withColumn("key", key).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("asks", "key")))
+    asked = asked.where("settled OR shared OR (asks AND n > 1)").drop("asks", "shared", "key", "n")
+    found = written(asked, "segments")
+    shared = found.where("NOT settled")
+    place = F.struct("doc", "hash", "start", "end")
+    firsts = shared.groupBy("anchor", "content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = written(firsts, "firsts")
     several = firsts.where("n > 1").select("anchor", "content", "first")
     later = shared.join(several, ["anchor", "content"]).where(place != F.col("first")).select("doc", "hash", "start", "end")
-    counted = firsts.where("mixed").groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"))
-    many = counted.where(F.col("contents") > variants).select("anchor", F.lit(True).alias("many"))
-    # The first place of a content again with its end, which equal contents share by their distance.
-    kept = shared.where("mixed").join(firsts.select("anchor", "content", "first"), ["anchor", "content"]).where(place == F.col("first"))
-    kept = written(kept.join(many, "anchor", "left").select("doc", "hash", "start", "end", "anchor", F.coalesce("many", F.lit(False)).alias("many")), "kept")
+    counted = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
+    kept = firsts.select("anchor", "first.*").join(counted, "anchor").withColumn("many", F.col("contents") > variants)
+    kept = written(kept.drop("contents"), "kept")
     few = kept.where("NOT many")
     total = few.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     in_shards = shard_spans(_cut(few, docs, False, length), shards, length)
     windows = _cut(kept.where("many"), docs, True, length)
     windows = written(windows.select("doc", "hash", "start", "bytes"), "windows")
+    place = F.struct("doc", "hash", "start")
     earliest = windows.groupBy("bytes").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     rims = windows.join(earliest, "bytes").where(place != F.col("first"))
     rims = rims.select("doc", "hash", "start", (F.col("start") + length).cast("int").alias("end"))
