@@ -60,11 +60,11 @@ class WordTokenizer:
 
     @classmethod
     def shared(cls, path: str) -> "WordTokenizer":
-        """The tokenizer of this worker process; it is kept between tasks. Never called on the driver."""
-        kept = getattr(cls, "kept", None)
-        if kept is None or kept[0] != path:
-            kept = cls.kept = (path, cls(path))
-        return kept[1]
+        """The tokenizer of this worker process; it is kept between tasks."""
+        store = textnum.process_store()
+        if store.get("tokenizer_path") != path:
+            store["tokenizer"], store["tokenizer_path"] = cls(path), path
+        return store["tokenizer"]
 
     def clear(self) -> None:
         self.memo.clear()

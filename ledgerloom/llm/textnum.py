@@ -7,7 +7,9 @@ Texts come as Arrow string arrays; a null counts as empty. A batch is worked off
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,17 @@ SLICE_BYTES = 1 << 19
 MULTIPLIER = 0x9E3779B97F4A7C15
 MIX1, MIX2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
-_powers: dict[str, np.ndarray] = {}
+
+def process_store() -> dict:
+    """A dict of this process.
+
+    Functions travel by value, so their globals are made anew for each task; what should be made once
+    in a worker, and not linger until the collector finds it, is kept here.
+    """
+    name = "ledgerloom_process_store"
+    if name not in sys.modules:
+        sys.modules[name] = ModuleType(name)
+    return sys.modules[name].__dict__
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -37,6 +49,7 @@ def random_numbers(n: int, seed: int) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse modulo 2**64, at least ``n`` of each."""
+    _powers = process_store()
     if "up" not in _powers or len(_powers["up"]) < n:
         size = max(n, 2 * SLICE_BYTES)
         for name, base in (("up", MULTIPLIER), ("down", pow(MULTIPLIER, -1, 1 << 64))):
