@@ -100,7 +100,9 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     top = p.max(axis=1)
     order = np.argsort(-top)
     right = np.cumsum(p.argmax(axis=1)[order] == labels[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(right >= 0.99)
+    # Equal scores are accepted together or not at all.
+    ends = np.append(top[order][1:] != top[order][:-1], True)
+    good = np.flatnonzero((right >= 0.99) & ends)
     return best[1], float(top[order[good[-1]]]) if len(good) else 1.0
 
 
