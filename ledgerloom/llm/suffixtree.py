@@ -1,17 +1,20 @@
 """Language-model scores by a probabilistic suffix tree.
 
 Tokens are lower-cased words and one end per text. The tree's contexts are the strings of up to ``DEPTH``
-words whose share of all training tokens is at least ``P_MIN`` and whose next-symbol distribution, by a
-likelihood test, diverges enough from that of their longest kept suffix. A state's distribution is
-discounted by ``DISCOUNT`` for each stored symbol and the mass set free goes to its suffix's
-distribution, down to the smoothed word frequencies, so it sums to one over the training vocabulary
-and one unknown symbol. Each token is scored in the longest suffix state of what precedes it.
-
-All counts are exact and cover all training texts: words are counted by one shuffle; for each further
-length only strings whose first part was frequent are counted. Strings are stored if their share is at least
-``P_MIN``, so a level holds at most ``1 / P_MIN`` of them at any size of the corpus; that is what is
-sent to the executors. The many rare words never are: the texts' rare words are joined with the
-counted vocabulary and only sums return. No word that is looked up this way can be a hot key.
+words that occur at least ``MIN_COUNT`` times in the training texts, a fixed number at any size of the
+corpus, and whose next-symbol distribution, by a likelihood test, diverges enough from that of their longest
+kept suffix. A state's distribution is discounted by ``DISCOUNT`` for each stored symbol and the mass set
+free goes to its suffix's distribution, down to the smoothed word frequencies, so it sums to one over the
+training vocabulary and one unknown symbol. Each token is scored in the longest suffix state of what precedes it.
+
+All counts are exact and cover all training texts, and no table of words, strings or states is ever brought
+to the driver or broadcast: they grow with the corpus and stay in written tables, dealt to buckets
+by a hash. The number of buckets grows with the tokens (``BUCKET_TOKENS``), so a bucket does not. Texts are
+kept as slices of about ``SLICE_TOKENS`` tokens (one text at least). For each length a slice sends its
+distinct strings whose two parts are stored to their buckets and gets back their counts; as a slice
+asks once for a string, no string is a hot key. Then, length by length, stored strings meet the
+probabilities of their suffixes and are gathered by context; a context's bucket holds its distinct stored
+symbols. At last each slice asks once for every stored string that it scores with.
 
 Defined results: null texts are empty and consist of the end only. Repeated rows are counted and scored
 row by row, rows that share a doc_id too. Without training
@@ -20,19 +23,26 @@ texts every probability is that of one unknown symbol. Other columns do not matt
 
 from __future__ import annotations
 
+import gc
+import os
+import pickle
+import zlib
+from collections.abc import Callable, Iterator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ledgerloom.llm import textnum
 from ledgerloom.llm.common import by_batch, crc_mod, written
 
 DEPTH = 3
-P_MIN = 2e-6
+MIN_COUNT = 3
 DISCOUNT = 0.75
 MIN_GAIN, MIN_DIVERGENCE = 3.0, 0.002
+SLICE_TOKENS, BUCKET_TOKENS = 1 << 20, 1 << 21
 END = np.uint64(0x9D39247E33776D41)
 
 
@@ -55,15 +65,8 @@ def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[place] == keys, place, -1)
 
 
-def _summed(keys: list[np.ndarray]):
-    if not keys:
-        return None
-    one, n = np.unique(np.concatenate(keys), return_counts=True)
-    return {"key": one.view(np.int64), "n": n}
-
-
 class Tree:
-    """The levels of the tree: stored strings of each length with their counts, and the states."""
+    """The same tree held in memory, level by level: the plain form of what the tables below hold."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, n_tokens: int, n_words: int):
         self.words, self.n_tokens, self.n_words = words, n_tokens, n_words
@@ -141,136 +144,347 @@ class Tree:
         return np.log10(base), np.log10(p)
 
 
-def count_words(texts: DataFrame) -> DataFrame:
-    """(key, n): how often each token hash occurs in the column ``text``."""
+# Parcels: packed numbers sent to a slice or a bucket, with where they come from and what they are.
+PARCEL = "to long, source long, kind int, data binary"
+TEXTS, ASKED, COUNTED, ENTRIES, STRINGS, STATES, TOTALS, ANSWERS, MARKS, NUMBERS = range(10)
+
+
+def _bytes(*columns: np.ndarray) -> bytes:
+    """Columns of 8-byte numbers, one after the other."""
+    return b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
+
+
+def _columns(raws: list[bytes], kinds: str) -> list[np.ndarray]:
+    """The columns of several parcels; ``kinds`` has u, i or f for each."""
+    parts = [np.frombuffer(raw, np.uint64).reshape(len(kinds), -1) for raw in raws]
+    return [np.concatenate([np.zeros(0, np.uint64), *(p[k] for p in parts)]).view(f"{kind}8") for k, kind in enumerate(kinds)]
+
+
+def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that has keys, with their indices in order."""
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+    for number in np.unique(bucket).tolist():
+        yield number, order[ends[number - 1] if number else 0 : ends[number]]
 
-    def work(batch):
-        return _summed([tokens(data, offsets)[0] for _, _, data, offsets in textnum.slices(batch.column(0))])
 
-    return by_batch(texts.select("text"), work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def _dealt(source: int, kind: int, keys: np.ndarray, buckets: int, *columns: np.ndarray):
+    for number, at in _by_bucket(keys, buckets):
+        yield number, source, kind, _bytes(*(c[at] for c in columns))
 
 
-def encode(texts: DataFrame, words: np.ndarray) -> DataFrame:
-    """row, doc_id, held_out, n_tokens and the word numbers (32 bits each, -1 if rare) of every text."""
-    sent = texts.sparkSession.sparkContext.broadcast(words)
+def meet(parcels: list[DataFrame], work: Callable[[int, dict], Iterator[tuple]], schema: str = PARCEL) -> DataFrame:
+    """``work`` on all parcels with the same receiver: (receiver, {kind: [(source, data)]}) to rows of the schema."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            # By source, so that the outcome does not depend on the order of arrival.
+            for source, kind, data in zip(batch.column("source").to_pylist(), batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
+                held.setdefault(kind, []).append((source, data))
+        for found in held.values():
+            found.sort()
+        for rows in work(key[0].as_py(), held):
+            columns = zip(*(rows if isinstance(rows, list) else [rows]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return reduce(DataFrame.union, parcels).groupBy("to").applyInArrow(run, schema)
+
+
+def sliced(docs: DataFrame) -> DataFrame:
+    """The texts as slices, each under a number of its own."""
+
+    def slice_of(parts: list[tuple]) -> dict:
+        ids, held, hashes, sizes = zip(*parts)
+        vocabulary, number, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        # Numbers by frequency and their bytes apart, so that they compress.
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        packed = zlib.compress(rank[number].view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+        texts = {"docs": [i for one in ids for i in one], "held": np.concatenate(held), "sizes": np.concatenate(sizes)}
+        texts |= {"words": vocabulary[order], "ids": packed}
+        name = int.from_bytes(os.urandom(8), "big") >> 1
+        return {"to": [name], "source": [name], "kind": [TEXTS], "data": [pickle.dumps(texts, 5)]}
 
     def work(batch):
-        words, ids, sizes = sent.value, [], []
-        for _, _, data, offsets in textnum.slices(batch.column(3)):
+        parts, size = [], 0
+        for low, high, data, offsets in textnum.slices(batch.column(2)):
             found, rows = tokens(data, offsets)
-            number = _place(words, found).astype(np.int32)
-            ids += [number[a:b].tobytes() for a, b in zip(rows[:-1], rows[1:])]
-            sizes.append(np.diff(rows))
-        return {"row": batch.column(0), "doc_id": batch.column(1), "held_out": batch.column(2), "n_tokens": np.concatenate(sizes), "ids": ids} if sizes else None
-
-    return by_batch(texts.select("row", "doc_id", "held_out", "text"), work, "row long, doc_id long, held_out boolean, n_tokens long, ids binary")
-
-
-def _numbers(column: pa.Array):
-    """Word numbers of a batch of texts, a slice at a time, with marks of the texts' first tokens."""
-    held, size = [], 0
-    for raw in [*column, None]:
-        if raw is None or size > textnum.SLICE_BYTES:
-            if held:
-                first = np.zeros(sum(map(len, held)), bool)
-                first[np.cumsum([0, *map(len, held[:-1])])] = True
-                yield len(held), np.concatenate(held).astype(np.int64), first
-            held, size = [], 0
-        if raw is not None:
-            held.append(np.frombuffer(raw.as_buffer(), np.int32))
-            size += len(held[-1])
-
-
-def grow(encoded: DataFrame, tree: Tree, depth: int, p_min: float) -> Tree:
-    """Counts the strings of each further length on the training texts and adds the levels."""
-    context = encoded.sparkSession.sparkContext
-    for _ in range(depth):
-        sent = context.broadcast(tree)
-
-        def strings(batch):
-            tree, found = sent.value, []
-            for _, ids, first in _numbers(batch.column(0)):
-                for last, _ in tree.walk(ids, first):
-                    pass
-                at = np.flatnonzero((last >= 0) & (ids >= 0))
-                found.append(last[at] * max(1, len(tree.words)) + ids[at])
-            return _summed(found)
-
-        counted = by_batch(encoded.where("NOT held_out").select("ids"), strings, "key long, n long")
-        rows = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= p_min * tree.n_tokens)
-        table = rows.toPandas().sort_values("key")
-        tree.add(table["key"].to_numpy(np.int64), table["n"].to_numpy(np.float64))
-    return tree
-
-
-def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN) -> DataFrame:
-    """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+            held = np.array(batch.column(1)[low:high].to_pylist(), bool)
+            parts.append((batch.column(0)[low:high].to_pylist(), held, found, np.diff(rows)))
+            size += len(found)
+            if size >= SLICE_TOKENS:
+                yield slice_of(parts)
+                parts, size = [], 0
+        if parts:
+            yield slice_of(parts)
+
+    return by_batch(docs.select("doc_id", (crc_mod("doc_id", 5) == 1).alias("held_out"), "text"), work, PARCEL)
+
+
+def _opened(held: dict) -> dict:
+    """A slice: its texts, and for each token the length of the longest stored string that ends there, as far as known."""
+    texts = pickle.loads(held[TEXTS][0][1])
+    planes = np.frombuffer(zlib.decompress(texts["ids"]), np.uint8).reshape(4, -1)
+    texts["ids"] = np.ascontiguousarray(planes.T).view(np.int32).ravel()
+    if MARKS in held:
+        texts["stored"] = np.frombuffer(zlib.decompress(held[MARKS][0][1]), np.int8).copy()
+    return texts
+
+
+def strings(texts: dict, length: int) -> list[np.ndarray]:
+    """For each length the hashes of the strings that end at each token; those that would begin before the text mean nothing."""
+    found = [texts["words"][texts["ids"]]]
+    with np.errstate(over="ignore"):
+        for n in range(2, length + 1):
+            longer = np.zeros(len(found[0]), np.uint64)
+            longer[1:] = textnum.mix64(found[-1][:-1] * np.uint64(textnum.MULTIPLIER) + found[0][1:] + np.uint64(n))
+            found.append(longer)
+    return found
+
+
+def _before(texts: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of the text before each token, and the longest stored string that ends just before it."""
+    sizes, stored = texts["sizes"], texts["stored"]
+    place = np.arange(len(stored)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return place, np.where(place > 0, np.concatenate(([0], stored[:-1])), 0)
+
+
+def _candidates(texts: dict, length: int):
+    """Strings of all lengths, the ends of those whose two parts are stored, these distinct, and their numbers and training counts."""
+    found = strings(texts, length)
+    train = ~np.repeat(texts["held"], texts["sizes"])
+    if length == 1:
+        at, one, number = np.arange(len(texts["ids"])), texts["words"], texts["ids"]
+    else:
+        at = np.flatnonzero((texts["stored"] == length - 1) & (_before(texts)[1] >= length - 1))
+        one, number = np.unique(found[-1][at], return_inverse=True)
+    return found, at, one, number, np.bincount(number, train[at], minlength=len(one)).astype(np.int64)
+
+
+def _ask(length: int, buckets: int):
+    def work(name: int, held: dict):
+        _, _, one, _, n = _candidates(_opened(held), length)
+        return _dealt(name, ASKED, one, buckets, one, n)
+
+    return work
+
+
+def _count(bucket: int, held: dict):
+    """The counts of all strings asked for; the first slice that asks for a string owns it and gets its count negated."""
+    keys, counts = _columns([raw for _, raw in held[ASKED]], "ui")
+    one, first, number = np.unique(keys, return_index=True, return_inverse=True)
+    n = np.bincount(number, counts).astype(np.int64)
+    answer = n[number]
+    answer[first] *= -1
+    at = 0
+    for source, raw in held[ASKED]:
+        size = len(raw) // 16
+        yield source, bucket, COUNTED, _bytes(answer[at : at + size])
+        at += size
+    yield -1, bucket, TOTALS, _bytes(np.array([n.sum(), (n > 0).sum()]))
+
+
+def _scattered(keys: np.ndarray, answers: list[tuple[int, bytes]], buckets: int, kinds: str) -> list[np.ndarray]:
+    """What the buckets answered, in the order of ``keys``."""
+    out = [np.zeros(len(keys), f"{kind}8") for kind in kinds]
+    raws = dict(answers)
+    for number, at in _by_bucket(keys, buckets):
+        for column, values in zip(out, _columns([raws[number]], kinds)):
+            column[at] = values
+    return out
+
+
+def _gather(length: int, buckets: int, least: float, unit: Callable):
+    """A slice takes the counts of a length and hands on the stored strings that it owns."""
+
+    def work(name: int, held: dict):
+        texts = _opened(held)
+        found, at, one, number, _ = _candidates(texts, length)
+        (n,) = _scattered(one, held.get(COUNTED, []), buckets, "i")
+        own, stored = n <= -least, np.abs(n) >= least
+        if length == 1:
+            texts["stored"] = (stored & (n != 0))[number].astype(np.int8)
+            yield name, name, NUMBERS, _bytes(np.abs(n))
+            own &= n < 0
+            yield from _dealt(name, STRINGS, one[own], buckets, one[own], -n[own], unit(-n[own]))
+        else:
+            texts["stored"][at[stored[number]]] = length
+            some = np.zeros(len(one), np.int64)
+            some[number] = at
+            end = some[own]
+            suffix = found[-2][end]
+            yield from _dealt(name, ENTRIES, suffix, buckets, found[-2][end - 1], suffix, one[own], -n[own])
+        yield name, name, MARKS, zlib.compress(texts["stored"].tobytes(), 1)
+
+    return work
+
+
+def _below(buckets: int):
+    """Stored strings meet the probabilities of their suffixes and go on to their contexts."""
+
+    def work(bucket: int, held: dict):
+        if ENTRIES not in held:
+            return
+        context, suffix, key, n = _columns([raw for _, raw in held[ENTRIES]], "uuui")
+        keys, _, p = _columns([raw for _, raw in held[STRINGS]], "uif")
+        order = np.argsort(keys)
+        below = p[order[np.searchsorted(keys, suffix, sorter=order)]]
+        yield from _dealt(bucket, ENTRIES, context, buckets, context, key, n, below)
+
+    return work
+
+
+def _decide(buckets: int):
+    """The contexts that become states, with the mass they set free, and the probability of each stored string's last symbol."""
+
+    def work(bucket: int, held: dict):
+        if ENTRIES not in held:
+            return
+        context, key, n, below = _columns([raw for _, raw in held[ENTRIES]], "uuif")
+        # Sums in one order, so that they come out the same each time.
+        order = np.lexsort((key, context))
+        context, key, n, below = context[order], key[order], n[order], below[order]
+        keys, counts, _ = _columns([raw for _, raw in held[STRINGS]], "uif")
+        order = np.argsort(keys)
+        one, number = np.unique(context, return_inverse=True)
+        total = counts[order[np.searchsorted(keys, one, sorter=order)]].astype(np.float64)
+        free = 1 - np.bincount(number, n - DISCOUNT) / total
+        above = (n - DISCOUNT) / total[number] + free[number] * below
+        gain = np.bincount(number, n * np.log(above / below))
+        gain += (total - np.bincount(number, n)) * np.log(np.maximum(free, 1e-12))
+        kept = (gain >= MIN_GAIN) & (gain >= MIN_DIVERGENCE * total)
+        yield bucket, bucket, STATES, _bytes(one[kept], np.log10(free[kept]))
+        yield from _dealt(bucket, STRINGS, key, buckets, key, n, np.where(kept[number], above, below))
+
+    return work
+
+
+def _needs(texts: dict, depth: int):
+    """(hash, ends, whether as a context) of the stored strings that score the tokens at the given places."""
+    found, stored = strings(texts, depth + 1), texts["stored"]
+    before = _before(texts)[1]
+    for length in range(1, depth + 2):
+        at = np.flatnonzero(stored == length)
+        if length > 1:
+            yield found[length - 1][at], at, False
+        # Contexts as long as the stored string or longer do not have the token.
+        at = np.flatnonzero((before >= length) & (np.maximum(stored, 1) <= length)) if length <= depth else at[:0]
+        yield found[length - 1][at - 1], at, True
+
+
+def _wanted(depth: int, buckets: int):
+    def work(name: int, held: dict):
+        one = np.unique(np.concatenate([keys for keys, _, _ in _needs(_opened(held), depth)]))
+        return _dealt(name, ASKED, one, buckets, one)
+
+    return work
+
+
+def _answer(bucket: int, held: dict):
+    """log10 of the probability of each string's last symbol and of the mass that it sets free as a state."""
+    if ASKED not in held:
+        return
+    keys, _, p = _columns([raw for _, raw in held.get(STRINGS, [])], "uif")
+    contexts, free = _columns([raw for _, raw in held.get(STATES, [])], "uf")
+    tables = []
+    for names, values in ((keys, np.log10(p)), (contexts, free)):
+        order = np.argsort(names)
+        tables.append((names[order], values[order]))
+    for source, raw in held[ASKED]:
+        asked, out = np.frombuffer(raw, np.uint64), []
+        for names, values in tables:
+            place = _place(names, asked)
+            out.append(np.where(place >= 0, np.append(values, 0.0)[place], 0.0))
+        yield source, bucket, ANSWERS, _bytes(*out)
+
+
+def _score(depth: int, buckets: int, n_tokens: int, unit: Callable):
+    def work(name: int, held: dict):
+        texts = _opened(held)
+        (n,) = _columns([held[NUMBERS][0][1]], "i")
+        one = np.unique(np.concatenate([keys for keys, _, _ in _needs(texts, depth)]))
+        p, free = _scattered(one, held.get(ANSWERS, []), buckets, "ff")
+        base = np.log10(unit(n))[texts["ids"]]
+        model = base.copy()
+        for keys, at, as_context in _needs(texts, depth):
+            place = np.searchsorted(one, keys)
+            if as_context:
+                model[at] += free[place]
+            else:
+                # The value of the string takes the place of the word's alone; masses are added to either.
+                model[at] += p[place] - base[at]
+        sizes = texts["sizes"]
+        starts = np.cumsum(sizes) - sizes
+        sums = [np.add.reduceat(x, starts) for x in ((n > 0)[texts["ids"]].astype(np.int64), base, model)]
+        yield list(zip(texts["docs"], texts["held"].tolist(), sizes.tolist(), sums[0].tolist(), [n_tokens] * len(sizes), sums[1].tolist(), sums[2].tolist()))
+
+    return work
+
+
+def _settle(spark: SparkSession, tables: list[DataFrame]) -> None:
+    """Deletes written tables that nothing reads any more, and asks the driver to collect frames out of use, so that Spark may delete their shuffles."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
+def score(docs: DataFrame, depth: int = DEPTH, p_min: float = 0.0, min_count: int = MIN_COUNT) -> DataFrame:
+    """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    Strings are stored from ``min_count`` occurrences; ``p_min`` asks for a share of the training tokens besides.
+    """
     spark = docs.sparkSession
-    # Rows are told apart by doc_id and a hash of the text, which any later pass finds again.
-    row = F.xxhash64(F.coalesce("text", F.lit("")))
-    texts = docs.select(row.alias("row"), "doc_id", "text", (crc_mod("doc_id", 5) == 1).alias("held_out"))
-    counts = written(count_words(texts.where("NOT held_out")), "words")
-    n_tokens, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = counts.where(F.col("n") >= p_min * n_tokens).toPandas()
-    words, n = frequent["key"].to_numpy(np.int64).view(np.uint64), frequent["n"].to_numpy(np.float64)
-    order = np.argsort(words)
-    words = words[order]
-    encoded = written(encode(texts, words), "encoded")
-    tree = grow(encoded, Tree(words, n[order], n_tokens, n_words), depth, p_min)
-    sent, spread = spark.sparkContext.broadcast(tree), n_tokens + 0.5 * (n_words + 1)
-
-    def walk(batch):
-        base, model, known = [], [], []
-        for rows, ids, first in _numbers(batch.column(4)):
-            starts = np.flatnonzero(first)
-            one, two = sent.value.score(ids, first)
-            base.append(np.add.reduceat(one, starts))
-            model.append(np.add.reduceat(two, starts))
-            known.append(np.add.reduceat((ids >= 0).astype(np.int64), starts))
-        if not base:
-            return None
-        columns = dict(zip(("row", "doc_id", "held_out", "n_tokens"), batch.columns[:4]))
-        return columns | {"base": np.concatenate(base), "model": np.concatenate(model), "known": np.concatenate(known)}
-
-    scored = by_batch(encoded, walk, "row long, doc_id long, held_out boolean, n_tokens long, base double, model double, known long")
-    sent_words = spark.sparkContext.broadcast(words)
-
-    def rare(batch):
-        keys, rows, times = [], [], []
-        for low, high, data, offsets in textnum.slices(batch.column(2)):
-            found, first = tokens(data, offsets)
-            at = np.flatnonzero(_place(sent_words.value, found) < 0)
-            owner = np.repeat(np.arange(high - low), np.diff(first))[at]
-            order = np.lexsort((found[at], owner))
-            found, owner = found[at][order], owner[order]
-            new = np.flatnonzero(np.concatenate(([True], (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])))) if len(found) else np.zeros(0, int)
-            keys.append(found[new].view(np.int64))
-            rows.append(low + owner[new])
-            times.append(np.diff(np.append(new, len(found))))
-        if not keys:
-            return None
-        at = pa.array(np.concatenate(rows))
-        return {"key": np.concatenate(keys), "row": batch.column(0).take(at), "doc_id": batch.column(1).take(at), "times": np.concatenate(times)}
-
-    wanted = by_batch(texts.select("row", "doc_id", "text"), rare, "key long, row long, doc_id long, times int")
-    looked = wanted.join(counts.where(F.col("n") < p_min * n_tokens), "key", "left").select(
-        "row",
-        F.col("doc_id").alias("id"),
-        (F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(spread)))).alias("part"),
-        F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("seen"),
-    )
-    rest = looked.groupBy("row", "id").agg(F.sum("part").alias("part"), F.sum("seen").alias("seen"))
-    # Rows alike in id and text were looked up together; each takes its share.
-    alike = F.count(F.lit(1)).over(Window.partitionBy("row", "doc_id"))
-    joined = scored.withColumn("alike", alike).join(rest.withColumnRenamed("row", "other"), (F.col("row") == F.col("other")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    part = F.coalesce(F.col("part") / F.col("alike"), F.lit(0.0))
-    seen = F.coalesce((F.col("seen") / F.col("alike")).cast("long"), F.lit(0))
-    return joined.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + seen).alias("n_known"),
-        F.lit(n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + part).alias("base_score"),
-        (F.col("model") + part).alias("score"),
-    )
+    texts = written(sliced(docs), "slices")
+
+    def size_of(batch):
+        return {"n": [int(pickle.loads(raw)["sizes"].sum()) for raw in batch.column(0).to_pylist()]}
+
+    n_all = by_batch(texts.select("data"), size_of, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = max(8, -(-n_all // BUCKET_TOKENS))
+
+    def kind(frame: DataFrame, number: int) -> DataFrame:
+        return frame.where(F.col("kind") == number)
+
+    levels, states, marks, unused = [], [], [], []
+    for length in range(1, depth + 2):
+        counted = written(meet([meet([texts, *marks], _ask(length, buckets))], _count), "counts")
+        _settle(spark, [])
+        if length == 1:
+            totals = _columns([bytes(r.data) for r in kind(counted, TOTALS).select("data").collect()], "ii")
+            n_tokens, n_words = (int(x.sum()) for x in totals)
+            least, spread = max(min_count, p_min * n_tokens), n_tokens + 0.5 * (n_words + 1)
+
+            def unit(n):
+                return (n + 0.5) / spread
+
+        gathered = written(meet([texts, *marks, kind(counted, COUNTED)], _gather(length, buckets, least, unit)), "gathered")
+        marks = [kind(gathered, MARKS)]
+        _settle(spark, [counted])
+        if length == 1:
+            levels.append(kind(gathered, STRINGS))
+            numbers = kind(gathered, NUMBERS)
+        else:
+            entries = meet([kind(gathered, ENTRIES), levels[-1]], _below(buckets))
+            decided = written(meet([entries, levels[-1]], _decide(buckets)), "decided")
+            levels.append(kind(decided, STRINGS))
+            states.append(kind(decided, STATES))
+            del entries
+            _settle(spark, unused)
+            unused = [gathered]
+    wanted = meet([texts, *marks], _wanted(depth, buckets))
+    answers = written(meet([wanted, *levels[1:], *states], _answer), "answers")
+    del wanted
+    _settle(spark, [])
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return meet([texts, *marks, numbers, answers], _score(depth, buckets, n_tokens, unit), schema)

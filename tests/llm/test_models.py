@@ -183,3 +183,38 @@ def test_language_model_edge_tables(spark):
     found = {r.doc_id: r for r in suffixtree.score(df).collect()}
     assert found[None].n_tokens == 1 and found[1].n_tokens == 3
     assert suffixtree.score(df.limit(0)).count() == 0
+
+
+def test_strings_are_stored_by_a_fixed_count_at_any_size(spark):
+    """The tables give the scores of the tree in memory, with every string that occurs three times, however many other tokens there are."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["the cat sat on a mat", "the dog ran", "a w%d" % rng.randrange(150)]) for _ in range(12))) for i in range(120)]
+    # Training tokens of which three occurrences are a share below 2e-6.
+    rows.append((1000, "x " * 1_600_000))
+    assert crc(1000, 5) != 1
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in suffixtree.score(df).collect()}
+    texts = {i: [*brute.words(t), None] for i, t in rows}
+    words = sorted({w for t in texts.values() for w in t if w})
+    number = {w: i for i, w in enumerate([*words, None])}
+    counts = [Counter() for _ in range(4)]
+    for i, t in texts.items():
+        if crc(i, 5) != 1:
+            for n in range(1, 5):
+                counts[n - 1].update(zip(*(t[k:] for k in range(n))))
+    n_tokens, stored = sum(counts[0].values()), [w for (w,), n in counts[0].items() if n >= 3]
+    stored.sort(key=lambda w: number[w])
+    place = {w: i for i, w in enumerate(stored)}
+    tree = suffixtree.Tree(np.arange(len(stored), dtype=np.uint64), np.array([counts[0][w,] for w in stored], float), n_tokens, len(counts[0]))
+    names = {(w,): i for w, i in place.items()}
+    for n in range(2, 5):
+        kept = sorted((names[s[:-1]] * len(stored) + place[s[-1]], c, s) for s, c in counts[n - 1].items() if c >= 3)
+        tree.add(np.array([k for k, _, _ in kept], np.int64), np.array([c for _, c, _ in kept], float))
+        names = {s: i for i, (_, _, s) in enumerate(kept)}
+    spread = n_tokens + 0.5 * (len(counts[0]) + 1)
+    for i, t in texts.items():
+        ids = np.array([place.get(w, -1) for w in t])
+        first = np.arange(len(ids)) == 0
+        own = sum(math.log10((counts[0][w,] + 0.5) / spread) for w in t if w not in place)
+        assert found[i].score == pytest.approx(tree.score(ids, first)[1].sum() + own, rel=1e-9)
+    assert any(found[i].score > found[i].base_score * 0.9 for i in range(120))
