@@ -6,8 +6,10 @@ filters of two tasks overlap, those bits go to the second filter too. A row whos
 second filter may repeat. All other rows are certainly alone and pass straight through.
 
 A filter has a fixed number of bits for each document and at most ``FILTER_BYTES`` bytes: the hash
-range is cut into as many parts as that takes, each with its own pair of filters, so what is sent to
-the executors is bounded at every size. False positives only cost shuffling, never a wrong result.
+range is cut into as many parts as that takes, each with its own pair of filters. The bound holds for one
+filter: each part's second filter goes through the driver and stays broadcast until the query ends, 2 bytes a
+document in all (1e9 documents: about 60 filters, 2 GB), and each part reads the rows once
+more to count and once or twice to mark. False positives only cost shuffling, never a wrong result.
 
 Defined results: a null text is empty, and empty texts equal each other. Of equal texts the one with
 the most code points stays, then the smallest doc_id; a null doc_id comes after all others. Rows that
