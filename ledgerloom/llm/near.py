@@ -9,7 +9,7 @@ misses all buckets with a probability of 1e-6, one of 0.8 with 1e-4.
 
 What follows is exact and makes no list of pairs within a bucket:
 
-1. Documents with equal sets are one class; only its smallest doc_id goes on.
+1. Documents with equal sets are one class with a number of its own; only one of them goes on.
 2. Every document is compared with the smallest document of each of its buckets, on full sets.
 3. Links found join documents to components. Only buckets of three or more that still hold several
    components can hide further links. Their documents are compared by prefix filtering: two sets of the
@@ -17,7 +17,8 @@ What follows is exact and makes no list of pairs within a bucket:
    and pairs within a component are left out.
 
 Defined results: null texts and texts without words have no shingles and stand alone. Rows that repeat
-a doc_id count as documents with the same id. A null doc_id is a document of its own: linked with
+a doc_id are documents with the same id, each judged by its own text; component_id is the smallest
+doc_id of the component. A null doc_id is a document of its own: linked with
 nothing, kept, its component_id null. Empty tables give empty results, other columns do not matter.
 """
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ledgerloom.llm import textnum
-from ledgerloom.llm.common import by_batch, written
+from ledgerloom.llm.common import by_batch, join_groups, written
 from ledgerloom.llm.graph import components
 
 WIDTH = 5
@@ -72,6 +73,11 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _mark(text):
+    """A hash of the text; with the doc_id it tells rows with different texts apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _all_sets(column: pa.Array):
     for _, _, data, offsets in textnum.slices(column):
         hashes, rows = textnum.words(data, offsets)
@@ -79,7 +85,7 @@ def _all_sets(column: pa.Array):
 
 
 def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty) and the band keys of every row."""
+    """doc_id, mark (a hash of the text), n_shingles, digest of the set (null if empty) and the band keys of every row."""
 
     def work(batch):
         counts, digests, keys = [], [], []
@@ -94,18 +100,18 @@ def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFra
                     marks[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
             digests += marks
             keys += mine
-        return {"doc_id": batch.column(0), "n_shingles": counts, "digest": digests, "bands": keys}
+        return {"doc_id": batch.column(0), "mark": batch.column(2), "n_shingles": counts, "digest": digests, "bands": keys}
 
-    return by_batch(docs.select("doc_id", "text"), work, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return by_batch(docs.select("doc_id", "text", _mark("text").alias("mark")), work, "doc_id long, mark long, n_shingles long, digest binary, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """id and the sorted set of every row, as bytes."""
+    """id (the column of ``docs``) and the sorted set of every row, as bytes."""
 
     def work(batch):
         return {"id": batch.column(0), "items": [s.tobytes() for sets in _all_sets(batch.column(1)) for s in sets]}
 
-    return by_batch(docs.select("doc_id", "text"), work, "id long, items binary")
+    return by_batch(docs.select("id", "text"), work, "id long, items binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -169,20 +175,23 @@ def _rest(members: DataFrame, sizes: DataFrame, sets: DataFrame, similarity: tup
     return left.join(right, "item").where((F.col("cb") < F.col("ca")) & enough & _could("na", "nb", similarity)).select("a", "b").distinct()
 
 
-def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id and kept."""
+def _classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """One row a document: doc_id, mark, n_shingles, component_id and kept."""
     signed = written(signatures(docs, rows, bands), "signed")
     full = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    same = written(full.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n")), "same")
-    chosen = full.join(same.select(F.col("id").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
-    buckets = chosen.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    same = full.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("one"), F.first("n_shingles").alias("n"))
+    # The numbers are fixed by writing them; one doc_id may stand in several classes.
+    same = written(same.select("digest", "one.doc_id", "one.mark", "n", F.monotonically_increasing_id().alias("id")), "same")
+    chosen = full.join(same.select("doc_id", "mark", "digest", "id"), ["doc_id", "mark", "digest"])
+    buckets = chosen.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min_by("n", "id").alias("n_first"), F.min("id").alias("first"), F.count(F.lit(1)).alias("members"))
     members = written(buckets.join(shared.where("members > 1"), "key").select("key", "id", "n", "first", "n_first", "members"), "members")
     pairs = members.where((F.col("id") != F.col("first")) & _could("n", "n_first", similarity))
     pairs = written(pairs.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
     open_members = members.where("members > 2")
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(open_members.select("id")).distinct()
-    sets = written(shingle_sets(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets")
+    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(open_members.select("id")).distinct()
+    needed = same.join(needed, "id", "left_semi").select("doc_id", "mark", "id")
+    sets = written(shingle_sets(docs.select("doc_id", "text", _mark("text").alias("mark")).join(needed, ["doc_id", "mark"])).dropDuplicates(["id"]), "sets")
     links = written(confirmed(pairs, sets, similarity), "confirmed")
     found = written(components(links), "components")
     labelled = open_members.join(found.withColumnRenamed("node", "id"), "id", "left")
@@ -190,14 +199,21 @@ def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: int
     more = written(confirmed(_rest(labelled, same, sets, similarity), sets, similarity), "more")
     if not more.isEmpty():
         found = components(links.union(more))
-    result = same.join(found.withColumnRenamed("node", "id"), "id", "left")
-    result = result.select("digest", F.coalesce("component", "id").alias("component"))
+    named = found.withColumnRenamed("node", "id").join(same.select("id", "digest", "doc_id"), "id")
+    labels = written(named.groupBy("component").agg(F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("size")), "labels")
+    named = join_groups(named, labels, "component", "size", "id").select("digest", "label")
+    result = same.join(named, "digest", "left").select("digest", F.coalesce("label", "doc_id").alias("component"))
     joined = signed.drop("bands").join(result, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return joined.select("doc_id", "mark", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id and kept."""
+    return _classes(docs, similarity, rows, bands).drop("mark")
 
 
 def deduplicate(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """The rows whose document stays, with all their columns; only ids of dropped ones are joined."""
-    dropped = classes(docs, similarity).where("NOT kept").select(F.col("doc_id").alias("dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped"], "left_anti")
+    """The rows whose document stays, with all their columns; only ids and text hashes of dropped ones are joined."""
+    dropped = _classes(docs, similarity).where("NOT kept").select(F.col("doc_id").alias("dropped"), F.col("mark").alias("dropped_mark")).distinct()
+    return docs.join(dropped, (docs["doc_id"] == dropped["dropped"]) & (_mark(docs["text"]) == dropped["dropped_mark"]), "left_anti")

@@ -56,6 +56,20 @@ def test_near_edge_tables(spark):
     assert near.classes(df.limit(0)).count() == 0
 
 
+def test_one_id_with_several_texts_is_judged_by_each(spark):
+    """A near copy of any of the texts is linked, whichever row comes first."""
+    texts = [[f"{name}{i}" for i in range(60)] for name in "abc"]
+    rows = [(5, " ".join(t)) for t in texts] + [(10 + k, " ".join([*t, "end"])) for k, t in enumerate(texts)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        found = sorted((r.doc_id, r.component_id, r.kept) for r in near.classes(df).collect())
+        assert found == [(5, 5, True)] * 3 + [(10 + k, 5, False) for k in range(3)]
+    # A row goes by its own text, not with another of the same id.
+    df = spark.createDataFrame([*rows, (1, " ".join(["start", *texts[0]]))], "doc_id long, text string")
+    kept = sorted(tuple(r) for r in near.deduplicate(df).collect())
+    assert kept == sorted([(1, " ".join(["start", *texts[0]])), rows[1], rows[2]])
+
+
 def test_circulant_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     items = textnum.mix64(rng.integers(0, 2**63, 1300).astype(np.uint64))
