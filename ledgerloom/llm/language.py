@@ -107,14 +107,15 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 
 def _sampled(docs: DataFrame, sample: int) -> DataFrame:
-    """Training documents: about ``sample``, of each language a share chosen by id hash."""
+    """Training documents: about ``sample``, of each language a share of the ids chosen by hash, one row an id."""
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", 3) != 1))
-    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(sample).collect()}
+    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count_distinct(F.coalesce("doc_id", F.lit(-1))).alias("n")).orderBy(F.desc("n"), "lang").limit(sample).collect()}
     each = sample / max(1, len(sizes))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, each / n))]) if sizes else None
     if share is None:
         return known.limit(0)
-    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    return chosen.groupBy("doc_id", "lang").agg(F.max("text").alias("text"))
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE):

@@ -10,7 +10,7 @@ The loss is the logistic loss plus ``PENALTY`` times the squared change of the s
 terms of a labelled text are swapped for other terms of their group, plus a small ridge. A term that is
 merely mentioned in toxic texts thus cannot raise the score of neutral mentions.
 
-Fitting uses at most ``SAMPLE`` labelled rows, those with the smallest id hashes; scoring covers every
+Fitting uses at most ``SAMPLE`` labelled rows, one for each of the ids with the smallest hashes; scoring covers every
 whole text. Defined results: a null text is empty; empty texts get the score of the intercept; labels
 with a null doc_id or mark are ignored, a document labelled twice is toxic if any label says so; without
 labels the scores are low and equal. Other columns of the tables do not matter.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import textnum
-from ledgerloom.llm.common import by_batch, crc_mod
+from ledgerloom.llm.common import by_batch, crc_mod, written
 
 PREFIXES = range(3, 11)
 SAMPLE = 8000
@@ -120,7 +120,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, groups=IDENT
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.where(crc_mod("doc_id", 5) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # At most ``sample`` rows of two numbers are broadcast.
-    known = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    known = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
+    # One text stands for an id, so there are no more rows than ids however often one is repeated.
+    known = known.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
+    known = written(known.select("text", F.col("toxic").cast("int").alias("toxic")), "labelled")
 
     def counted(parts: list[np.ndarray]) -> dict:
         one, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)

@@ -218,3 +218,16 @@ def test_strings_are_stored_by_a_fixed_count_at_any_size(spark):
         own = sum(math.log10((counts[0][w,] + 0.5) / spread) for w in t if w not in place)
         assert found[i].score == pytest.approx(tree.score(ids, first)[1].sum() + own, rel=1e-9)
     assert any(found[i].score > found[i].base_score * 0.9 for i in range(120))
+
+
+def test_samples_hold_one_row_an_id(spark, monkeypatch):
+    """However many rows an id has, what is collected is bounded by the sample."""
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, n, prior: (fitted.append(len(rows)), (np.zeros(n), prior))[1])
+    rows = [(i, f"{'vile scum' if i % 2 else 'fine day'} word{i}", "aa") for i in range(60)]
+    rows += [(3, f"vile scum again {i}", "aa") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    assert toxicity.score(docs, labels, sample=40).count() == len(rows)
+    assert fitted == [40]
+    assert language._sampled(docs, 1000).groupBy("doc_id").count().where("count > 1").isEmpty()
