@@ -1,5 +1,46 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+
+def _round(before: str, after: str) -> str:
+    """Assigns every vector to the nearest centroid of ``before`` and makes the next ones."""
+    return f"""
+        a_{after} AS MATERIALIZED ({_assigned(before)}),
+        {after} AS MATERIALIZED (
+            SELECT c, q.i, coalesce(CAST(floor_sum // n AS BIGINT), x) AS x FROM {before} AS q LEFT JOIN (
+                SELECT cluster, i, sum(p.x) - ((sum(p.x) % count(*) + count(*)) % count(*)) AS floor_sum, count(*) AS n
+                FROM a_{after} JOIN parts AS p USING (row) GROUP BY cluster, i
+            ) AS m ON m.cluster = c AND m.i = q.i
+        )"""
+
+
+def _assigned(centroids: str) -> str:
+    return f"""
+            SELECT row, c AS cluster, d AS distance FROM (
+                SELECT row, c, CAST(sum((p.x - q.x) * (p.x - q.x)) AS BIGINT) AS d
+                FROM parts AS p JOIN {centroids} AS q USING (i) GROUP BY row, c
+            ) QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1"""
+
+
+OP12 = f"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS row, vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+            WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), parts AS MATERIALIZED (
+            SELECT row, vec_id, unnest(generate_series(1, 64)) AS i, CAST(floor(64 * unnest(v)) AS BIGINT) AS x FROM rows
+        ), chosen AS (
+            SELECT row, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) - 1 AS c FROM rows QUALIFY c < 16
+        ), c0 AS MATERIALIZED (
+            SELECT c, i, x FROM chosen JOIN parts USING (row)
+        ), {_round("c0", "c1")}, {_round("c1", "c2")}, {_round("c2", "c3")}, final AS MATERIALIZED ({_assigned("c3")}
+        ), digests AS (
+            SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY c
+        )
+        SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+            CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+            CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+        FROM final JOIN rows USING (row) JOIN digests ON c = cluster
+    """
+
 ORACLES = {
     "op2_chat": r"""
         WITH rows AS (
@@ -32,4 +73,5 @@ ORACLES = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w
     """,
+    "op12_centroids": OP12,
 }

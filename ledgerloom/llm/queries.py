@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat, exact, language, mixing, near, neighbours, packing, repeats, sentencepieces, suffixtree, toxicity
+from ledgerloom.llm import centroids, chat, exact, language, mixing, near, neighbours, packing, repeats, sentencepieces, suffixtree, toxicity
 from ledgerloom.llm.common import table, tokenizer_file, written
 
 
@@ -61,6 +61,10 @@ def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.digest(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neighbours, op2_chat, op3_mixing, op4_repeats, op5_minhash, op6_suffixtree, op7_packing, op8_toxicity, op9_exact, op10_language, op11_sentencepiece)
+    f.__name__: f for f in (op1_neighbours, op2_chat, op3_mixing, op4_repeats, op5_minhash, op6_suffixtree, op7_packing, op8_toxicity, op9_exact, op10_language, op11_sentencepiece, op12_centroids)
 }
