@@ -56,7 +56,7 @@ def first_centroids(whole: DataFrame, k: int) -> np.ndarray:
     """The k vectors with the smallest hashes, in the order of these."""
     named = F.sha2(F.concat(F.lit("1:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("null"))), 256)
     rows = whole.select(named.alias("hash"), "v").orderBy("hash", "v").limit(k).collect()
-    return np.array([row.v for row in rows], np.int64)
+    return np.array([row.v for row in rows], np.int64).reshape(len(rows), len(rows[0].v) if rows else 1)
 
 
 class Bisectors:
@@ -120,7 +120,7 @@ def cluster(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, **colum
     for _ in range(rounds if len(centroids) else 0):
         centroids = moved(whole, centroids)
     bisectors = Bisectors(centroids)
-    dimensions = centroids.shape[1] if centroids.size else 0
+    dimensions = centroids.shape[1]
 
     def assign(batch: pa.RecordBatch):
         if not batch.num_rows:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import centroids, chat, exact, language, mixing, near, neighbours, packing, repeats, sentencepieces, suffixtree, toxicity
+from ledgerloom.llm import alignment, centroids, chat, exact, language, mixing, near, neighbours, packing, repeats, sentencepieces, suffixtree, toxicity
 from ledgerloom.llm.common import table, tokenizer_file, written
 
 
@@ -65,6 +65,10 @@ def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.cluster(table(spark, folder, "embeddings"))
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neighbours, op2_chat, op3_mixing, op4_repeats, op5_minhash, op6_suffixtree, op7_packing, op8_toxicity, op9_exact, op10_language, op11_sentencepiece, op12_centroids)
+    f.__name__: f for f in (op1_neighbours, op2_chat, op3_mixing, op4_repeats, op5_minhash, op6_suffixtree, op7_packing, op8_toxicity, op9_exact, op10_language, op11_sentencepiece, op12_centroids, op13_alignment)
 }

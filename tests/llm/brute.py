@@ -1,7 +1,9 @@
 """Plain Python versions of the operators, for small tables."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -83,3 +85,76 @@ def removed_bytes(rows, length=100):
             seen.add(window)
         out[i] = gone
     return out
+
+
+def clusters(rows, k=16, rounds=3):
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256) of (vec_id, vector) rows."""
+    kept = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if v and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    name = lambda i: hashlib.sha256(f"1:{'null' if i is None else i}".encode()).hexdigest()
+    centres = [v for _, v in sorted((name(i), v) for i, v in kept)[:k]]
+    for step in range(rounds + 1):
+        found = []
+        for _, v in kept:
+            distances = [sum((x - y) ** 2 for x, y in zip(v, c)) for c in centres]
+            found.append((distances.index(min(distances)), min(distances)))
+        if step < rounds:
+            for c in range(len(centres)):
+                own = [v for (_, v), (w, _) in zip(kept, found) if w == c]
+                if own:
+                    centres[c] = [sum(column) // len(own) for column in zip(*own)]
+    inertia = [sum(d for w, d in found if w == c) for c in range(len(centres))]
+    shas = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return [(i, w, d, inertia[w], sum(inertia), shas[w]) for (i, _), (w, d) in zip(kept, found)]
+
+
+def alignments(rows, path_a, path_b):
+    """The contract's row for each (doc_id, text), by sets of byte ends."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    a.encode_special_tokens = True
+    letters = {c: n for n, c in enumerate(map(chr, range(256))) if 33 <= n <= 126 or 161 <= n <= 172 or 174 <= n}
+    letters |= {chr(256 + k): n for k, n in enumerate(n for n in range(256) if chr(n) not in letters)}
+
+    def token_ends(parts):
+        ends, at = [], 0
+        for part in parts:
+            at += len(part)
+            ends.append(at)
+        return ends
+
+    links, out = [], []
+    for _, text in rows:
+        data = (" " + (text or "")).encode()
+        ids_a, ids_b = a.encode(data.decode(), add_special_tokens=False).ids, b.encode(text or "")
+        bytes_a = [bytes(letters[c] for c in a.id_to_token(i)) for i in ids_a]
+        bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids_b, map(b.id_to_piece, ids_b))]
+        if not text or b"".join(bytes_a) != data or b"".join(bytes_b) != data:
+            ids_a = ids_b = bytes_a = bytes_b = []
+        ends_a, ends_b = token_ends(bytes_a), token_ends(bytes_b)
+        groups, own = token_groups(ids_a, ids_b, ends_a, ends_b)
+        links.append(own)
+        text_groups = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append((len(ids_a), len(ids_b), len(groups), len(own), hashlib.sha256(text_groups.encode()).hexdigest() if ids_a else ""))
+    counts = Counter(pair for own in links for pair in own)
+    most = {}
+    for (_, y), n in counts.items():
+        most[y] = max(n, most.get(y, 0))
+    return [
+        (i, n_a, n_b, n_g, n_l, sum(counts[p] == most[p[1]] for p in own), sum(counts[p] for p in own), sha)
+        for (i, _), own, (n_a, n_b, n_g, n_l, sha) in zip(rows, links, out)
+    ]
+
+
+def token_groups(ids_a, ids_b, ends_a, ends_b):
+    groups, x, y = [], 0, 0
+    for cut in sorted(set(ends_a) & set(ends_b)):
+        i, j = x, y
+        while ends_a[x] < cut:
+            x += 1
+        while ends_b[y] < cut:
+            y += 1
+        x, y = x + 1, y + 1
+        groups.append((ids_a[i:x], ids_b[j:y]))
+    return groups, [(g[0][-1], g[1][-1]) for g in groups]
