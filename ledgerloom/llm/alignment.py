@@ -30,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +42,8 @@ from ledgerloom.llm.sentencepieces import PieceModel, text_slices
 RUN = 256
 BLOCK_LINKS = 1_000_000
 MEMO_CHUNKS = 400_000
-# Between printable ASCII marks a single blank begins a new word in byte-level cutting, whatever is around it.
-WORD_BREAK = re.compile("(?<=[!-~]) (?=[!-~])")
+# A word of Latin letters, with a mark behind it or not: one or two pretokens, to which the merges alone give the ids.
+PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]?)")
 
 
 def byte_letters() -> dict[str, int]:
@@ -54,7 +55,13 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level tokenizer's ids, word by word; a word is encoded once and remembered."""
+    """A byte-level tokenizer's ids, word by word; a word is encoded once and remembered.
+
+    In byte-level cutting a single blank between two characters that are not white begins a new word, and a
+    single line end between such is one by itself, whatever is around them; so texts are parted there and equal
+    parts have equal ids. Only printable ASCII and the letters of two bytes behind Latin-1's marks, none of which
+    is white, count as such characters here.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -65,7 +72,11 @@ class ByteLevel:
         self.surface = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
             self.surface[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
+        self.letter_of = {b: c for c, b in letters.items()}
+        self.ends_word = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
         self.memo: dict[str, list[int]] = {}
+        # Words whose ids do not give their bytes again.
+        self.lossy: set[str] = set()
 
     @classmethod
     def shared(cls, path: str) -> "ByteLevel":
@@ -75,18 +86,60 @@ class ByteLevel:
             store["byte_level"], store["byte_level_path"] = cls(path), path
         return store["byte_level"]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text with a blank in front."""
-        cut = [WORD_BREAK.split(text) for text in texts]
+    def _learn(self, words: list[str]) -> None:
+        letters, merge, others = self.letter_of, self.tokenizer.model.tokenize, []
+        for word in words:
+            plain = PLAIN.fullmatch(word)
+            if not plain:
+                others.append(word)
+                continue
+            body, mark = plain.groups()
+            found = merge(body.encode().decode("latin-1").translate(letters))
+            self.memo[word] = [token.id for token in (found + merge(mark) if mark else found)]
+        for low in range(0, len(others), 10_000):
+            some = others[low : low + 10_000]
+            for word, one in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.memo[word] = one.ids
+        self.lossy.update(w for w in words if b"".join(map(self.surface.__getitem__, self.memo[w])) != w.encode())
+
+    def encode_exact(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts with a blank in front, where each text's end, and whether they have its bytes."""
+        data = (" " + " ".join(texts)).encode()
+        raw = np.frombuffer(data, np.uint8)
+        sizes = np.fromiter((len(text.encode()) + 1 for text in texts), np.int64, len(texts))
+        text_ends = np.cumsum(sizes)
+        mark, lead = (raw > 0x20) & (raw < 0x7F), (raw >= 0xC3) & (raw < 0xE0)
+        ends_solid, begins_solid = mark.copy(), mark | lead
+        ends_solid[1:] |= lead[:-1]
+        between = ends_solid[:-2] & begins_solid[2:]
+        line_end = between & (raw[1:-1] == 0x0A)
+        ascii_letter = textnum.LETTER & (np.arange(256) < 0x80)
+        first = np.zeros(len(raw) + 1, bool)
+        first[1 : len(raw) - 1] = (between & (raw[1:-1] == 0x20)) | line_end
+        first[2 : len(raw)] |= line_end
+        # A mark behind a letter begins a pretoken, an apostrophe aside.
+        first[1 : len(raw)] |= self.ends_word[raw[1:]] & ascii_letter[raw[:-1]]
+        first[0] = True
+        first[text_ends] = True
+        cuts = np.flatnonzero(first)
+        words = pa.Array.from_buffers(pa.string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data)])
+        coded = words.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.memo) > MEMO_CHUNKS:
             self.memo.clear()
-        new = list(set(chain.from_iterable(cut)).difference(self.memo))
-        for low in range(0, len(new), 10_000):
-            some = new[low : low + 10_000]
-            found = self.tokenizer.encode_batch_fast([" " + word for word in some], add_special_tokens=False)
-            self.memo.update(zip(some, (one.ids for one in found)))
-        known = self.memo.__getitem__
-        return [list(chain.from_iterable(map(known, words))) for words in cut]
+            self.lossy.clear()
+        self._learn([name for name in names if name not in self.memo])
+        found = list(map(self.memo.__getitem__, names))
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        pool = np.fromiter(chain.from_iterable(found), np.int32, int(count.sum()))
+        start, which = np.cumsum(count) - count, coded.indices.to_numpy()
+        runs = count[which]
+        place = np.concatenate(([0], np.cumsum(runs)))
+        ids = pool[np.arange(place[-1]) + np.repeat(start[which] - place[:-1], runs)]
+        text_cuts = np.searchsorted(cuts, text_ends)
+        lost = np.fromiter(map(self.lossy.__contains__, names), bool, len(names))[which]
+        faithful = np.diff(np.concatenate(([0], np.cumsum(lost)))[np.concatenate(([0], text_cuts))]) == 0
+        return ids, place[text_cuts], faithful
 
 
 def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +187,7 @@ class Aligner:
         self.size_a = np.fromiter(map(len, self.a.surface), np.int64, len(self.a.surface))
         self.size_b = np.fromiter(map(len, self.b.inner), np.int64, len(self.b.inner))
         # An id with what follows it in a group list: "," within a side, "|" behind the A side, ";" behind the group.
-        self.written = [f"{i}{mark}" for i in range(max(len(self.a.surface), len(self.b.inner))) for mark in ",|;"]
+        self.written = pa.array([f"{i}{mark}" for i in range(max(len(self.a.surface), len(self.b.inner))) for mark in ",|;"])
 
     @classmethod
     def shared(cls, path_a: str, path_b: str) -> "Aligner":
@@ -143,21 +196,19 @@ class Aligner:
             store["aligner"], store["aligner_paths"] = cls(path_a, path_b), (path_a, path_b)
         return store["aligner"]
 
-    def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of both sides; none where a side does not give the text's bytes."""
-        ids_a, ids_b = self.a.encode(texts), self.b.encode(texts)
-        for i, text in enumerate(texts):
-            data = (" " + text).encode()
-            if not text or b"".join(map(self.a.surface.__getitem__, ids_a[i])) != data or b"".join(map(self.b.inner.__getitem__, ids_b[i])) != data:
-                ids_a[i], ids_b[i] = [], []
-        return ids_a, ids_b
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of both sides and the number of each text's; none where a side does not give the text's bytes."""
+        sides = [self.a.encode_exact(texts), self.b.encode_exact(texts)]
+        good = sides[0][2] & sides[1][2]
+        found = []
+        for ids, ends, _ in sides:
+            counts = np.diff(np.concatenate(([0], ends)))
+            found.append((ids if good.all() else ids[np.repeat(good, counts)], np.where(good, counts, 0)))
+        return found[0][0].astype(np.int64), found[1][0].astype(np.int64), found[0][1], found[1][1]
 
     def align(self, texts: list[str]) -> dict:
         """Per text n_a, n_b, n_groups, n_links, groups; over all: the links' pair codes, and where each text's end."""
-        ids_a, ids_b = self.tokens(texts)
-        flat_a = np.fromiter(chain.from_iterable(ids_a), np.int64)
-        flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64)
-        n_a, n_b = np.fromiter(map(len, ids_a), np.int64, len(texts)), np.fromiter(map(len, ids_b), np.int64, len(texts))
+        flat_a, flat_b, n_a, n_b = self.tokens(texts)
         first_a, first_b = np.concatenate(([0], np.cumsum(n_a))), np.concatenate(([0], np.cumsum(n_b)))
         link_a, link_b = lockstep(np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b]), first_a, first_b)
         place = np.searchsorted(link_a, first_a)
@@ -178,8 +229,8 @@ class Aligner:
         mark_a[link_a], mark_b[link_b] = 1, 2
         order = np.zeros(len(flat_a) + len(flat_b), np.int64)
         order[at_a], order[at_b] = flat_a * 3 + mark_a, flat_b * 3 + mark_b
-        words = list(map(self.written.__getitem__, order.tolist()))
-        return ["".join(words[low:high])[:-1] for low, high in zip(first[:-1].tolist(), first[1:].tolist())]
+        words = pa.ListArray.from_arrays(pa.array(first, pa.int32()), self.written.take(pa.array(order)))
+        return [joined[:-1] for joined in pc.binary_join(words, "").to_pylist()]
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False) -> DataFrame:

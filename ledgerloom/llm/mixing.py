@@ -13,8 +13,8 @@ rows a source and level.
 
 Defined results: a null text has size 0 and is taken 0 times over; a null source is a source of its
 own; sources without words have target 0; rows that repeat a doc_id share its hash, so the boundary
-may hold several rows: they are taken in the order of size until the budget is met. The last taken row
-of a source is cut to its budget when ``cut`` is set (the first words of it count), otherwise it is
+may hold several rows: they are taken in the order of size until the budget is met, rows with equal texts one after
+another. The last taken row of a source is cut to its budget when ``cut`` is set (the first words of it count), otherwise it is
 taken whole if that comes nearer to the target. Equal inputs give equal results on every run.
 """
 
@@ -33,11 +33,16 @@ LEVELS = 4
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and hash of every row; the hash has ``BITS * LEVELS`` bits."""
+def _keys() -> list[tuple]:
+    """The size of a row and the hash of its id, which has ``BITS * LEVELS`` bits."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     key = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), 64 - BITS * LEVELS)
-    return docs.select("doc_id", "source", size.alias("size"), key.alias("hash"))
+    return [("size", size), ("hash", key)]
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and hash of every row."""
+    return docs.select("doc_id", "source", *[column.alias(name) for name, column in _keys()])
 
 
 def _numbered(sources: DataFrame) -> DataFrame:
@@ -107,30 +112,58 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select(F.col("s").alias("source"), F.col("prefix").alias("boundary"), "left")
 
 
-def mix(sized: DataFrame, share: float = 1.0, max_repeats: float = 3.0, cut: bool = True) -> DataFrame:
-    """The sized rows with source_size, target, taken (words) and copies (whole documents)."""
+def _plan(sized: DataFrame, share: float, max_repeats: float) -> DataFrame:
+    """One row a source: plan_source, source_size, target, whole repeats, budget for the rest, boundary and left."""
     goal = targets(sized, share, max_repeats)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     goal = goal.withColumn("whole", F.floor(ratio).cast("long"))
     goal = written(goal.withColumn("budget", F.round(F.col("target") - F.col("whole") * F.col("source_size"))), "goals")
     edge = thresholds(sized, goal).select(F.col("source").alias("edge_source"), "boundary", "left")
     plan = goal.join(edge, F.col("source").eqNullSafe(F.col("edge_source")), "left").drop("edge_source")
-    plan = written(plan.withColumnRenamed("source", "plan_source"), "plan")
+    return written(plan.withColumnRenamed("source", "plan_source"), "plan")
+
+
+def _before(edges: DataFrame) -> DataFrame:
+    """Boundary rows with ``before``: the words of the rows of their source that are taken earlier.
+
+    Rows go by size, then doc_id. Equal ones are numbered within the task that wrote them and shifted by those of
+    the tasks before, so a doc_id on very many rows is neither sorted nor gathered in one task. ``edges`` has
+    source, hash, size and doc_id; other columns are kept.
+    """
+    key = ["source", "hash", "size", "doc_id"]
+    same = lambda x, y: [F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}")) for c in key]
+    placed = written(edges.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")), "edges")
+    counts = written(placed.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_n")), "edge_counts")
+    earlier = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    smaller = Window.partitionBy("source", "hash").orderBy("size", F.col("doc_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    groups = counts.groupBy(*key).agg(F.sum("_n").alias("_all")).withColumn("_sum", F.coalesce(F.sum(F.col("size") * F.col("_all")).over(smaller), F.lit(0)))
+    own = Window.partitionBy(*key, "_part").orderBy("_row")
+    numbered = placed.withColumn("_nth", F.row_number().over(own) - 1)
+    shifted = numbered.alias("r").join(parts.alias("p"), [*same("r", "p"), F.col("r._part") == F.col("p._part")]).select("r.*", "p._shift")
+    summed = shifted.alias("r").join(groups.alias("g"), same("r", "g")).select("r.*", "g._sum")
+    return summed.withColumn("before", F.col("_sum") + (F.col("_shift") + F.col("_nth")) * F.col("size")).drop("_part", "_row", "_nth", "_shift", "_sum")
+
+
+def _full():
+    """Whether a row lies below its source's boundary; without one the budget takes in the whole source, or it has no words."""
+    return (F.col("size") > 0) & F.coalesce(F.col("hash") < F.col("boundary"), F.col("budget") >= F.col("source_size"))
+
+
+def _at_edge():
+    return F.coalesce(F.col("hash") == F.col("boundary"), F.lit(False))
+
+
+def mix(sized: DataFrame, share: float = 1.0, max_repeats: float = 3.0, cut: bool = True) -> DataFrame:
+    """The sized rows with source_size, target, taken (words) and copies (whole documents)."""
+    plan = _plan(sized, share, max_repeats)
     rows = sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
-    at_edge = F.col("hash") == F.col("boundary")
-    order = Window.partitionBy("source", "hash").orderBy("size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    edges = rows.where(at_edge).withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0)))
     rest = F.greatest(F.lit(0.0), F.least(F.col("size").cast("double"), F.col("left") - F.col("before")))
     nearer = 2 * rest >= F.col("size")
-    edges = edges.withColumns(
-        {
-            "extra": F.round(rest).cast("long") if cut else F.when(nearer, F.col("size")).otherwise(F.lit(0).cast("long")),
-            "again": nearer & (F.col("size") > 0),
-        }
-    ).drop("before")
-    # Without a boundary the budget takes in the whole source, or the source has no words.
-    full = (F.col("size") > 0) & F.coalesce(F.col("hash") < F.col("boundary"), F.col("budget") >= F.col("source_size"))
-    others = rows.where(~F.coalesce(at_edge, F.lit(False))).withColumns({"extra": F.when(full, F.col("size")).otherwise(F.lit(0).cast("long")), "again": full})
+    extra = F.round(rest).cast("long") if cut else F.when(nearer, F.col("size")).otherwise(F.lit(0).cast("long"))
+    edges = _before(rows.where(_at_edge())).withColumns({"extra": extra, "again": nearer & (F.col("size") > 0)}).drop("before")
+    below = F.when(_full(), F.col("size")).otherwise(F.lit(0).cast("long"))
+    others = rows.where(~_at_edge()).withColumns({"extra": below, "again": _full()})
     return others.unionByName(edges).select(
         "doc_id",
         "source",
@@ -146,14 +179,15 @@ def mix(sized: DataFrame, share: float = 1.0, max_repeats: float = 3.0, cut: boo
 def apply(docs: DataFrame, share: float = 1.0, max_repeats: float = 3.0) -> DataFrame:
     """The rows of ``docs`` with all columns, each as often as the mix takes it as a whole.
 
-    A row's number of copies depends on its source, its id hash and, at a boundary, its size, so only
-    the plan of the sources (and the few boundary rows) is joined, never the texts with each other.
+    A row's copies follow from its source's plan, its id hash and, at the boundary only, from the rows before it.
+    The plan has one row a source; the planner broadcasts it as its size allows, and then no text but
+    those at the boundaries is shuffled. At a boundary rows are taken while that brings the source nearer to its target.
     """
-    sized = written(sizes(docs), "sized")
-    mixed = mix(sized, share, max_repeats, cut=False).where("copies > 0")
-    chosen = mixed.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    chosen = chosen.select(F.struct("doc_id", "source", "size").alias("key"), "copies")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(F.struct("*").alias("row"), F.struct("doc_id", "source", size.alias("size")).alias("own"))
-    joined = rows.join(chosen, F.col("own").eqNullSafe(F.col("key")))
-    return joined.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+    plan = _plan(written(sizes(docs), "sized"), share, max_repeats)
+    rows = docs.select(F.struct("*").alias("row"), "source", *[c.alias(n) for n, c in _keys()])
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
+    again = (F.col("size") > 0) & (2 * (F.col("left") - F.col("before")) >= F.col("size"))
+    edges = _before(rows.where(_at_edge()).withColumn("doc_id", F.col("row.doc_id"))).withColumn("again", again)
+    counted = rows.where(~_at_edge()).withColumn("again", _full()).select("row", "whole", "again").unionByName(edges.select("row", "whole", "again"))
+    copies = counted.select("row", (F.col("whole") + F.coalesce("again", F.lit(False)).cast("long")).alias("copies")).where("copies > 0")
+    return copies.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

@@ -10,7 +10,8 @@ misses all buckets with a probability of 1e-6, one of 0.8 with 1e-4.
 What follows is exact and makes no list of pairs within a bucket:
 
 1. Documents with equal sets are one class with a number of its own; only one of them goes on.
-2. Every document is compared with the smallest document of each of its buckets, on full sets.
+2. Every document is compared with the smallest document of each of its buckets, on full sets, and in buckets
+   that still hold several components with the ``PIVOTS`` members that share most buckets with others.
 3. Links found join documents to components. Only buckets of three or more that still hold several
    components can hide further links. Their documents are compared by prefix filtering: two sets of the
    asked similarity share one of their rarest shingles, so each document is joined on those only,
@@ -39,6 +40,7 @@ from ledgerloom.llm.graph import components
 WIDTH = 5
 ROWS, BANDS = 6, 30
 SIMILARITY = (85, 100)
+PIVOTS = 4
 # Fixed odd multipliers of the second permutation (32 bits).
 FIRST, SECOND, THIRD = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35
 
@@ -140,6 +142,28 @@ def _could(x: str, y: str, similarity: tuple[int, int]):
     return similarity[1] * F.least(x, y) >= similarity[0] * F.greatest(x, y)
 
 
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets with their component, a document without links being its own."""
+    labelled = members.join(found.withColumnRenamed("node", "id"), "id", "left")
+    return labelled.select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+
+
+def _pivots(members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs of the members of each bucket with its ``PIVOTS`` best connected ones, across components only.
+
+    A document from which many copies were made shares more buckets with them than they share with each
+    other, so it links a group that its smallest document left in pieces. At most ``PIVOTS`` pairs a member.
+    """
+    mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y")
+    open_ = written(members.join(mixed.select("key", "size"), "key"), "mixed")
+    degrees = open_.groupBy("id").agg(F.sum("size").alias("degree"))
+    ranked = open_.join(degrees, "id").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "id")))
+    pivots = ranked.where(F.col("rank") <= PIVOTS).groupBy("key", "size").agg(F.collect_list(F.struct("id", "n", "component")).alias("pivots"))
+    met = join_groups(open_.drop("size"), written(pivots, "chosen"), "key", "size", "id").withColumn("pivot", F.explode("pivots"))
+    met = met.where((F.col("component") != F.col("pivot.component")) & _could("n", "pivot.n", similarity))
+    return met.select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b")).distinct()
+
+
 def _rest(members: DataFrame, sizes: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs that buckets with several components may still hide, by prefix filtering.
 
@@ -179,31 +203,37 @@ def _classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: in
     """One row a document: doc_id, mark, n_shingles, component_id and kept."""
     signed = written(signatures(docs, rows, bands), "signed")
     full = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    same = full.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("one"), F.first("n_shingles").alias("n"))
+    same = full.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "mark")).alias("one"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")
+    )
     # The numbers are fixed by writing them; one doc_id may stand in several classes.
-    same = written(same.select("digest", "one.doc_id", "one.mark", "n", F.monotonically_increasing_id().alias("id")), "same")
-    chosen = full.join(same.select("doc_id", "mark", "digest", "id"), ["doc_id", "mark", "digest"])
-    buckets = chosen.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    same = written(same.select("digest", "one.doc_id", "one.mark", "n", "bands", "rows", F.monotonically_increasing_id().alias("id")), "same")
+    buckets = same.select("id", "n", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min_by("n", "id").alias("n_first"), F.min("id").alias("first"), F.count(F.lit(1)).alias("members"))
-    members = written(buckets.join(shared.where("members > 1"), "key").select("key", "id", "n", "first", "n_first", "members"), "members")
+    shared = written(shared.where("members > 1"), "shared")
+    members = written(join_groups(buckets, shared, "key", "members", "id"), "members")
     pairs = members.where((F.col("id") != F.col("first")) & _could("n", "n_first", similarity))
     pairs = written(pairs.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
     open_members = members.where("members > 2")
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(open_members.select("id")).distinct()
-    needed = same.join(needed, "id", "left_semi").select("doc_id", "mark", "id")
+    needed = written(same.join(needed, "id", "left_semi").select("doc_id", "mark", "id"), "needed")
     sets = written(shingle_sets(docs.select("doc_id", "text", _mark("text").alias("mark")).join(needed, ["doc_id", "mark"])).dropDuplicates(["id"]), "sets")
     links = written(confirmed(pairs, sets, similarity), "confirmed")
     found = written(components(links), "components")
-    labelled = open_members.join(found.withColumnRenamed("node", "id"), "id", "left")
-    labelled = labelled.select("key", "id", F.coalesce("component", "id").alias("component"))
-    more = written(confirmed(_rest(labelled, same, sets, similarity), sets, similarity), "more")
+    more = confirmed(written(_pivots(_labelled(open_members, found), similarity), "pivots"), sets, similarity)
+    links = written(links.union(more), "linked")
+    found = written(components(links), "components")
+    more = written(confirmed(_rest(_labelled(open_members, found), same, sets, similarity), sets, similarity), "more")
     if not more.isEmpty():
         found = components(links.union(more))
     named = found.withColumnRenamed("node", "id").join(same.select("id", "digest", "doc_id"), "id")
     labels = written(named.groupBy("component").agg(F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("size")), "labels")
     named = join_groups(named, labels, "component", "size", "id").select("digest", "label")
-    result = same.join(named, "digest", "left").select("digest", F.coalesce("label", "doc_id").alias("component"))
-    joined = signed.drop("bands").join(result, "digest", "left")
+    result = same.join(named, "digest", "left").select("digest", "rows", F.coalesce("label", "doc_id").alias("component"))
+    # Sets that very many rows have are dealt in parts; rows without a set meet nothing.
+    joined = join_groups(full.drop("bands"), written(result, "classes"), "digest", "rows", "doc_id").drop("rows")
+    alone = signed.where("digest IS NULL OR doc_id IS NULL").drop("bands").withColumn("component", F.lit(None).cast("long"))
+    joined = joined.unionByName(alone)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", "mark", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
@@ -214,6 +244,11 @@ def classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: int
 
 
 def deduplicate(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """The rows whose document stays, with all their columns; only ids and text hashes of dropped ones are joined."""
-    dropped = _classes(docs, similarity).where("NOT kept").select(F.col("doc_id").alias("dropped"), F.col("mark").alias("dropped_mark")).distinct()
+    """The rows whose document stays, with all their columns.
+
+    Only ids and text hashes of dropped rows are joined. They are written first, so the planner knows their
+    size: while it allows a broadcast no text is shuffled, beyond that the rows meet them by a shuffle.
+    """
+    dropped = _classes(docs, similarity).where("NOT kept").select(F.col("doc_id").alias("dropped"), F.col("mark").alias("dropped_mark"))
+    dropped = written(dropped.distinct(), "dropped")
     return docs.join(dropped, (docs["doc_id"] == dropped["dropped"]) & (_mark(docs["text"]) == dropped["dropped_mark"]), "left_anti")

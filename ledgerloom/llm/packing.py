@@ -186,8 +186,9 @@ def plan(counts: dict[int, int], length: int, max_docs: int, max_cost: int, rule
             live = [i for i, s in enumerate(spans) if s]
             fits = live and (np.array([left[i] for i in live], float) >= need).all(axis=1)
             if not live or not fits.any():
-                per = min(length // size, max_docs, max_cost // (size * size)) if rule == "norm" else 1
-                if not per:
+                most = min(length // size, max_docs, max_cost // (size * size))
+                per = most if rule == "norm" else 1
+                if not most:
                     raise ValueError(f"a piece of {size} tokens exceeds a sequence's capacities")
                 put((length, max_docs, max_cost), [(opened, -(-todo // per))])
                 opened += -(-todo // per)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import textnum
-from ledgerloom.llm.common import by_batch, written
+from ledgerloom.llm.common import by_batch, join_groups, written
 from ledgerloom.llm.suffixarray import common_prefixes, suffix_array
 
 LENGTH = 100
@@ -121,28 +121,41 @@ def candidates(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return by_batch(docs.select("doc", "hash", "text"), work, schema)
 
 
-def _cut(pieces: DataFrame, docs: DataFrame, one_by_one: bool, length: int) -> DataFrame:
-    """The bytes of segments (doc, hash, start, end, anchor), or a digest for each of their windows."""
-    wanted = pieces.groupBy("doc", "hash").agg(F.collect_set(F.struct("start", "end", "anchor")).alias("pieces"))
+def _cut(pieces: DataFrame, docs: DataFrame) -> DataFrame:
+    """The bytes of segments (doc, hash, start, end, anchor, many); the documents meet them once."""
+    wanted = pieces.groupBy("doc", "hash").agg(F.collect_set(F.struct("start", "end", "anchor", "many")).alias("pieces"))
     # A row given twice is cut once.
     joined = docs.join(wanted, ["doc", "hash"]).select("doc", "hash", "text", "pieces").dropDuplicates(["doc", "hash"])
 
     def work(batch):
-        out: dict[str, list] = {"doc": [], "hash": [], "start": [], "anchor": [], "bytes": []}
+        out: dict[str, list] = {"doc": [], "hash": [], "start": [], "anchor": [], "many": [], "bytes": []}
         for doc, text_hash, text, spans in zip(*(batch.column(i) for i in range(4))):
             raw, doc, text_hash = text.as_py().encode(), doc.as_py(), text_hash.as_py()
             for span in spans.as_py():
-                start, end = span["start"], span["end"]
-                for at in range(start, end - length + 1) if one_by_one else (start,):
-                    part = raw[at : at + length] if one_by_one else raw[start:end]
-                    out["bytes"].append(hashlib.blake2b(part, digest_size=16).digest() if one_by_one else part)
-                    out["doc"].append(doc)
-                    out["hash"].append(text_hash)
-                    out["start"].append(at)
-                    out["anchor"].append(span["anchor"])
+                out["bytes"].append(raw[span["start"] : span["end"]])
+                out["doc"].append(doc)
+                out["hash"].append(text_hash)
+                for name in ("start", "anchor", "many"):
+                    out[name].append(span[name])
         return out
 
-    return by_batch(joined, work, "doc long, hash long, start int, anchor long, bytes binary")
+    return by_batch(joined, work, "doc long, hash long, start int, anchor long, many boolean, bytes binary")
+
+
+def _windows(pieces: DataFrame, length: int) -> DataFrame:
+    """A digest for each window of the segments."""
+
+    def work(batch):
+        out: dict[str, list] = {"doc": [], "hash": [], "start": [], "bytes": []}
+        for doc, text_hash, start, raw in zip(*(column.to_pylist() for column in batch.columns)):
+            for at in range(len(raw) - length + 1):
+                out["bytes"].append(hashlib.blake2b(raw[at : at + length], digest_size=16).digest())
+                out["doc"].append(doc)
+                out["hash"].append(text_hash)
+                out["start"].append(start + at)
+        return out
+
+    return by_batch(pieces.select("doc", "hash", "start", "bytes"), work, "doc long, hash long, start int, bytes binary")
 
 
 def repeated_windows(doc: np.ndarray, text: np.ndarray, start: np.ndarray, parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -206,17 +219,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     place = F.struct("doc", "hash", "start", "end")
     firsts = shared.groupBy("anchor", "content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = written(firsts, "firsts")
-    several = firsts.where("n > 1").select("anchor", "content", "first")
-    later = shared.join(several, ["anchor", "content"]).where(place != F.col("first")).select("doc", "hash", "start", "end")
+    # A passage that all batches have is dealt in parts.
+    several = written(firsts.where("n > 1").select(F.struct("anchor", "content").alias("own"), "first", "n"), "several")
+    own = shared.select(F.struct("anchor", "content").alias("own"), "doc", "hash", "start", "end")
+    later = join_groups(own, several, "own", "n", "doc").where(place != F.col("first")).select("doc", "hash", "start", "end")
     counted = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
     kept = firsts.select("anchor", "first.*").join(counted, "anchor").withColumn("many", F.col("contents") > variants)
     kept = written(kept.drop("contents"), "kept")
+    cut = written(_cut(kept, docs), "cut")
     few = kept.where("NOT many")
     total = few.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    in_shards = shard_spans(_cut(few, docs, False, length), shards, length)
-    windows = _cut(kept.where("many"), docs, True, length)
-    windows = written(windows.select("doc", "hash", "start", "bytes"), "windows")
+    in_shards = shard_spans(cut.where("NOT many").drop("many"), shards, length)
+    windows = written(_windows(cut.where("many"), length), "windows")
     place = F.struct("doc", "hash", "start")
     earliest = windows.groupBy("bytes").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     rims = windows.join(earliest, "bytes").where(place != F.col("first"))

@@ -111,6 +111,8 @@ class PieceModel:
             self.first_merge[classes[a], classes[b]] = self.pairs.get((self.symbols[a], self.symbols[b]), -1)
         self.symbol_of_class = np.array([-1] + [self.symbols[c] for c in chars], np.int32)
         self.memo: dict[str, tuple[int, ...] | list[int]] = {}
+        # Segments whose ids do not give their bytes again.
+        self.lossy: set[str] = set()
 
     @classmethod
     def shared(cls, path: str) -> "PieceModel":
@@ -132,10 +134,19 @@ class PieceModel:
 
     def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text's end."""
+        return self._encode_flat(texts)[:2]
+
+    def encode_exact(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same, and whether each text's ids have the bytes of a blank and the text."""
+        ids, ends, faithful, normal = self._encode_flat(texts)
+        same = [bool(text) and n.replace(BLANK, " ") == " " + text for n, text in zip(normal, texts)]
+        return ids, ends, faithful & np.array(same, bool)
+
+    def _encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         normal = [self.library.normalize(text) if text else "" for text in texts]
         whole = "".join(normal)
         if not whole:
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64), np.ones(len(texts), bool), normal
         points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
         text_ends = np.cumsum(np.fromiter(map(len, normal), np.int64, len(normal)))
         # The first character of every segment: of a text, or where no piece has the two side by side.
@@ -156,6 +167,8 @@ class PieceModel:
         self._learn([names[k] for k in new])
         for k in new:
             found[k] = self.memo[names[k]]
+            if b"".join(map(self.inner.__getitem__, found[k])) != names[k].replace(BLANK, " ").encode():
+                self.lossy.add(names[k])
         # The ids of all distinct segments in one pool, from which every occurrence takes its run.
         count = np.fromiter(map(len, found), np.int64, len(found))
         pool = np.fromiter(chain.from_iterable(found), np.int32, int(count.sum()))
@@ -164,7 +177,12 @@ class PieceModel:
         runs = count[which]
         place = np.concatenate(([0], np.cumsum(runs)))
         ids = pool[np.arange(place[-1]) + np.repeat(start[which] - place[:-1], runs)]
-        return ids, place[np.searchsorted(cuts, text_ends)]
+        text_cuts = np.searchsorted(cuts, text_ends)
+        faithful = np.ones(len(texts), bool)
+        if self.lossy:
+            lost = np.fromiter(map(self.lossy.__contains__, names), bool, len(names))[which]
+            faithful = np.diff(np.concatenate(([0], np.cumsum(lost)))[np.concatenate(([0], text_cuts))]) == 0
+        return ids, place[text_cuts], faithful, normal
 
     def _learn(self, segments: list[str]) -> None:
         by_width: dict[int, list[str]] = {w: [] for w in WIDTHS}

@@ -2,15 +2,19 @@
 
 Suffixes are classified as smaller (S) or larger (L) than their right neighbour. The leftmost S
 suffixes are sorted first, by their substrings; equal substrings get equal names, and where names are not
-unique the string of names is sorted as well. The order of all other suffixes is then induced in two
-linear scans, bucket by bucket: a bucket's entries are known once all smaller ones are, except for runs
-of one symbol, which are taken one place of the run at a time. All work on a bucket is done on whole arrays.
+unique the string of names, at most half as long, is sorted in the same way. The order of all other suffixes is
+then induced in two linear scans. Over few symbols, as in bytes, a scan goes bucket by bucket on whole arrays: a
+bucket's entries are known once all smaller ones are, except for runs of one symbol, which are taken one place
+of the run at a time. Over many, as in names, it goes place by place.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+# Places that the plain scans work off in the time that a bucket takes on arrays.
+BUCKET_COST = 128
+
 
 def _is_smaller(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one; the last one, the end mark, is."""
@@ -80,31 +84,33 @@ def _induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sizes: np.
     return order
 
 
-def _doubled(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names: ranks of doubled length until all differ."""
-    n = len(names)
-    rank = names.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    step = 1
-    while True:
-        sorted_rank = rank[order]
-        new = np.concatenate(([True], sorted_rank[1:] != sorted_rank[:-1]))
-        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        rank[order] = start
-        tied = ~new
-        tied[:-1] |= ~new[1:]
-        if not tied.any():
-            return order
-        # Only suffixes still tied are sorted on, by the rank of what follows.
-        places = np.flatnonzero(tied)
-        some = order[places]
-        after = np.where(some + step < n, rank[np.minimum(some + step, n - 1)] + 1, 0)
-        by = np.argsort(rank[some] * (n + 1) + after, kind="stable")
-        order[places] = some[by]
-        key = (rank[some] * (n + 1) + after)[by]
-        differs = np.concatenate(([True], key[1:] != key[:-1]))
-        rank[order[places]] = places[np.maximum.accumulate(np.where(differs, np.arange(len(places)), 0))]
-        step *= 2
+def _induce_one_by_one(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The same in two plain scans, for texts with nearly as many symbols as places."""
+    n, symbols, is_smaller = len(text), text.tolist(), smaller.tolist()
+    tails = np.cumsum(sizes)
+    order = [-1] * n
+    tail = tails.tolist()
+    for i in reversed(seeds.tolist()):
+        c = symbols[i]
+        tail[c] -= 1
+        order[tail[c]] = i
+    head = (tails - sizes).tolist()
+    for k in range(n):
+        j = order[k] - 1
+        if j >= 0 and not is_smaller[j]:
+            c = symbols[j]
+            order[head[c]] = j
+            head[c] += 1
+    # Every smaller suffix is dealt anew, from the right; a seed's place is filled before it is read.
+    tail = tails.tolist()
+    for k in range(n - 1, -1, -1):
+        j = order[k] - 1
+        if j >= 0 and is_smaller[j]:
+            c = symbols[j]
+            tail[c] -= 1
+            order[tail[c]] = j
+    order[0] = n - 1
+    return np.array(order, np.int64)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -116,7 +122,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     smaller = _is_smaller(text)
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     sizes = np.bincount(text)
-    rough = _induce(text, smaller, leftmost[np.argsort(text[leftmost], kind="stable")], sizes)
+    # A bucket costs the array version some steps whatever its size.
+    induce = _induce if np.count_nonzero(sizes) * BUCKET_COST < n else _induce_one_by_one
+    rough = induce(text, smaller, leftmost[np.argsort(text[leftmost], kind="stable")], sizes)
     is_left = np.zeros(n, bool)
     is_left[leftmost] = True
     sorted_left = rough[is_left[rough]]
@@ -138,12 +146,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     names = np.empty(len(mine), np.int64)
     names[mine] = np.cumsum(~same)
     if len(mine) and names.max() < len(mine):
-        if names.max() < 256 and len(names) < n // 2:
-            sub = suffix_array(np.append(names, 0))[1:]
-        else:
-            sub = _doubled(names)
-        sorted_left = leftmost[sub]
-    return _induce(text, smaller, sorted_left, sizes)
+        sorted_left = leftmost[suffix_array(np.append(names, 0))[1:]]
+    return induce(text, smaller, sorted_left, sizes)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, longest: int) -> np.ndarray:

@@ -204,23 +204,34 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, groups=IDENT
     )
 
 
-def apply(docs: DataFrame, chosen: np.ndarray, weights: np.ndarray, intercept: float) -> DataFrame:
-    """doc_id and score; the model has at most ``MAX_FEATURES`` features."""
+def _scorer(docs: DataFrame, chosen: np.ndarray, weights: np.ndarray, intercept: float):
+    """The scores of a column of texts; the model has at most ``MAX_FEATURES`` features."""
     sent = docs.sparkSession.sparkContext.broadcast((chosen, weights, intercept))
 
-    def work(batch):
+    def scores_of(texts: pa.Array) -> np.ndarray:
         chosen, weights, intercept = sent.value
-        scores = []
-        for low, high, data, offsets in textnum.slices(batch.column(1)):
+        scores = [np.zeros(0)]
+        for low, high, data, offsets in textnum.slices(texts):
             row, index, value = project(data, offsets, chosen)
             total = intercept + np.bincount(row, weights[index] * value, minlength=high - low)
             scores.append(1 / (1 + np.exp(-np.clip(total, -500, 500))))
-        return {"doc_id": batch.column(0), "score": np.concatenate(scores)} if scores else None
+        return np.concatenate(scores)
+
+    return scores_of
+
 
-    return by_batch(docs.select("doc_id", "text"), work, "doc_id long, score double")
+def apply(docs: DataFrame, chosen: np.ndarray, weights: np.ndarray, intercept: float) -> DataFrame:
+    """doc_id and score of every row."""
+    scores_of = _scorer(docs, chosen, weights, intercept)
+    return by_batch(docs.select("doc_id", "text"), lambda batch: {"doc_id": batch.column(0), "score": scores_of(batch.column(1))}, "doc_id long, score double")
 
 
 def remove(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows not predicted toxic, with all their columns; only ids of toxic ones are joined."""
-    toxic = score(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("rejected")).distinct()
-    return docs.join(toxic, docs["doc_id"] == toxic["rejected"], "left_anti")
+    """The rows not predicted toxic, with all their columns. Each row is judged by its own text, whatever its doc_id."""
+    scores_of = _scorer(docs, *train(docs, labels))
+
+    @F.arrow_udf("double")
+    def score_of(texts: pa.Array) -> pa.Array:
+        return pa.array(scores_of(texts))
+
+    return docs.where(score_of("text") < 0.5)

@@ -1,7 +1,10 @@
 """Exact dedup and source mixing against plain Python, with nulls, ties, repeats and clashing columns."""
 
+from collections import Counter
+
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import exact, mixing
 
@@ -102,3 +105,15 @@ def test_nested_budgets(spark):
     small, _ = mixed(spark, rows, share=0.3)
     large, _ = mixed(spark, rows, share=0.7)
     assert all(large[i]["taken"] >= r["taken"] for i, r in small.items())
+
+
+def test_repeated_boundary_rows_do_not_overshoot(spark):
+    """One doc_id on most rows: copies of a boundary document are taken one by one until the target is met."""
+    rows = [(7, "w " * 10, "a")] * 300 + [(7, "v " * 10, "a")] * 200 + [(8, "w " * 500, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    sizes = {"a": 5000, "b": 500}
+    goal = brute.mix_targets(sizes)
+    taken = Counter(r.source for r in mixing.apply(df).collect())
+    assert abs(taken["a"] * 10 - goal["a"]) <= 5 and abs(taken["b"] * 500 - goal["b"]) <= 250
+    cut = mixing.mix(mixing.sizes(df)).groupBy("source").agg(F.sum("taken").alias("taken")).collect()
+    assert all(abs(r.taken - goal[r.source]) <= 1 for r in cut)
