@@ -14,12 +14,13 @@ INTEGER, FLOAT, TIMESTAMP, BOOLEAN, FITS_BIGINT = 1, 2, 4, 8, 16
 # What counts as a number or a moment in text. The plain patterns cover nearly all
 # values cheaply. In the general ones (?U) makes \d and \s Unicode-aware, and digits may be grouped
 # by single underscores; they are slow, so words are told apart first: a number has no letters but
-# one e, or inf, infinity or nan.
+# one e, or inf, infinity or nan. Every repetition is possessive: what it took it never gives back, so a value of
+# any length is read once and without recursion.
 PLAIN_INTEGER = r"^[+-]?[0-9]{1,18}\z"
-PLAIN_FLOAT = r"^[+-]?[0-9]+\.[0-9]+\z"
+PLAIN_FLOAT = r"^[+-]?[0-9]++\.[0-9]++\z"
 MAYBE_NUMBER = r"(?i)^[^a-z]*+(?:e[^a-z]*+|(?:inf|infinity|nan)[^a-z]*+)?\z"
-_BLANK = r"\s*"
-_DIGITS = r"\d(?:_?\d)*"
+_BLANK = r"\s*+"
+_DIGITS = r"\d(?:_?+\d)*+"
 GENERAL_INTEGER = rf"(?U)^{_BLANK}[+-]?{_DIGITS}{_BLANK}\z"
 GENERAL_FLOAT = (
     rf"(?U)^{_BLANK}[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
@@ -28,7 +29,7 @@ GENERAL_FLOAT = (
 # `2024-01-05 10:20:30`, `2024-01-05T10:20:30` or `2024-01-05`; one-digit parts allowed, no fractions.
 MOMENT = (
     r"^(?!0000)[0-9]{4}-(?:1[0-2]|0?[1-9])-(?:3[01]|[12][0-9]|0?[1-9]| [1-9])"
-    r"(?:(?:\s+|[Tt])(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9])?\z"
+    r"(?:(?:\s++|[Tt])(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9])?\z"
 )
 # The day within a moment, and what to drop from a whole number before reading it.
 _DAY = r"(?s)^([0-9]+-[0-9]+-) ?([0-9]+).*$"
@@ -70,14 +71,13 @@ def classes_of_type(kind: T.DataType, column: str) -> str | None:
     return f"CASE WHEN {v} IS NOT NULL THEN {known} END"
 
 
-def value_classes(column: str) -> str:
-    """Bit set of classes of a text column's value; NULL for a missing or empty value.
+def value_classes(v: str) -> str:
+    """Bit set of classes of a text, given as SQL; NULL for a missing or empty value.
 
     The classes other than integer within float exclude each other, so the order of the tests is
     free: cheap and common ones come first. The pattern checks the shape of a moment, a cast its
     day of the month.
     """
-    v = quoted(column)
     return f"""
         CASE WHEN {v} IS NULL OR {v} = '' THEN NULL
              WHEN {v} RLIKE r'{PLAIN_INTEGER}' THEN {INTEGER | FLOAT | FITS_BIGINT}

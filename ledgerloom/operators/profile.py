@@ -50,17 +50,19 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _per_column(df: DataFrame, name: str, aggregate, *fields: str) -> DataFrame:
+def _per_column(df: DataFrame, name: str, aggregate, *fields: str, columns: Sequence[str] | None = None) -> DataFrame:
     """One aggregate per column, reshaped from one wide row to one row per column.
 
     ``aggregate`` makes the SQL text of a column's aggregate; ``fields`` are SQL expressions over
-    its ``value``, its position ``at`` and the table's ``n_rows``.
+    its ``value``, its position ``at`` and the table's ``n_rows``. ``columns`` names the columns told of, by
+    default those of ``df``.
     """
+    columns = df.columns if columns is None else columns
     wide = df.selectExpr(
-        "count(1) AS n_rows", *[f"{aggregate(column)} AS c{at}" for at, column in enumerate(df.columns)]
+        "count(1) AS n_rows", *[f"{aggregate(column)} AS c{at}" for at, column in enumerate(columns)]
     )
-    values = ", ".join(f"c{at}" for at in range(len(df.columns)))
-    names = ", ".join(map(_literal, df.columns))
+    values = ", ".join(f"c{at}" for at in range(len(columns)))
+    names = ", ".join(map(_literal, columns))
     return wide.selectExpr("n_rows", f"posexplode(array({values})) AS (at, value)").selectExpr(
         f"{_literal(name)} AS table_name", "at + 1 AS pos", f"array({names})[at] AS column_name", *fields
     )
@@ -107,11 +109,14 @@ def infer_column_types(tables: Tables) -> DataFrame:
 
     def one(name: str, df: DataFrame) -> DataFrame:
         known = {f.name: classes_of_type(f.dataType, f.name) for f in df.schema}
-        # Text forms get a projection of their own: several tests read each of them.
-        ready = df.selectExpr(
-            *[quoted(c) if known[c] else f"CAST({quoted(c)} AS STRING) AS {quoted(c)}" for c in df.columns]
-        )
-        return _per_column(ready, name, lambda c: f"bit_and({known[c] or value_classes(c)})", *fields)
+        texts = [c for c in df.columns if not known[c]]
+        # One function over the row's texts instead of its tests written out for each column: generated code
+        # that long is not compiled by the JVM but interpreted.
+        forms = ", ".join(f"CAST({quoted(c)} AS STRING)" for c in texts)
+        judged = f"transform(array({forms}), v -> {value_classes('v')}) AS texts"
+        ready = df.selectExpr(*[f"{known[c]} AS {quoted(c)}" for c in df.columns if known[c]], *([judged] if texts else []))
+        place = {c: f"texts[{i}]" for i, c in enumerate(texts)}
+        return _per_column(ready, name, lambda c: f"bit_and({place.get(c) or quoted(c)})", *fields, columns=df.columns)
 
     return union_rows([one(name, df) for name, df in tables.items()])
 

@@ -26,6 +26,7 @@ PRODUCTS_PER_BLOCK = 2048
 ROWS_PER_CELL = 2_000_000
 ROWS_WORTH_A_TASK = 60_000
 PAIRS_PER_STEP = 500_000
+SPARSE = 16
 
 
 def purchase_lines(lines: DataFrame) -> DataFrame:
@@ -59,14 +60,24 @@ def _cosine(both: Column, a: Column, b: Column) -> Column:
     return both.cast("double") / F.sqrt(a.cast("double") * b.cast("double"))
 
 
-def _cell_counter(pairs_per_step: int):
+def _cell_counter(pairs_per_step: int, with_buyers: bool = True):
     """The counting of one cell, as a closure so that it travels to the workers by value."""
 
+    def few(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted pair codes and their summed counts."""
+        code, count = np.concatenate(codes), np.concatenate(counts)
+        order = np.argsort(code, kind="stable")
+        code, count = code[order], count[order]
+        first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
+        return code[first], np.add.reduceat(count, first) if len(code) else count
+
     def count(table: pa.Table) -> pa.Table:
         """Common buyers of each product pair within one cell of the grid.
 
-        For every row of the left block it walks the same customer's rows of the right block and
-        counts into a dense array of the two blocks, so only finished counts leave the cell.
+        For every row of the left block it walks the same customer's rows of the right block. Where
+        the cell has at least as many meetings as a ``SPARSE``-th of its possible pairs they are counted into a
+        dense array of the two blocks; a thinner cell keeps sorted pair codes with run lengths, so its
+        memory follows its meetings. Only finished counts leave the cell.
         """
         block_a, block_b = table["block_a"][0].as_py(), table["block_b"][0].as_py()
         customers = table["customer_id"].combine_chunks().dictionary_encode()
@@ -77,7 +88,8 @@ def _cell_counter(pairs_per_step: int):
             names = table["product_id"].filter(chosen).combine_chunks().dictionary_encode()
             code = names.indices.to_numpy()
             buyers = np.zeros(max(len(names.dictionary), 1), np.int64)
-            buyers[code] = table["n_buyers"].filter(chosen).to_numpy()
+            if with_buyers:
+                buyers[code] = table["n_buyers"].filter(chosen).to_numpy()
             return who[chosen.to_numpy()], code, names.dictionary, buyers
 
         who_b, code_b, names_b, buyers_b = side(block_b)
@@ -102,32 +114,43 @@ def _cell_counter(pairs_per_step: int):
         steps = np.arange(pairs_per_step, ends[-1] if len(ends) else 0, pairs_per_step)
         cuts = np.unique(np.searchsorted(ends, steps) + 1)
         width = max(len(names_b), 1)
-        counts = np.zeros(len(names_a) * width, dtype=np.int64)
+        dense = len(ends) > 0 and ends[-1] * sparse >= len(names_a) * width
+        counts = np.zeros(len(names_a) * width if dense else 0, dtype=np.int64)
+        codes, runs, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         for start, stop in zip([0, *cuts], [*cuts, len(ends)], strict=True):
             if start == stop:
                 continue
             some = fan[start:stop]
-            base = code_a[start] * width
+            base = code_a[start] * width if dense else 0
             # Positions of the partners: a running count per left row, shifted to where they begin.
             at = np.arange(some.sum()) + np.repeat(begin[start:stop] - np.cumsum(some) + some, some)
             pair = np.repeat(code_a[start:stop] * width - base, some) + code_b[at]
-            found = np.bincount(pair)
-            counts[base : base + len(found)] += found
-        met = np.flatnonzero(counts)
+            if dense:
+                found = np.bincount(pair)
+                counts[base : base + len(found)] += found
+                continue
+            code, run = np.unique(pair, return_counts=True)
+            codes.append(code)
+            runs.append(run)
+            held += len(code)
+            if held > 4 * pairs_per_step:
+                code, run = few(codes, runs)
+                codes, runs, held = [code], [run], 0
+        if dense:
+            met = np.flatnonzero(counts)
+            times = counts[met]
+        else:
+            met, times = few(codes, runs)
         a = names_a.take(pa.array(met // width))
         b = names_b.take(pa.array(met % width))
-        n_a, n_b = pa.array(buyers_a[met // width]), pa.array(buyers_b[met % width])
         swap = pc.greater(a, b)
-        return pa.table(
-            {
-                "product_a": pc.if_else(swap, b, a),
-                "product_b": pc.if_else(swap, a, b),
-                "n_a": pc.if_else(swap, n_b, n_a),
-                "n_b": pc.if_else(swap, n_a, n_b),
-                "n_both": pa.array(counts[met]),
-            }
-        )
+        found = {"product_a": pc.if_else(swap, b, a), "product_b": pc.if_else(swap, a, b), "n_both": pa.array(times)}
+        if with_buyers:
+            n_a, n_b = pa.array(buyers_a[met // width]), pa.array(buyers_b[met % width])
+            found |= {"n_a": pc.if_else(swap, n_b, n_a), "n_b": pc.if_else(swap, n_a, n_b)}
+        return pa.table(found)
 
+    sparse = SPARSE
     return count
 
 
@@ -141,14 +164,26 @@ def _stored(basket: DataFrame) -> tuple[DataFrame, dict]:
     )
 
 
-def _placed(stored: DataFrame, products: int, products_per_block: int) -> tuple[DataFrame, int]:
-    """The basket with each row's block of products and the buyers of its product.
+def _placed(stored: DataFrame, products: int, products_per_block: int, with_buyers: bool = True) -> tuple[DataFrame, int]:
+    """The basket with each row's block of products and, where asked for, the buyers of its product.
 
     Blocks depend on the catalogue alone: they bound a cell's counters, and nothing else.
     """
     blocks = max(1, math.ceil(products / products_per_block))
     block = F.pmod(F.xxhash64("product_id"), F.lit(blocks)).cast("int")
-    return stored.join(product_buyer_counts(stored), "product_id").withColumn("block", block), blocks
+    rows = stored.join(product_buyer_counts(stored), "product_id") if with_buyers else stored
+    return rows.withColumn("block", block), blocks
+
+
+def shares_of_cells(rows: int, blocks: int, rows_per_cell: int, cores: int) -> int:
+    """Into how many shares of the customers every cell is cut.
+
+    A cell holds two of ``blocks`` blocks, so about ``2 * rows / blocks`` rows: that divided by ``rows_per_cell``,
+    and more only where the cells alone leave cores without work that is worth a task.
+    """
+    held = rows if blocks == 1 else math.ceil(2 * rows / blocks)
+    cells = blocks * (blocks + 1) // 2
+    return max(1, math.ceil(held / rows_per_cell), min(math.ceil(cores / cells), math.ceil(held / ROWS_WORTH_A_TASK)))
 
 
 def _cells(placed: DataFrame, blocks: int, rows: int, rows_per_cell: int) -> DataFrame:
@@ -159,8 +194,7 @@ def _cells(placed: DataFrame, blocks: int, rows: int, rows_per_cell: int) -> Dat
     cells alike by customer, which copies nothing: so many that a cell's rows stay bounded and that
     a small catalogue still gives every core work.
     """
-    cores = placed.sparkSession.sparkContext.defaultParallelism
-    shares = max(math.ceil(rows / rows_per_cell), min(cores, math.ceil(rows / ROWS_WORTH_A_TASK)))
+    shares = shares_of_cells(rows, blocks, rows_per_cell, placed.sparkSession.sparkContext.defaultParallelism)
     share = F.pmod(F.xxhash64("customer_id"), F.lit(shares)).cast("int")
     if blocks == 1:
         copies = placed.withColumns({"block_a": F.col("block"), "block_b": F.col("block")})
@@ -169,22 +203,22 @@ def _cells(placed: DataFrame, blocks: int, rows: int, rows_per_cell: int) -> Dat
         copies = placed.join(visited, "customer_id").withColumns(
             {"block_a": F.least("block", "other"), "block_b": F.greatest("block", "other")}
         )
-    return copies.select("customer_id", "product_id", "n_buyers", "block", "block_a", "block_b", share.alias("share"))
+    kept = [name for name in ("customer_id", "product_id", "n_buyers", "block", "block_a", "block_b") if name in copies.columns]
+    return copies.select(*kept, share.alias("share"))
 
 
-def _count_pairs(stored: DataFrame, sizes: dict, products_per_block: int, rows_per_cell: int) -> DataFrame:
-    """Every product pair with common buyers once: both ids, the buyers of each and of both."""
-    placed, blocks = _placed(stored, sizes["products"], products_per_block)
+def _count_pairs(stored: DataFrame, sizes: dict, products_per_block: int, rows_per_cell: int, with_buyers: bool = True) -> DataFrame:
+    """Every product pair with common buyers once: both ids, the buyers of both and, where asked for, of each."""
+    placed, blocks = _placed(stored, sizes["products"], products_per_block, with_buyers)
     cells = _cells(placed, blocks, sizes["rows"], rows_per_cell)
     kind = stored.schema["product_id"].dataType
     schema = T.StructType().add("product_a", kind).add("product_b", kind)
-    for name in ("n_a", "n_b", "n_both"):
+    buyers = ["n_a", "n_b"] if with_buyers else []
+    for name in ("n_both", *buyers):
         schema = schema.add(name, T.LongType())
-    counted = cells.groupBy("share", "block_a", "block_b").applyInArrow(_cell_counter(PAIRS_PER_STEP), schema)
+    counted = cells.groupBy("share", "block_a", "block_b").applyInArrow(_cell_counter(PAIRS_PER_STEP, with_buyers), schema)
     # The shares of a pair are summed; its buyers are the same in each.
-    return counted.groupBy("product_a", "product_b").agg(
-        F.sum("n_both").alias("n_both"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
-    )
+    return counted.groupBy("product_a", "product_b").agg(F.sum("n_both").alias("n_both"), *[F.first(name).alias(name) for name in buyers])
 
 
 def co_purchase_counts(
@@ -202,7 +236,7 @@ def co_purchase_counts(
     customer has products to meet: not at all while the products fit one block. The counts of a
     pair from different shares are then summed.
     """
-    return _count_pairs(*_stored(basket), products_per_block, rows_per_cell).select("product_a", "product_b", "n_both")
+    return _count_pairs(*_stored(basket), products_per_block, rows_per_cell, with_buyers=False)
 
 
 def product_pair_scores(

@@ -225,14 +225,12 @@ def column_types(
 ) -> DataFrame:
     """Relational types inferred from the CSV files' text.
 
-    All rows are judged, or with ``sample_rows`` that many of each table, the first in the order of
-    all columns, so a rerun judges the same ones.
+    All rows are judged, or with ``sample_rows`` the first that many of each table, and no more is read.
     """
-    texts = {}
-    for table in _found(layers, folder, tables):
-        text = csvfiles.scan_raw_text(layers.spark, csv_path(folder, table))
-        texts[table] = text if sample_rows is None else csvfiles.sample_first_n(text, sample_rows, text.columns)
-    return profile.infer_column_types(texts)
+    if sample_rows is not None:
+        first = csvfiles.sample_first_rows(layers.spark, folder, sample_rows)
+        return profile.infer_column_types({t: text for t, text in first.items() if tables is None or t in set(tables)})
+    return profile.infer_column_types({t: csvfiles.scan_raw_text(layers.spark, csv_path(folder, t)) for t in _found(layers, folder, tables)})
 
 
 def relational_schema(layers: Layers, folder: str, script: str | None = None, **options) -> DataFrame:

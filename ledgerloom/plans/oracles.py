@@ -155,6 +155,17 @@ oracle(
               CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""",
     model=False,
 )
+oracle(
+    "sample_first_rows",
+    _union(
+        f"""SELECT * FROM (SELECT '{table}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS at,
+                   CAST({columns.split()[0]} AS VARCHAR) AS first_field, CAST({columns.split()[1]} AS VARCHAR) AS second_field
+            FROM {table}) WHERE at <= 200"""
+        for table, columns in SOURCE_COLUMNS.items()
+    ),
+    model=False,
+)
+oracle("overwrite_itself", "SELECT *, o_totalprice / 2 AS half FROM orders WHERE o_orderkey % 2 = 0", model=False)
 oracle(
     "discover_csv_tables",
     _union(
@@ -377,6 +388,95 @@ oracle(
        GROUP BY b.product_id""",
 )
 
+
+def _eliminated(source: str, size: int) -> str:
+    """Gauss-Jordan on columns m_i_j (the last j is the right side), d_i the diagonal at the start."""
+    for k in range(size):
+        pivot = f"(CASE WHEN m_{k}_{k} > 1e-9 * d_{k} THEN m_{k}_{k} END)"
+        cells = [
+            (f"m_{k}_{j} / {pivot}" if i == k else f"m_{i}_{j} - m_{k}_{j} * m_{i}_{k} / {pivot}") + f" AS m_{i}_{j}"
+            for i in range(size) for j in range(size + 1)
+        ]
+        source = f"SELECT product_id, n, {', '.join(cells)}, {', '.join(f'd_{i}' for i in range(size))} FROM ({source})"
+    return source
+
+
+def _normal(columns: list[str], rows: str) -> str:
+    """Normal equations of the regressors ``columns[:-1]`` and the target ``columns[-1]``."""
+    size = len(columns) - 1
+    cells = [f"sum({columns[i]} * {columns[j]}) AS m_{i}_{j}" for i in range(size) for j in range(size + 1)]
+    cells += [f"sum({c} * {c}) AS d_{i}" for i, c in enumerate(columns[:-1])]
+    return f"SELECT product_id, count(*) AS n, {', '.join(cells)} FROM {rows} GROUP BY product_id"
+
+
+_LONG = [1, 2, 3, 12, 13, 14]
+_HELD = "CASE WHEN {0} IS NOT NULL THEN greatest(-0.99, least(0.99, {0})) END"
+ARMA = MODEL.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+numbered AS (
+  SELECT product_id, month, quantity AS y, w, row_number() OVER h - 1 AS t,
+         count(*) FILTER (month <= DATE '2000-12-31') OVER (PARTITION BY product_id) AS n_train
+  FROM changes WHERE month <= DATE '2001-03-31' WINDOW h AS (PARTITION BY product_id ORDER BY month)),
+lagged AS MATERIALIZED (
+  SELECT *, {', '.join(f'lag(w, {k}) OVER h AS w{k}' for k in (1, 2, 3, 9, 10, 11, 12, 13, 14))},
+         {', '.join(f'lag(y, {k}) OVER h AS y{k}' for k in range(1, 14))}
+  FROM numbered WINDOW h AS (PARTITION BY product_id ORDER BY t)),
+rows1 AS MATERIALIZED (SELECT * FROM lagged WHERE t >= 27 AND t < n_train),
+long AS MATERIALIZED ({_eliminated(_normal([*(f"w{k}" for k in _LONG), "w"], "rows1"), 6)}),
+left_over AS MATERIALIZED (
+  SELECT r.*, CASE WHEN n > 6 THEN w - {' - '.join(f'm_{i}_6 * w{k}' for i, k in enumerate(_LONG))} END AS u
+  FROM rows1 r JOIN long USING (product_id)),
+rows2 AS MATERIALIZED (
+  SELECT * FROM (SELECT *, lag(u) OVER (PARTITION BY product_id ORDER BY t) AS u1 FROM left_over) WHERE t >= 28),
+short AS MATERIALIZED ({_eliminated(_normal(["w1", "w12", "w13", "u1", "w"], "rows2"), 4)}),
+coefficients AS MATERIALIZED (
+  SELECT p.product_id, CAST(p.n_train AS INTEGER) AS n_train, {_HELD.format("CASE WHEN n > 4 THEN m_0_4 END")} AS phi,
+         {_HELD.format("CASE WHEN n > 4 THEN m_3_4 END")} AS theta, {_HELD.format("CASE WHEN n > 4 THEN m_1_4 END")} AS seasonal_phi
+  FROM (SELECT DISTINCT product_id, n_train FROM numbered) p LEFT JOIN short USING (product_id)),
+shocks AS (
+  SELECT product_id, CAST(25 AS BIGINT) AS t, CAST(0 AS DOUBLE) AS e, CAST(NULL AS DOUBLE) AS expected FROM coefficients WHERE phi IS NOT NULL
+  UNION ALL
+  SELECT product_id, l.t, w - (phi * w1 + seasonal_phi * w12 - phi * seasonal_phi * w13 + theta * s.e),
+         phi * w1 + seasonal_phi * w12 - phi * seasonal_phi * w13 + theta * s.e
+  FROM shocks s JOIN lagged l USING (product_id) JOIN coefficients USING (product_id) WHERE l.t = s.t + 1),
+origin AS (
+  SELECT product_id, month AS last_month, y, w, y9, y10, y11, y12, w9, w10, w11, w12, phi, theta, seasonal_phi, e
+  FROM lagged JOIN coefficients USING (product_id) JOIN shocks USING (product_id, t) WHERE t = coefficients.n_train - 1),
+step1 AS (
+  SELECT *, phi * w + seasonal_phi * w11 - phi * seasonal_phi * w12 + theta * e AS f1 FROM origin),
+step2 AS (SELECT *, phi * f1 + seasonal_phi * w10 - phi * seasonal_phi * w11 AS f2, f1 + y + y11 - y12 AS a1 FROM step1),
+step3 AS (SELECT *, phi * f2 + seasonal_phi * w9 - phi * seasonal_phi * w10 AS f3, f2 + a1 + y10 - y11 AS a2 FROM step2),
+arma AS (
+  SELECT product_id, last_month, unnest([1, 2, 3]) AS step, unnest([a1, a2, f3 + a2 + y9 - y10]) AS forecast FROM step3),
+averaged AS (
+  SELECT product_id, n_train, [x FOR x IN [y, y1, y2] IF x IS NOT NULL] AS k FROM lagged WHERE t = n_train - 1),
+average1 AS (SELECT *, list_prepend(list_avg(k), k)[:3] AS k1 FROM averaged),
+average2 AS (SELECT *, list_prepend(list_avg(k1), k1)[:3] AS k2 FROM average1),
+average AS (SELECT product_id, unnest([0, 1, 2]) AS at, unnest([list_avg(k), list_avg(k1), list_avg(k2)]) AS forecast FROM average2),
+tested AS (
+  SELECT n.product_id, n.month, n.y AS actual, n.t - n.n_train AS at, b.forecast AS average_rolling, v.forecast AS average_ahead,
+         expected + y1 + y12 - y13 AS seasonal_rolling, a.forecast AS seasonal_ahead
+  FROM lagged n JOIN baseline b USING (product_id, month)
+  LEFT JOIN average v ON v.product_id = n.product_id AND v.at = n.t - n.n_train
+  LEFT JOIN arma a ON a.product_id = n.product_id AND a.step = n.t - n.n_train + 1
+  LEFT JOIN shocks s ON s.product_id = n.product_id AND s.t = n.t
+  WHERE n.month >= DATE '2001-01-01')
+"""
+ORACLES["seasonal_arma_coefficients"] = (
+    ARMA + "SELECT product_id, n_train, round(phi, 6) AS phi, round(theta, 6) AS theta, round(seasonal_phi, 6) AS seasonal_phi FROM coefficients"
+)
+ORACLES["seasonal_arma_forecast"] = (
+    ARMA + "SELECT product_id, step, CAST(last_month + to_months(step) AS DATE) AS month, round(forecast, 6) AS forecast FROM arma WHERE forecast IS NOT NULL"
+)
+ORACLES["forecast_protocols"] = ARMA + _union(
+    f"""SELECT product_id, '{method}' AS method, '{protocol}' AS protocol, count(*) AS n_months,
+               CAST(round_even(sum({column}), 0) AS BIGINT) AS total_forecast, round(avg(abs(actual - {column})), 6) AS mae
+        FROM tested GROUP BY product_id"""
+    for method, protocol, column in (
+        ("moving_average", "rolling", "average_rolling"), ("moving_average", "ahead", "average_ahead"),
+        ("seasonal", "rolling", "seasonal_rolling"), ("seasonal", "ahead", "seasonal_ahead"),
+    )
+)
+
 # Recommendations
 oracle(
     "purchase_crosstab",

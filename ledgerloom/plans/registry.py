@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import bindings
 from ledgerloom.bindings import Retail
-from ledgerloom.operators import calendar, forecast, profile, recommend, sales, silver
+from ledgerloom.operators import calendar, forecast, profile, recommend, sales, seasonal, silver
 from ledgerloom.plans import medallion
 from ledgerloom.session import materialize, new_database, new_path
 from ledgerloom.sources import catalog, csvfiles
@@ -90,6 +90,28 @@ def sample_first_n(retail: Retail) -> DataFrame:
     return csvfiles.sample_first_n(retail.source("orders"), SAMPLE_ROWS, ["o_orderkey"])
 
 
+@query
+def sample_first_rows(retail: Retail) -> DataFrame:
+    """The first rows of each file, numbered, with their first two fields."""
+    first = csvfiles.sample_first_rows(retail.spark, _exported_csv(retail), SAMPLE_ROWS, "at")
+    return profile.union_rows(
+        [
+            text.select(F.lit(table).alias("table_name"), "at", F.col(text.columns[1]).alias("first_field"), F.col(text.columns[2]).alias("second_field"))
+            for table, text in first.items()
+        ]
+    )
+
+
+@query
+def overwrite_itself(retail: Retail) -> DataFrame:
+    """A table replaced by rows read from it, twice, the second time with another schema."""
+    layers, _ = _new_layers(retail)
+    layers.write(retail.source("orders"), "orders")
+    layers.write(layers.read("orders").filter("o_orderkey % 2 = 0"), "orders")
+    layers.write(layers.read("orders").withColumn("half", F.col("o_totalprice") / 2), "orders")
+    return layers.read("orders")
+
+
 @query
 def overwrite_roundtrip(retail: Retail) -> DataFrame:
     layers, _ = _new_layers(retail)
@@ -465,6 +487,22 @@ def forecast_comparison(retail: Retail) -> DataFrame:
     return _rounded(compared, "baseline_mae", "seasonal_mae")
 
 
+@query
+def seasonal_arma_coefficients(retail: Retail) -> DataFrame:
+    return _rounded(seasonal.seasonal_arma_coefficients(_demand(retail), bindings.SPLIT), "phi", "theta", "seasonal_phi")
+
+
+@query
+def seasonal_arma_forecast(retail: Retail) -> DataFrame:
+    return _rounded(seasonal.seasonal_arma_forecast(_demand(retail), bindings.SPLIT), "forecast")
+
+
+@query
+def forecast_protocols(retail: Retail) -> DataFrame:
+    demand, _ = materialize(_demand(retail), "demand")
+    return _rounded(seasonal.forecast_protocols(demand, bindings.SPLIT), "mae")
+
+
 # Recommendations
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from urllib.parse import unquote
 
@@ -9,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.text import table_name_of_file
 
 _QUOTING = {"quote": '"', "escape": '"'}
 
@@ -67,41 +67,71 @@ def scan_raw_text(spark: SparkSession, path: str, layout: str | None = None) ->
     return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path).na.fill("")
 
 
-def _named(files: DataFrame) -> DataFrame:
-    """Add the name of the ``<table>.csv`` a path belongs to: a file, or a folder of part files."""
-    name = F.regexp_extract("path", r"([^/]+\.csv)(?:/[^/]*)?$", 1)
-    return files.withColumn("file_name", name).withColumn("table_name", table_name_of_file(F.col("file_name")))
+# The ``<table>.csv`` a path belongs to: a file, or a folder of part files.
+_TABLE_FILE = r"([^/]+\.csv)(?:/[^/]*)?$"
 
 
-def _listed(spark: SparkSession, folder: str) -> DataFrame:
-    """The CSV files of a folder, empty ones too, from the file listing the driver makes for any scan."""
+def _files(spark: SparkSession, folder: str) -> list[tuple[str, str, str]]:
+    """Path, file name and table name of the CSV files of a folder, empty ones too, by path.
+
+    They come from the listing that the driver makes for any scan; no job runs.
+    """
     reader = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True)
-    paths = [(unquote(url),) for url in reader.load(folder).inputFiles()]
-    return _named(spark.createDataFrame(paths, "path string"))
+    paths = sorted(unquote(url) for url in reader.load(folder).inputFiles())
+    names = [re.search(_TABLE_FILE, path)[1] for path in paths]
+    return [(path, name, name.removesuffix(".csv")) for path, name in zip(paths, names, strict=True)]
 
 
 def csv_table_names(spark: SparkSession, folder: str) -> list[str]:
     """Tables with a ``<table>.csv`` in a folder, by name."""
-    names = _listed(spark, folder).select("table_name").distinct().orderBy("table_name")
-    return [row["table_name"] for row in names.collect()]
+    return sorted({table for _, _, table in _files(spark, folder)})
 
 
 def discover_csv_tables(spark: SparkSession, folder: str, count_lines: bool = True) -> DataFrame:
     """Every ``<table>.csv`` of a folder, by name, empty ones too.
 
     With ``count_lines`` the files are read for their number of lines after the header, which each
-    part of a table has for itself. Lines are not records where quoted fields contain line ends.
+    part of a table has for itself. Lines are not records where quoted fields contain line ends. Lines are
+    counted by the path as it stands; only the counts are given names.
     """
-    files = _listed(spark, folder)
-    found = files.select("file_name", "table_name").distinct()
+    found = sorted({(name, table) for _, name, table in _files(spark, folder)})
+    files = spark.createDataFrame(found, "file_name string, table_name string")
     if count_lines:
         lines = spark.read.options(pathGlobFilter="*.csv", recursiveFileLookup=True).text(folder)
         parts = lines.groupBy(F.col("_metadata.file_path").alias("url")).agg((F.count(F.lit(1)) - 1).alias("n_lines"))
         # A file's URL is its path percent-encoded; a plus sign stands for itself there.
-        parts = parts.select(F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B"))).alias("path"), "n_lines")
-        counted = _named(parts).groupBy("table_name").agg(F.sum("n_lines").alias("n_lines"))
-        found = found.join(counted, "table_name", "left").select("file_name", "table_name", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
-    return found.orderBy("file_name")
+        path = F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B")))
+        # Never null: else the join's null test would be pushed to the scan, names and all, for every line.
+        name = F.coalesce(F.regexp_extract(path, _TABLE_FILE, 1), F.lit(""))
+        counted = parts.groupBy(name.alias("file_name")).agg(F.sum("n_lines").alias("n_lines"))
+        files = files.join(counted, "file_name", "left").select("file_name", "table_name", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
+    return files.orderBy("file_name")
+
+
+def sample_first_rows(spark: SparkSession, folder: str, n: int, place: str | None = None) -> dict[str, DataFrame]:
+    """The first ``n`` records of each table of a folder, as text, in the order of its files.
+
+    A table's part files follow each other by name. A file is read as one stream of records, right for quoted
+    line ends too, and reading stops as soon as the rows are there; a later part is opened only where the
+    ones before hold too few. The rows, ``n`` a table, pass through the driver. ``place`` names a column for a
+    row's number, from 1.
+    """
+    parts: dict[str, list[str]] = {}
+    for path, _, table in _files(spark, folder):
+        parts.setdefault(table, []).append(path)
+    found = {}
+    for table, paths in parts.items():
+        rows: list[tuple] = []
+        for path in paths:
+            if len(rows) >= n:
+                break
+            text = scan_raw_text(spark, path, WHOLE_FILE)
+            rows += text.take(n - len(rows))
+        schema = text.schema
+        if place is not None:
+            rows, schema = [(i, *row) for i, row in enumerate(rows, 1)], T.StructType([T.StructField(place, T.IntegerType()), *schema])
+        found[table] = spark.createDataFrame(rows, schema)
+    return found
 
 
 def sample_first_n(df: DataFrame, n: int, order_by: Iterable[str]) -> DataFrame:

@@ -9,8 +9,6 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 from ledgerloom.session import build_session, release  # noqa: E402
 
-TESTDATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import forecast as fc
+from ledgerloom.operators import seasonal
 from ledgerloom.operators.sales import sold_lines
 
 SPLIT = fc.Split(dt.date(2025, 12, 31), dt.date(2026, 1, 1), dt.date(2026, 3, 31))
@@ -169,3 +170,128 @@ def test_comparison_covers_long_ranges_short_histories_and_flat_products(spark):
     assert found[1].seasonal_total == round(sum(ahead))
     assert found[1].seasonal_mae == pytest.approx(sum(abs(a - b) for a, b in zip(series[1][1][36:], ahead)) / 6)
     assert [found[p].seasonal_total for p in (2, 3)] == [found[p].seasonal_mae for p in (2, 3)] == [None, None]
+
+
+def least_squares(rows):
+    """Coefficients of the regressors in rows of (regressors..., target), by elimination; None if singular."""
+    p = len(rows[0]) - 1
+    m = [[sum(r[i] * r[j] for r in rows) for j in range(p + 1)] for i in range(p)]
+    size = [m[k][k] for k in range(p)]
+    for k in range(p):
+        if not m[k][k] > 1e-9 * size[k]:
+            return None
+        m[k] = [x / m[k][k] for x in m[k]]
+        m = [m[k] if i == k else [x - line[k] * y for x, y in zip(line, m[k])] for i, line in enumerate(m)]
+    return [line[p] for line in m]
+
+
+def arma_loop(y, n_train, horizon):
+    """phi, seasonal phi and theta, one-step forecasts by place, and forecasts from the end of training."""
+    w = [y[t] - y[t - 1] - y[t - 12] + y[t - 13] for t in range(13, len(y))]
+    n = n_train - 13
+    rows = [[*(w[t - k] for k in (1, 2, 3, 12, 13, 14)), w[t]] for t in range(14, n)]
+    long = least_squares(rows) if len(rows) > 6 else None
+    if long is None:
+        return None
+    left = {t: r[6] - sum(a * x for a, x in zip(long, r)) for t, r in enumerate(rows, 14)}
+    rows = [[w[t - 1], w[t - 12], w[t - 13], left[t - 1], w[t]] for t in range(15, n)]
+    found = least_squares(rows) if len(rows) > 4 else None
+    if found is None:
+        return None
+    phi, seasonal, theta = (max(-0.99, min(0.99, found[i])) for i in (0, 1, 3))
+    e, ahead_w = [0.0] * min(13, len(w)), w[:n]
+    expected = lambda w, t: phi * w[t - 1] + seasonal * w[t - 12] - phi * seasonal * w[t - 13]
+    rolling = {}
+    for t in range(13, len(w)):
+        told = expected(w, t) + theta * e[t - 1]
+        rolling[t + 13] = told + y[t + 12] + y[t + 1] - y[t]
+        e.append(w[t] - told)
+    grown = y[:n_train]
+    for h in range(horizon):
+        ahead_w = [*ahead_w, expected(ahead_w, len(ahead_w)) + (theta * e[n - 1] if h == 0 else 0)]
+        grown = [*grown, ahead_w[-1] + grown[-1] + grown[-12] - grown[-13]]
+    return (phi, seasonal, theta), rolling, grown[n_train:]
+
+
+@pytest.fixture(scope="module")
+def long_series():
+    """Up to six training years from January 2020 and the three test months."""
+    rnd = random.Random(11)
+    made = {p: (0, [20 + 10 * (i % 12) + rnd.gauss(0, 6) for i in range(75)]) for p in range(12)}
+    made |= {20 + p: (30 + 5 * p, [rnd.randrange(0, 30) for _ in range(45 - 5 * p)]) for p in range(6)}
+    made[100] = (0, [5.0] * 75)  # flat
+    made[101] = (72, [1.0, 2.0, 3.0])  # no training
+    made[102] = (0, [float(i % 7) for i in range(60)])  # ends before the test months
+    made[103] = (71, [4.0, 5.0, 6.0, 7.0])
+    return made
+
+
+def long_demand(spark, made):
+    at = lambda i: dt.date(2020 + i // 12, i % 12 + 1, 1)
+    rows = [(p, at(start + i), float(q)) for p, (start, values) in made.items() for i, q in enumerate(values)]
+    return spark.createDataFrame(rows, "product_id bigint, month date, quantity double").repartition(5)
+
+
+def test_seasonal_model_equals_loop(spark, long_series):
+    found = {r.product_id: r for r in seasonal.seasonal_arma_coefficients(long_demand(spark, long_series), SPLIT).collect()}
+    ahead = {}
+    for r in seasonal.seasonal_arma_forecast(long_demand(spark, long_series), SPLIT).collect():
+        ahead.setdefault(r.product_id, {})[r.step] = r.forecast
+    assert set(found) == set(long_series)
+    for p, (start, values) in long_series.items():
+        n_train = max(0, min(len(values), 72 - start))
+        want = arma_loop(list(map(float, values)), n_train, 3)
+        assert found[p].n_train == n_train
+        if want is None:
+            assert found[p].phi is None and p not in ahead
+            continue
+        (phi, s_phi, theta), _, steps = want
+        assert (found[p].phi, found[p].seasonal_phi, found[p].theta) == pytest.approx((phi, s_phi, theta), rel=1e-6, abs=1e-9)
+        assert [ahead[p][h] for h in (1, 2, 3)] == pytest.approx(steps, rel=1e-6)
+
+
+def test_known_coefficients_are_recovered(spark):
+    """Simulated series of the model itself: the estimates come near, nearer with more years."""
+    phi, s_phi, theta = 0.5, -0.4, 0.3
+    rnd = random.Random(3)
+    months = 2400
+    e = [rnd.gauss(0, 1) for _ in range(months)]
+    w = [0.0] * 13
+    for t in range(13, months):
+        w.append(phi * w[t - 1] + s_phi * w[t - 12] - phi * s_phi * w[t - 13] + e[t] + theta * e[t - 1])
+    y = [0.0] * 13
+    for t in range(13, months):
+        y.append(w[t] + y[t - 1] + y[t - 12] - y[t - 13])
+    rows = [(1, dt.date(1800 + i // 12, i % 12 + 1, 1), v) for i, v in enumerate(y)]
+    demand = spark.createDataFrame(rows, "product_id bigint, month date, quantity double")
+    split = fc.Split(dt.date(1999, 12, 1), dt.date(2000, 1, 1), dt.date(2000, 3, 31))
+    one = seasonal.seasonal_arma_coefficients(demand, split).first()
+    assert abs(one.phi - phi) < 0.1 and abs(one.seasonal_phi - s_phi) < 0.1 and abs(one.theta - theta) < 0.1
+
+
+def test_protocols_equal_loops(spark, long_series):
+    found = {(r.product_id, r.method, r.protocol): r for r in seasonal.forecast_protocols(long_demand(spark, long_series), SPLIT).collect()}
+    for p, (start, values) in long_series.items():
+        values = list(map(float, values))
+        n_train = max(0, min(len(values), 72 - start))
+        actual = values[n_train:]
+        if not actual:
+            assert not any(key[0] == p for key in found)
+            continue
+        model = arma_loop(values, n_train, 3)
+        history, average_ahead = values[:n_train], []
+        for _ in range(3 if n_train else 0):
+            average_ahead.append(sum(history[-3:]) / len(history[-3:]))
+            history.append(average_ahead[-1])
+        rolling = [sum(values[max(0, i - 3) : i]) / len(values[max(0, i - 3) : i]) if i else None for i in range(n_train, len(values))]
+        want = {
+            ("moving_average", "rolling"): rolling,
+            ("moving_average", "ahead"): average_ahead or [None] * 3,
+            ("seasonal", "rolling"): [model[1][i] for i in range(n_train, len(values))] if model else [None] * 3,
+            ("seasonal", "ahead"): model[2] if model else [None] * 3,
+        }
+        for (method, protocol), forecasts in want.items():
+            errors = [abs(a - f) for a, f in zip(actual, forecasts) if f is not None]
+            row = found[p, method, protocol]
+            assert row.n_months == len(actual)
+            assert row.mae == (pytest.approx(sum(errors) / len(errors), rel=1e-6) if errors else None)

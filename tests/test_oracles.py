@@ -4,7 +4,7 @@ import os
 
 import pytest
 from compare import connect, differences
-from conftest import TESTDATA
+from places import TESTDATA
 
 import __spark_entry__ as entry
 from ledgerloom.plans.oracles import ORACLES

@@ -4,7 +4,7 @@ import os
 import re
 
 import pytest
-from conftest import TESTDATA
+from places import TESTDATA
 
 import __spark_entry__ as entry
 from ledgerloom.plans.registry import QUERIES
@@ -76,3 +76,13 @@ def test_no_python_outside_pair_counting(spark):
             continue
         text = plan(spark, name)
         assert "InArrow" not in text and "InPandas" not in text and "PythonUDF" not in text, name
+
+
+def test_lines_are_counted_by_path_alone(spark, csv_dir):
+    """Neither names nor filters on them are worked out for every line."""
+    from ledgerloom.sources import csvfiles
+
+    found = csvfiles.discover_csv_tables(spark, csv_dir(a="x\n1\n", b="x\n"))
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    below = text[text.index("\n", text.rindex("Aggregate [")) :]
+    assert "file_path" in below and "regexp" not in below.lower() and "UrlCodec" not in below and "Filter" not in below

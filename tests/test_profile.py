@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -143,3 +144,23 @@ def test_empty_tables(spark):
 def test_volumetrics_order(spark):
     tables = {"b": spark.range(2), "a": spark.range(2), "c": spark.range(9).selectExpr("id", "id AS x")}
     assert [tuple(r) for r in profile.table_volumetrics(tables).collect()] == [("c", 9, 2), ("a", 2, 1), ("b", 2, 1)]
+
+
+@pytest.mark.parametrize(
+    "head, middle, tail, kind",
+    [
+        ("7", "7", "", "BIGINT"),
+        ("1", "_1", "", "BIGINT"),
+        ("", " ", "5", "BIGINT"),
+        ("5", " ", "", "BIGINT"),
+        ("1", "1", ".", "DOUBLE PRECISION"),
+        ("1.", "0_1", "e5", "DOUBLE PRECISION"),
+        ("1", "_1", "_", "TEXT"),
+        ("9", "9", "x", "TEXT"),
+        ("1_", "1_", "_1", "TEXT"),
+    ],
+)
+def test_a_very_long_value_is_judged_like_a_short_one(spark, head, middle, tail, kind):
+    values = (head + middle * 500_000 + tail, head + middle * 3 + tail)
+    judged = profile.infer_column_types({"t": spark.createDataFrame([values], "long string, short string")}).collect()
+    assert {r.column_name: r.inferred_type for r in judged} == {"long": kind, "short": kind}

@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 from math import sqrt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,7 +54,6 @@ def test_pair_counts_of_text_ids(spark):
 
 
 def test_pairs_counted_in_small_steps():
-    import pyarrow as pa
 
     pairs = random_pairs(11)
     customers, products = zip(*pairs)
@@ -76,6 +76,31 @@ def test_pairs_counted_in_small_steps():
         assert got == want
 
 
+def test_thin_cells_are_counted_as_sorted_codes(monkeypatch):
+    """Few meetings among many products: the same counts without the dense array."""
+    pairs = sorted({(random.Random(i).randrange(300), i % 700) for i in range(1500)})
+    customers, products = [c for c, _ in pairs], [p for _, p in pairs]
+    want, _ = brute(pairs)
+    cell = pa.table({"customer_id": customers, "product_id": products, "block": pa.array([0] * len(pairs), pa.int32())})
+    for name in ("block_a", "block_b"):
+        cell = cell.append_column(name, pa.array([0] * len(pairs), pa.int32()))
+    for sparse in (0, 10**9):
+        monkeypatch.setattr(rec, "SPARSE", sparse)
+        for step in (1, 50, 10**6):
+            rows = rec._cell_counter(step, with_buyers=False)(cell).to_pylist()
+            assert {(r["product_a"], r["product_b"]): r["n_both"] for r in rows} == want and len(rows) == len(want)
+
+
+def test_number_of_cells_of_a_large_catalogue():
+    """1e10 rows of 1e7 products: every cell has its bounded rows, and there are not many more cells than that takes."""
+    rows, blocks, per_cell = 10**10, 4883, 2_000_000
+    shares = rec.shares_of_cells(rows, blocks, per_cell, cores=4000)
+    assert 2 * rows / blocks / shares <= per_cell
+    assert shares * blocks * (blocks + 1) // 2 < 4e7
+    # Small catalogues still give every core a share.
+    assert rec.shares_of_cells(400_000, 1, per_cell, cores=8) == 7 and rec.shares_of_cells(10, 1, per_cell, cores=8) == 1
+
+
 @pytest.mark.parametrize("shares", [1, 5])
 def test_rows_are_copied_only_where_customers_have_partners(spark, shares):
     """One block means one copy whatever the shares; with many, at most the customer's own blocks."""

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from ledgerloom.plans import medallion
-from ledgerloom.session import new_path
+from ledgerloom.session import new_database, new_path
 from ledgerloom.sources import catalog, csvfiles
 
 QUOTED = 'id,note\n1,"line1\nline2"\n2,"a ""q"" b"\n3,plain\n'
@@ -150,6 +150,59 @@ def test_overwrite_replaces_rows_and_schema(spark):
     assert catalog.read_table(spark, "replaced").count() == 3
 
 
+def test_a_failed_write_leaves_the_old_table(spark):
+    name = new_database(spark, "kept") + ".t"
+    catalog.overwrite_table(spark.range(4), name)
+    before = spark.table(name).inputFiles()
+    with pytest.raises(Exception, match="spoiled"):
+        catalog.overwrite_table(spark.range(9).selectExpr("CASE WHEN id = 8 THEN raise_error('spoiled') ELSE id END AS id"), name)
+    assert sorted(r.id for r in spark.table(name).collect()) == [0, 1, 2, 3] and spark.table(name).inputFiles() == before
+    folder = os.path.dirname(os.path.dirname(before[0].removeprefix("file:")))
+    assert len(os.listdir(folder)) == 1, "the failed write left its folder behind"
+
+
+def test_a_plan_may_read_the_table_that_it_replaces(spark):
+    name = new_database(spark, "own") + ".t"
+    catalog.overwrite_table(spark.range(10), name)
+    assert catalog.overwrite_table(spark.table(name).where("id > 6"), name) == 3
+    assert catalog.overwrite_table(spark.table(name).selectExpr("id", "id * 2 AS twice"), name) == 3
+    assert sorted(map(tuple, spark.table(name).collect())) == [(7, 14), (8, 16), (9, 18)]
+    folder = os.path.dirname(os.path.dirname(spark.table(name).inputFiles()[0].removeprefix("file:")))
+    assert len(os.listdir(folder)) == 1, "former versions are removed"
+
+
+def test_tables_saved_by_spark_can_be_replaced(spark):
+    database = new_database(spark, "managed")
+    spark.range(5).write.saveAsTable(f"{database}.t")
+    assert catalog.overwrite_table(spark.table(f"{database}.t").where("id < 2"), f"{database}.t") == 2
+    assert sorted(r.id for r in spark.table(f"{database}.t").collect()) == [0, 1]
+    spark.range(5).write.saveAsTable(f"{database}.u")
+    assert catalog.overwrite_table(spark.table(f"{database}.u").selectExpr("id", "'x' AS more"), f"{database}.u") == 5
+
+
+def test_first_rows_of_each_file_in_its_order(spark, csv_dir):
+    folder = csv_dir(a="k,v\n" + "".join(f"{9 - i},x{i}\n" for i in range(9)), short="k\n1\n", none="k\n", b='k,v\n1,"two\nlines"\n2,z\n')
+    for part in (1, 0):
+        os.makedirs(folder + "/parts.csv", exist_ok=True)
+        with open(f"{folder}/parts.csv/part-{part}.csv", "w") as f:
+            f.write("k\n" + "".join(f"{part}{i}\n" for i in range(2)))
+    first = {t: [tuple(r) for r in df.collect()] for t, df in csvfiles.sample_first_rows(spark, folder, 3).items()}
+    assert sorted(first["a"]) == [("7", "x2"), ("8", "x1"), ("9", "x0")]
+    assert first["short"] == [("1",)] and first["none"] == [] and sorted(first["b"]) == [("1", "two\nlines"), ("2", "z")]
+    assert sorted(first["parts"]) == [("00",), ("01",), ("10",)]
+    placed = csvfiles.sample_first_rows(spark, folder, 2, "at")["a"]
+    assert sorted(map(tuple, placed.collect())) == [(1, "9", "x0"), (2, "8", "x1")]
+
+
+def test_first_rows_do_not_read_whole_files(spark, tmp_path):
+    """A field count that is wrong far behind the sample is never met."""
+    text = "a,b\n" + "1,2\n" * 400_000 + "1,2,3\n"
+    (tmp_path / "long.csv").write_text(text)
+    assert csvfiles.sample_first_rows(spark, str(tmp_path), 200)["long"].count() == 200
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csvfiles.scan_raw_text(spark, str(tmp_path / "long.csv"), csvfiles.BY_LINE).write.format("noop").mode("append").save()
+
+
 def test_stamp_is_one_value(spark):
     assert catalog.stamp_ingestion(spark.range(100, numPartitions=4)).select("_ingested_at").distinct().count() == 1
 
