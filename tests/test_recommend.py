@@ -54,7 +54,6 @@ def test_pair_counts_of_text_ids(spark):
 
 
 def test_pairs_counted_in_small_steps():
-
     pairs = random_pairs(11)
     customers, products = zip(*pairs)
     block = [p % 2 for p in products]
