@@ -6,9 +6,12 @@ occur in at least ``MIN_TOXIC`` toxic training texts and tell the classes apart
 least ``MIN_RATIO``) are kept, ``MAX_FEATURES`` at most. A feature's value grows with the logarithm of
 its count and falls with the length of the text.
 
-The loss is the logistic loss plus ``PENALTY`` times the squared change of the score when the identity
-terms of a labelled text are swapped for other terms of their group, plus a small ridge. A term that is
-merely mentioned in toxic texts thus cannot raise the score of neutral mentions.
+The loss is the logistic loss plus ``PENALTY`` times the squared change of the score when the terms of a
+labelled text are swapped for other terms of their group, plus a small ridge. A term that is
+merely mentioned in toxic texts thus cannot raise the score of neutral mentions. Groups are the identity terms given
+(``IDENTITY_TERMS``: English, German, French and Spanish), and terms found in the training labels: a word that passes for
+a feature though at least ``MIN_CLEAN`` clean texts have it too is a mention, and is paired with the word
+nearest in document frequency that says nothing about the class (``MENTIONS`` pairs at most).
 
 Fitting uses at most ``SAMPLE`` labelled rows, one for each of the ids with the smallest hashes; scoring covers every
 whole text. Defined results: a null text is empty; empty texts get the score of the intercept; labels
@@ -33,7 +36,7 @@ SAMPLE = 8000
 MIN_TOXIC, MIN_RATIO, MAX_FEATURES = 4, 10.0, 1 << 14
 # Features counted in a task before they are handed on.
 PART = 1 << 20
-PENALTY, RIDGE, STEPS = 10.0, 0.001, 300
+PENALTY, RIDGE, STEPS = 2.0, 0.001, 300
 # Groups of identity terms that may stand for each other.
 IDENTITY_TERMS = (
     ("women", "men"),
@@ -47,7 +50,27 @@ IDENTITY_TERMS = (
     ("immigrant", "native"),
     ("immigrants", "natives"),
     ("old", "young"),
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("schwarze", "weiße", "asiaten"),
+    ("ausländer", "einheimische"),
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noirs", "blancs", "asiatiques"),
+    ("immigrés", "autochtones"),
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("niñas", "niños"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("negros", "blancos", "asiáticos"),
+    ("inmigrantes", "nativos"),
 )
+MIN_CLEAN, MENTIONS, NEUTRAL = 5, 256, 4096
+MARGIN = 0.1
 
 
 def swap_terms(text: str, groups=IDENTITY_TERMS) -> str:
@@ -57,6 +80,35 @@ def swap_terms(text: str, groups=IDENTITY_TERMS) -> str:
     return re.sub(pattern, lambda found: after[found.group().lower()], text, flags=re.IGNORECASE)
 
 
+def _evidence(toxic: float, clean: float, n_toxic: int, n_clean: int) -> float:
+    """The likelihood ratio of a word's counts against the classes' shares."""
+    expected = (toxic + clean) * n_toxic / (n_toxic + n_clean)
+    rest = toxic + clean - expected
+    return 2 * ((toxic * np.log(toxic / expected) if toxic else 0.0) + (clean * np.log(clean / rest) if clean else 0.0))
+
+
+def mentioned_terms(known: DataFrame, n_toxic: int, n_clean: int) -> tuple[tuple[str, str], ...]:
+    """Pairs (mention, neutral word) found in labelled texts; ``known`` has text and toxic and is a bounded sample."""
+    lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    word = F.explode(F.array_distinct(F.regexp_extract_all(lower, F.lit(r"[a-z\x{80}-\x{10FFFF}]{2,40}"), F.lit(0)))).alias("word")
+    marks = known.select(word, (F.col("toxic") > 0).cast("int").alias("toxic")).groupBy("word")
+    counts = marks.agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).withColumn("clean", F.col("n") - F.col("toxic"))
+    share = n_toxic / (n_toxic + n_clean)
+    common = counts.where(F.col("clean") >= MIN_CLEAN)
+    leaning = common.where((F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") > F.col("n") * share)).orderBy(F.desc(F.col("toxic") / F.col("n")), "word")
+    mentions = [r for r in leaning.limit(4 * MENTIONS).collect() if _evidence(r.toxic, r.clean, n_toxic, n_clean) >= MIN_RATIO][:MENTIONS]
+    frequent = common.orderBy(F.desc("n"), "word").limit(NEUTRAL).collect()
+    neutral = [r for r in frequent if _evidence(r.toxic, r.clean, n_toxic, n_clean) < 1]
+    pairs = []
+    for mention in sorted(mentions, key=lambda r: (-r.n, r.word)):
+        if not neutral:
+            break
+        nearest = min(neutral, key=lambda r: (abs(r.n - mention.n), r.word))
+        neutral.remove(nearest)
+        pairs.append((mention.word, nearest.word))
+    return tuple(pairs)
+
+
 def features(data: np.ndarray, offsets: np.ndarray):
     """(row, feature hash) of every occurrence, and the number of words of each row."""
     data = textnum.LOWER[data]
@@ -112,7 +164,26 @@ def fit(rows: list, n_features: int, prior: float) -> tuple[np.ndarray, float]:
         m, s = 0.9 * m + 0.1 * slope, 0.99 * s + 0.01 * slope * slope
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
-    return w, float(b)
+    return w, _threshold(np.bincount(own, w[index] * value, minlength=len(y)), y, float(b))
+
+
+def _threshold(raw: np.ndarray, y: np.ndarray, b: float) -> float:
+    """The intercept that puts most labelled rows clearly on their side of 0.5: the penalty pulls all scores down.
+
+    A row counts if its score keeps a distance of ``MARGIN``, so what the penalty levelled does not part the classes.
+    Without both classes the fitted one stays.
+    """
+    toxic = np.sort(raw[y > 0])
+    clean = np.sort(raw[y <= 0])
+    if not len(toxic) or not len(clean):
+        return b
+    cuts = np.unique(raw)
+    between = (cuts[1:] + cuts[:-1]) / 2
+    if not len(between):
+        return b
+    right = len(toxic) - np.searchsorted(toxic, between + MARGIN) + np.searchsorted(clean, between - MARGIN, "right")
+    best = np.flatnonzero(right == right.max())
+    return -float(between[best[len(best) // 2]])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, groups=IDENTITY_TERMS) -> tuple[np.ndarray, np.ndarray, float]:
@@ -172,6 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, groups=IDENT
     kept = np.flatnonzero((toxic_n > expected) & (ratio >= MIN_RATIO))
     kept = np.sort(kept[np.argsort(-ratio[kept], kind="stable")[:MAX_FEATURES]])
     chosen = hashes[kept]
+    groups = (*groups, *mentioned_terms(known, n_toxic, n_clean))
 
     def rows_of(batch):
         texts = batch.column(0).to_pylist()

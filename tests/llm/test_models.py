@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import pytest
 
-from ledgerloom.llm import language, suffixtree, toxicity
+from ledgerloom.llm import language, suffixtree, textnum, toxicity
 
 
 def crc(i, n):
@@ -231,3 +231,62 @@ def test_samples_hold_one_row_an_id(spark, monkeypatch):
     assert toxicity.score(docs, labels, sample=40).count() == len(rows)
     assert fitted == [40]
     assert language._sampled(docs, 1000).groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def test_toxicity_scores_equal_plain_counting(spark):
+    """Scores worked out word by word from the weights."""
+    import re
+    from collections import Counter
+    from math import exp, log2, log10
+
+    docs, labels = toxic_corpus()
+    odd = [None, "", "...", "Idiot idiots IDIOTIC", "ünïcode wörter", "x " * 3000]
+    df = spark.createDataFrame(docs + [(10_000 + i, t) for i, t in enumerate(odd)], "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    chosen, weights, intercept = toxicity.train(df, marks)
+    weight = dict(zip(chosen.tolist(), weights.tolist()))
+
+    def feature(word, salt=0):
+        data = np.frombuffer(word, np.uint8)
+        return int(textnum.span_hashes(data, np.array([0]), np.array([len(data)]))[0]) ^ salt
+
+    def plain(text):
+        words = re.findall(rb"[a-z\x80-\xff]+", (text or "").encode().lower())
+        counts = Counter(feature(w) for w in words)
+        counts.update(feature(w[:n], textnum.MULTIPLIER) for w in words for n in toxicity.PREFIXES if len(w) > n)
+        total = sum(weight[f] * log2(1 + c) for f, c in counts.items() if f in weight) / (1 + log10(1 + len(words) / 100))
+        return 1 / (1 + exp(-(intercept + total)))
+
+    found = {r.doc_id: r.score for r in toxicity.apply(df, chosen, weights, intercept).collect()}
+    texts = {r.doc_id: r.text for r in df.collect()}
+    assert found == pytest.approx({i: plain(t) for i, t in texts.items()})
+
+
+def test_mentions_are_found_in_the_labels_and_their_swap_moves_nothing(spark):
+    """A word that clean texts have too is a mention; the penalty keeps its swap from changing scores."""
+    rng = np.random.default_rng(2)
+    filler = [f"word{chr(97 + i)}" for i in range(20)]
+    rows = []
+    for i in range(900):
+        toxic = i % 3 == 0
+        words = [*rng.choice(filler, 12), *(["topic"] if rng.random() < (0.9 if toxic else 0.05) else []), *(["insult"] if toxic and rng.random() < 0.8 else [])]
+        rows.append((i, " ".join(words), int(toxic)))
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    pairs = toxicity.mentioned_terms(known.select("text", "toxic"), 300, 600)
+    assert "topic" in dict(pairs) and "insult" not in dict(pairs) and dict(pairs)["topic"] in filler
+    labels = known.select("doc_id", "toxic")
+    probe = spark.createDataFrame([(1, "worda wordb topic"), (2, "worda wordb wordc"), (3, "worda wordb insult")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.apply(probe, *toxicity.train(known, labels)).collect()}
+    assert abs(scores[1] - scores[2]) < 0.25 and scores[3] > 0.5 > scores[1]
+
+
+def test_removal_judges_every_row_by_its_own_text(spark):
+    docs, labels = toxic_corpus()
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    worst = toxicity.score(df, marks).where("predicted = 1").orderBy("doc_id").first().doc_id
+    bad = dict(docs)[worst]
+    rows = docs + [(worst, "a calm and friendly line"), (None, bad), (None, "a calm and friendly line"), (7_000_000, None)]
+    left = [(r.doc_id, r.text) for r in toxicity.remove(spark.createDataFrame(rows, "doc_id long, text string"), marks).collect()]
+    assert (worst, bad) not in left and (None, bad) not in left
+    assert (worst, "a calm and friendly line") in left and (None, "a calm and friendly line") in left and (7_000_000, None) in left
