@@ -1,4 +1,4 @@
-"""Operators for preparing training data: ten operators, their queries and the corpus pipeline's parts.
+"""Operators for preparing training data: thirteen operators, their queries and the corpus pipeline's parts.
 
 Nothing else in the package imports this subpackage. Functions that run inside tasks travel by
 value, so workers need numpy and pyarrow but not this package.

@@ -75,9 +75,9 @@ MARGIN = 0.1
 
 def swap_terms(text: str, groups=IDENTITY_TERMS) -> str:
     """The text with each identity term replaced by the next of its group."""
-    after = {term: group[(i + 1) % len(group)] for group in groups for i, term in enumerate(group)}
+    after = {term.lower(): group[(i + 1) % len(group)] for group in groups for i, term in enumerate(group)}
     pattern = r"(?<![^\W\d_])(" + "|".join(map(re.escape, after)) + r")(?![^\W\d_])"
-    return re.sub(pattern, lambda found: after[found.group().lower()], text, flags=re.IGNORECASE)
+    return re.sub(pattern, lambda found: after.get(found.group().lower(), found.group()), text, flags=re.IGNORECASE)
 
 
 def _evidence(toxic: float, clean: float, n_toxic: int, n_clean: int) -> float:

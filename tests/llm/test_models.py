@@ -64,6 +64,8 @@ def test_the_penalty_is_what_holds_mentions_down(spark, monkeypatch):
 def test_swaps_keep_to_whole_words():
     assert toxicity.swap_terms("Women and womenfolk, a man.") == "men and womenfolk, a woman."
     assert toxicity.swap_terms("nothing") == "nothing"
+    # Terms from labels keep capitals beyond ASCII.
+    assert toxicity.swap_terms("ÉOU éou Éou", (("Éou", "was"),)) == "was was was"
 
 
 def test_toxicity_edge_tables(spark):
