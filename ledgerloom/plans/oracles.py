@@ -158,9 +158,9 @@ oracle(
 oracle(
     "sample_first_rows",
     _union(
-        f"""SELECT * FROM (SELECT '{table}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS at,
+        f"""SELECT * FROM (SELECT '{table}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS place,
                    CAST({columns.split()[0]} AS VARCHAR) AS first_field, CAST({columns.split()[1]} AS VARCHAR) AS second_field
-            FROM {table}) WHERE at <= 200"""
+            FROM {table}) WHERE place <= 200"""
         for table, columns in SOURCE_COLUMNS.items()
     ),
     model=False,

@@ -93,10 +93,10 @@ def sample_first_n(retail: Retail) -> DataFrame:
 @query
 def sample_first_rows(retail: Retail) -> DataFrame:
     """The first rows of each file, numbered, with their first two fields."""
-    first = csvfiles.sample_first_rows(retail.spark, _exported_csv(retail), SAMPLE_ROWS, "at")
+    first = csvfiles.sample_first_rows(retail.spark, _exported_csv(retail), SAMPLE_ROWS, "place")
     return profile.union_rows(
         [
-            text.select(F.lit(table).alias("table_name"), "at", F.col(text.columns[1]).alias("first_field"), F.col(text.columns[2]).alias("second_field"))
+            text.select(F.lit(table).alias("table_name"), "place", F.col(text.columns[1]).alias("first_field"), F.col(text.columns[2]).alias("second_field"))
             for table, text in first.items()
         ]
     )
