@@ -99,15 +99,44 @@ def repeated_filter(hashes: DataFrame, n_bits: int) -> np.ndarray:
     return result
 
 
-def _seen_twice(sent: Broadcast, n_bits: int):
-    """A column function from hashes to whether the second filter has them."""
+def _passes(sent: Broadcast, n_bits: int):
+    """A column function from hashes to whether the filter sent has them."""
 
     @F.pandas_udf("boolean")
-    def seen_twice(values: pd.Series) -> pd.Series:
+    def passes(values: pd.Series) -> pd.Series:
         cells = _cells(values.to_numpy().view(np.uint64), n_bits)
         return pd.Series(_has(np.frombuffer(sent.value, np.uint8), cells))
 
-    return seen_twice
+    return passes
+
+
+def row_filter(hashes: DataFrame):
+    """A column function from hashes to whether the one column of ``hashes`` may have them; no hash is missed.
+
+    The filter has ``FILTER_BYTES`` bytes at most; with more than a row for 16 bits it lets more of the others pass.
+    """
+    n_bits = 8 * BLOCK_BYTES * min(FILTER_BYTES // BLOCK_BYTES, -(-max(1, hashes.count()) * BITS_PER_ROW // (8 * BLOCK_BYTES)))
+
+    def fill(batches):
+        bits = np.zeros(n_bits // 8, np.uint8)
+        for batch in batches:
+            _set(bits, _cells(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), n_bits))
+        for block in range(0, n_bits // 8, BLOCK_BYTES):
+            if bits[block : block + BLOCK_BYTES].any():
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "bits": pa.array([bits[block : block + BLOCK_BYTES].tobytes()], pa.binary())})
+
+    def merge(key: tuple[pa.Scalar, ...], groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(BLOCK_BYTES, np.uint8)
+        for batch in groups:
+            for part in batch.column("bits"):
+                bits |= np.frombuffer(part.as_py(), np.uint8)
+        yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    merged = hashes.mapInArrow(fill, "block long, bits binary").groupBy("block").applyInArrow(merge, "block long, bits binary")
+    result = np.zeros(n_bits // 8, np.uint8)
+    for row in merged.toLocalIterator():
+        result[row.block : row.block + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    return _passes(hashes.sparkSession.sparkContext.broadcast(result.tobytes()), n_bits)
 
 
 def _split(rows: DataFrame, hashes: DataFrame, filter_bytes: int) -> list[tuple[DataFrame, DataFrame]]:
@@ -124,7 +153,7 @@ def _split(rows: DataFrame, hashes: DataFrame, filter_bytes: int) -> list[tuple[
         mine = F.pmod(F.col("hash"), F.lit(parts)) == part
         sent = spark.sparkContext.broadcast(repeated_filter(hashes.where(mine).select("hash"), n_bits).tobytes())
 
-        marked = rows.where(mine).withColumn("repeats", _seen_twice(sent, n_bits)("hash"))
+        marked = rows.where(mine).withColumn("repeats", _passes(sent, n_bits)("hash"))
         found.append((marked.where("repeats").drop("repeats"), marked.where("NOT repeats").drop("repeats")))
     return found
 

@@ -149,3 +149,40 @@ def test_repeated_rows_and_ids(spark):
     assert removed[-1] == (True, 0, 150, 150)
     assert sorted(r[2:] for r in removed if r[1] == 1) in ([(150, 0), (150, 0), (151, 150)], [(150, 150), (150, 150), (151, 0)])
     assert repeats.remove(df.limit(0)).count() == 0
+
+
+def hot_corpus(n: int, far: int):
+    """Copies of one text with a few words changed, the original not the first; some are changed too much."""
+    rng = random.Random(11)
+    base = ["b%d" % i for i in range(120)]
+    rows = [(n, " ".join(base))]
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randrange(0, 2) if i % far else 9):
+            words[rng.randrange(len(words))] = "c%d" % rng.randrange(10**6)
+        rows.append((i, " ".join(words)))
+    return rows + [(n + 1 + i, " ".join("d%d" % rng.randrange(50) for _ in range(12))) for i in range(30)]
+
+
+def test_hot_buckets_make_no_rows(spark, monkeypatch):
+    """A group that most documents are in is linked through its pivots, not by a row for each document and band."""
+    rows, sizes, before = hot_corpus(200, 10**6), {}, near.written
+
+    def counted(df, label):
+        made = before(df, label)
+        sizes[label] = sizes.get(label, 0) + made.count()
+        return made
+
+    monkeypatch.setattr(near, "written", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near.classes(df).collect()}
+    assert found == brute.near_classes(rows)
+    assert sizes["members"] + sizes["mixed"] < 6 * len(rows)
+
+
+def test_documents_far_from_the_pivots_of_hot_buckets_are_found(spark, monkeypatch):
+    monkeypatch.setattr(near, "HOT_LEAST", 4)
+    rows = near_corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near.classes(df, rows=1, bands=40).collect()}
+    assert found == brute.near_classes(rows)
