@@ -7,6 +7,7 @@ Baskets are sparse (customer, product) pairs. The cosine of two products' buyer
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ PRODUCTS_PER_BLOCK = 2048
 ROWS_PER_CELL = 2_000_000
 ROWS_WORTH_A_TASK = 60_000
 PAIRS_PER_STEP = 500_000
+PAIRS_PER_PART = 1 << 18
 SPARSE = 16
 
 
@@ -71,8 +73,8 @@ def _cell_counter(pairs_per_step: int, with_buyers: bool = True):
         first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
         return code[first], np.add.reduceat(count, first) if len(code) else count
 
-    def count(table: pa.Table) -> pa.Table:
-        """Common buyers of each product pair within one cell of the grid.
+    def parts(table: pa.Table) -> Iterator[pa.Table]:
+        """Common buyers of each product pair within one cell of the grid, ``PAIRS_PER_PART`` pairs at a time.
 
         For every row of the left block it walks the same customer's rows of the right block. Where
         the cell has at least as many meetings as a ``SPARSE``-th of its possible pairs they are counted into a
@@ -105,17 +107,21 @@ def _cell_counter(pairs_per_step: int, with_buyers: bool = True):
             who_a, code_a, names_a, buyers_a = side(block_a)
             begin = first[who_a]
         fan = first[who_a + 1] - begin
+        # From here on the rows are numbers.
+        del table, customers, who, who_a, who_b, by_customer, side
         # Left rows by product, in runs of about pairs_per_step pairs: a run then counts into few
         # neighbouring lines of the array.
         code_a = code_a.astype(np.int64)
         by_product = np.argsort(code_a)
         code_a, begin, fan = code_a[by_product], begin[by_product], fan[by_product]
+        del by_product
         ends = np.cumsum(fan)
         steps = np.arange(pairs_per_step, ends[-1] if len(ends) else 0, pairs_per_step)
         cuts = np.unique(np.searchsorted(ends, steps) + 1)
         width = max(len(names_b), 1)
         dense = len(ends) > 0 and ends[-1] * sparse >= len(names_a) * width
-        counts = np.zeros(len(names_a) * width if dense else 0, dtype=np.int64)
+        # A cell has far fewer than 2**31 rows, so no count is larger.
+        counts = np.zeros(len(names_a) * width if dense else 0, dtype=np.int32)
         codes, runs, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         for start, stop in zip([0, *cuts], [*cuts, len(ends)], strict=True):
             if start == stop:
@@ -127,7 +133,7 @@ def _cell_counter(pairs_per_step: int, with_buyers: bool = True):
             pair = np.repeat(code_a[start:stop] * width - base, some) + code_b[at]
             if dense:
                 found = np.bincount(pair)
-                counts[base : base + len(found)] += found
+                counts[base : base + len(found)] += found.astype(np.int32)
                 continue
             code, run = np.unique(pair, return_counts=True)
             codes.append(code)
@@ -137,20 +143,32 @@ def _cell_counter(pairs_per_step: int, with_buyers: bool = True):
                 code, run = few(codes, runs)
                 codes, runs, held = [code], [run], 0
         if dense:
-            met = np.flatnonzero(counts)
-            times = counts[met]
+            found_at = (part + np.flatnonzero(counts[part : part + pairs_per_part]) for part in range(0, len(counts), pairs_per_part))
+            found = ((met, counts[met].astype(np.int64)) for met in found_at)
         else:
-            met, times = few(codes, runs)
-        a = names_a.take(pa.array(met // width))
-        b = names_b.take(pa.array(met % width))
-        swap = pc.greater(a, b)
-        found = {"product_a": pc.if_else(swap, b, a), "product_b": pc.if_else(swap, a, b), "n_both": pa.array(times)}
-        if with_buyers:
-            n_a, n_b = pa.array(buyers_a[met // width]), pa.array(buyers_b[met % width])
-            found |= {"n_a": pc.if_else(swap, n_b, n_a), "n_b": pc.if_else(swap, n_a, n_b)}
-        return pa.table(found)
-
-    sparse = SPARSE
+            all_met, all_times = few(codes, runs)
+            del codes, runs
+            found = ((all_met[i : i + pairs_per_part], all_times[i : i + pairs_per_part]) for i in range(0, max(1, len(all_met)), pairs_per_part))
+        for met, times in found:
+            a = names_a.take(pa.array(met // width))
+            b = names_b.take(pa.array(met % width))
+            swap = pc.greater(a, b)
+            columns = {"product_a": pc.if_else(swap, b, a), "product_b": pc.if_else(swap, a, b), "n_both": pa.array(times)}
+            if with_buyers:
+                n_a, n_b = pa.array(buyers_a[met // width]), pa.array(buyers_b[met % width])
+                columns |= {"n_a": pc.if_else(swap, n_b, n_a), "n_b": pc.if_else(swap, n_a, n_b)}
+            yield pa.table(columns)
+
+    def count(table: pa.Table) -> pa.Table:
+        """All pairs of a cell at once."""
+        return pa.concat_tables(parts(table))
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts(pa.Table.from_batches(list(batches))):
+            yield from part.combine_chunks().to_batches()
+
+    sparse, pairs_per_part = SPARSE, PAIRS_PER_PART
+    count.by_part = run
     return count
 
 
@@ -216,7 +234,7 @@ def _count_pairs(stored: DataFrame, sizes: dict, products_per_block: int, rows_p
     buyers = ["n_a", "n_b"] if with_buyers else []
     for name in ("n_both", *buyers):
         schema = schema.add(name, T.LongType())
-    counted = cells.groupBy("share", "block_a", "block_b").applyInArrow(_cell_counter(PAIRS_PER_STEP, with_buyers), schema)
+    counted = cells.groupBy("share", "block_a", "block_b").applyInArrow(_cell_counter(PAIRS_PER_STEP, with_buyers).by_part, schema)
     # The shares of a pair are summed; its buyers are the same in each.
     return counted.groupBy("product_a", "product_b").agg(F.sum("n_both").alias("n_both"), *[F.first(name).alias(name) for name in buyers])
 

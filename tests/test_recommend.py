@@ -198,3 +198,16 @@ def test_lines_without_a_key_are_left_out(spark):
     assert [tuple(r) for r in rec.purchase_crosstab(lines).collect()] == [(5, 7, 2)]
     assert [tuple(r) for r in rec.purchase_matrix(lines).collect()] == [(5, 7, 1)]
     assert [tuple(r) for r in rec.product_buyer_counts(rec.purchase_basket(lines)).collect()] == [(7, 1)]
+
+
+def test_pairs_leave_a_cell_in_parts(monkeypatch):
+    monkeypatch.setattr(rec, "PAIRS_PER_PART", 10)
+    pairs = random_pairs(5)
+    customers, products = zip(*pairs)
+    n = len(pairs)
+    cell = pa.table({"customer_id": customers, "product_id": products, "n_buyers": [1] * n, "block": [0] * n, "block_a": [0] * n, "block_b": [0] * n})
+    for sparse in (0, 1000):
+        monkeypatch.setattr(rec, "SPARSE", sparse)
+        parts = list(rec._cell_counter(100).by_part((), iter(cell.to_batches(max_chunksize=7))))
+        assert max(map(len, parts)) <= 10
+        assert {(r["product_a"], r["product_b"]): r["n_both"] for part in parts for r in part.to_pylist()} == brute(pairs)[0]
