@@ -28,8 +28,9 @@ def record_layout(spark: SparkSession, path: str) -> str:
     A record crosses a line end only inside a quoted field, which is then still open at the end of
     the record's first line. One splittable text scan therefore proves a file safe to read by
     lines, whatever its size. A file that is not is one task in the reader: deliver such data in parts.
+    Only lines with a quote are matched: all others are closed.
     """
-    is_open = ~F.col("value").rlike(CLOSED_LINE)
+    is_open = F.col("value").contains('"') & ~F.col("value").rlike(CLOSED_LINE)
     return WHOLE_FILE if spark.read.text(path).agg(F.bool_or(is_open)).first()[0] else BY_LINE
 
 
