@@ -17,7 +17,7 @@ VALIDATED = ("customer", "lineitem", "orders", "part")
 JUNK_NAME = "gear"
 SAMPLE_ROWS = 200
 
-_exports: dict[tuple[str, str], str] = {}
+_exports: dict[tuple, str] = {}
 
 
 def query(make):
@@ -30,14 +30,14 @@ def query(make):
     return make
 
 
-def _exported_csv(retail: Retail) -> str:
-    """A folder with every source table as CSV, written once per application."""
-    key = (retail.spark.sparkContext.applicationId, retail.folder)
+def _exported_csv(retail: Retail, tables: tuple[str, ...] = bindings.SOURCE_TABLES, compression: str = "none") -> str:
+    """A folder with the given source tables as CSV, written once per application."""
+    key = (retail.spark.sparkContext.applicationId, retail.folder, tables, compression)
     if key not in _exports:
         folder = new_path(retail.spark, "csv")
-        for name in bindings.SOURCE_TABLES:
+        for name in tables:
             retail.source(name).write.options(
-                header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss"
+                header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss", compression=compression
             ).csv(medallion.csv_path(folder, name))
         _exports[key] = folder
     return _exports[key]
@@ -71,13 +71,13 @@ def _like_source(df: DataFrame, source: DataFrame) -> DataFrame:
 
 @query
 def csv_scan_inferred(retail: Retail) -> DataFrame:
-    path = medallion.csv_path(_exported_csv(retail), "lineitem")
+    path = medallion.csv_path(_exported_csv(retail, ("lineitem",)), "lineitem")
     return _like_source(csvfiles.scan_inferred(retail.spark, path), retail.source("lineitem"))
 
 
 @query
 def csv_scan_raw_text(retail: Retail) -> DataFrame:
-    return csvfiles.scan_raw_text(retail.spark, medallion.csv_path(_exported_csv(retail), "orders"))
+    return csvfiles.scan_raw_text(retail.spark, medallion.csv_path(_exported_csv(retail, ("orders",)), "orders"))
 
 
 @query
@@ -132,7 +132,7 @@ def raw_landing_counts(retail: Retail) -> DataFrame:
 @query
 def load_validation(retail: Retail) -> DataFrame:
     layers, _ = _new_layers(retail)
-    medallion.land_raw_text(layers, _exported_csv(retail), VALIDATED)
+    medallion.land_raw_text(layers, _exported_csv(retail, VALIDATED), VALIDATED)
     return medallion.validate_load(layers, VALIDATED)
 
 
@@ -363,8 +363,11 @@ def _forms(retail: Retail) -> DataFrame:
 
 
 def _typed(retail: Retail) -> DataFrame:
-    """Types told from text: every exported table as it was landed, and the hand-made forms."""
-    folder = _exported_csv(retail)
+    """Types told from text: every exported table as it was landed, and the hand-made forms.
+
+    The files are read here only, so they are written compressed.
+    """
+    folder = _exported_csv(retail, compression="snappy")
     tables = {
         name: csvfiles.scan_raw_text(retail.spark, medallion.csv_path(folder, name), csvfiles.BY_LINE)
         for name in bindings.SOURCE_TABLES

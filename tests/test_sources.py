@@ -235,3 +235,26 @@ def test_release_leaves_nothing_behind(spark, monkeypatch):
     session.release(spark)
     assert not os.path.exists(own.removeprefix("file:")) and not spark.catalog.databaseExists(name)
     assert session._databases == {}
+
+
+def test_only_lines_with_a_quote_are_matched(spark, csv_dir, monkeypatch):
+    """The pattern is slow; a line without a quote needs none."""
+    monkeypatch.setattr(csvfiles, "CLOSED_LINE", "^nothing$")
+    folder = csv_dir(plain="a,b\n1,x\n2,\n", quoted='a,b\n1,"x"\n')
+    assert csvfiles.record_layout(spark, f"{folder}/plain.csv") == csvfiles.BY_LINE
+    assert csvfiles.record_layout(spark, f"{folder}/quoted.csv") == csvfiles.WHOLE_FILE
+
+
+def test_queries_export_only_what_they_read(spark, monkeypatch):
+    from ledgerloom.plans import registry
+
+    folder, made = "/root/testdata/sf0.001", {}
+    monkeypatch.setattr(registry, "_exports", made)
+    registry.QUERIES["csv_scan_raw_text"](spark, folder)
+    (place,) = made.values()
+    assert csvfiles.csv_table_names(spark, place) == ["orders"]
+    registry.QUERIES["load_validation"](spark, folder)
+    assert csvfiles.csv_table_names(spark, list(made.values())[-1]) == sorted(registry.VALIDATED)
+    registry.QUERIES["type_conflicts"](spark, folder)
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(list(made.values())[-1]).inputFiles()
+    assert parts and all(part.endswith(".csv.snappy") for part in parts)
