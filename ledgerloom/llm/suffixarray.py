@@ -86,29 +86,35 @@ def _induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sizes: np.
 
 def _induce_one_by_one(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The same in two plain scans, for texts with nearly as many symbols as places."""
-    n, symbols, is_smaller = len(text), text.tolist(), smaller.tolist()
+    n, symbols = len(text), text.tolist()
+    # The symbol before each place if that suffix is larger, or smaller, than this one; else -1. Free places
+    # of the order hold 0, which has nothing before it.
+    before = np.concatenate(([-1], text[:-1]))
+    before_smaller = np.concatenate(([False], smaller[:-1]))
+    larger_before = np.where(before_smaller, -1, before).tolist()
+    smaller_before = np.where(before_smaller, before, -1).tolist()
     tails = np.cumsum(sizes)
-    order = [-1] * n
+    order = [0] * n
     tail = tails.tolist()
     for i in reversed(seeds.tolist()):
         c = symbols[i]
         tail[c] -= 1
         order[tail[c]] = i
     head = (tails - sizes).tolist()
-    for k in range(n):
-        j = order[k] - 1
-        if j >= 0 and not is_smaller[j]:
-            c = symbols[j]
-            order[head[c]] = j
-            head[c] += 1
+    # A place is filled before the scan reads it.
+    for i in order:
+        c = larger_before[i]
+        if c >= 0:
+            place = head[c]
+            order[place] = i - 1
+            head[c] = place + 1
     # Every smaller suffix is dealt anew, from the right; a seed's place is filled before it is read.
     tail = tails.tolist()
-    for k in range(n - 1, -1, -1):
-        j = order[k] - 1
-        if j >= 0 and is_smaller[j]:
-            c = symbols[j]
-            tail[c] -= 1
-            order[tail[c]] = j
+    for i in reversed(order):
+        c = smaller_before[i]
+        if c >= 0:
+            tail[c] = place = tail[c] - 1
+            order[place] = i - 1
     order[0] = n - 1
     return np.array(order, np.int64)
 
@@ -158,16 +164,17 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, longest: int) -> np.nda
     before[order[1:]] = order[:-1]
     wide = np.zeros(n + longest + 8, np.uint8)
     wide[:n] = text
-    words = np.lib.stride_tricks.as_strided(wide.view(np.uint8), (len(wide) - 7, 8), (1, 1))
+    words = np.ndarray(len(wide) - 7, np.uint64, wide, strides=(1,)).copy()
     shared = np.zeros(n, np.int64)
     live = np.flatnonzero(before >= 0)
+    other = before[live]
     for offset in range(0, longest, 8):
-        left = words[live + offset].view(np.uint64).ravel()
-        right = words[before[live] + offset].view(np.uint64).ravel()
-        differ = left ^ right
+        differ = words[live + offset] ^ words[other + offset]
+        alike = differ == 0
         # The lowest set bit tells how many bytes are alike; numbers are little-endian.
-        low = differ & (~differ + np.uint64(1))
-        bytes_alike = np.where(differ == 0, 8, (np.log2(np.maximum(low, 1).astype(np.float64)) // 8).astype(np.int64))
-        shared[live] += bytes_alike
-        live = live[differ == 0]
+        ended = differ[~alike]
+        low = ended & (~ended + np.uint64(1))
+        shared[live[~alike]] = offset + np.log2(low.astype(np.float64)).astype(np.int64) // 8
+        live, other = live[alike], other[alike]
+    shared[live] = longest
     return np.minimum(shared, longest)

@@ -186,3 +186,16 @@ def test_documents_far_from_the_pivots_of_hot_buckets_are_found(spark, monkeypat
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near.classes(df, rows=1, bands=40).collect()}
     assert found == brute.near_classes(rows)
+
+
+def test_common_prefixes_of_equal_and_long_texts():
+    """Runs beyond the asked length count as that length, whatever its rest modulo eight."""
+    text = np.array([*b"abcabcabcabcabcabcabcabcabcx", 0])
+    order = suffix_array(text)
+    for longest in (1, 7, 8, 9, 23):
+        shared = common_prefixes(text.astype(np.uint8), order, longest)
+        for a, b in zip(order[:-1].tolist(), order[1:].tolist()):
+            want = 0
+            while want < longest and max(a, b) + want < len(text) and text[a + want] == text[b + want]:
+                want += 1
+            assert shared[b] == want
