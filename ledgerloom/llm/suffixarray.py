@@ -2,10 +2,10 @@
 
 Suffixes are classified as smaller (S) or larger (L) than their right neighbour. The leftmost S
 suffixes are sorted first, by their substrings; equal substrings get equal names, and where names are not
-unique the string of names, at most half as long, is sorted in the same way. The order of all other suffixes is
-then induced in two linear scans. Over few symbols, as in bytes, a scan goes bucket by bucket on whole arrays: a
+unique the string of names, at most half as long, is sorted by prefix doubling on whole arrays. The order of all
+other suffixes is then induced in two linear scans. Over few symbols, as in bytes, a scan goes bucket by bucket on whole arrays: a
 bucket's entries are known once all smaller ones are, except for runs of one symbol, which are taken one place
-of the run at a time. Over many, as in names, it goes place by place.
+of the run at a time. Over many, or in short texts, it goes place by place.
 """
 
 from __future__ import annotations
@@ -119,6 +119,37 @@ def _induce_one_by_one(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray,
     return np.array(order, np.int64)
 
 
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """Starts of all suffixes of a string of positive names, in order, a suffix before those that it begins.
+
+    As many names as a number holds are compared first; each round then doubles how far suffixes are told
+    apart, by the ranks of what follows. Only suffixes that are still tied are sorted again.
+    """
+    n = len(names)
+    bits = int(names.max()).bit_length()
+    known = max(1, 62 // bits)
+    padded = np.concatenate((names, np.zeros(known, np.int64)))
+    key = np.zeros(n, np.int64)
+    for k in range(known):
+        key = (key << bits) | padded[k : k + n]
+    # The order holds equal suffixes side by side; a rank is the place of the first of them, counted from 1.
+    order, rank = np.arange(n), np.ones(n, np.int64)
+    place = np.arange(n)
+    while True:
+        by = np.argsort(key)
+        at, key = order[place][by], key[by]
+        order[place] = at
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        rank[at] = place[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))] + 1
+        place = place[~(new & np.append(new[1:], True))]
+        if not len(place):
+            return order
+        after = order[place] + known
+        key = rank[order[place]] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)], 0)
+        known *= 2
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Starts of all suffixes in order; ``text`` holds non-negative symbols and a single 0 at its end."""
     n = len(text)
@@ -152,7 +183,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     names = np.empty(len(mine), np.int64)
     names[mine] = np.cumsum(~same)
     if len(mine) and names.max() < len(mine):
-        sorted_left = leftmost[suffix_array(np.append(names, 0))[1:]]
+        sorted_left = leftmost[_by_doubling(names)]
     return induce(text, smaller, sorted_left, sizes)
 
 
