@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import textnum
 from ledgerloom.session import materialize
 
 WHITE = r"[\x20\x09-\x0D]"
@@ -17,11 +18,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+FILE_ROWS, FILES = 1 << 12, 8
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, written once to the shared folder and read again; cuts the lineage."""
     return materialize(df, label)[0]
 
 
+def written_with(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """The same, with ``metrics`` taken while the rows are written."""
+    return materialize(df, label, *metrics)
+
+
+def few(df: DataFrame, rows: int | None) -> DataFrame:
+    """The rows, about ``rows`` of them if that is known, in no more tasks than ``FILE_ROWS`` rows each ask for, or ``FILES``.
+
+    A task that writes a file takes its time whatever it holds.
+    """
+    return df if rows is None else df.coalesce(max(FILES, -(-rows // FILE_ROWS)))
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the id written as text, modulo ``n``; a null id counts as the text ``null``."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")) % n
@@ -42,6 +59,8 @@ def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict | Iterator[dic
             found = work(batch)
             for columns in [] if found is None else [found] if isinstance(found, dict) else found:
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+            batch = found = columns = None
+        textnum.give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WHITE, join_groups, written
+from ledgerloom.llm.common import FILES, WHITE, join_groups, written
 from ledgerloom.llm.textnum import mix64
 
 BITS_PER_ROW = 16
@@ -134,7 +134,8 @@ def row_filter(hashes: DataFrame):
 
     merged = hashes.mapInArrow(fill, "block long, bits binary").groupBy("block").applyInArrow(merge, "block long, bits binary")
     result = np.zeros(n_bits // 8, np.uint8)
-    for row in merged.toLocalIterator():
+    # Each partition is a job of its own; a few suffice for at most ``FILTER_BYTES``.
+    for row in merged.coalesce(FILES).toLocalIterator():
         result[row.block : row.block + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
     return _passes(hashes.sparkSession.sparkContext.broadcast(result.tobytes()), n_bits)
 

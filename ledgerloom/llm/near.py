@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ledgerloom.llm import textnum
-from ledgerloom.llm.common import by_batch, join_groups, written
+from ledgerloom.llm.common import FILES, by_batch, few, join_groups, written, written_with
 from ledgerloom.llm.exact import row_filter
 from ledgerloom.llm.graph import components
 
@@ -51,6 +51,7 @@ SIMILARITY = (85, 100)
 PIVOTS = 4
 # A bucket is hot from this share of the documents, and from this many, so there are 60,000 hot ones at most.
 HOT, HOT_LEAST, HOT_PIVOTS = 1000, 64, 2
+COUNTED = 1 << 14
 # Fixed odd multipliers of the second permutation (32 bits).
 FIRST, SECOND, THIRD = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35
 
@@ -152,36 +153,49 @@ def _could(x: str, y: str, similarity: tuple[int, int]):
     return similarity[1] * F.least(x, y) >= similarity[0] * F.greatest(x, y)
 
 
-def _pivots(members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _pivots(members: DataFrame, similarity: tuple[int, int], n: int | None = None) -> DataFrame:
     """Pairs of the members of each bucket with its ``PIVOTS`` best connected ones, across components only.
 
     A document from which many copies were made shares more buckets with them than they share with each
     other, so it links a group that its smallest document left in pieces. At most ``PIVOTS`` pairs a member.
     """
     mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y")
-    open_ = written(members.join(mixed.select("key", "size"), "key"), "mixed")
+    open_ = written(few(members.join(mixed.select("key", "size"), "key"), n and 8 * n), "mixed")
     degrees = open_.groupBy("id").agg(F.sum("size").alias("degree"))
     ranked = open_.join(degrees, "id").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "id")))
     pivots = ranked.where(F.col("rank") <= PIVOTS).groupBy("key", "size").agg(F.collect_list(F.struct("id", "n", "component")).alias("pivots"))
-    met = join_groups(open_.drop("size"), written(pivots, "chosen"), "key", "size", "id").withColumn("pivot", F.explode("pivots"))
+    met = join_groups(open_.drop("size"), written(few(pivots, n and 8 * n), "chosen"), "key", "size", "id").withColumn("pivot", F.explode("pivots"))
     met = met.where((F.col("component") != F.col("pivot.component")) & _could("n", "pivot.n", similarity))
     return met.select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b")).distinct()
 
 
-def _hot_keys(same: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _hot_keys(same: DataFrame, total: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The keys of all hot buckets, sorted, and how many documents at least have each.
 
-    A batch counts its own documents and leaves out keys that fewer than half of the asked share of them
-    have, so a sum misses at most half of that share, and no hot key is missed.
+    A task counts its documents, ``COUNTED`` at a time, and leaves out keys that fewer than half of the asked share of
+    them have, so a sum misses at most half of that share, and no hot key is missed.
     """
 
-    def work(batch):
-        one, n = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
-        least = max(1, len(batch) // (2 * HOT))
-        return {"key": one[n >= least], "n": n[n >= least]}
-
-    total = same.count()
-    counts = by_batch(same.select("bands"), work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    def counted(parts: list[np.ndarray], rows: int) -> pa.RecordBatch:
+        one, n = np.unique(np.concatenate(parts), return_counts=True)
+        often = n >= max(1, rows // (2 * HOT))
+        return pa.RecordBatch.from_pydict({"key": one[often], "n": n[often]})
+
+    def work(batches):
+        parts, rows = [], 0
+        for batch in batches:
+            parts.append(batch.column(0).flatten().to_numpy(zero_copy_only=False))
+            rows += len(batch)
+            if rows >= COUNTED:
+                yield counted(parts, rows)
+                parts, rows = [], 0
+        if rows:
+            yield counted(parts, rows)
+
+    total = same.count() if total is None else total
+    # Of many documents together few keys are often enough.
+    lists = same.select("bands").coalesce(max(FILES // 2, -(-total // COUNTED)))
+    counts = lists.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     found = counts.where(F.col("n") >= max(HOT_LEAST, total // HOT) / 2).orderBy("key").collect()
     return np.array([r.key for r in found], np.int64), np.array([r.n for r in found], np.int64)
 
@@ -261,6 +275,16 @@ def _with_component(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     return joined.withColumn("component", F.coalesce("component", "id"))
 
 
+def _joined(found: DataFrame | None, links: DataFrame, n: int) -> DataFrame:
+    """The components when further links are known; those found so far go on as stars."""
+    links, counted = written_with(few(links, n), "linked", F.count(F.lit(1)).alias("n"))
+    if found is not None:
+        if not counted["n"]:
+            return found
+        links = links.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return written(few(components(links, n), n), "components")
+
+
 def _members(parted: DataFrame) -> DataFrame:
     """The members of buckets with several components, one row a bucket, with size and smallest document of the bucket.
 
@@ -275,9 +299,9 @@ def _members(parted: DataFrame) -> DataFrame:
     return found.withColumns({name: f.over(own) for name, f in of_first.items()})
 
 
-def _hot_open(hot_docs: DataFrame, found: DataFrame | None) -> DataFrame:
+def _hot_open(hot_docs: DataFrame, found: DataFrame | None, n: int | None = None) -> DataFrame:
     """id and component of the documents whose hot buckets still hold several components."""
-    labelled = written(_with_component(hot_docs, found), "hot")
+    labelled = written(few(_with_component(hot_docs, found), n), "hot")
     ends = labelled.select("component", F.explode("hot").alias("key")).groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     keys = np.array(sorted(r.key for r in ends.where("x <> y").select("key").collect()), np.int64)
 
@@ -330,64 +354,60 @@ def _rest(open_ids: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
     return left.join(right, "item").where(once & enough & _could("na", "nb", similarity)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _sets_of(docs: DataFrame, same: DataFrame, ids: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, same: DataFrame, ids: DataFrame, n: int | None = None) -> DataFrame:
     """The written sets of the classes ``ids``; texts that no class needs are passed over where they lie."""
-    needed = written(same.join(ids.distinct(), "id", "left_semi").select("doc_id", "mark", "id"), "needed")
+    needed = written(few(same.join(ids.distinct(), "id", "left_semi").select("doc_id", "mark", "id"), n), "needed")
     passes = row_filter(needed.select(F.xxhash64("doc_id", "mark").alias("hash")))
     texts = docs.select("doc_id", "text", _mark("text").alias("mark"))
     texts = texts.where(passes(F.xxhash64("doc_id", "mark")))
-    return written(shingle_sets(texts.join(needed, ["doc_id", "mark"])).dropDuplicates(["id"]), "sets")
+    return written(few(shingle_sets(texts.join(needed, ["doc_id", "mark"])).dropDuplicates(["id"]), n and 4 * n), "sets")
 
 
 def _classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """One row a document: doc_id, mark, n_shingles, component_id and kept."""
-    signed = written(signatures(docs, rows, bands), "signed")
+    signed, counted = written_with(signatures(docs, rows, bands), "signed", F.count(F.lit(1)).alias("n"))
+    n_docs = counted["n"]
     full = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     same = full.groupBy("digest").agg(
         F.min(F.struct("doc_id", "mark")).alias("one"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("rows")
     )
     # The numbers are fixed by writing them; one doc_id may stand in several classes.
-    same = written(same.select("digest", "one.doc_id", "one.mark", "n", "bands", "rows", F.monotonically_increasing_id().alias("id")), "same")
-    hot, counts = _hot_keys(same)
-    links = found = sets = None
+    same = written(few(same.select("digest", "one.doc_id", "one.mark", "n", "bands", "rows", F.monotonically_increasing_id().alias("id")), n_docs), "same")
+    n = same.count()
+    hot, counts = _hot_keys(same, n)
+    found = sets = None
     if len(hot):
-        parts = written(_hot_pairs(same, hot, counts, similarity), "hot_pairs")
-        sets = _sets_of(docs, same, parts.select(F.col("a").alias("id")).union(parts.select("b")))
-        links = written(confirmed(parts, sets, similarity), "confirmed")
-        found = written(components(links), "components")
+        parts = written(few(_hot_pairs(same, hot, counts, similarity), n), "hot_pairs")
+        sets = _sets_of(docs, same, parts.select(F.col("a").alias("id")).union(parts.select("b")), n)
+        found = _joined(None, confirmed(parts, sets, similarity), n)
     parted = _parted(_with_component(same, found), hot)
     if len(hot):
-        parted = written(parted, "parted")
-    members = written(_members(parted), "members")
+        parted = written(few(parted, n), "parted")
+    members = written(few(_members(parted), n and 8 * n), "members")
     pairs = members.where((F.col("component") != F.col("c_first")) & _could("n", "n_first", similarity))
-    pairs = written(pairs.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
+    pairs = written(few(pairs.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), n), "pairs")
     open_members = members.where("size > 2").select("key", "id", "n")
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(open_members.select("id"))
     if len(hot):
-        hot_docs = written(parted.where(F.size("hot") > 0).select("id", "hot", "component"), "hot_docs")
-        needed = needed.union(_hot_open(hot_docs.drop("component"), found).select("id"))
-        sets = sets.union(_sets_of(docs, same, needed.join(sets.select("id"), "id", "left_anti")))
+        hot_docs = written(few(parted.where(F.size("hot") > 0).select("id", "hot", "component"), n), "hot_docs")
+        needed = needed.union(_hot_open(hot_docs.drop("component"), found, n).select("id"))
+        sets = sets.union(_sets_of(docs, same, needed.join(sets.select("id"), "id", "left_anti"), n))
     else:
-        sets = _sets_of(docs, same, needed)
-    first = confirmed(pairs, sets, similarity)
-    links = written(first if links is None else links.union(first), "links")
-    found = written(components(links), "components")
-    more = confirmed(written(_pivots(_with_component(open_members, found), similarity), "pivots"), sets, similarity)
-    links = written(links.union(more), "linked")
-    found = written(components(links), "components")
+        sets = _sets_of(docs, same, needed, n)
+    found = _joined(found, confirmed(pairs, sets, similarity), n)
+    pivots = written(few(_pivots(_with_component(open_members, found), similarity, n), n), "pivots")
+    found = _joined(found, confirmed(pivots, sets, similarity), n)
     open_ids = _open(_with_component(open_members, found))
     if len(hot):
-        open_ids = open_ids.union(_hot_open(hot_docs.drop("component"), found))
-    open_ids = written(open_ids.distinct(), "open")
-    more = written(confirmed(_rest(open_ids, sets, similarity), sets, similarity), "more")
-    if not more.isEmpty():
-        found = components(links.union(more))
+        open_ids = open_ids.union(_hot_open(hot_docs.drop("component"), found, n))
+    open_ids = written(few(open_ids.distinct(), n), "open")
+    found = _joined(found, confirmed(_rest(open_ids, sets, similarity), sets, similarity), n)
     named = found.withColumnRenamed("node", "id").join(same.select("id", "digest", "doc_id"), "id")
-    labels = written(named.groupBy("component").agg(F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("size")), "labels")
+    labels = written(few(named.groupBy("component").agg(F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("size")), n), "labels")
     named = join_groups(named, labels, "component", "size", "id").select("digest", "label")
     result = same.join(named, "digest", "left").select("digest", "rows", F.coalesce("label", "doc_id").alias("component"))
     # Sets that very many rows have are dealt in parts; rows without a set meet nothing.
-    joined = join_groups(full.drop("bands"), written(result, "classes"), "digest", "rows", "doc_id").drop("rows")
+    joined = join_groups(full.drop("bands"), written(few(result, n), "classes"), "digest", "rows", "doc_id").drop("rows")
     alone = signed.where("digest IS NULL OR doc_id IS NULL").drop("bands").withColumn("component", F.lit(None).cast("long"))
     joined = joined.unionByName(alone)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

@@ -44,18 +44,26 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for ``size`` entries at least."""
+    while len(array) < size:
+        array = np.append(array, np.zeros(len(array), array.dtype))
+    return array
+
+
 class WordTokenizer:
     """Token ids of whole texts through a tokenizer that drops white space, word by word.
 
     Every word (split at 0x20, 0x09-0x0D, a final point or comma after an ASCII letter apart) is encoded
     once and remembered, up to ``MEMO_WORDS`` words; pieces of such a tokenizer never span white space.
+    Words are kept in flat arrays and found by a hash; the bytes of each occurrence are compared, and words
+    that share a hash with another one are kept by themselves.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, int] = {}
         self.clear()
 
     @classmethod
@@ -67,13 +75,15 @@ class WordTokenizer:
         return store["tokenizer"]
 
     def clear(self) -> None:
-        self.memo.clear()
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 12, np.int64)
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.clashes: dict[bytes, int] = {}
+        self.count = 0
+        self.pool, self.ends = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64)
+        self.letters, self.letter_ends = np.zeros(1 << 16, np.uint8), np.zeros(1 << 12, np.int64)
         self.learn([b".", b","])
 
     def learn(self, words: list[bytes]) -> None:
-        """Encodes words not yet known and adds their ids to the pool.
+        """Encodes words not yet known and adds their ids and bytes to the pools.
 
         Words of Latin letters are one piece that normalisation only lower-cases, and ASCII marks
         behind them are another, so the merges alone give their ids; all others take the
@@ -89,18 +99,52 @@ class WordTokenizer:
                 ids.append([token.id for token in (found + merge(marks) if marks else found)])
             else:
                 ids.append(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        n = len(self.memo)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        start = self.ends[n]
-        while len(self.ends) <= n + len(ids):
-            self.ends = np.append(self.ends, np.zeros(len(self.ends), np.int64))
-        self.ends[n + 1 : n + 1 + len(ids)] = start + np.cumsum(sizes)
-        stop = int(self.ends[n + len(ids)])
-        while len(self.pool) < stop:
-            self.pool = np.append(self.pool, np.zeros(len(self.pool), np.uint32))
-        self.pool[start:stop] = np.fromiter(chain.from_iterable(ids), np.uint32, stop - int(start))
-        for i, word in enumerate(words):
-            self.memo[word] = n + i
+        n, after = self.count, self.count + len(words)
+        values = np.fromiter(chain.from_iterable(ids), np.uint32)
+        for parts, raw, pool, ends in ((ids, values, "pool", "ends"), (words, np.frombuffer(b"".join(words), np.uint8), "letters", "letter_ends")):
+            place = _grown(getattr(self, ends), after + 1)
+            place[n + 1 : after + 1] = place[n] + np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            room = _grown(getattr(self, pool), int(place[after]))
+            room[place[n] : place[after]] = raw
+            setattr(self, ends, place)
+            setattr(self, pool, room)
+        self.count = after
+
+    def numbered(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The numbers of the words at the given places; new ones are learnt."""
+        if self.count > MEMO_WORDS:
+            self.clear()
+        if not len(starts):
+            return np.zeros(0, np.int64)
+        one, at, which = np.unique(textnum.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, one)
+        new = np.ones(len(one), bool)
+        inside = place < len(self.hashes)
+        new[inside] = self.hashes[place[inside]] != one[inside]
+        if new.any():
+            fresh = self.count + np.arange(np.count_nonzero(new), dtype=np.int32)
+            self.learn([data[a:b].tobytes() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
+            self.hashes = np.insert(self.hashes, place[new], one[new])
+            self.numbers = np.insert(self.numbers, place[new], fresh)
+            place += np.cumsum(new) - new
+        number = self.numbers[place][which].astype(np.int64)
+        sizes = ends - starts
+        same = sizes == self.letter_ends[number + 1] - self.letter_ends[number]
+        alike = np.flatnonzero(same)
+        if len(alike):
+            length = sizes[alike]
+            first = np.cumsum(length) - length
+            step = np.arange(int(length.sum()))
+            mine = data[step + np.repeat(starts[alike] - first, length)]
+            kept = self.letters[step + np.repeat(self.letter_ends[number[alike]] - first, length)]
+            same[alike] = np.logical_and.reduceat(mine == kept, first)
+        for i in np.flatnonzero(~same).tolist():
+            word = data[starts[i] : ends[i]].tobytes()
+            if word not in self.clashes:
+                self.clashes[word] = self.count
+                self.learn([word])
+            number[i] = self.clashes[word]
+        return number
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows one after another, and where each row's begin (one entry more)."""
@@ -110,15 +154,7 @@ class WordTokenizer:
         last, before = data[ends - 1] if len(ends) else data[:0], data[np.maximum(ends - 2, 0)] if len(ends) else data[:0]
         ascii_letter = textnum.LETTER[before] & (before < 0x80) & (ends - starts > 1)
         mark = np.where(ascii_letter & (last == 0x2E), 1, np.where(ascii_letter & (last == 0x2C), 2, 0))
-        cores = ends - (mark > 0)
-        raw = data.tobytes()
-        words = [raw[a:b] for a, b in zip(starts.tolist(), cores.tolist())]
-        if len(self.memo) > MEMO_WORDS:
-            self.clear()
-        new = set(words).difference(self.memo)
-        if new:
-            self.learn(list(new))
-        number = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+        number = self.numbered(data, starts, ends - (mark > 0))
         # Each word is followed by its point or comma, or by nothing.
         number = np.stack([number, mark - 1], axis=1).ravel()
         from_ = np.where(number >= 0, self.ends[number], 0)
@@ -152,6 +188,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: i
                             rows[name].append(value)
                         seen[size] += 1
                 yield pa.RecordBatch.from_pydict({f: pa.array(rows[f], t) for f, t in fields})
+            batch = data = offsets = ids = place = own = rows = None
+        textnum.give_back()
 
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())]
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"

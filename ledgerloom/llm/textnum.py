@@ -7,6 +7,7 @@ Texts come as Arrow string arrays; a null counts as empty. A batch is worked off
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 from types import ModuleType
@@ -32,6 +33,14 @@ def process_store() -> dict:
     return sys.modules[name].__dict__
 
 
+def give_back() -> None:
+    """Returns this process's freed memory to the machine: workers wait for tasks of other stages with what they keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all others."""
     x = x ^ (x >> np.uint64(30))
