@@ -99,19 +99,29 @@ def repeated_filter(hashes: DataFrame, n_bits: int) -> np.ndarray:
     return result
 
 
+def passing(hashes: np.ndarray, sent: Broadcast, n_bits: int) -> np.ndarray:
+    """Whether the filter sent has the hashes."""
+    return _has(np.frombuffer(sent.value, np.uint8), _cells(hashes.view(np.uint64), n_bits))
+
+
 def _passes(sent: Broadcast, n_bits: int):
     """A column function from hashes to whether the filter sent has them."""
 
     @F.pandas_udf("boolean")
     def passes(values: pd.Series) -> pd.Series:
-        cells = _cells(values.to_numpy().view(np.uint64), n_bits)
-        return pd.Series(_has(np.frombuffer(sent.value, np.uint8), cells))
+        return pd.Series(passing(values.to_numpy(), sent, n_bits))
 
     return passes
 
 
 def row_filter(hashes: DataFrame):
-    """A column function from hashes to whether the one column of ``hashes`` may have them; no hash is missed.
+    """A column function from hashes to whether the one column of ``hashes`` may have them; no hash is missed."""
+    return _passes(*sent_filter(hashes))
+
+
+def sent_filter(hashes: DataFrame) -> tuple[Broadcast, int]:
+    """The filter behind ``row_filter``, for ``passing``, and its number of bits.
+
 
     The filter has ``FILTER_BYTES`` bytes at most; with more than a row for 16 bits it lets more of the others pass.
     """
@@ -137,7 +147,7 @@ def row_filter(hashes: DataFrame):
     # Each partition is a job of its own; a few suffice for at most ``FILTER_BYTES``.
     for row in merged.coalesce(FILES).toLocalIterator():
         result[row.block : row.block + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
-    return _passes(hashes.sparkSession.sparkContext.broadcast(result.tobytes()), n_bits)
+    return hashes.sparkSession.sparkContext.broadcast(result.tobytes()), n_bits
 
 
 def _split(rows: DataFrame, hashes: DataFrame, filter_bytes: int) -> list[tuple[DataFrame, DataFrame]]:

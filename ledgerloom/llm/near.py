@@ -20,8 +20,8 @@ What follows is exact and makes no list of pairs within a bucket:
    asked similarity share one of their rarest shingles, so each document is joined on those only. At a
    shingle only documents outside its most frequent component meet the others.
 
-A bucket whose documents are all linked already thus costs no join, and texts shuffle only where a filter of
-at most ``FILTER_BYTES`` bytes on their ids cannot tell that nothing needs them.
+A bucket whose documents are all linked already thus costs no join, and no text is shuffled: its set is, where a filter of
+at most ``FILTER_BYTES`` bytes on the ids cannot tell that nothing needs it.
 
 Defined results: null texts and texts without words have no shingles and stand alone. Rows that repeat
 a doc_id are documents with the same id, each judged by its own text; component_id is the smallest
@@ -36,13 +36,14 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ledgerloom.llm import textnum
 from ledgerloom.llm.common import FILES, by_batch, few, join_groups, written, written_with
-from ledgerloom.llm.exact import row_filter
+from ledgerloom.llm.exact import passing, sent_filter
 from ledgerloom.llm.graph import components
 
 WIDTH = 5
@@ -118,13 +119,19 @@ def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFra
     return by_batch(docs.select("doc_id", "text", _mark("text").alias("mark")), work, "doc_id long, mark long, n_shingles long, digest binary, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """id (the column of ``docs``) and the sorted set of every row, as bytes."""
+def shingle_sets(docs: DataFrame, sent: Broadcast, n_bits: int) -> DataFrame:
+    """doc_id, mark and the sorted set, as bytes, of the rows that the filter sent may have.
+
+    Filter and sets are one function, so that a task keeps one Python worker.
+    """
 
     def work(batch):
-        return {"id": batch.column(0), "items": [s.tobytes() for sets in _all_sets(batch.column(1)) for s in sets]}
+        some = batch.filter(pa.array(passing(batch.column(3).to_numpy(), sent, n_bits)))
+        items = [s.tobytes() for sets in _all_sets(some.column(1)) for s in sets]
+        return {"doc_id": some.column(0), "mark": some.column(2), "items": items}
 
-    return by_batch(docs.select("id", "text"), work, "id long, items binary")
+    rows = docs.select("doc_id", "text", _mark("text").alias("mark")).withColumn("hash", F.xxhash64("doc_id", "mark"))
+    return by_batch(rows, work, "doc_id long, mark long, items binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -355,12 +362,11 @@ def _rest(open_ids: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
 
 
 def _sets_of(docs: DataFrame, same: DataFrame, ids: DataFrame, n: int | None = None) -> DataFrame:
-    """The written sets of the classes ``ids``; texts that no class needs are passed over where they lie."""
+    """The written sets of the classes ``ids``; texts that no class needs are passed over where they lie, and no text is shuffled."""
     needed = written(few(same.join(ids.distinct(), "id", "left_semi").select("doc_id", "mark", "id"), n), "needed")
-    passes = row_filter(needed.select(F.xxhash64("doc_id", "mark").alias("hash")))
-    texts = docs.select("doc_id", "text", _mark("text").alias("mark"))
-    texts = texts.where(passes(F.xxhash64("doc_id", "mark")))
-    return written(few(shingle_sets(texts.join(needed, ["doc_id", "mark"])).dropDuplicates(["id"]), n and 4 * n), "sets")
+    held = sent_filter(needed.select(F.xxhash64("doc_id", "mark").alias("hash")))
+    found = shingle_sets(docs, *held).join(needed, ["doc_id", "mark"]).select("id", "items")
+    return written(few(found.dropDuplicates(["id"]), n and 4 * n), "sets")
 
 
 def _classes(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:

@@ -15,7 +15,7 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 # Fixed odd multipliers of the hashes.
 MULTIPLIER = 0x9E3779B97F4A7C15
 MIX1, MIX2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
@@ -60,7 +60,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse modulo 2**64, at least ``n`` of each."""
     _powers = process_store()
     if "up" not in _powers or len(_powers["up"]) < n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = max(n, SLICE_BYTES + 1)
         for name, base in (("up", MULTIPLIER), ("down", pow(MULTIPLIER, -1, 1 << 64))):
             p = np.full(size, base, dtype=np.uint64)
             p[0] = 1
