@@ -16,6 +16,10 @@ asks once for a string, no string is a hot key. Then, length by length, stored s
 probabilities of their suffixes and are gathered by context; a context's bucket holds its distinct stored
 symbols. At last each slice asks once for every stored string that it scores with.
 
+A bucket is a range of hashes, so the strings of a parcel are sorted and sent as differences, and numbers as byte
+planes, whose zeros compress. Steps that texts take part in are done for a share of the slices
+at a time (``ROUND_TOKENS``, ``ROUNDS`` shares at most), and what a step was the last to read is deleted.
+
 Defined results: null texts are empty and consist of the end only. Repeated rows are counted and scored
 row by row, rows that share a doc_id too. Without training
 texts every probability is that of one unknown symbol. Other columns do not matter.
@@ -37,12 +41,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import textnum
 from ledgerloom.llm.common import by_batch, crc_mod, written
+from ledgerloom.session import new_path
 
 DEPTH = 3
 MIN_COUNT = 3
 DISCOUNT = 0.75
 MIN_GAIN, MIN_DIVERGENCE = 3.0, 0.002
 SLICE_TOKENS, BUCKET_TOKENS = 1 << 20, 1 << 21
+ROUND_TOKENS, ROUNDS = 1 << 24, 3
 END = np.uint64(0x9D39247E33776D41)
 
 
@@ -146,32 +152,43 @@ class Tree:
 
 # Parcels: packed numbers sent to a slice or a bucket, with where they come from and what they are.
 PARCEL = "to long, source long, kind int, data binary"
-TEXTS, ASKED, COUNTED, ENTRIES, STRINGS, STATES, TOTALS, ANSWERS, MARKS, NUMBERS = range(10)
+TEXTS, ASKED, COUNTED, ENTRIES, STRINGS, STATES, TOTALS, ANSWERS, MARKS, NUMBERS, AS_CONTEXT, FREE = range(12)
 
 
-def _bytes(*columns: np.ndarray) -> bytes:
-    """Columns of 8-byte numbers, one after the other."""
-    return b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
+def _bytes(kinds: str, *columns: np.ndarray) -> bytes:
+    """Columns of 8-byte numbers one after the other, each by byte planes; ``kinds`` has u, i or f for each, s for sorted hashes."""
+    parts = [np.diff(c, prepend=np.uint64(0)) if kind == "s" else c for kind, c in zip(kinds, columns)]
+    return b"".join(np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T).tobytes() for c in parts)
 
 
 def _columns(raws: list[bytes], kinds: str) -> list[np.ndarray]:
-    """The columns of several parcels; ``kinds`` has u, i or f for each."""
-    parts = [np.frombuffer(raw, np.uint64).reshape(len(kinds), -1) for raw in raws]
-    return [np.concatenate([np.zeros(0, np.uint64), *(p[k] for p in parts)]).view(f"{kind}8") for k, kind in enumerate(kinds)]
-
-
-def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each bucket that has keys, with their indices in order."""
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-    for number in np.unique(bucket).tolist():
-        yield number, order[ends[number - 1] if number else 0 : ends[number]]
-
-
-def _dealt(source: int, kind: int, keys: np.ndarray, buckets: int, *columns: np.ndarray):
-    for number, at in _by_bucket(keys, buckets):
-        yield number, source, kind, _bytes(*(c[at] for c in columns))
+    """The columns of several parcels."""
+    found: list[list] = [[np.zeros(0, np.uint64)] for _ in kinds]
+    for raw in raws:
+        planes = np.frombuffer(raw, np.uint8).reshape(len(kinds), 8, -1)
+        for kind, part, plane in zip(kinds, found, planes):
+            values = np.ascontiguousarray(plane.T).view(np.uint64).ravel()
+            part.append(np.cumsum(values, dtype=np.uint64) if kind == "s" else values)
+    return [np.concatenate(part).view(f"{'u' if kind == 's' else kind}8") for kind, part in zip(kinds, found)]
+
+
+def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """Each bucket that has some of the sorted keys, with their range."""
+    first = np.array([-(-(number << 64) // buckets) for number in range(1, buckets)], np.uint64)
+    ends = [0, *np.searchsorted(keys, first).tolist(), len(keys)]
+    for number, (low, high) in enumerate(zip(ends, ends[1:])):
+        if low < high:
+            yield number, slice(low, high)
+
+
+def _dealt(source: int, kind: int, buckets: int, kinds: str, keys: np.ndarray, *columns: np.ndarray):
+    """Parcels of the keys and further columns; ``kinds`` is of the latter."""
+    columns = (keys, *columns)
+    if (keys[1:] < keys[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        columns = [c[order] for c in columns]
+    for number, at in _by_bucket(columns[0], buckets):
+        yield number, source, kind, _bytes("s" + kinds, *(c[at] for c in columns))
 
 
 def meet(parcels: list[DataFrame], work: Callable[[int, dict], Iterator[tuple]], schema: str = PARCEL) -> DataFrame:
@@ -257,11 +274,13 @@ def _before(texts: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _candidates(texts: dict, length: int):
-    """Strings of all lengths, the ends of those whose two parts are stored, these distinct, and their numbers and training counts."""
+    """Strings of all lengths, the ends of those whose two parts are stored, these distinct and sorted, and their numbers and training counts."""
     found = strings(texts, length)
     train = ~np.repeat(texts["held"], texts["sizes"])
     if length == 1:
-        at, one, number = np.arange(len(texts["ids"])), texts["words"], texts["ids"]
+        at = np.arange(len(texts["ids"]))
+        one, number = np.unique(texts["words"], return_inverse=True)
+        number = number[texts["ids"]]
     else:
         at = np.flatnonzero((texts["stored"] == length - 1) & (_before(texts)[1] >= length - 1))
         one, number = np.unique(found[-1][at], return_inverse=True)
@@ -271,57 +290,59 @@ def _candidates(texts: dict, length: int):
 def _ask(length: int, buckets: int):
     def work(name: int, held: dict):
         _, _, one, _, n = _candidates(_opened(held), length)
-        return _dealt(name, ASKED, one, buckets, one, n)
+        return _dealt(name, ASKED, buckets, "i", one, n)
 
     return work
 
 
 def _count(bucket: int, held: dict):
     """The counts of all strings asked for; the first slice that asks for a string owns it and gets its count negated."""
-    keys, counts = _columns([raw for _, raw in held[ASKED]], "ui")
-    one, first, number = np.unique(keys, return_index=True, return_inverse=True)
-    n = np.bincount(number, counts).astype(np.int64)
+    parts = [_columns([raw], "si") for _, raw in held[ASKED]]
+    one, first, number = np.unique(np.concatenate([keys for keys, _ in parts]), return_index=True, return_inverse=True)
+    n = np.bincount(number, np.concatenate([counts for _, counts in parts])).astype(np.int64)
     answer = n[number]
     answer[first] *= -1
     at = 0
-    for source, raw in held[ASKED]:
-        size = len(raw) // 16
-        yield source, bucket, COUNTED, _bytes(answer[at : at + size])
-        at += size
-    yield -1, bucket, TOTALS, _bytes(np.array([n.sum(), (n > 0).sum()]))
+    for (source, _), (keys, _) in zip(held[ASKED], parts):
+        # Signs apart, so that the bytes of small numbers are zeros.
+        part = answer[at : at + len(keys)]
+        yield source, bucket, COUNTED, _bytes("i", 2 * np.abs(part) + (part < 0))
+        at += len(keys)
+    yield -1, bucket, TOTALS, _bytes("ii", np.array([n.sum()]), np.array([(n > 0).sum()]))
 
 
 def _scattered(keys: np.ndarray, answers: list[tuple[int, bytes]], buckets: int, kinds: str) -> list[np.ndarray]:
-    """What the buckets answered, in the order of ``keys``."""
-    out = [np.zeros(len(keys), f"{kind}8") for kind in kinds]
+    """What the buckets answered, in the order of the sorted ``keys``."""
     raws = dict(answers)
-    for number, at in _by_bucket(keys, buckets):
-        for column, values in zip(out, _columns([raws[number]], kinds)):
-            column[at] = values
-    return out
+    return _columns([raws[number] for number, _ in _by_bucket(keys, buckets)], kinds)
 
 
-def _gather(length: int, buckets: int, least: float, unit: Callable):
-    """A slice takes the counts of a length and hands on the stored strings that it owns."""
+def _gather(length: int, depth: int, buckets: int, least: float, unit: Callable):
+    """A slice takes the counts of a length, hands on the stored strings that it owns and asks for the next length."""
 
     def work(name: int, held: dict):
         texts = _opened(held)
         found, at, one, number, _ = _candidates(texts, length)
-        (n,) = _scattered(one, held.get(COUNTED, []), buckets, "i")
-        own, stored = n <= -least, np.abs(n) >= least
+        (n,) = _scattered(one, held.pop(COUNTED, []), buckets, "i")
+        n, own = n >> 1, (n & 1).astype(bool)
+        stored = n >= least
         if length == 1:
-            texts["stored"] = (stored & (n != 0))[number].astype(np.int8)
-            yield name, name, NUMBERS, _bytes(np.abs(n))
-            own &= n < 0
-            yield from _dealt(name, STRINGS, one[own], buckets, one[own], -n[own], unit(-n[own]))
+            texts["stored"] = (stored & (n > 0))[number].astype(np.int8)
+            yield name, name, NUMBERS, _bytes("i", n[np.searchsorted(one, texts["words"])])
+            own &= stored & (n > 0)
+            yield from _dealt(name, STRINGS, buckets, "if", one[own], n[own], unit(n[own]))
         else:
             texts["stored"][at[stored[number]]] = length
             some = np.zeros(len(one), np.int64)
             some[number] = at
+            own &= stored
             end = some[own]
-            suffix = found[-2][end]
-            yield from _dealt(name, ENTRIES, suffix, buckets, found[-2][end - 1], suffix, one[own], -n[own])
+            yield from _dealt(name, ENTRIES, buckets, "uui", found[-2][end], found[-2][end - 1], one[own], n[own])
         yield name, name, MARKS, zlib.compress(texts["stored"].tobytes(), 1)
+        if length <= depth:
+            del found, at, one, number, n, own, stored
+            _, _, one, _, n = _candidates(texts, length + 1)
+            yield from _dealt(name, ASKED, buckets, "i", one, n)
 
     return work
 
@@ -332,11 +353,11 @@ def _below(buckets: int):
     def work(bucket: int, held: dict):
         if ENTRIES not in held:
             return
-        context, suffix, key, n = _columns([raw for _, raw in held[ENTRIES]], "uuui")
-        keys, _, p = _columns([raw for _, raw in held[STRINGS]], "uif")
+        suffix, context, key, n = _columns([raw for _, raw in held[ENTRIES]], "suui")
+        keys, _, p = _columns([raw for _, raw in held[STRINGS]], "sif")
         order = np.argsort(keys)
         below = p[order[np.searchsorted(keys, suffix, sorter=order)]]
-        yield from _dealt(bucket, ENTRIES, context, buckets, context, key, n, below)
+        yield from _dealt(bucket, ENTRIES, buckets, "uif", context, key, n, below)
 
     return work
 
@@ -347,11 +368,11 @@ def _decide(buckets: int):
     def work(bucket: int, held: dict):
         if ENTRIES not in held:
             return
-        context, key, n, below = _columns([raw for _, raw in held[ENTRIES]], "uuif")
+        context, key, n, below = _columns([raw for _, raw in held[ENTRIES]], "suif")
         # Sums in one order, so that they come out the same each time.
         order = np.lexsort((key, context))
         context, key, n, below = context[order], key[order], n[order], below[order]
-        keys, counts, _ = _columns([raw for _, raw in held[STRINGS]], "uif")
+        keys, counts, _ = _columns([raw for _, raw in held[STRINGS]], "sif")
         order = np.argsort(keys)
         one, number = np.unique(context, return_inverse=True)
         total = counts[order[np.searchsorted(keys, one, sorter=order)]].astype(np.float64)
@@ -360,8 +381,8 @@ def _decide(buckets: int):
         gain = np.bincount(number, n * np.log(above / below))
         gain += (total - np.bincount(number, n)) * np.log(np.maximum(free, 1e-12))
         kept = (gain >= MIN_GAIN) & (gain >= MIN_DIVERGENCE * total)
-        yield bucket, bucket, STATES, _bytes(one[kept], np.log10(free[kept]))
-        yield from _dealt(bucket, STRINGS, key, buckets, key, n, np.where(kept[number], above, below))
+        yield bucket, bucket, STATES, _bytes("sf", one[kept], np.log10(free[kept]))
+        yield from _dealt(bucket, STRINGS, buckets, "if", key, n, np.where(kept[number], above, below))
 
     return work
 
@@ -379,47 +400,67 @@ def _needs(texts: dict, depth: int):
         yield found[length - 1][at - 1], at, True
 
 
+def _asked(needs: list[tuple], as_context: bool) -> np.ndarray:
+    """The strings that are needed by themselves, or as contexts."""
+    return np.concatenate([keys for keys, _, context in needs if context == as_context])
+
+
 def _wanted(depth: int, buckets: int):
     def work(name: int, held: dict):
-        one = np.unique(np.concatenate([keys for keys, _, _ in _needs(_opened(held), depth)]))
-        return _dealt(name, ASKED, one, buckets, one)
+        needs = list(_needs(_opened(held), depth))
+        for kind in (ASKED, AS_CONTEXT):
+            yield from _dealt(name, kind, buckets, "", np.unique(_asked(needs, kind == AS_CONTEXT)))
 
     return work
 
 
 def _answer(bucket: int, held: dict):
-    """log10 of the probability of each string's last symbol and of the mass that it sets free as a state."""
-    if ASKED not in held:
-        return
-    keys, _, p = _columns([raw for _, raw in held.get(STRINGS, [])], "uif")
-    contexts, free = _columns([raw for _, raw in held.get(STATES, [])], "uf")
-    tables = []
-    for names, values in ((keys, np.log10(p)), (contexts, free)):
+    """log10 of the probability of each string's last symbol, and of the mass that contexts set free as states."""
+    for ask, kind, tables, columns in ((ASKED, ANSWERS, STRINGS, "sif"), (AS_CONTEXT, FREE, STATES, "sf")):
+        names, *_, values = _columns([raw for _, raw in held.get(tables, [])], columns)
         order = np.argsort(names)
-        tables.append((names[order], values[order]))
-    for source, raw in held[ASKED]:
-        asked, out = np.frombuffer(raw, np.uint64), []
-        for names, values in tables:
-            place = _place(names, asked)
-            out.append(np.where(place >= 0, np.append(values, 0.0)[place], 0.0))
-        yield source, bucket, ANSWERS, _bytes(*out)
+        names, values = names[order], np.append(values[order], 0.0)
+        for source, raw in held.get(ask, []):
+            place = _place(names, _columns([raw], "s")[0])
+            if kind == ANSWERS:
+                yield source, bucket, kind, _bytes("f", np.where(place >= 0, np.log10(values[place]), 0.0))
+            else:
+                # Most contexts are no states: which of them are, by bits, and then what those set free.
+                bits = np.packbits(place >= 0)
+                yield source, bucket, kind, len(place).to_bytes(8, "little") + bits.tobytes() + _bytes("f", values[place[place >= 0]])
+
+
+def _freed(keys: np.ndarray, answers: list[tuple[int, bytes]], buckets: int) -> np.ndarray:
+    """What the contexts set free, in the order of the sorted ``keys``."""
+    out, raws = np.zeros(len(keys)), dict(answers)
+    for number, at in _by_bucket(keys, buckets):
+        raw = raws[number]
+        n = int.from_bytes(raw[:8], "little")
+        end = 8 + -(-n // 8)
+        state = np.unpackbits(np.frombuffer(raw[8:end], np.uint8), count=n).astype(bool)
+        out[at][state] = _columns([raw[end:]], "f")[0]
+    return out
 
 
 def _score(depth: int, buckets: int, n_tokens: int, unit: Callable):
     def work(name: int, held: dict):
         texts = _opened(held)
         (n,) = _columns([held[NUMBERS][0][1]], "i")
-        one = np.unique(np.concatenate([keys for keys, _, _ in _needs(texts, depth)]))
-        p, free = _scattered(one, held.get(ANSWERS, []), buckets, "ff")
+        needs = list(_needs(texts, depth))
+        one, place = np.unique(_asked(needs, False), return_inverse=True)
+        p = _scattered(one, held.pop(ANSWERS, []), buckets, "f")[0][place]
+        one, place = np.unique(_asked(needs, True), return_inverse=True)
+        free = _freed(one, held.pop(FREE, []), buckets)[place]
         base = np.log10(unit(n))[texts["ids"]]
         model = base.copy()
-        for keys, at, as_context in _needs(texts, depth):
-            place = np.searchsorted(one, keys)
+        for _, at, as_context in needs:
             if as_context:
-                model[at] += free[place]
+                model[at] += free[: len(at)]
+                free = free[len(at) :]
             else:
                 # The value of the string takes the place of the word's alone; masses are added to either.
-                model[at] += p[place] - base[at]
+                model[at] += p[: len(at)] - base[at]
+                p = p[len(at) :]
         sizes = texts["sizes"]
         starts = np.cumsum(sizes) - sizes
         sums = [np.add.reduceat(x, starts) for x in ((n > 0)[texts["ids"]].astype(np.int64), base, model)]
@@ -428,15 +469,31 @@ def _score(depth: int, buckets: int, n_tokens: int, unit: Callable):
     return work
 
 
-def _settle(spark: SparkSession, tables: list[DataFrame]) -> None:
-    """Deletes written tables that nothing reads any more, and asks the driver to collect frames out of use, so that Spark may delete their shuffles."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for table in tables:
-        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+class Parcels:
+    """Written parcels, read and deleted by their kind."""
+
+    def __init__(self, frame: DataFrame, label: str):
+        self.spark, self.path = frame.sparkSession, new_path(frame.sparkSession, label)
+        frame.write.partitionBy("kind").parquet(self.path)
+
+    def of(self, kind: int) -> DataFrame:
+        rows = self.spark.read.schema(PARCEL).parquet(self.path).where(F.col("kind") == kind)
+        return rows.select("to", "source", "kind", "data")
+
+    def delete(self, *kinds: int) -> None:
+        for kind in kinds:
+            _delete(self.spark, f"{self.path}/kind={kind}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _settle(spark: SparkSession) -> None:
+    """Asks the driver to collect frames out of use, so that Spark may delete their shuffles."""
     gc.collect()
-    jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def score(docs: DataFrame, depth: int = DEPTH, p_min: float = 0.0, min_count: int = MIN_COUNT) -> DataFrame:
@@ -452,39 +509,64 @@ def score(docs: DataFrame, depth: int = DEPTH, p_min: float = 0.0, min_count: in
 
     n_all = by_batch(texts.select("data"), size_of, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(8, -(-n_all // BUCKET_TOKENS))
+    rounds = max(1, min(ROUNDS, n_all // ROUND_TOKENS))
+
+    def share(parcels: list[DataFrame], number: int) -> list[DataFrame]:
+        """The parcels for a round's slices."""
+        return [rows.where(F.pmod("to", F.lit(rounds)) == number) for rows in parcels]
 
-    def kind(frame: DataFrame, number: int) -> DataFrame:
-        return frame.where(F.col("kind") == number)
+    def kind(parts: list[Parcels], number: int) -> list[DataFrame]:
+        return [part.of(number) for part in parts]
 
-    levels, states, marks, unused = [], [], [], []
+    levels, states, marks = [], [], []
+    asked = [meet([texts], _ask(1, buckets))]
+    before: list[Parcels] = []
     for length in range(1, depth + 2):
-        counted = written(meet([meet([texts, *marks], _ask(length, buckets))], _count), "counts")
-        _settle(spark, [])
+        counted = Parcels(meet(asked, _count), "counts")
+        del asked
+        _settle(spark)
+        for part in before:
+            part.delete(ASKED)
         if length == 1:
-            totals = _columns([bytes(r.data) for r in kind(counted, TOTALS).select("data").collect()], "ii")
+            totals = _columns([bytes(r.data) for r in counted.of(TOTALS).select("data").collect()], "ii")
             n_tokens, n_words = (int(x.sum()) for x in totals)
             least, spread = max(min_count, p_min * n_tokens), n_tokens + 0.5 * (n_words + 1)
 
             def unit(n):
                 return (n + 0.5) / spread
 
-        gathered = written(meet([texts, *marks, kind(counted, COUNTED)], _gather(length, buckets, least, unit)), "gathered")
-        marks = [kind(gathered, MARKS)]
-        _settle(spark, [counted])
+        gathered = []
+        for number in range(rounds):
+            met = meet(share([texts, *marks, counted.of(COUNTED)], number), _gather(length, depth, buckets, least, unit))
+            gathered.append(Parcels(met, "gathered"))
+            del met
+            _settle(spark)
+        counted.delete(COUNTED)
+        for part in before:
+            part.delete(MARKS)
+        marks = kind(gathered, MARKS)
         if length == 1:
-            levels.append(kind(gathered, STRINGS))
+            levels.append(reduce(DataFrame.union, kind(gathered, STRINGS)))
             numbers = kind(gathered, NUMBERS)
         else:
-            entries = meet([kind(gathered, ENTRIES), levels[-1]], _below(buckets))
-            decided = written(meet([entries, levels[-1]], _decide(buckets)), "decided")
-            levels.append(kind(decided, STRINGS))
-            states.append(kind(decided, STATES))
+            entries = meet([*kind(gathered, ENTRIES), levels[-1]], _below(buckets))
+            decided = Parcels(meet([entries, levels[-1]], _decide(buckets)), "decided")
+            levels.append(decided.of(STRINGS))
+            states.append(decided.of(STATES))
             del entries
-            _settle(spark, unused)
-            unused = [gathered]
-    wanted = meet([texts, *marks], _wanted(depth, buckets))
-    answers = written(meet([wanted, *levels[1:], *states], _answer), "answers")
-    del wanted
-    _settle(spark, [])
+            _settle(spark)
+            for part in gathered:
+                part.delete(ENTRIES)
+        asked, before = kind(gathered, ASKED), gathered
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return meet([texts, *marks, numbers, answers], _score(depth, buckets, n_tokens, unit), schema)
+    scored = []
+    for number in range(rounds):
+        mine = share([texts, *marks], number)
+        answers = Parcels(meet([meet(mine, _wanted(depth, buckets)), *levels[1:], *states], _answer), "answers")
+        _settle(spark)
+        met = meet([*mine, *share(numbers, number), *kind([answers], ANSWERS), *kind([answers], FREE)], _score(depth, buckets, n_tokens, unit), schema)
+        scored.append(written(met, "scores"))
+        del met
+        answers.delete(ANSWERS, FREE)
+        _settle(spark)
+    return reduce(DataFrame.union, scored)

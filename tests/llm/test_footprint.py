@@ -1,10 +1,13 @@
-"""What steps keep: Python workers of a task and their tables."""
+"""What steps keep: Python workers of a task and their tables, and the size of what the suffix tree sends."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import near, textnum
+from ledgerloom.llm import near, suffixtree, textnum
 
 
 def test_sets_of_needed_texts_take_one_python_worker_a_task(spark, monkeypatch):
@@ -28,3 +31,32 @@ def test_sets_of_needed_texts_take_one_python_worker_a_task(spark, monkeypatch):
 def test_powers_take_no_more_than_a_slice_needs(monkeypatch):
     monkeypatch.setattr(textnum, "process_store", dict().copy)
     assert sum(a.nbytes for a in textnum.powers(10)) <= 16 * (textnum.SLICE_BYTES + 1) <= 5 << 20
+
+
+def test_sorted_strings_are_sent_in_less_than_eight_bytes():
+    rng = np.random.default_rng(3)
+    keys = np.sort(rng.integers(0, 1 << 63, 400_000, np.uint64) * np.uint64(2))
+    counts = np.ones(len(keys), np.int64)
+    codec, buckets, size, back = pa.Codec("lz4_raw"), 64, 0, []
+    for _, _, _, raw in suffixtree._dealt(1, suffixtree.ASKED, buckets, "i", keys, counts):
+        size += len(codec.compress(raw))
+        back.append(raw)
+    assert size < 7 * len(keys)
+    found, n = suffixtree._columns(back, "si")
+    assert (found == keys).all() and (n == counts).all()
+
+
+def test_scores_are_the_same_in_rounds_and_tables_are_deleted(spark, monkeypatch, tmp_path):
+    rows = [(i, " ".join(f"w{(i * k) % 7}" for k in range(i % 30))) for i in range(60)] + [(None, None), (5, "w1 w2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = suffixtree.score(df).collect()
+    monkeypatch.setattr(suffixtree, "ROUND_TOKENS", 100)
+    monkeypatch.setattr(suffixtree, "new_path", lambda spark, label: f"file://{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    found = suffixtree.score(df).collect()
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens)
+    for a, b in zip(sorted(want, key=key), sorted(found, key=key), strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-12)
+    left = {(p.parent.name.split("-")[0], p.name) for p in tmp_path.glob("*/kind=*")}
+    gone = (suffixtree.ASKED, suffixtree.COUNTED, suffixtree.ENTRIES, suffixtree.ANSWERS, suffixtree.FREE)
+    assert left and not any(name == f"kind={kind}" for _, name in left for kind in gone)
+    assert len(list(tmp_path.glob("answers-*"))) == suffixtree.ROUNDS
