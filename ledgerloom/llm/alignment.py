@@ -5,7 +5,7 @@ A text with a blank in front is cut by tokenizer A (byte-level merges) and by to
 of both are two rising sequences over the same bytes. Equal ends are cuts; they part the tokens into
 groups, and the two tokens that end there are a link.
 
-The merge is vectorised over a whole slice of documents: a state vector holds an A pointer and a B pointer
+The merge is vectorised over many documents at once, ``PART_BYTES`` of text or one document: a state vector holds an A pointer and a B pointer
 for every run, a step compares the ends under all pointers at once, emits a link and a cut where they are
 equal, moves on the pointer with the smaller end (both where equal), and runs that reached their ends leave the
 vector. A merge of rising sequences can be begun at any value, so a document with many tokens is several
@@ -37,11 +37,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import textnum
 from ledgerloom.llm.common import written
-from ledgerloom.llm.sentencepieces import PieceModel, text_slices
+from ledgerloom.llm.sentencepieces import PieceModel, slice_rows, text_slices
 
 RUN = 256
 BLOCK_LINKS = 1_000_000
-MEMO_CHUNKS = 400_000
+# Texts that are aligned at once: the arrays of their tokens take a hundred times as much.
+PART_BYTES = 1 << 19
+# Words and segments that a worker remembers, each; an executor has a worker with both tokenizers on every core.
+MEMO_CHUNKS = 200_000
 # A word of Latin letters, with a mark behind it or not: one or two pretokens, to which the merges alone give the ids.
 PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]?)")
 
@@ -74,7 +77,9 @@ class ByteLevel:
             self.surface[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
         self.letter_of = {b: c for c, b in letters.items()}
         self.ends_word = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
-        self.memo: dict[str, list[int]] = {}
+        # Words' ids are the same few objects over and over: new ones would take more than the tuples.
+        self.numbers = list(range(len(self.surface)))
+        self.memo: dict[str, tuple[int, ...]] = {}
         # Words whose ids do not give their bytes again.
         self.lossy: set[str] = set()
 
@@ -87,7 +92,7 @@ class ByteLevel:
         return store["byte_level"]
 
     def _learn(self, words: list[str]) -> None:
-        letters, merge, others = self.letter_of, self.tokenizer.model.tokenize, []
+        letters, merge, others, number = self.letter_of, self.tokenizer.model.tokenize, [], self.numbers.__getitem__
         for word in words:
             plain = PLAIN.fullmatch(word)
             if not plain:
@@ -95,15 +100,15 @@ class ByteLevel:
                 continue
             body, mark = plain.groups()
             found = merge(body.encode().decode("latin-1").translate(letters))
-            self.memo[word] = [token.id for token in (found + merge(mark) if mark else found)]
+            self.memo[word] = tuple([number(token.id) for token in (found + merge(mark) if mark else found)])
         for low in range(0, len(others), 10_000):
             some = others[low : low + 10_000]
             for word, one in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.memo[word] = one.ids
+                self.memo[word] = tuple(map(number, one.ids))
         self.lossy.update(w for w in words if b"".join(map(self.surface.__getitem__, self.memo[w])) != w.encode())
 
-    def encode_exact(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of all texts with a blank in front, where each text's end, and whether they have its bytes."""
+    def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray]:
+        """Where the words of all texts with a blank in front begin and end, where each text's end, and the words."""
         data = (" " + " ".join(texts)).encode()
         raw = np.frombuffer(data, np.uint8)
         sizes = np.fromiter((len(text.encode()) + 1 for text in texts), np.int64, len(texts))
@@ -123,11 +128,16 @@ class ByteLevel:
         first[text_ends] = True
         cuts = np.flatnonzero(first)
         words = pa.Array.from_buffers(pa.string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data)])
-        coded = words.dictionary_encode()
+        return cuts, text_ends, words.dictionary_encode()
+
+    def encode_exact(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts with a blank in front, where each text's end, and whether they have its bytes."""
+        cuts, text_ends, coded = self._words(texts)
         names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
-            self.lossy.clear()
+            # What these texts use stays.
+            self.memo = {name: self.memo[name] for name in names if name in self.memo}
+            self.lossy.intersection_update(self.memo)
         self._learn([name for name in names if name not in self.memo])
         found = list(map(self.memo.__getitem__, names))
         count = np.fromiter(map(len, found), np.int64, len(found))
@@ -198,7 +208,7 @@ class Aligner:
 
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The ids of both sides and the number of each text's; none where a side does not give the text's bytes."""
-        sides = [self.a.encode_exact(texts), self.b.encode_exact(texts)]
+        sides = [self.a.encode_exact(texts), self.b.encode_exact(texts, MEMO_CHUNKS)]
         good = sides[0][2] & sides[1][2]
         found = []
         for ids, ends, _ in sides:
@@ -232,6 +242,20 @@ class Aligner:
         words = pa.ListArray.from_arrays(pa.array(first, pa.int32()), self.written.take(pa.array(order)))
         return [joined[:-1] for joined in pc.binary_join(words, "").to_pylist()]
 
+    def align_in_parts(self, column: pa.Array, keep_groups: bool) -> dict:
+        """The same of a slice's texts with the groups' digests, a part of the texts at a time; the groups themselves if asked for."""
+        names = ("n_a", "n_b", "n_groups", "n_links", "codes")
+        parts: dict[str, list[np.ndarray]] = {name: [] for name in names}
+        groups, digests = [], []
+        for _, texts in text_slices(column, PART_BYTES):
+            found = self.align(texts)
+            for name in names:
+                parts[name].append(found[name])
+            digests += [hashlib.sha256(one.encode()).hexdigest() if one else "" for one in found["groups"]]
+            groups += found["groups"] if keep_groups else [None] * len(texts)
+        whole = {name: np.concatenate(some) for name, some in parts.items()}
+        return whole | {"place": np.concatenate(([0], np.cumsum(whole["n_links"]))), "groups": groups, "groups_sha256": digests}
+
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False) -> DataFrame:
     """One row a document, and one a block with its distinct pairs.
@@ -250,9 +274,9 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False
         # Blocks and rows are numbered within the task; the written table fixes them.
         block = row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for low, texts in text_slices(batch.column(1)):
-                found = aligner.align(texts)
-                doc_ids = batch.column(0).slice(low, len(texts)).to_pylist()
+            for low, high in slice_rows(batch.column(1)):
+                found = aligner.align_in_parts(batch.column(1).slice(low, high - low), keep_groups)
+                doc_ids = batch.column(0).slice(low, high - low).to_pylist()
                 place, n = found["place"], len(found["codes"])
                 for start in range(0, max(n, 1), BLOCK_LINKS):
                     stop = min(start + BLOCK_LINKS, n)
@@ -273,16 +297,16 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False
                         links = at[a - start : b - start].tobytes() if b > a else b""
                         if begins:
                             counts = {name: int(found[name][i]) for name in ("n_a", "n_b", "n_groups", "n_links")}
-                            groups = found["groups"][i]
-                            digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-                            add(block=block, row=row + i, doc_id=doc_id, links=links, groups_sha256=digest, groups=groups if keep_groups else None, **counts)
+                            add(block=block, row=row + i, doc_id=doc_id, links=links, groups_sha256=found["groups_sha256"][i], groups=found["groups"][i], **counts)
                         else:
                             add(block=block, row=row + i, links=links)
                     if len(pairs):
-                        add(block=block, pairs=pairs.tolist(), times=times.tolist())
+                        add(block=block, pairs=pairs, times=times)
                     yield pa.RecordBatch.from_pydict(rows, schema=schema)
                     block += 1
-                row += len(texts)
+                row += high - low
+            batch = found = rows = pairs = at = times = None
+        textnum.give_back()
 
     names = "block long, row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string, links binary, pairs array<long>, times array<int>"
     return docs.select("doc_id", "text").mapInArrow(run, names)

@@ -110,7 +110,9 @@ class PieceModel:
             self.joined[classes[a], classes[b]] = True
             self.first_merge[classes[a], classes[b]] = self.pairs.get((self.symbols[a], self.symbols[b]), -1)
         self.symbol_of_class = np.array([-1] + [self.symbols[c] for c in chars], np.int32)
-        self.memo: dict[str, tuple[int, ...] | list[int]] = {}
+        # Segments' ids are the same few objects over and over: new ones would take more than the tuples.
+        self.numbers = np.arange(self.span).astype(object)
+        self.memo: dict[str, tuple[int, ...]] = {}
         # Segments whose ids do not give their bytes again.
         self.lossy: set[str] = set()
 
@@ -136,32 +138,23 @@ class PieceModel:
         """The ids of all texts one after another, and where each text's end."""
         return self._encode_flat(texts)[:2]
 
-    def encode_exact(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same, and whether each text's ids have the bytes of a blank and the text."""
-        ids, ends, faithful, normal = self._encode_flat(texts)
+    def encode_exact(self, texts: list[str], most: int = MEMO_SEGMENTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same, and whether each text's ids have the bytes of a blank and the text; about ``most`` segments are remembered."""
+        ids, ends, faithful, normal = self._encode_flat(texts, most)
         same = [bool(text) and n.replace(BLANK, " ") == " " + text for n, text in zip(normal, texts)]
         return ids, ends, faithful & np.array(same, bool)
 
-    def _encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    def _encode_flat(self, texts: list[str], most: int = MEMO_SEGMENTS) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         normal = [self.library.normalize(text) if text else "" for text in texts]
-        whole = "".join(normal)
-        if not whole:
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64), np.ones(len(texts), bool), normal
-        points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
         text_ends = np.cumsum(np.fromiter(map(len, normal), np.int64, len(normal)))
-        # The first character of every segment: of a text, or where no piece has the two side by side.
-        kinds = self.class_of[points]
-        first = np.concatenate(([True], ~self.joined[kinds[:-1], kinds[1:]], [True]))
-        first[text_ends] = True
-        cuts = np.flatnonzero(first)
-        sizes = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
-        places = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))[cuts].astype(np.int32)
-        data = whole.encode()
-        segments = pa.Array.from_buffers(pa.string(), len(cuts) - 1, [None, pa.py_buffer(places.tobytes()), pa.py_buffer(data)])
-        coded = segments.dictionary_encode()
+        if not text_ends.any():
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64), np.ones(len(texts), bool), normal
+        cuts, coded = self._segments("".join(normal), text_ends)
         names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.memo) > MEMO_SEGMENTS:
-            self.memo.clear()
+        if len(self.memo) > most:
+            # What these texts use stays.
+            self.memo = {name: self.memo[name] for name in names if name in self.memo}
+            self.lossy.intersection_update(self.memo)
         found = list(map(self.memo.get, names))
         new = [k for k, ids in enumerate(found) if ids is None]
         self._learn([names[k] for k in new])
@@ -184,15 +177,30 @@ class PieceModel:
             faithful = np.diff(np.concatenate(([0], np.cumsum(lost)))[np.concatenate(([0], text_cuts))]) == 0
         return ids, place[text_cuts], faithful, normal
 
+    def _segments(self, whole: str, text_ends: np.ndarray) -> tuple[np.ndarray, pa.DictionaryArray]:
+        """Where the segments of all texts, laid one after another, begin and end, and the segments."""
+        points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        # The first character of every segment: of a text, or where no piece has the two side by side.
+        kinds = self.class_of[points]
+        first = np.concatenate(([True], ~self.joined[kinds[:-1], kinds[1:]], [True]))
+        first[text_ends] = True
+        cuts = np.flatnonzero(first)
+        sizes = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
+        places = np.concatenate(([0], np.cumsum(sizes, dtype=np.int32)))[cuts].astype(np.int32)
+        data = whole.encode()
+        segments = pa.Array.from_buffers(pa.string(), len(cuts) - 1, [None, pa.py_buffer(places.tobytes()), pa.py_buffer(data)])
+        return cuts, segments.dictionary_encode()
+
     def _learn(self, segments: list[str]) -> None:
         by_width: dict[int, list[str]] = {w: [] for w in WIDTHS}
         for segment in segments:
             size = len(segment)
             if size == 1:
                 symbol = self.symbols.get(segment)
-                self.memo[segment] = self._bytes(segment) if symbol is None else self.outputs.get(symbol, [symbol])
+                self.memo[segment] = tuple(self._bytes(segment) if symbol is None else self.outputs.get(symbol, [symbol]))
             elif size > LANE:
-                self.memo[segment] = self._written(self._heap_agenda([self.symbols[c] for c in segment]))
+                ids = self._written(self._heap_agenda([self.symbols[c] for c in segment]))
+                self.memo[segment] = tuple(self.numbers[ids].tolist())
             else:
                 by_width[next(w for w in WIDTHS if size <= w)].append(segment)
         for width, some in by_width.items():
@@ -254,7 +262,7 @@ class PieceModel:
                 if not going.all():
                     done = symbols[~going]
                     filled = done >= 0
-                    ids, ends = done[filled].tolist(), np.cumsum(filled.sum(axis=1)).tolist()
+                    ids, ends = self.numbers[done[filled]].tolist(), np.cumsum(filled.sum(axis=1)).tolist()
                     for r, a, b in zip(rows[~going].tolist(), [0, *ends], ends):
                         self.memo[some[r]] = tuple(self._written(ids[a:b]))
                     rows, at, made, symbols, merges = rows[going], at[going], made[going], symbols[going], merges[going]
@@ -321,18 +329,24 @@ class PieceModel:
         return "".join(parts)[lead:]
 
 
-def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of about ``size`` bytes each, one row at least; a null text is empty."""
+def slice_rows(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of slices of about ``size`` bytes each, one row at least."""
     low = 0
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0))
     ends = np.cumsum(sizes, dtype=np.int64)
     while low < len(column):
         start = ends[low - 1] if low else 0
         high = max(low + 1, int(np.searchsorted(ends, start + size, "right")))
-        yield low, [text or "" for text in column.slice(low, high - low).to_pylist()]
+        yield low, high
         low = high
 
 
+def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of such slices; a null text is empty."""
+    for low, high in slice_rows(column, size):
+        yield low, [text or "" for text in column.slice(low, high - low).to_pylist()]
+
+
 def _checked(batch: pa.RecordBatch, model: PieceModel):
     """(first row, number of rows, ids, decoded texts) of each slice, after comparison with the library's."""
     for low, texts in text_slices(batch.column(1)):

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import gc
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import near, suffixtree, textnum
+from ledgerloom.llm import alignment, near, suffixtree, textnum
+from ledgerloom.llm.common import tokenizer_file
 
 
 def test_sets_of_needed_texts_take_one_python_worker_a_task(spark, monkeypatch):
@@ -60,3 +64,46 @@ def test_scores_are_the_same_in_rounds_and_tables_are_deleted(spark, monkeypatch
     gone = (suffixtree.ASKED, suffixtree.COUNTED, suffixtree.ENTRIES, suffixtree.ANSWERS, suffixtree.FREE)
     assert left and not any(name == f"kind={kind}" for _, name in left for kind in gone)
     assert len(list(tmp_path.glob("answers-*"))) == suffixtree.ROUNDS
+
+
+@pytest.fixture(scope="module")
+def aligner():
+    return alignment.Aligner(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def _texts(n: int, words: int) -> list[str]:
+    rng = np.random.default_rng(n)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    return [" ".join("".join(rng.choice(letters, 9)) for _ in range(words)) + f" ün{i}" for i in range(n)]
+
+
+def test_slices_are_aligned_in_parts_with_the_same_result(aligner, monkeypatch):
+    texts = [*_texts(40, 30), "", None, "▁ lossy", " a  b "]
+    whole = aligner.align([text or "" for text in texts])
+    sizes, align = [], aligner.align
+    monkeypatch.setattr(alignment, "PART_BYTES", 1000)
+    monkeypatch.setattr(aligner, "align", lambda some: sizes.append(sum(map(len, some))) or align(some))
+    found = aligner.align_in_parts(pa.array(texts), True)
+    assert len(sizes) > 10 and max(sizes) <= 1000
+    for name in ("n_a", "n_b", "n_groups", "n_links", "codes", "place"):
+        assert (found[name] == whole[name]).all()
+    assert found["groups"] == whole["groups"] and (found["groups_sha256"][40], len(found["groups_sha256"][0])) == ("", 64)
+
+
+def test_remembered_words_take_little_and_stay_few(aligner, monkeypatch):
+    texts = _texts(40, 500)
+    for model in (aligner.a, aligner.b):
+        model.memo.clear()
+        gc.collect()
+        tracemalloc.start()
+        model.encode_exact(texts)
+        gc.collect()
+        size = tracemalloc.get_traced_memory()[0]
+        tracemalloc.stop()
+        # The word, its entry and a tuple; numbers of its own would add some 28 bytes for each of its five ids.
+        assert size / len(model.memo) < 230
+    monkeypatch.setattr(alignment, "MEMO_CHUNKS", 10_000)
+    again = aligner.tokens(texts[:1])
+    assert len(aligner.a.memo) < 1_000 and len(aligner.b.memo) < 1_000
+    # What the texts use was kept, and words that were forgotten are learned again.
+    assert all(map(np.array_equal, aligner.tokens(texts[:1]), again))
