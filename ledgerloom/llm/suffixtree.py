@@ -204,11 +204,19 @@ def meet(parcels: list[DataFrame], work: Callable[[int, dict], Iterator[tuple]],
             # By source, so that the outcome does not depend on the order of arrival.
             for source, kind, data in zip(batch.column("source").to_pylist(), batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
                 held.setdefault(kind, []).append((source, data))
+            batch = source = kind = data = None
         for found in held.values():
             found.sort()
+        found = None
         for rows in work(key[0].as_py(), held):
             columns = zip(*(rows if isinstance(rows, list) else [rows]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            rows = columns = None
+            yield made
+            made = None
+        # What a receiver took is free for the next one and for other steps' workers.
+        held.clear()
+        textnum.give_back()
 
     return reduce(DataFrame.union, parcels).groupBy("to").applyInArrow(run, schema)
 
@@ -297,17 +305,23 @@ def _ask(length: int, buckets: int):
 
 def _count(bucket: int, held: dict):
     """The counts of all strings asked for; the first slice that asks for a string owns it and gets its count negated."""
-    parts = [_columns([raw], "si") for _, raw in held[ASKED]]
-    one, first, number = np.unique(np.concatenate([keys for keys, _ in parts]), return_index=True, return_inverse=True)
-    n = np.bincount(number, np.concatenate([counts for _, counts in parts])).astype(np.int64)
+    asked = held.pop(ASKED)
+    # Columns of 8-byte numbers.
+    sources, sizes = [source for source, _ in asked], [len(raw) // 16 for _, raw in asked]
+    keys, counts = _columns([raw for _, raw in asked], "si")
+    del asked
+    _, first, number = np.unique(keys, return_index=True, return_inverse=True)
+    n = np.bincount(number, counts).astype(np.int64)
+    del keys, counts
     answer = n[number]
     answer[first] *= -1
+    del first, number
     at = 0
-    for (source, _), (keys, _) in zip(held[ASKED], parts):
+    for source, size in zip(sources, sizes):
         # Signs apart, so that the bytes of small numbers are zeros.
-        part = answer[at : at + len(keys)]
+        part = answer[at : at + size]
         yield source, bucket, COUNTED, _bytes("i", 2 * np.abs(part) + (part < 0))
-        at += len(keys)
+        at += size
     yield -1, bucket, TOTALS, _bytes("ii", np.array([n.sum()]), np.array([(n > 0).sum()]))
 
 

@@ -107,3 +107,47 @@ def test_remembered_words_take_little_and_stay_few(aligner, monkeypatch):
     assert len(aligner.a.memo) < 1_000 and len(aligner.b.memo) < 1_000
     # What the texts use was kept, and words that were forgotten are learned again.
     assert all(map(np.array_equal, aligner.tokens(texts[:1]), again))
+
+
+def test_counting_strings_takes_a_few_times_their_size():
+    rng = np.random.default_rng(5)
+    pool = np.sort(rng.integers(0, 1 << 62, 60_000, np.uint64))
+    sent = [np.unique(rng.choice(pool, 10_000)) for _ in range(20)]
+    tracemalloc.start()
+    raws = [suffixtree._bytes("si", keys, np.full(len(keys), i, np.int64)) for i, keys in enumerate(sent)]
+    held = {suffixtree.ASKED: list(enumerate(raws))}
+    given = sum(map(len, raws))
+    del raws
+    tracemalloc.reset_peak()
+    found = {source: data for source, _, kind, data in suffixtree._count(7, held) if kind == suffixtree.COUNTED}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not held and peak < 4.6 * given
+    total, owned = {}, set()
+    for i, keys in enumerate(sent):
+        for key in keys.tolist():
+            total[key] = total.get(key, 0) + i
+    for i, keys in enumerate(sent):
+        (answer,) = suffixtree._columns([found[i]], "i")
+        for key, n in zip(keys.tolist(), answer.tolist()):
+            assert n >> 1 == total[key] and (n & 1 == 0 or total[key] == 0 or key not in owned)
+            owned.add(key)
+
+
+def test_a_receiver_leaves_nothing_to_the_next(spark):
+    rows = [(to, 1, 5, bytes(10)) for to in range(8)]
+    parcels = spark.createDataFrame(rows, suffixtree.PARCEL).coalesce(1)
+
+    def work(to, held):
+        store = textnum.process_store()
+        left = store.get("last", {})
+        store["last"] = held
+        yield to, len(held), len(left)
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        found = suffixtree.meet([parcels], work, "to long, held int, left int").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(tuple(r) for r in found) == [(to, 1, 0) for to in range(8)]
