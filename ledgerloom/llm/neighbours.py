@@ -4,8 +4,8 @@ Equal vectors are one class, which stands in the graph once and keeps its ``k +
 neither crowd the graph nor each other. Classes are dealt by hash to shards of about ``SHARD`` vectors. A
 shard's graph is grown in batches: a greedy beam search from the middle proposes neighbours for each new
 vector, relaxed distance pruning keeps the nearest and drops those that a kept one is ``ALPHA`` times
-nearer to, and the edges are added backwards too, pruned again where a vector gets too many. Queries go in
-blocks to every shard; a beam search collects the nearest classes, their cosines are computed in double
+nearer to, and the edges are added backwards too, pruned again where a vector gets too many. Queries are read in
+blocks past the graphs of every shard; a beam search collects the nearest classes, their cosines are computed in double
 precision on the original vectors, and the nearest of all shards are the answer.
 
 Distances in the graph are cosine distances (of normalised vectors). Defined results: vectors that are
@@ -30,6 +30,10 @@ DEGREE, ALPHA = 32, 1.2
 BUILD_BEAM, SEARCH_BEAM = 64, 128
 SHARD, BLOCK = 8192, 512
 STEP = 4
+# Tasks that a search is spread over, bytes of the graphs of one, of the blocks of queries that it goes through and of a file of blocks.
+SPREAD, GROUP, PART, FILE = 64, 1 << 26, 1 << 25, 1 << 23
+# Tasks that graphs are built in, at most; the driver keeps some kilobytes of each.
+BUILDERS = 1 << 14
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,53 +181,73 @@ def index(vectors: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
     schema = "shard int, dim int, sizes binary, ids binary, x binary, graph binary, entry int"
     # A fixed number of partitions keeps the shards of a small index from being built one after another.
-    return written(dealt.repartition(2 * shards, "shard").groupBy("shard", "dim").applyInArrow(build, schema), "graphs")
+    return written(dealt.repartition(min(2 * shards, BUILDERS), "shard").groupBy("shard", "dim").applyInArrow(build, schema), "graphs")
 
 
 def search(graphs: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id and score of the ``k`` nearest found for each query (vec_id, embedding)."""
+    """query_id, rank, vec_id and score of the ``k`` nearest found for each query (vec_id, embedding).
+
+    Every task holds some graphs and reads the query blocks past them. Queries are neither copied for each shard nor
+    sent through the driver: a planner that takes such copies for one table would broadcast them.
+    """
     asked = written(queries.distinct().withColumn("dim", F.size("embedding")), "queries")
-    blocks = max(1, -(-asked.count() // block))
-    shards = (graphs.agg(F.max("shard")).first()[0] or 0) + 1
+    count, numbers = asked.agg(F.count("*"), F.sum("dim")).first()
+    blocks = max(1, -(-count // block))
+    size = 8 * count + 4 * (numbers or 0)
+    # A vector takes 4 bytes in ``sizes``, 4 * dim in ``x`` and 4 * DEGREE in ``graph``.
+    made, held = graphs.agg(F.count("*"), F.sum(F.length("sizes").cast("long") * (1 + F.col("dim") + DEGREE))).first()
+    groups = max(SPREAD, -(-(held or 0) // GROUP))
+    parts = max(min(blocks, -(-SPREAD // max(1, made))), -(-size // PART))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
 
     def gather(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
         row = [[key[1].as_py()], [table["vec_id"].combine_chunks().to_numpy().tobytes()], [_matrix(table["embedding"]).tobytes()]]
-        yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int32()), pa.array(row[1], pa.binary()), pa.array(row[2], pa.binary())], names=["dim", "asked", "q"])
+        yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int32()), pa.array(row[1], pa.binary()), pa.array(row[2], pa.binary())], names=["length", "asked", "q"])
 
-    packed = asked.groupBy("block", "dim").applyInArrow(gather, "dim int, asked binary, q binary")
-    dealt = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    dealt = asked.repartition(max(parts, -(-size // FILE)), "block")
+    packed = written(dealt.groupBy("block", "dim").applyInArrow(gather, "length int, asked binary, q binary"), "blocks")
+    # The product goes through a part's blocks in the same order for each graph, so a graph is sent with the first only.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    pairs = graphs.coalesce(groups).hint("shuffle_replicate_nl").crossJoin(packed.coalesce(parts).withColumn("first", first))
+    once = [F.when(F.col("first"), F.col(c)).alias(c) for c in ("sizes", "ids", "x", "graph", "entry")]
+    now: dict = {}
 
     def answer(batch):
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-        dims, sizes, ids, xs, links, entries, asked_ids, qs = (batch.column(i) for i in range(8))
+        shards, dims, sizes, ids, xs, links, entries, lengths, asked_ids, qs = (batch.column(i) for i in range(10))
         for r in range(batch.num_rows):
-            dim = dims[r].as_py()
-            x = np.frombuffer(xs[r].as_buffer(), np.float32).reshape(-1, dim)
-            graph = np.frombuffer(links[r].as_buffer(), np.int32).reshape(len(x), -1).astype(np.int64)
-            ends = np.cumsum(np.frombuffer(sizes[r].as_buffer(), np.int32))
-            member = np.frombuffer(ids[r].as_buffer(), np.int64)
+            dim, of = dims[r].as_py(), (shards[r].as_py(), dims[r].as_py())
+            if xs[r].is_valid:
+                x = np.frombuffer(xs[r].as_buffer(), np.float32).reshape(-1, dim).copy()
+                graph = np.frombuffer(links[r].as_buffer(), np.int32).reshape(len(x), -1).astype(np.int64)
+                ends = np.cumsum(np.frombuffer(sizes[r].as_buffer(), np.int32))
+                member = np.frombuffer(ids[r].as_buffer(), np.int64).copy()
+                now.update(of=of, graph=(x, _unit(x), graph, ends, member, entries[r].as_py()))
+            if now.get("of") != of:
+                raise ValueError(f"blocks without the graph of shard {of}")
+            if lengths[r].as_py() != dim:
+                continue
+            x, unit, graph, ends, member, entry = now["graph"]
             q = np.frombuffer(qs[r].as_buffer(), np.float32).reshape(-1, dim)
             own = np.frombuffer(asked_ids[r].as_buffer(), np.int64)
-            near, far = beam_search(_unit(x), graph, entries[r].as_py(), _unit(q), min(beam, len(x)))
+            near, far = beam_search(unit, graph, entry, _unit(q), min(beam, len(x)))
+            out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
             for i, (some, found) in enumerate(zip(near, np.isfinite(far))):
                 some = some[found]
                 a, b = q[i].astype(np.float64), x[some].astype(np.float64)
                 score = (b @ a) / (np.linalg.norm(a) * np.linalg.norm(b, axis=1))
-                first = np.concatenate(([0], ends))[some]
-                count = ends[some] - first
-                at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                start = np.concatenate(([0], ends))[some]
+                count = ends[some] - start
+                at = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 each, score = member[at], np.repeat(score, count)
                 score, each = score[each != own[i]], each[each != own[i]]
                 top = np.lexsort((each, -score))[:k]
                 out["query_id"].append(np.full(len(top), own[i]))
                 out["vec_id"].append(each[top])
                 out["score"].append(score[top])
-        return {name: np.concatenate(parts) for name, parts in out.items()} if out["score"] else None
+            yield {name: np.concatenate(found) for name, found in out.items()}
 
-    joined = dealt.join(graphs, ["shard", "dim"]).select("dim", "sizes", "ids", "x", "graph", "entry", "asked", "q")
-    found = by_batch(joined, answer, "query_id long, vec_id long, score double")
+    found = by_batch(pairs.select("shard", "dim", *once, "length", "asked", "q"), answer, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
